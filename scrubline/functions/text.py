@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .cache import cached_expr
 from .patterns import DATE_FORMATS, PY_SPACE, TIMESTAMP_FORMATS
 
 # A "cased" run is a maximal run of upper/lower/title-case letters; everything
@@ -22,11 +23,13 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+@cached_expr
 def strip(c: Column | str) -> Column:
     """Remove leading/trailing whitespace (Unicode aware, unlike ``trim``)."""
     return F.regexp_replace(_col(c), _STRIP, "")
 
 
+@cached_expr
 def title(c: Column | str) -> Column:
     """Title-case: first letter of every cased run upper, the rest lower.
 
@@ -42,12 +45,14 @@ def title(c: Column | str) -> Column:
     return F.array_join(cased, "")
 
 
+@cached_expr
 def is_title(c: Column | str) -> Column:
     """True when the value is already title-cased and has at least one cased letter."""
     c = _col(c)
     return (title(c) == c) & c.rlike(f"[{_CASED}]")
 
 
+@cached_expr
 def parse_date(c: Column | str) -> Column:
     """Parse mixed-layout date text to a DATE (null when nothing matches).
 
@@ -64,6 +69,7 @@ def parse_date(c: Column | str) -> Column:
     return F.coalesce(*candidates)
 
 
+@cached_expr
 def iso_date(c: Column | str) -> Column:
     """Mixed-layout date text -> ``YYYY-MM-DD`` text (null when unparseable)."""
     return F.date_format(parse_date(c), "yyyy-MM-dd")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.patterns import (
     DATE_COLUMNS, DATE_SENTINEL, FILL_VALUES, ISO_DATE_PATTERN, NAME_COLUMNS, NON_DIGIT_PATTERN,
 )
+from ..functions.cache import cached_expr
 from ..functions.text import iso_date, strip, title
 
 
@@ -25,28 +26,34 @@ def _replace(df: DataFrame, new: dict[str, Column]) -> DataFrame:
 
 # --- expressions --------------------------------------------------------------
 
+@cached_expr
 def name_expr(c: str) -> Column:
     return title(strip(c))
 
 
+@cached_expr
 def email_expr(c: str = "email") -> Column:
     return F.lower(F.col(c))
 
 
+@cached_expr
 def phone_digits(c: str = "phone") -> Column:
     return F.regexp_replace(F.col(c), NON_DIGIT_PATTERN, "")
 
 
+@cached_expr
 def phone_expr(c: str = "phone") -> Column:
     d = phone_digits(c)
     formatted = F.concat_ws("-", F.substring(d, 1, 3), F.substring(d, 4, 3), F.substring(d, 7, 4))
     return F.when(F.length(d) == 10, formatted).otherwise(F.col(c))
 
 
+@cached_expr
 def desentinel_expr(c: str) -> Column:
     return F.nullif(F.col(c), F.lit(DATE_SENTINEL))
 
 
+@cached_expr
 def date_expr(c: str) -> Column:
     return iso_date(desentinel_expr(c))
 

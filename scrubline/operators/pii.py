@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.patterns import ADDRESS_MIN_LENGTH, DATE_SENTINEL, EMAIL_PATTERN, PHONE_PATTERN, RISK_LEVELS
+from ..functions.patterns import (
+    ADDRESS_MIN_LENGTH, DATE_SENTINEL, EMAIL_PATTERN, PHONE_PATTERN, PY_DIGIT, RISK_LEVELS,
+)
 
 
 def _pct(part, total):
@@ -65,11 +67,17 @@ def risk(df: DataFrame) -> DataFrame:
 
 
 def text_counts(df: DataFrame, text_col: str = "text"):
-    """Per-row match counts for both patterns (each regex runs once per row)."""
+    """Per-row match counts for both patterns (each regex runs once per row).
+
+    The full patterns only run on texts that can match: an e-mail needs an
+    ``@`` and a phone needs a decimal digit.  Both guards are necessary
+    conditions of the patterns, so the counts are exactly the unguarded ones.
+    """
     t = F.col(text_col)
+    zero = F.lit(0)
     return (
-        F.coalesce(F.regexp_count(t, F.lit(EMAIL_PATTERN)), F.lit(0)).alias("_ne"),
-        F.coalesce(F.regexp_count(t, F.lit(PHONE_PATTERN)), F.lit(0)).alias("_np"),
+        F.when(t.contains("@"), F.regexp_count(t, F.lit(EMAIL_PATTERN))).otherwise(zero).alias("_ne"),
+        F.when(t.rlike(PY_DIGIT), F.regexp_count(t, F.lit(PHONE_PATTERN))).otherwise(zero).alias("_np"),
     )
 
 

@@ -365,6 +365,16 @@ def q_cross_field(spark, sf):
     )
 
 
+def q_stream_mask_customers(spark, sf):
+    from ..streaming.incremental import stream_masked_customers
+    return stream_masked_customers(spark, sf)
+
+
+def q_stream_duplicate_keys(spark, sf):
+    from ..streaming.incremental import stream_duplicate_keys
+    return stream_duplicate_keys(spark, sf, "orders", "o_custkey")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

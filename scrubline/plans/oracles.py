@@ -529,6 +529,9 @@ def oracle_sql() -> dict[str, str]:
             evaluate_sql("fc", "cleaned", SUITE) + """)) as quality_status,
             'SUCCESS' as execution_status""",
         "quarantine": _quarantine(),
+        "stream_mask_customers": dcm + "select * from masked",
+        "stream_duplicate_keys": ("select o_custkey, count(*) as occurrences from orders group by o_custkey "
+                                  "having count(*) > 1"),
         "cross_field": dc + """select customer_id, date_of_birth, created_date,
             try_strptime(created_date, '%Y-%m-%d') <= try_strptime(date_of_birth, '%Y-%m-%d') as violated
             from cleaned where try_strptime(date_of_birth, '%Y-%m-%d') is not null

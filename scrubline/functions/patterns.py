@@ -24,6 +24,12 @@ PY_SPACE = (
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
 PY_DIGIT = r"\p{Nd}"
+# the same 29 characters as a plain string (for trimming without a regex)
+PY_SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # phone, as written:  (\+?\d{1,3}[-.\s]?)?\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4}
 _SEP = r"[-." + PY_SPACE[1:-1] + r"]"
@@ -107,25 +113,27 @@ NA_TOKENS = (
     "nan", "null",
 )
 
-# --- fixed values: accepted date layouts, tried in order --------------------
-# month-first before day-first, as the mixed-format parser guesses
-DATE_FORMATS = (
-    "yyyy-M-d",
-    "yyyy/M/d",
-    "M/d/yyyy",
-    "d/M/yyyy",
-    "M-d-yyyy",
-    "d-M-yyyy",
-    "yyyyMMdd",
-    "yyyy.M.d",
-    "MMM d, yyyy",
-    "MMMM d, yyyy",
-    "d MMM yyyy",
-    "d MMMM yyyy",
-    "d-MMM-yyyy",
+# --- fixed values: accepted date layouts ------------------------------------
+# (text shape, formats tried in order for that shape).  Shapes do not overlap,
+# so a value is parsed only with the formats of its own shape; month-first
+# comes before day-first, as the mixed-format parser guesses.
+_Y, _MD = "[0-9]{4}", "[0-9]{1,2}"
+DATE_LAYOUTS = (
+    (rf"^{_Y}-{_MD}-{_MD}$", ("yyyy-M-d",)),
+    (rf"^{_Y}/{_MD}/{_MD}$", ("yyyy/M/d",)),
+    (rf"^{_MD}/{_MD}/{_Y}$", ("M/d/yyyy", "d/M/yyyy")),
+    (rf"^{_MD}-{_MD}-{_Y}$", ("M-d-yyyy", "d-M-yyyy")),
+    (r"^[0-9]{8}$", ("yyyyMMdd",)),
+    (rf"^{_Y}\.{_MD}\.{_MD}$", ("yyyy.M.d",)),
+    (rf"^[A-Za-z]+ {_MD}, {_Y}$", ("MMM d, yyyy", "MMMM d, yyyy")),
+    (rf"^{_MD} [A-Za-z]+ {_Y}$", ("d MMM yyyy", "d MMMM yyyy")),
+    (rf"^{_MD}-[A-Za-z]+-{_Y}$", ("d-MMM-yyyy",)),
 )
-TIMESTAMP_FORMATS = (
-    "yyyy-M-d HH:mm:ss",
-    "yyyy-M-d'T'HH:mm:ss",
-    "yyyy-M-d'T'HH:mm:ssXXX",
+TIMESTAMP_LAYOUTS = (
+    (rf"^{_Y}-{_MD}-{_MD} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}$", ("yyyy-M-d HH:mm:ss",)),
+    (rf"^{_Y}-{_MD}-{_MD}T[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}$", ("yyyy-M-d'T'HH:mm:ss",)),
+    (rf"^{_Y}-{_MD}-{_MD}T[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}(Z|[+-][0-9]{{2}}:[0-9]{{2}})$",
+     ("yyyy-M-d'T'HH:mm:ssXXX",)),
 )
+DATE_FORMATS = tuple(f for _, fs in DATE_LAYOUTS for f in fs)
+TIMESTAMP_FORMATS = tuple(f for _, fs in TIMESTAMP_LAYOUTS for f in fs)

@@ -10,13 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .cache import cached_expr
-from .patterns import DATE_FORMATS, PY_SPACE, TIMESTAMP_FORMATS
+from .patterns import DATE_LAYOUTS, PY_SPACE_CHARS, TIMESTAMP_LAYOUTS
 
 # A "cased" run is a maximal run of upper/lower/title-case letters; everything
 # else (digits, punctuation, blanks, uncased scripts) separates words.
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
-_WORD_RUNS = rf"([{_CASED}]+|[^{_CASED}]+)"
-_STRIP = rf"^{PY_SPACE}+|{PY_SPACE}+$"
+_WORD_START = rf"([^{_CASED} ])(?=[{_CASED}])"  # blanks already start words in initcap
+_MARK = "\u0000 "
 
 
 def _col(c: Column | str) -> Column:
@@ -25,24 +25,28 @@ def _col(c: Column | str) -> Column:
 
 @cached_expr
 def strip(c: Column | str) -> Column:
-    """Remove leading/trailing whitespace (Unicode aware, unlike ``trim``)."""
-    return F.regexp_replace(_col(c), _STRIP, "")
+    """Remove leading/trailing whitespace (Unicode aware, unlike ``trim``):
+    every character Python's ``str.strip()`` removes, without a regex."""
+    return F.btrim(_col(c), F.lit(PY_SPACE_CHARS))
 
 
 @cached_expr
 def title(c: Column | str) -> Column:
-    """Title-case: first letter of every cased run upper, the rest lower.
-
-    ``initcap`` only splits on blanks (``O'BRIEN`` -> ``O'brien``); this splits
-    on any uncased character, so ``o'brien`` -> ``O'Brien`` and
-    ``mary-jane`` -> ``Mary-Jane``.  Null stays null.
+    """Title-case: the first cased letter after any uncased character is
+    title-cased, every other letter lower-cased (Python ``str.title``).
+
+    ``initcap`` alone only starts words after a blank (``O'BRIEN`` ->
+    ``O'brien``).  So a marker ending in a blank is first inserted after every
+    uncased character that precedes a cased one, ``initcap`` then starts a word
+    there, and the markers are removed: ``o'brien`` -> ``O'Brien``,
+    ``mary-jane`` -> ``Mary-Jane``, ``3rd`` -> ``3Rd``.  All three steps are
+    code-generated expressions, so the projection stays in whole-stage codegen
+    (a lambda over ``regexp_extract_all`` would not).  Null stays null.
+    Text that already contains the marker (U+0000 followed by a blank) is not
+    supported.
     """
-    runs = F.regexp_extract_all(_col(c), F.lit(_WORD_RUNS), 1)
-    cased = F.transform(
-        runs,
-        lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 1 << 30))),
-    )
-    return F.array_join(cased, "")
+    marked = F.regexp_replace(_col(c), _WORD_START, "$1" + _MARK)
+    return F.regexp_replace(F.initcap(marked), _MARK, "")
 
 
 @cached_expr
@@ -56,17 +60,27 @@ def is_title(c: Column | str) -> Column:
 def parse_date(c: Column | str) -> Column:
     """Parse mixed-layout date text to a DATE (null when nothing matches).
 
-    Layouts are tried in the fixed order of ``DATE_FORMATS`` then
-    ``TIMESTAMP_FORMATS``; ``try_to_date`` never throws under ANSI mode.
-    Month names are accepted in any letter case.
+    The trimmed text is matched against the fixed layout shapes; only the
+    formats of the matching shape are tried, in their fixed order, with
+    ``try_to_date`` (never throws under ANSI mode).  Month names are accepted
+    in any letter case.  Text of no known shape is null without any parse.
     """
-    t = F.trim(_col(c))
+    return parse_trimmed_date(F.trim(_col(c)))
+
+
+def parse_trimmed_date(t: Column) -> Column:
+    """``parse_date`` for text that is already trimmed.  ``t`` is referenced by
+    every shape test, so callers should pass a column computed in an earlier
+    projection rather than an expression (see ``clean.clean``)."""
     named = F.initcap(t)
-    candidates = [
-        F.try_to_date(named if "MMM" in fmt else t, fmt) for fmt in DATE_FORMATS
-    ]
-    candidates += [F.try_to_timestamp(t, F.lit(fmt)).cast("date") for fmt in TIMESTAMP_FORMATS]
-    return F.coalesce(*candidates)
+    out = None
+    for shape, fmts in DATE_LAYOUTS:
+        src = named if "MMM" in fmts[0] else t
+        parsed = F.coalesce(*[F.try_to_date(src, f) for f in fmts]) if len(fmts) > 1 else F.try_to_date(src, fmts[0])
+        out = F.when(t.rlike(shape), parsed) if out is None else out.when(t.rlike(shape), parsed)
+    for shape, fmts in TIMESTAMP_LAYOUTS:
+        out = out.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(fmts[0])).cast("date"))
+    return out
 
 
 @cached_expr

@@ -16,12 +16,27 @@ from ..functions.patterns import (
     DATE_COLUMNS, DATE_SENTINEL, FILL_VALUES, ISO_DATE_PATTERN, NAME_COLUMNS, NON_DIGIT_PATTERN,
 )
 from ..functions.cache import cached_expr
-from ..functions.text import iso_date, strip, title
+from ..functions.sqltext import Ref, stack_rows
+from ..functions.text import iso_date, parse_trimmed_date, strip, title
 
 
 def _replace(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     """Replace columns in place, keeping column order (one Project)."""
-    return df.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
+    return df.select(*[_aliased(new[c], c) if c in new else c for c in df.columns])
+
+
+_ALIASED: dict = {}
+
+
+def _aliased(col: Column, name: str) -> Column:
+    """``col.alias(name)``, reusing the aliased Column for a cached expression."""
+    key = (id(col), name)
+    hit = _ALIASED.get(key)
+    if hit is not None and hit[0] is col:
+        return hit[1]
+    out = col.alias(name)
+    _ALIASED[key] = (col, out)
+    return out
 
 
 # --- expressions --------------------------------------------------------------
@@ -43,9 +58,12 @@ def phone_digits(c: str = "phone") -> Column:
 
 @cached_expr
 def phone_expr(c: str = "phone") -> Column:
-    d = phone_digits(c)
+    return _phone_from(phone_digits(c), F.col(c))
+
+
+def _phone_from(d: Column, original: Column) -> Column:
     formatted = F.concat_ws("-", F.substring(d, 1, 3), F.substring(d, 4, 3), F.substring(d, 7, 4))
-    return F.when(F.length(d) == 10, formatted).otherwise(F.col(c))
+    return F.when(F.length(d) == 10, formatted).otherwise(original)
 
 
 @cached_expr
@@ -89,17 +107,38 @@ def handle_missing(df: DataFrame, fill: dict | None = None) -> DataFrame:
 
 
 def clean(df: DataFrame, emails: bool = True) -> DataFrame:
-    """Names -> emails -> phones -> dates -> missing, as one projection.
+    """Names -> emails -> phones -> dates -> missing.
 
-    ``emails=False`` is the variant that leaves e-mails untouched.
+    ``emails=False`` is the variant that leaves e-mails untouched.  Two
+    projections in one code-generated stage: the first computes the values
+    that the second reads several times (phone digits, trimmed date text),
+    so each is evaluated once per row instead of once per use.
     """
-    new = {c: name_expr(c) for c in NAME_COLUMNS if c in df.columns}
-    if emails and "email" in df.columns:
+    cols = tuple(df.columns)
+    staged = df.select("*", *_clean_inputs(cols))
+    return handle_missing(staged.select(*_clean_outputs(cols, emails)))
+
+
+@cached_expr
+def _clean_inputs(cols: tuple) -> list:
+    out = []
+    if "phone" in cols:
+        out.append(phone_digits("phone").alias("__digits"))
+    out += [F.trim(desentinel_expr(c)).alias(f"__text_{c}") for c in DATE_COLUMNS if c in cols]
+    return out
+
+
+@cached_expr
+def _clean_outputs(cols: tuple, emails: bool) -> list:
+    new = {c: name_expr(c) for c in NAME_COLUMNS if c in cols}
+    if emails and "email" in cols:
         new["email"] = email_expr()
-    if "phone" in df.columns:
-        new["phone"] = phone_expr()
-    new.update({c: date_expr(c) for c in DATE_COLUMNS if c in df.columns})
-    return handle_missing(_replace(df, new))
+    if "phone" in cols:
+        new["phone"] = _phone_from(F.col("__digits"), F.col("phone"))
+    for c in DATE_COLUMNS:
+        if c in cols:
+            new[c] = F.date_format(parse_trimmed_date(F.col(f"__text_{c}")), "yyyy-MM-dd")
+    return [new[c].alias(c) if c in new else F.col(c) for c in cols]
 
 
 # --- counters (C7-C10) ----------------------------------------------------------
@@ -110,15 +149,20 @@ def _changed(old: Column, new: Column) -> Column:
 
 def clean_stat_columns(df: DataFrame) -> list[Column]:
     """Aggregate expressions for the fix counters, evaluated on the *raw* frame."""
+    return _clean_stat_columns(tuple(df.columns))
+
+
+@cached_expr
+def _clean_stat_columns(columns: tuple) -> list:
     name_fixes = sum(
-        (F.count_if(_changed(F.col(c), name_expr(c))) for c in NAME_COLUMNS if c in df.columns),
+        (F.count_if(_changed(F.col(c), name_expr(c))) for c in NAME_COLUMNS if c in columns),
         F.lit(0).cast("bigint"),
     )
     date_fixes = sum(
         (
             F.count_if(desentinel_expr(c).isNotNull() & ~F.col(c).rlike(ISO_DATE_PATTERN))
             for c in DATE_COLUMNS
-            if c in df.columns
+            if c in columns
         ),
         F.lit(0).cast("bigint"),
     )
@@ -139,9 +183,15 @@ def clean_stats(raw: DataFrame) -> DataFrame:
 def missing_fill_columns(raw: DataFrame, fill: dict | None = None) -> list[Column]:
     """Per fill column, nulls remaining after C1-C5 (NaN counts as missing)."""
     fill = fill or FILL_VALUES
+    return _missing_fill_columns(tuple(raw.dtypes), tuple(fill))
+
+
+@cached_expr
+def _missing_fill_columns(dtypes: tuple, fill: tuple) -> list:
+    types = dict(dtypes)
     out = []
     for c in fill:
-        if c not in raw.columns:
+        if c not in types:
             continue
         if c in DATE_COLUMNS:
             v = date_expr(c)
@@ -152,7 +202,7 @@ def missing_fill_columns(raw: DataFrame, fill: dict | None = None) -> list[Colum
         else:
             v = F.col(c)
         miss = v.isNull()
-        if dict(raw.dtypes)[c] in ("double", "float"):
+        if types[c] in ("double", "float"):
             miss = miss | F.isnan(v)
         out.append(F.count_if(miss).alias(c))
     return out
@@ -166,19 +216,24 @@ def clean_missing_counts(raw: DataFrame, fill: dict | None = None) -> DataFrame:
     """
     fill = {c: v for c, v in (fill or FILL_VALUES).items() if c in raw.columns}
     wide = raw.agg(*missing_fill_columns(raw, fill))
-    rows = ", ".join(
-        f"{i}, '{c}', '{fill[c]}', `{c}`" for i, c in enumerate(fill, start=1)
-    )
-    long = wide.selectExpr(
-        f"stack({len(fill)}, {rows}) as (ordinal, column_name, fill_value, missing_count)"
-    )
-    return long.select(
+    return wide.select(_missing_long(tuple((c, str(v)) for c, v in fill.items()))).select(*_missing_out())
+
+
+@cached_expr
+def _missing_long(fill: tuple) -> Column:
+    return stack_rows(("ordinal", "column_name", "fill_value", "missing_count"),
+                      tuple((i, c, v, Ref(c)) for i, (c, v) in enumerate(fill, start=1)))
+
+
+@cached_expr
+def _missing_out() -> list:
+    return [
         F.col("ordinal").cast("int").alias("ordinal"),
-        "column_name",
-        "fill_value",
+        F.col("column_name"),
+        F.col("fill_value"),
         F.col("missing_count").cast("bigint").alias("missing_count"),
         F.when(F.col("column_name") == "income", F.col("missing_count") * 2)
         .otherwise(F.col("missing_count"))
         .cast("bigint")
         .alias("logged_count"),
-    )
+    ]

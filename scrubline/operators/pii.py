@@ -7,9 +7,11 @@ match" and "number of matches" are derived from that single count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.cache import cached_expr
+from ..functions.sqltext import Ref, stack_rows
 from ..functions.patterns import (
     ADDRESS_MIN_LENGTH, DATE_SENTINEL, EMAIL_PATTERN, PHONE_PATTERN, PY_DIGIT, RISK_LEVELS,
 )
@@ -19,34 +21,40 @@ def _pct(part, total):
     return part.cast("double") / F.nullif(total, F.lit(0)).cast("double") * F.lit(100.0)
 
 
+_TYPES = (("email", "email"), ("phone", "phone"), ("address", "address"), ("dob", "date_of_birth"))
+
+
 def scan(df: DataFrame) -> DataFrame:
     """``(pii_type, column_name, found_rows, total_rows, found_percent)``."""
+    return df.agg(*_scan_aggs()).select(_scan_long()).select(*_scan_out())
+
+
+@cached_expr
+def _scan_aggs() -> list:
     dob = F.col("date_of_birth")
-    wide = df.agg(
+    return [
         F.count(F.lit(1)).alias("_n"),
         F.count_if(F.coalesce(F.col("email").rlike(EMAIL_PATTERN), F.lit(False))).alias("_email"),
         F.count_if(F.coalesce(F.col("phone").rlike(PHONE_PATTERN), F.lit(False))).alias("_phone"),
         F.count_if(F.col("address").isNotNull() & (F.length("address") > ADDRESS_MIN_LENGTH)).alias("_address"),
         F.count_if(dob.isNotNull() & (F.lower(dob) != DATE_SENTINEL)).alias("_dob"),
-    )
-    long = wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(t).alias("pii_type"), F.lit(c).alias("column_name"),
-                             F.col(f"_{t}").alias("found_rows"), F.col("_n").alias("total_rows"))
-                    for t, c in (("email", "email"), ("phone", "phone"), ("address", "address"),
-                                 ("dob", "date_of_birth"))
-                ]
-            )
-        )
-    )
-    return long.select(
-        "pii_type", "column_name",
+    ]
+
+
+@cached_expr
+def _scan_long() -> Column:
+    return stack_rows(("pii_type", "column_name", "found_rows", "total_rows"),
+                      tuple((t, c, Ref(f"_{t}"), Ref("_n")) for t, c in _TYPES))
+
+
+@cached_expr
+def _scan_out() -> list:
+    return [
+        F.col("pii_type"), F.col("column_name"),
         F.col("found_rows").cast("bigint").alias("found_rows"),
         F.col("total_rows").cast("bigint").alias("total_rows"),
         _pct(F.col("found_rows"), F.col("total_rows")).alias("found_percent"),
-    )
+    ]
 
 
 def risk_table(spark: SparkSession) -> DataFrame:
@@ -73,6 +81,11 @@ def text_counts(df: DataFrame, text_col: str = "text"):
     ``@`` and a phone needs a decimal digit.  Both guards are necessary
     conditions of the patterns, so the counts are exactly the unguarded ones.
     """
+    return _text_counts(text_col)
+
+
+@cached_expr
+def _text_counts(text_col: str) -> tuple:
     t = F.col(text_col)
     zero = F.lit(0)
     return (
@@ -81,35 +94,35 @@ def text_counts(df: DataFrame, text_col: str = "text"):
     )
 
 
+@cached_expr
+def _text_aggs() -> list:
+    return [
+        F.count(F.lit(1)).alias("total_docs"),
+        F.count_if(F.col("_ne") > 0).alias("email_docs"),
+        F.coalesce(F.sum("_ne"), F.lit(0)).cast("bigint").alias("email_matches"),
+        F.count_if(F.col("_np") > 0).alias("phone_docs"),
+        F.coalesce(F.sum("_np"), F.lit(0)).cast("bigint").alias("phone_matches"),
+    ]
+
+
 def scan_text_wide(df: DataFrame, text_col: str = "text", group_cols=()) -> DataFrame:
     """Free-text scan, optionally grouped: ``(*group_cols, total_docs, email_docs,
     email_matches, phone_docs, phone_matches)``.  Grouped scans pre-aggregate per
     task, so a hot group costs one partial row per task."""
     counted = df.select(*group_cols, *text_counts(df, text_col))
-    aggs = [
-        F.count(F.lit(1)).alias("total_docs"),
-        F.count_if(F.col("_ne") > 0).alias("email_docs"),
-        F.sum("_ne").cast("bigint").alias("email_matches"),
-        F.count_if(F.col("_np") > 0).alias("phone_docs"),
-        F.sum("_np").cast("bigint").alias("phone_matches"),
-    ]
     if group_cols:
-        return counted.groupBy(*group_cols).agg(*aggs)
-    return counted.agg(*aggs)
+        return counted.groupBy(*group_cols).agg(*_text_aggs())
+    return counted.agg(*_text_aggs())
 
 
 def scan_text(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Free-text scan as ``(pii_type, docs_with_match, match_count, total_docs)``."""
-    wide = scan_text_wide(df, text_col)
-    return wide.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("email").alias("pii_type"), F.col("email_docs").alias("docs_with_match"),
-                         F.col("email_matches").alias("match_count"), F.col("total_docs").alias("total_docs")),
-                F.struct(F.lit("phone").alias("pii_type"), F.col("phone_docs").alias("docs_with_match"),
-                         F.col("phone_matches").alias("match_count"), F.col("total_docs").alias("total_docs")),
-            )
-        )
-    ).select("pii_type", F.col("docs_with_match").cast("bigint").alias("docs_with_match"),
-             F.coalesce(F.col("match_count"), F.lit(0)).cast("bigint").alias("match_count"),
-             F.col("total_docs").cast("bigint").alias("total_docs"))
+    return scan_text_wide(df, text_col).select(_text_long())
+
+
+@cached_expr
+def _text_long() -> Column:
+    return stack_rows(("pii_type", "docs_with_match", "match_count", "total_docs"), (
+        ("email", Ref("email_docs"), Ref("email_matches"), Ref("total_docs")),
+        ("phone", Ref("phone_docs"), Ref("phone_matches"), Ref("total_docs")),
+    ))

@@ -19,6 +19,8 @@ from ..functions.patterns import (
     DATE_COLUMNS, DATE_SENTINEL, DECLARED_TYPES, DOB_DRIFT_PATTERN, NAME_COLUMNS,
     NONSTANDARD_PHONE_PATTERN, SLASH, UPPERCASE_PATTERN, VALID_STATUSES,
 )
+from ..functions.cache import cached_expr
+from ..functions.sqltext import Ref, stack_rows
 from ..functions.text import is_title, py_list_repr
 
 _STRING_TYPES = ("string",)
@@ -38,40 +40,41 @@ def _pct(part: Column, total: Column) -> Column:
 def completeness(df: DataFrame) -> DataFrame:
     """``(ordinal, column_name, null_count, sentinel_count, missing_count,
     complete_percent, total_rows)``, one row per column, one aggregate pass."""
-    dtypes = dict(df.dtypes)
+    dtypes = tuple(df.dtypes)
+    return df.agg(*_completeness_aggs(dtypes)).select(_completeness_long(dtypes)).select(*_completeness_out())
+
+
+@cached_expr
+def _completeness_aggs(dtypes: tuple) -> list:
     aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, c in enumerate(df.columns):
-        aggs.append(F.count_if(_missing(df, c)).alias(f"_null{i}"))
-        if dtypes[c] in _STRING_TYPES:
-            aggs.append(F.count_if(F.lower(F.col(c)).contains(DATE_SENTINEL)).alias(f"_sent{i}"))
+    for i, (c, t) in enumerate(dtypes):
+        v = F.col(c)
+        aggs.append(F.count_if(v.isNull() | F.isnan(v) if t in _FLOAT_TYPES else v.isNull()).alias(f"_null{i}"))
+        if t in _STRING_TYPES:
+            aggs.append(F.count_if(F.lower(v).contains(DATE_SENTINEL)).alias(f"_sent{i}"))
         else:
             aggs.append(F.lit(0).cast("bigint").alias(f"_sent{i}"))
-    wide = df.agg(*aggs)
-    long = wide.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i + 1).alias("ordinal"),
-                        F.lit(c).alias("column_name"),
-                        F.col(f"_null{i}").alias("null_count"),
-                        F.col(f"_sent{i}").alias("sentinel_count"),
-                        F.col("_n").alias("total_rows"),
-                    )
-                    for i, c in enumerate(df.columns)
-                ]
-            )
-        )
-    )
+    return aggs
+
+
+@cached_expr
+def _completeness_long(dtypes: tuple) -> Column:
+    return stack_rows(("ordinal", "column_name", "null_count", "sentinel_count", "total_rows"), tuple(
+        (i + 1, c, Ref(f"_null{i}"), Ref(f"_sent{i}"), Ref("_n")) for i, (c, _) in enumerate(dtypes)
+    ))
+
+
+@cached_expr
+def _completeness_out() -> list:
     missing = F.col("null_count") + F.col("sentinel_count")
-    return long.select(
-        "ordinal", "column_name",
+    return [
+        F.col("ordinal"), F.col("column_name"),
         F.col("null_count").cast("bigint").alias("null_count"),
         F.col("sentinel_count").cast("bigint").alias("sentinel_count"),
         missing.cast("bigint").alias("missing_count"),
         _pct(F.col("total_rows") - missing, F.col("total_rows")).alias("complete_percent"),
         F.col("total_rows").cast("bigint").alias("total_rows"),
-    )
+    ]
 
 
 def _drift_flags(df: DataFrame) -> list[Column]:

@@ -27,6 +27,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.cache import cached_expr
+from ..functions.sqltext import Expr, Ref, sql_literal, stack_rows
 from ..functions.patterns import (
     CUSTOMER_ID_MIN, INCOME_BOUNDS, NAME_LENGTH_BOUNDS, NAME_PATTERN, VALID_STATUSES,
 )
@@ -63,43 +65,89 @@ class Rule:
 
     def present(self, df: DataFrame) -> Column:
         """Non-missing values of the column (NaN counts as missing for doubles)."""
-        c = F.col(self.column)
-        if dict(df.dtypes).get(self.column) in ("double", "float"):
-            return c.isNotNull() & ~F.isnan(c)
-        return c.isNotNull()
+        return _present(self.column, dict(df.dtypes).get(self.column))
 
     def unexpected(self, df: DataFrame) -> Column:
         """Row-level 'unexpected' flag; never null.  Not defined for ``unique``."""
-        c = F.col(self.column)
-        k = self.kind
-        if k == "not_null":
-            return ~self.present(df)
-        if k == "unique":
-            raise ValueError("unique is evaluated by grouping, see flag_rows/evaluate")
-        if k == "between":
-            lo, hi = self.param("min"), self.param("max")
-            ok = F.lit(True)
-            if lo is not None:
-                ok = ok & (c >= F.lit(lo))
-            if hi is not None:
-                ok = ok & (c <= F.lit(hi))
-            u = self.present(df) & ~ok
-        elif k == "length_between":
-            u = self.present(df) & ~F.length(c).between(self.param("min"), self.param("max"))
-        elif k == "regex":
-            u = self.present(df) & ~c.rlike(self.param("pattern"))
-        elif k == "in_set":
-            u = self.present(df) & ~c.isin(list(self.param("values")))
-        elif k == "date_format":
-            s = c.cast("string")
-            u = self.present(df) & ~(s.rlike(_YMD_SHAPE) & F.try_to_date(s, "yyyy-M-d").isNotNull())
-        elif k == "date_order":
-            later = F.try_to_date(c.cast("string"), "yyyy-M-d")
-            earlier = F.try_to_date(F.col(self.param("earlier")).cast("string"), "yyyy-M-d")
-            u = later.isNotNull() & earlier.isNotNull() & (later <= earlier)
-        else:  # pragma: no cover
-            raise ValueError(f"unknown rule kind {k}")
-        return F.coalesce(u, F.lit(False))
+        return _unexpected(self, dict(df.dtypes).get(self.column))
+
+
+@cached_expr
+def _present(column: str, dtype: str | None) -> Column:
+    c = F.col(column)
+    if dtype in ("double", "float"):
+        return c.isNotNull() & ~F.isnan(c)
+    return c.isNotNull()
+
+
+@cached_expr
+def _unexpected(rule: Rule, dtype: str | None) -> Column:
+    c = F.col(rule.column)
+    k = rule.kind
+    present = _present(rule.column, dtype)
+    if k == "not_null":
+        return ~present
+    if k == "unique":
+        raise ValueError("unique is evaluated by grouping, see flag_rows/evaluate")
+    if k == "between":
+        lo, hi = rule.param("min"), rule.param("max")
+        ok = F.lit(True)
+        if lo is not None:
+            ok = ok & (c >= F.lit(lo))
+        if hi is not None:
+            ok = ok & (c <= F.lit(hi))
+        u = present & ~ok
+    elif k == "length_between":
+        u = present & ~F.length(c).between(rule.param("min"), rule.param("max"))
+    elif k == "regex":
+        u = present & ~c.rlike(rule.param("pattern"))
+    elif k == "in_set":
+        u = present & ~c.isin(list(rule.param("values")))
+    elif k == "date_format":
+        s = c.cast("string")
+        u = present & ~(s.rlike(_YMD_SHAPE) & F.try_to_date(s, "yyyy-M-d").isNotNull())
+    elif k == "date_order":
+        later = F.try_to_date(c.cast("string"), "yyyy-M-d")
+        earlier = F.try_to_date(F.col(rule.param("earlier")).cast("string"), "yyyy-M-d")
+        u = later.isNotNull() & earlier.isNotNull() & (later <= earlier)
+    else:  # pragma: no cover
+        raise ValueError(f"unknown rule kind {k}")
+    return F.coalesce(u, F.lit(False))
+
+
+@cached_expr
+def _flag(rule: Rule, dtype: str | None) -> Column:
+    return _unexpected(rule, dtype).alias(f"_u{rule.rule_id}")
+
+
+@cached_expr
+def _suite_aggs(rules: tuple, dtypes: tuple) -> list:
+    dt = dict(dtypes)
+    return [F.count(F.lit(1)).alias("_n")] + [
+        F.count_if(_unexpected(r, dt.get(r.column))).alias(f"_u{r.rule_id}") for r in rules
+    ]
+
+
+_LONG_NAMES = ("rule_id", "column_name", "expectation", "element_count", "unexpected_count")
+
+
+@cached_expr
+def _suite_long(rules: tuple) -> Column:
+    return stack_rows(_LONG_NAMES, tuple(
+        (r.rule_id, r.column, r.expectation, Ref("_n"), Ref(f"_u{r.rule_id}")) for r in rules
+    ))
+
+
+@cached_expr
+def _result_columns() -> list:
+    return [
+        F.col("rule_id").cast("int").alias("rule_id"),
+        F.col("column_name"),
+        F.col("expectation"),
+        F.col("element_count").cast("bigint").alias("element_count"),
+        F.col("unexpected_count").cast("bigint").alias("unexpected_count"),
+        (F.col("unexpected_count") == 0).alias("success"),
+    ]
 
 
 def R(rule_id: int, column: str, kind: str, **params) -> Rule:
@@ -170,55 +218,34 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row per rule ``(rule_id, column_name, expectation, element_count,
     unexpected_count, success)``."""
     check_columns(df, rules)
-    row_rules = [r for r in rules if r.kind != "unique"]
+    row_rules = tuple(r for r in rules if r.kind != "unique")
     parts = []
     if row_rules:
-        wide = df.agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.count_if(r.unexpected(df)).alias(f"_u{r.rule_id}") for r in row_rules],
-        )
-        long = wide.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(r.rule_id).alias("rule_id"),
-                            F.lit(r.column).alias("column_name"),
-                            F.lit(r.expectation).alias("expectation"),
-                            F.col("_n").alias("element_count"),
-                            F.col(f"_u{r.rule_id}").alias("unexpected_count"),
-                        )
-                        for r in row_rules
-                    ]
-                )
-            )
-        )
-        parts.append(long)
+        dtypes = tuple(sorted(df.dtypes))
+        parts.append(df.agg(*_suite_aggs(row_rules, dtypes)).select(_suite_long(row_rules)))
     parts += [_unique_result(df, r) for r in rules if r.kind == "unique"]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(
-        F.col("rule_id").cast("int").alias("rule_id"),
-        "column_name",
-        "expectation",
-        F.col("element_count").cast("bigint").alias("element_count"),
-        F.col("unexpected_count").cast("bigint").alias("unexpected_count"),
-        (F.col("unexpected_count") == 0).alias("success"),
-    )
+    return out.select(*_result_columns())
 
 
 def summarize(results: DataFrame) -> DataFrame:
     """Suite statistics from V15 results (a tiny aggregate)."""
+    return results.agg(*_summary_aggs())
+
+
+@cached_expr
+def _summary_aggs() -> list:
     ok = F.count_if(F.col("success"))
     n = F.count(F.lit(1))
-    return results.agg(
+    return [
         n.alias("evaluated_expectations"),
         ok.alias("successful_expectations"),
         (n - ok).alias("unsuccessful_expectations"),
         (ok.cast("double") * F.lit(100.0) / n.cast("double")).alias("success_percent"),
         F.coalesce(F.bool_and(F.col("success")), F.lit(True)).alias("success"),
-    )
+    ]
 
 
 # --- V17-V19: row-level flags ---------------------------------------------------
@@ -242,10 +269,10 @@ def flag_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
             f"_dupkey{r.rule_id}"
         )
         out = out.withColumn(f"_u{r.rule_id}", F.coalesce(F.col(f"_u{r.rule_id}"), F.lit(False)))
+    dt = dict(df.dtypes)
     return out.select(
         *df.columns,
-        *[(F.col(f"_u{r.rule_id}") if r.kind == "unique" else r.unexpected(df)).alias(f"_u{r.rule_id}")
-          for r in rules],
+        *[F.col(f"_u{r.rule_id}") if r.kind == "unique" else _flag(r, dt.get(r.column)) for r in rules],
     )
 
 
@@ -256,21 +283,14 @@ def any_failed(rules: list[Rule]) -> Column:
 
 
 def _failures_long(flags: DataFrame, rules: list[Rule], order_col: str) -> DataFrame:
-    return flags.select(
-        F.col(order_col).alias("_ord"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(r.rule_id).alias("rule_id"),
-                        F.col(f"_u{r.rule_id}").alias("failed"),
-                        F.col(r.column).cast("string").alias("value"),
-                    )
-                    for r in rules
-                ]
-            )
-        ),
-    ).where(F.col("failed"))
+    return flags.select(F.col(order_col).alias("_ord"), _failure_cells(tuple(rules))).where(F.col("failed"))
+
+
+@cached_expr
+def _failure_cells(rules: tuple) -> Column:
+    return stack_rows(("rule_id", "failed", "value"), tuple(
+        (r.rule_id, Ref(f"_u{r.rule_id}"), Expr(f"cast({sql_literal(Ref(r.column))} as string)")) for r in rules
+    ))
 
 
 def failures(df: DataFrame, rules: list[Rule], order_col: str, k: int = 3) -> DataFrame:
@@ -279,23 +299,25 @@ def failures(df: DataFrame, rules: list[Rule], order_col: str, k: int = 3) -> Da
     Output ``(rule_id, column_name, expectation, sample_no, <order_col>, value)``.
     """
     flags = flag_rows(df, rules)
-    meta = {r.rule_id: r for r in rules}
     long = _failures_long(flags, rules, order_col)
     w = Window.partitionBy("rule_id").orderBy("_ord")
     top = long.withColumn("sample_no", F.row_number().over(w)).where(F.col("sample_no") <= k)
-    col_name = F.element_at(F.create_map(*sum(([F.lit(i), F.lit(r.column)] for i, r in meta.items()), [])),
+    return top.select(*_failure_columns(tuple(rules), order_col))
+
+
+@cached_expr
+def _failure_columns(rules: tuple, order_col: str) -> list:
+    def lookup(values):
+        return F.element_at(F.create_map(*[x for r, v in zip(rules, values) for x in (F.lit(r.rule_id), F.lit(v))]),
                             F.col("rule_id"))
-    expectation = F.element_at(
-        F.create_map(*sum(([F.lit(i), F.lit(r.expectation)] for i, r in meta.items()), [])), F.col("rule_id")
-    )
-    return top.select(
+    return [
         F.col("rule_id").cast("int").alias("rule_id"),
-        col_name.alias("column_name"),
-        expectation.alias("expectation"),
+        lookup([r.column for r in rules]).alias("column_name"),
+        lookup([r.expectation for r in rules]).alias("expectation"),
         F.col("sample_no").cast("int").alias("sample_no"),
         F.col("_ord").alias(order_col),
-        "value",
-    )
+        F.col("value"),
+    ]
 
 
 def failed_rows(df: DataFrame, rules: list[Rule], row_number_col: str, k: int = 10) -> DataFrame:

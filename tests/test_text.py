@@ -41,3 +41,21 @@ def test_title_keeps_null(spark):
 def test_iso_date(spark, raw, expected):
     df = spark.createDataFrame([(raw,)], "v string")
     assert df.select(iso_date("v")).first()[0] == expected
+
+
+def test_title_property_against_python(spark):
+    """Random strings over cased, uncased and whitespace characters.
+
+    Known difference: Java lower-cases a word-final capital sigma to the final
+    form, Python does not; strings with a capital sigma are left out.
+    """
+    import random
+
+    rnd = random.Random(11)
+    alphabet = (list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") + list("éÉèàçÇßøØłŁñÑ")
+                + list(" -'.,0123456789_/()\t") + ["日", "本", "ǆ", "ı", "σ", "ﬁ", " "])
+    vals = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14))) for _ in range(1500)]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    rows = df.select("v", title("v").alias("t"), strip("v").alias("s")).collect()
+    assert [r.v for r in rows if r.t != r.v.title()] == []
+    assert [r.v for r in rows if r.s != r.v.strip()] == []

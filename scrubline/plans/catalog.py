@@ -18,7 +18,8 @@ from ..operators import pii as D
 from ..operators import profile as P
 from ..operators import rules as V
 from ..operators.rowid import positions
-from ..sources.csv import row_counts
+from ..session import new_run_dir
+from ..sources.csv import read_csv, row_counts, write_table
 from ..sources.tables import dirty_customers, table
 
 KEY = "customer_id"
@@ -42,6 +43,15 @@ def q_scan_customers(spark, sf):
     return raw(spark, sf)
 
 
+def q_scan_csv(spark, sf):
+    """S1/S4 round trip: the dirty table written as CSV to the shared folder by
+    Spark, then read back through the bronze CSV scan (all strings, NA tokens,
+    try_cast)."""
+    path = new_run_dir(spark, "csv")
+    write_table(raw(spark, sf), path, "csv")
+    return read_csv(spark, path)
+
+
 def q_row_counts(spark, sf):
     return row_counts(raw(spark, sf))
 

@@ -464,6 +464,7 @@ def oracle_sql() -> dict[str, str]:
     )
     return {
         "scan_customers": d + "select * from dirty",
+        "scan_csv": d + "select * from dirty",
         "row_counts": d + "select count(*) as row_count, cast(10 as bigint) as column_count from dirty",
         "clean_names": d + f"select customer_id, {name_clean('first_name')} as first_name, "
                            f"{name_clean('last_name')} as last_name from dirty",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +53,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
+
+
+def new_run_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared folder for one run's written tables."""
+    return os.path.join(shared_dir(spark), f"scrubline-{name}-{uuid.uuid4().hex[:12]}")

@@ -13,7 +13,6 @@ query checkpoints, so a restarted job resumes where it stopped.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from ..operators import clean as C
 from ..operators import mask as M
 from ..operators import rules as V
-from ..session import shared_dir
+from ..session import new_run_dir
 from ..sources.tables import DIRTY_CUSTOMERS_SQL
 
 
@@ -99,10 +98,6 @@ def latest_counts(spark: SparkSession, counts_path: str, key: str) -> DataFrame:
     )
 
 
-def new_run_dir(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_dir(spark), f"scrubline-{name}-{uuid.uuid4().hex[:12]}")
-
-
 def stream_masked_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked customer table produced incrementally from the customer file."""
     out = new_run_dir(spark, "stream-mask")

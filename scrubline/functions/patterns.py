@@ -114,20 +114,23 @@ NA_TOKENS = (
 )
 
 # --- fixed values: accepted date layouts ------------------------------------
-# (text shape, formats tried in order for that shape).  Shapes do not overlap,
-# so a value is parsed only with the formats of its own shape; month-first
-# comes before day-first, as the mixed-format parser guesses.
-_Y, _MD = "[0-9]{4}", "[0-9]{1,2}"
+# (text shape, formats tried in order for that shape, the same formats as
+# rewrites to year-month-day text).  Shapes do not overlap, so a value is
+# parsed only with the formats of its own shape; month-first comes before
+# day-first, as the mixed-format parser guesses.  Numeric layouts are
+# rewritten and cast (Spark's string-to-date cast checks the calendar);
+# layouts with month names go through the pattern parser.
+_Y, _MD = "([0-9]{4})", "([0-9]{1,2})"
 DATE_LAYOUTS = (
-    (rf"^{_Y}-{_MD}-{_MD}$", ("yyyy-M-d",)),
-    (rf"^{_Y}/{_MD}/{_MD}$", ("yyyy/M/d",)),
-    (rf"^{_MD}/{_MD}/{_Y}$", ("M/d/yyyy", "d/M/yyyy")),
-    (rf"^{_MD}-{_MD}-{_Y}$", ("M-d-yyyy", "d-M-yyyy")),
-    (r"^[0-9]{8}$", ("yyyyMMdd",)),
-    (rf"^{_Y}\.{_MD}\.{_MD}$", ("yyyy.M.d",)),
-    (rf"^[A-Za-z]+ {_MD}, {_Y}$", ("MMM d, yyyy", "MMMM d, yyyy")),
-    (rf"^{_MD} [A-Za-z]+ {_Y}$", ("d MMM yyyy", "d MMMM yyyy")),
-    (rf"^{_MD}-[A-Za-z]+-{_Y}$", ("d-MMM-yyyy",)),
+    (rf"^{_Y}-{_MD}-{_MD}$", ("yyyy-M-d",), ("$1-$2-$3",)),
+    (rf"^{_Y}/{_MD}/{_MD}$", ("yyyy/M/d",), ("$1-$2-$3",)),
+    (rf"^{_MD}/{_MD}/{_Y}$", ("M/d/yyyy", "d/M/yyyy"), ("$3-$1-$2", "$3-$2-$1")),
+    (rf"^{_MD}-{_MD}-{_Y}$", ("M-d-yyyy", "d-M-yyyy"), ("$3-$1-$2", "$3-$2-$1")),
+    (r"^([0-9]{4})([0-9]{2})([0-9]{2})$", ("yyyyMMdd",), ("$1-$2-$3",)),
+    (rf"^{_Y}\.{_MD}\.{_MD}$", ("yyyy.M.d",), ("$1-$2-$3",)),
+    (rf"^[A-Za-z]+ {_MD}, {_Y}$", ("MMM d, yyyy", "MMMM d, yyyy"), None),
+    (rf"^{_MD} [A-Za-z]+ {_Y}$", ("d MMM yyyy", "d MMMM yyyy"), None),
+    (rf"^{_MD}-[A-Za-z]+-{_Y}$", ("d-MMM-yyyy",), None),
 )
 TIMESTAMP_LAYOUTS = (
     (rf"^{_Y}-{_MD}-{_MD} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}$", ("yyyy-M-d HH:mm:ss",)),
@@ -135,5 +138,5 @@ TIMESTAMP_LAYOUTS = (
     (rf"^{_Y}-{_MD}-{_MD}T[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}(Z|[+-][0-9]{{2}}:[0-9]{{2}})$",
      ("yyyy-M-d'T'HH:mm:ssXXX",)),
 )
-DATE_FORMATS = tuple(f for _, fs in DATE_LAYOUTS for f in fs)
+DATE_FORMATS = tuple(f for _, fs, _ in DATE_LAYOUTS for f in fs)
 TIMESTAMP_FORMATS = tuple(f for _, fs in TIMESTAMP_LAYOUTS for f in fs)

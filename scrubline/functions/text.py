@@ -74,9 +74,14 @@ def parse_trimmed_date(t: Column) -> Column:
     projection rather than an expression (see ``clean.clean``)."""
     named = F.initcap(t)
     out = None
-    for shape, fmts in DATE_LAYOUTS:
-        src = named if "MMM" in fmts[0] else t
-        parsed = F.coalesce(*[F.try_to_date(src, f) for f in fmts]) if len(fmts) > 1 else F.try_to_date(src, fmts[0])
+    for shape, fmts, rewrites in DATE_LAYOUTS:
+        if rewrites is None:
+            tries = [F.try_to_date(named, f) for f in fmts]
+        elif rewrites == ("$1-$2-$3",) and shape.count("-") == 2 and "/" not in shape:
+            tries = [t.try_cast("date")]
+        else:
+            tries = [F.regexp_replace(t, shape, r).try_cast("date") for r in rewrites]
+        parsed = F.coalesce(*tries) if len(tries) > 1 else tries[0]
         out = F.when(t.rlike(shape), parsed) if out is None else out.when(t.rlike(shape), parsed)
     for shape, fmts in TIMESTAMP_LAYOUTS:
         out = out.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(fmts[0])).cast("date"))

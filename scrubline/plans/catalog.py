@@ -366,13 +366,12 @@ def q_quarantine(spark, sf):
 
 
 def q_cross_field(spark, sf):
+    """X2 on the cleaned table: every row, whether both dates are present
+    (``checked``) and whether ``created_date`` is not after ``date_of_birth``."""
     c = cleaned(spark, sf)
     rule = V.R(15, "created_date", "date_order", earlier="date_of_birth")
-    dob = F.try_to_date("date_of_birth", "yyyy-M-d")
-    created = F.try_to_date("created_date", "yyyy-M-d")
-    return c.where(dob.isNotNull() & created.isNotNull()).select(
-        KEY, "date_of_birth", "created_date", rule.unexpected(c).alias("violated")
-    )
+    both = F.try_to_date("date_of_birth", "yyyy-M-d").isNotNull() & F.try_to_date("created_date", "yyyy-M-d").isNotNull()
+    return c.select(KEY, "date_of_birth", "created_date", both.alias("checked"), rule.unexpected(c).alias("violated"))
 
 
 def q_stream_mask_customers(spark, sf):

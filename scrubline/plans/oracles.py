@@ -534,7 +534,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_duplicate_keys": ("select o_custkey, count(*) as occurrences from orders group by o_custkey "
                                   "having count(*) > 1"),
         "cross_field": dc + """select customer_id, date_of_birth, created_date,
-            try_strptime(created_date, '%Y-%m-%d') <= try_strptime(date_of_birth, '%Y-%m-%d') as violated
-            from cleaned where try_strptime(date_of_birth, '%Y-%m-%d') is not null
-              and try_strptime(created_date, '%Y-%m-%d') is not null""",
+            try_strptime(date_of_birth, '%Y-%m-%d') is not null
+              and try_strptime(created_date, '%Y-%m-%d') is not null as checked,
+            coalesce(try_strptime(created_date, '%Y-%m-%d') <= try_strptime(date_of_birth, '%Y-%m-%d'), false)
+              as violated
+            from cleaned""",
     }

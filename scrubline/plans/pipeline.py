@@ -27,6 +27,7 @@ from ..operators import mask as M
 from ..operators import pii as D
 from ..operators import profile as P
 from ..operators import rules as V
+from ..session import use_jit_safe_codegen
 from ..sources.csv import read_csv, write_table
 from .catalog import cleaning_log, masked_sample, run_report, run_summary
 
@@ -66,6 +67,7 @@ def run_pipeline(
     captured as a ``FAILED`` status and a run report is still written (O4).
     """
     rules = rules or V.customer_suite()
+    use_jit_safe_codegen(spark)
     reports: dict[str, DataFrame] = {}
     rep_dir = os.path.join(out_dir, "reports")
     try:

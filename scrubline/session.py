@@ -9,6 +9,20 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Whole-stage codegen emits one Java method per stage; HotSpot does not JIT a
+# method over 8000 bytes, and the wide cleaning projection exceeds that.  With
+# this limit Spark keeps whole-stage codegen where the code is small enough and
+# uses compiled per-expression projections (small methods) elsewhere.
+JIT_SAFE_CODEGEN = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+def use_jit_safe_codegen(spark: SparkSession) -> None:
+    """Apply ``JIT_SAFE_CODEGEN`` unless the session already sets a limit."""
+    key, value = JIT_SAFE_CODEGEN
+    if spark.conf.get(key, "65535") == "65535":
+        spark.conf.set(key, value)
+
+
 def local_session(cores: int | str = "*", app: str = "scrubline", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
     """A local-mode session configured the way the library expects.
@@ -29,6 +43,7 @@ def local_session(cores: int | str = "*", app: str = "scrubline", shuffle_partit
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("SCRUBLINE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(*JIT_SAFE_CODEGEN)
     )
     for k, v in (extra or {}).items():
         b = b.config(k, v)

@@ -137,3 +137,17 @@ def test_orders_suite_runs(spark):
     assert len(res) == 7
     assert all(r.element_count > 0 for r in res)
     assert F is not None
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    """One key holds a third of all rows: counts stay exact and every member is flagged."""
+    from scrubline.operators import profile as P
+    rows = [(7 if i % 3 == 0 else i, "Al", "Bo", None, None, "2000-01-01", None, 1.0, "active", "2024-01-01")
+            for i in range(1, 601)]
+    df = customers(spark, rows).repartition(6)
+    res = {r.rule_id: r.unexpected_count for r in V.evaluate(df, SUITE).collect()}
+    hot = sum(1 for r in rows if r[0] == 7)
+    assert res[2] == hot
+    assert V.flag_rows(df, SUITE).where("_u2").count() == hot
+    assert [(r.customer_id, r.occurrences) for r in P.duplicate_keys(df).collect()] == [(7, hot)]
+    assert V.impact(df, SUITE).first().impacted_rows == hot

@@ -50,11 +50,12 @@ def run_clean_mask(stream: DataFrame, out_dir: str, rules=None) -> dict:
     metrics_path = os.path.join(out_dir, "batch_metrics")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        # foreachBatch is at-least-once: each batch overwrites its own folder,
+        # so a batch replayed after a failure or restart is written once
         cleaned = C.clean(batch)
-        M.mask(cleaned).write.mode("append").parquet(masked_path)
+        M.mask(cleaned).write.mode("overwrite").parquet(_batch_dir(masked_path, batch_id))
         row_rules = [r for r in rules if r.kind != "unique"]  # uniqueness is the keyed-state query
-        V.evaluate(cleaned, row_rules).select(F.lit(batch_id).alias("batch_id"), "*") \
-            .write.mode("append").parquet(metrics_path)
+        V.evaluate(cleaned, row_rules).write.mode("overwrite").parquet(_batch_dir(metrics_path, batch_id))
 
     q = (
         stream.writeStream.foreachBatch(per_batch)
@@ -69,14 +70,14 @@ def run_clean_mask(stream: DataFrame, out_dir: str, rules=None) -> dict:
 def run_key_counts(stream: DataFrame, key: str, out_dir: str) -> str:
     """Keyed state across batches: running count per key, upserted per batch.
 
-    Each micro-batch emits only the keys it touched (update mode) and appends
-    them with the batch id; ``latest_counts`` reads the newest count per key.
+    Each micro-batch emits only the keys it touched (update mode) into its own
+    ``batch_id=N`` folder; ``latest_counts`` reads the newest count per key.
     """
     counts_path = os.path.join(out_dir, "key_counts")
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        batch.select(F.col(key), F.col("occurrences"), F.lit(batch_id).alias("batch_id")) \
-            .write.mode("append").parquet(counts_path)
+        batch.select(F.col(key), F.col("occurrences")) \
+            .write.mode("overwrite").parquet(_batch_dir(counts_path, batch_id))
 
     q = (
         stream.groupBy(key).agg(F.count(F.lit(1)).alias("occurrences"))
@@ -89,6 +90,10 @@ def run_key_counts(stream: DataFrame, key: str, out_dir: str) -> str:
     return counts_path
 
 
+def _batch_dir(path: str, batch_id: int) -> str:
+    return os.path.join(path, f"batch_id={batch_id}")
+
+
 def latest_counts(spark: SparkSession, counts_path: str, key: str) -> DataFrame:
     """Latest running count per key (the row from the highest batch)."""
     return (
@@ -102,7 +107,7 @@ def stream_masked_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked customer table produced incrementally from the customer file."""
     out = new_run_dir(spark, "stream-mask")
     paths = run_clean_mask(customer_file_stream(spark, sf_dir, "customer.parquet"), out)
-    return spark.read.parquet(paths["masked"])
+    return spark.read.parquet(paths["masked"]).drop("batch_id")
 
 
 def stream_duplicate_keys(spark: SparkSession, sf_dir: str, table: str = "orders",

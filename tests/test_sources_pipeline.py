@@ -95,3 +95,24 @@ def test_streaming_matches_batch(spark):
     streamed = sorted(map(tuple, stream_masked_customers(spark, SF_SMALL).collect()))
     batch = sorted(map(tuple, masked(spark, SF_SMALL).collect()))
     assert streamed == batch
+
+
+def test_stream_processes_new_files_and_keeps_key_state(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from scrubline.streaming.incremental import file_stream, latest_counts, run_key_counts
+
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    os.makedirs(src)
+    first = pa.table({"o_orderkey": [1, 2, 3, 4], "o_custkey": [10, 10, 20, 30]})
+    second = pa.table({"o_orderkey": [5, 6], "o_custkey": [20, 40]})
+    pq.write_table(first, os.path.join(src, "orders-1.parquet"))
+    path = run_key_counts(file_stream(spark, src, "orders-*.parquet"), "o_custkey", out)
+    got = {r.o_custkey: r.occurrences for r in latest_counts(spark, path, "o_custkey").collect()}
+    assert got == {10: 2, 20: 1, 30: 1}
+
+    pq.write_table(second, os.path.join(src, "orders-2.parquet"))   # a file arrives later
+    run_key_counts(file_stream(spark, src, "orders-*.parquet"), "o_custkey", out)  # same checkpoint
+    got = {r.o_custkey: r.occurrences for r in latest_counts(spark, path, "o_custkey").collect()}
+    assert got == {10: 2, 20: 2, 30: 1, 40: 1}   # state kept across runs, old file not re-read

@@ -120,15 +120,11 @@ def data_types(df: DataFrame) -> DataFrame:
 def slash_dates(df: DataFrame, order_col: str, columns=DATE_COLUMNS) -> DataFrame:
     """P8 (whole): distinct values containing ``/`` per date column with first-seen
     position and occurrences ``(column_ordinal, column_name, value, first_seen, occurrences)``."""
-    parts = [
-        df.where(F.col(c).contains(SLASH)).select(
-            F.lit(i + 1).alias("column_ordinal"), F.lit(c).alias("column_name"),
-            F.col(c).alias("value"), F.col(order_col).alias("_ord"))
-        for i, c in enumerate(columns) if c in df.columns
-    ]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    present = tuple((i + 1, c) for i, c in enumerate(columns) if c in df.columns)
+    cells = stack_rows(("column_ordinal", "column_name", "value"),
+                       tuple((i, c, Ref(c)) for i, c in present))
+    # one scan: both columns stacked, then the slash filter
+    u = df.select(F.col(order_col).alias("_ord"), cells).where(F.col("value").contains(SLASH))
     return u.groupBy("column_ordinal", "column_name", "value").agg(
         F.min("_ord").alias("first_seen"), F.count(F.lit(1)).alias("occurrences")
     ).select(F.col("column_ordinal").cast("int").alias("column_ordinal"), "column_name", "value",

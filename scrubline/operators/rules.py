@@ -333,11 +333,36 @@ def failed_rows(df: DataFrame, rules: list[Rule], row_number_col: str, k: int =
 
 
 def impact(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Distinct rows failing at least one rule, and the total."""
-    flags = flag_rows(df, rules)
-    return flags.agg(
-        F.count_if(any_failed(rules)).alias("impacted_rows"),
-        F.count(F.lit(1)).alias("total_rows"),
+    """Distinct rows failing at least one rule, and the total.
+
+    With at most one ``unique`` rule this is one pre-aggregated ``groupBy`` on
+    the key and no join: per key, the rows and the rows failing any other
+    rule; every row of a duplicated (non-null) key is impacted, otherwise only
+    its failing rows.  A hot key is one partial row per task.
+    """
+    check_columns(df, rules)
+    uniques = [r for r in rules if r.kind == "unique"]
+    others = [r for r in rules if r.kind != "unique"]
+    if len(uniques) > 1:
+        flags = flag_rows(df, rules)
+        return flags.agg(
+            F.count_if(any_failed(rules)).alias("impacted_rows"),
+            F.count(F.lit(1)).alias("total_rows"),
+        )
+    dt = dict(df.dtypes)
+    failing = (F.greatest(*[_unexpected(r, dt.get(r.column)) for r in others]) if len(others) > 1
+               else _unexpected(others[0], dt.get(others[0].column)) if others else F.lit(False))
+    if not uniques:
+        return df.agg(F.count_if(failing).alias("impacted_rows"), F.count(F.lit(1)).alias("total_rows"))
+    key = F.col(uniques[0].column)
+    per_key = df.groupBy(key.alias("_k")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(failing).alias("_bad")
+    )
+    dup = F.col("_k").isNotNull() & (F.col("_n") > 1)
+    return per_key.agg(
+        F.coalesce(F.sum(F.when(dup, F.col("_n")).otherwise(F.col("_bad"))), F.lit(0)).cast("bigint")
+        .alias("impacted_rows"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"),
     )
 
 

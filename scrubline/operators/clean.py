@@ -106,17 +106,19 @@ def handle_missing(df: DataFrame, fill: dict | None = None) -> DataFrame:
     return df.na.fill(fill)
 
 
-def clean(df: DataFrame, emails: bool = True) -> DataFrame:
+def clean(df: DataFrame, emails: bool = True, fill: bool = True) -> DataFrame:
     """Names -> emails -> phones -> dates -> missing.
 
-    ``emails=False`` is the variant that leaves e-mails untouched.  Two
+    ``emails=False`` is the variant that leaves e-mails untouched;
+    ``fill=False`` stops before the missing-value step (C1-C5 only).  Two
     projections in one code-generated stage: the first computes the values
     that the second reads several times (phone digits, trimmed date text),
     so each is evaluated once per row instead of once per use.
     """
     cols = tuple(df.columns)
     staged = df.select("*", *_clean_inputs(cols))
-    return handle_missing(staged.select(*_clean_outputs(cols, emails)))
+    out = staged.select(*_clean_outputs(cols, emails))
+    return handle_missing(out) if fill else out
 
 
 @cached_expr
@@ -141,6 +143,49 @@ def _clean_outputs(cols: tuple, emails: bool) -> list:
     return [new[c].alias(c) if c in new else F.col(c) for c in cols]
 
 
+def clean_observed(df: DataFrame, observation, emails: bool = True, fill: dict | None = None) -> DataFrame:
+    """C12 with its counters (C7-C10 and the row count) collected by
+    ``observe`` in the same pass as the write.
+
+    The cleaned values are computed once, next to the raw ones, below the
+    observation; the counters compare the two, and the final projection only
+    renames.  Metric names: ``rows``, the ``clean_stats`` names and
+    ``missing__<column>`` per fill column.
+    """
+    cols = tuple(df.columns)
+    fill = {c: v for c, v in (fill or FILL_VALUES).items() if c in cols}
+    staged = df.select("*", *_clean_inputs(cols))
+    new = _clean_outputs(cols, emails)
+    changed = [c for c, e in zip(cols, new) if c in _CLEANED_COLUMNS and (emails or c != "email")]
+    both = staged.select(*cols, *(["__digits"] if "phone" in cols else []),
+                         *[e.alias(f"__new_{c}") for c, e in zip(cols, new) if c in changed])
+    after = {c: F.col(f"__new_{c}") if c in changed else F.col(c) for c in cols}
+    dt = dict(df.dtypes)
+
+    def diff(c):
+        return F.count_if(_changed(F.col(c), after[c])) if c in changed else F.lit(0).cast("bigint")
+
+    zero = F.lit(0).cast("bigint")
+    metrics = [
+        F.count(F.lit(1)).alias("rows"),
+        (F.count_if(F.length("__digits") == 10) if "phone" in cols else zero).alias("phone_fixes"),
+        (diff("phone") if "phone" in cols else zero).alias("phone_changed"),
+        sum((F.count_if(desentinel_expr(c).isNotNull() & ~F.col(c).rlike(ISO_DATE_PATTERN))
+             for c in DATE_COLUMNS if c in cols), zero).alias("date_fixes"),
+        sum((diff(c) for c in NAME_COLUMNS if c in cols), zero).alias("name_fixes"),
+        (diff("email") if "email" in cols else zero).alias("email_fixes"),
+    ]
+    for c in fill:
+        v = after[c]
+        miss = v.isNull() | F.isnan(v) if dt[c] in ("double", "float") else v.isNull()
+        metrics.append(F.count_if(miss).alias(f"missing__{c}"))
+    observed = both.observe(observation, *metrics)
+    return handle_missing(observed.select(*[after[c].alias(c) for c in cols]), fill)
+
+
+_CLEANED_COLUMNS = set(NAME_COLUMNS) | set(DATE_COLUMNS) | {"email", "phone"}
+
+
 # --- counters (C7-C10) ----------------------------------------------------------
 
 def _changed(old: Column, new: Column) -> Column:
@@ -237,3 +282,4 @@ def _missing_out() -> list:
         .cast("bigint")
         .alias("logged_count"),
     ]
+

@@ -94,8 +94,12 @@ def data_types(df: DataFrame) -> DataFrame:
     Declared types for the present columns, then the two drift findings, each
     emitted only when the data shows it (one aggregate pass).
     """
-    declared = [(c, t) for c, t in DECLARED_TYPES if c in df.columns]
-    flags = df.agg(*_drift_flags(df))
+    return _types_from(df.agg(*_drift_flags(df)), df.columns)
+
+
+def _types_from(flags: DataFrame, columns) -> DataFrame:
+    """Type rows from a one-row frame holding ``_dob_drift`` / ``_income_drift``."""
+    declared = [(c, t) for c, t in DECLARED_TYPES if c in columns]
     rows = [
         F.struct(F.lit(i + 1).alias("ordinal"), F.lit(c).alias("column_name"), F.lit(t).alias("reported_type"),
                  F.lit(None).cast("string").alias("note"), F.lit(True).alias("_show"))
@@ -182,20 +186,14 @@ def _first_values(order: str, value: Column, k: int) -> Column:
     return py_list_repr(F.transform(F.slice(arr, 1, k), lambda s: s["v"]))
 
 
-def issues(df: DataFrame, order_col: str, key: str = "customer_id", phone_examples: int = 2,
-           date_examples: int = 3, category_examples: int = 10) -> DataFrame:
-    """``(issue_no, check_no, issue, column_name, affected, examples)``.
-
-    Only issues that are present get a row; ``issue_no`` numbers them in check
-    order, ``check_no`` is the fixed position of the check.
-    """
+def _issue_aggs(order_col: str) -> list[Column]:
+    """The ungrouped issue counters (and first bad name per column) as aggregates."""
     o = F.col(order_col)
     phone_bad = F.col("phone").rlike(NONSTANDARD_PHONE_PATTERN)
     name_bad = {c: F.col(c).isNotNull() & ~is_title(c) for c in NAME_COLUMNS}
     status = F.col("account_status")
     status_bad = status.isNotNull() & ~F.lower(status).isin(list(VALID_STATUSES))
-
-    counts = df.agg(
+    return [
         F.count_if(F.coalesce(phone_bad, F.lit(False))).alias("c1"),
         sum((F.count_if(F.coalesce(F.col(c).contains(SLASH), F.lit(False))) for c in DATE_COLUMNS),
             F.lit(0).cast("bigint")).alias("c2"),
@@ -203,7 +201,20 @@ def issues(df: DataFrame, order_col: str, key: str = "customer_id", phone_exampl
         *[F.min_by(F.col(c), F.when(b, o)).alias(f"e3_{c}") for c, b in name_bad.items()],
         F.count_if(F.coalesce(F.col("email").rlike(UPPERCASE_PATTERN), F.lit(False))).alias("c4"),
         F.count_if(status_bad).alias("c5"),
-    )
+    ]
+
+
+def issues(df: DataFrame, order_col: str, key: str = "customer_id", phone_examples: int = 2,
+           date_examples: int = 3, category_examples: int = 10, counts: DataFrame | None = None) -> DataFrame:
+    """``(issue_no, check_no, issue, column_name, affected, examples)``.
+
+    Only issues that are present get a row; ``issue_no`` numbers them in check
+    order, ``check_no`` is the fixed position of the check.
+    """
+    o = F.col(order_col)
+    phone_bad = F.col("phone").rlike(NONSTANDARD_PHONE_PATTERN)
+    if counts is None:
+        counts = df.agg(*_issue_aggs(order_col))
     name_examples = F.concat_ws(
         ", ",
         *[F.when(F.col(f"c3_{c}") > 0, F.concat(F.lit(f"{c} ('"), F.col(f"e3_{c}"), F.lit("')")))
@@ -275,8 +286,16 @@ def _percent_text(p: Column) -> Column:
 
 
 def report(df: DataFrame, order_col: str, key: str = "customer_id") -> DataFrame:
-    """The profile as report lines ``(section_no, section, item_no, column_name, line)``."""
-    comp = completeness(df).select(
+    """The profile as report lines ``(section_no, section, item_no, column_name, line)``.
+
+    Completeness, type drift and the issue counters come from ONE aggregate
+    over the table; the three sections read that one-row result (Spark reuses
+    the aggregate's exchange across the union branches).
+    """
+    dtypes = tuple(df.dtypes)
+    wide = df.agg(*_completeness_aggs(dtypes), *_drift_flags(df), *_issue_aggs(order_col))
+    comp_rows = wide.select(_completeness_long(dtypes)).select(*_completeness_out())
+    comp = comp_rows.select(
         F.lit(1).alias("section_no"), F.lit("COMPLETENESS").alias("section"),
         F.col("ordinal").alias("item_no"), "column_name",
         F.concat(
@@ -286,14 +305,14 @@ def report(df: DataFrame, order_col: str, key: str = "customer_id") -> DataFrame
             .otherwise(F.lit("")),
         ).alias("line"),
     )
-    types = data_types(df).select(
+    types = _types_from(wide, df.columns).select(
         F.lit(2).alias("section_no"), F.lit("DATA TYPES").alias("section"),
         F.col("ordinal").alias("item_no"), "column_name",
         F.concat(F.col("column_name"), F.lit(": "), F.col("reported_type"),
                  F.when(F.col("note").isNotNull(), F.concat(F.lit("  ("), F.col("note"), F.lit(")")))
                  .otherwise(F.lit(""))).alias("line"),
     )
-    iss = issues(df, order_col, key).select(
+    iss = issues(df, order_col, key, counts=wide).select(
         F.lit(3).alias("section_no"), F.lit("QUALITY ISSUES").alias("section"),
         F.col("issue_no").alias("item_no"), "column_name",
         F.concat(

@@ -13,6 +13,8 @@ Execution plan
   the summary, cleaning log, run report and run summary are assembled from
   those small results and the observed counters (bounded rows on the driver).
 * Masking, PII scan, re-validation and samples read the written cleaned table.
+* Independent actions of a phase are submitted together from a small thread
+  pool, so Spark runs them as concurrent jobs instead of one after another.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from __future__ import annotations
 import os
 import time
 import traceback
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -54,6 +57,14 @@ def _stage_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parq
     return reader.format(fmt).load(path)
 
 
+def _concurrently(tasks: dict) -> dict:
+    """Run independent actions as concurrent Spark jobs; results by name.
+    The first failure is raised after all submitted jobs have finished."""
+    with ThreadPoolExecutor(max_workers=min(4, len(tasks))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def _summary(results: DataFrame):
     """V16 of a written (tiny) V15 table, as one driver-side Row."""
     return V.summarize(results).first()
@@ -100,30 +111,30 @@ def run_pipeline(
         # is used as given (stage it yourself if its plan is expensive)
         raw = stage("_stage/raw", read_csv(spark, source)) if isinstance(source, str) else source
 
-        val_raw = report("validation_raw", V.evaluate(raw, rules))
-        report("profile_report", P.report(raw, order_col))
-
+        # independent actions of one phase run as concurrent Spark jobs
         obs = Observation("cleaning")
-        cleaned = stage("cleaned", C.clean_observed(raw, obs), output_format)
+        done = _concurrently({
+            "validation_raw": lambda: report("validation_raw", V.evaluate(raw, rules)),
+            "profile_report": lambda: report("profile_report", P.report(raw, order_col)),
+            "cleaned": lambda: stage("cleaned", C.clean_observed(raw, obs), output_format),
+        })
+        val_raw, cleaned = done["validation_raw"], done["cleaned"]
         metrics = dict(obs.get)
         n_rows = metrics.pop("rows")
         nulls = {k.removeprefix("missing__"): v for k, v in metrics.items() if k.startswith("missing__")}
         fixes = {k: v for k, v in metrics.items() if not k.startswith("missing__")}
 
-        val_clean = report("validation_cleaned", V.evaluate(cleaned, rules))
-        if critical:
+        done = _concurrently({
+            "validation_cleaned": lambda: report("validation_cleaned", V.evaluate(cleaned, rules)),
+            "validation_failures": lambda: report("validation_failures", V.failures(cleaned, rules, order_col)),
+            "pii_report": lambda: report("pii_report", D.risk(cleaned)),
+        })
+        val_clean, pii = done["validation_cleaned"], done["pii_report"]
+        if critical:  # X4: halt before the masked output is written
             V.check_gate(val_clean.collect(), critical)
         before, after = _summary(val_raw), _summary(val_clean)
-        report("validation_summary", spark.createDataFrame(
-            [("raw", *before), ("cleaned", *after)],
-            "stage string, evaluated_expectations bigint, successful_expectations bigint, "
-            "unsuccessful_expectations bigint, success_percent double, success boolean",
-        ))
-        report("validation_failures", V.failures(cleaned, rules, order_col))
-        pii = report("pii_report", D.risk(cleaned))
 
         masked = stage("masked", M.mask(cleaned), output_format)
-        report("masked_sample", masked_sample(raw, masked, order_col))
 
         n_cols = len(cleaned.columns)
         fills = list(nulls.items())
@@ -137,8 +148,6 @@ def run_pipeline(
             (15, "output", "rows", int(n_rows), None),
             (16, "output", "columns", n_cols, None),
         ]
-        report("cleaning_log", spark.createDataFrame(
-            log_rows, "ordinal int, section string, metric string, value bigint, status string"))
         found = {r.pii_type: r.found_rows for r in pii.collect()}  # seven rows
         run_rows = [
             (1, "LOAD", "rows", int(n_rows)), (2, "LOAD", "columns", len(raw.columns)),
@@ -153,10 +162,21 @@ def run_pipeline(
             (11, "DETECT PII", "dobs", found.get("dob")),
             (12, "SAVE", "masked_rows", int(n_rows)),   # masking is a projection: same rows
         ]
-        report("run_report", spark.createDataFrame(run_rows, "ordinal int, stage string, metric string, value bigint"))
-        report("run_summary", spark.createDataFrame(
-            [(int(n_rows), int(n_rows), "PASS" if after.success else "FAIL", "SUCCESS")],
-            "input_rows bigint, output_rows bigint, quality_status string, execution_status string"))
+        summary_rows = [("raw", *before), ("cleaned", *after)]
+        _concurrently({
+            "masked_sample": lambda: report("masked_sample", masked_sample(raw, masked, order_col)),
+            "validation_summary": lambda: report("validation_summary", spark.createDataFrame(
+                summary_rows,
+                "stage string, evaluated_expectations bigint, successful_expectations bigint, "
+                "unsuccessful_expectations bigint, success_percent double, success boolean")),
+            "cleaning_log": lambda: report("cleaning_log", spark.createDataFrame(
+                log_rows, "ordinal int, section string, metric string, value bigint, status string")),
+            "run_report": lambda: report("run_report", spark.createDataFrame(
+                run_rows, "ordinal int, stage string, metric string, value bigint")),
+            "run_summary": lambda: report("run_summary", spark.createDataFrame(
+                [(int(n_rows), int(n_rows), "PASS" if after.success else "FAIL", "SUCCESS")],
+                "input_rows bigint, output_rows bigint, quality_status string, execution_status string")),
+        })
         return PipelineResult("SUCCESS", cleaned, masked, reports, fixes, timings=timings)
     except Exception as e:  # O4: capture, report, do not raise
         if fail_fast:

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.patterns import (
     DATE_COLUMNS, DATE_SENTINEL, DECLARED_TYPES, DOB_DRIFT_PATTERN, NAME_COLUMNS,

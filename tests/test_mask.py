@@ -72,3 +72,16 @@ def test_mask_text(spark):
                                 (3, None)], "doc_id long, text string")
     got = {r.doc_id: r.text for r in M.mask_text(df).collect()}
     assert got == {1: "mail me at [EMAIL] or call [PHONE] now", 2: "nothing here", 3: None}
+
+
+def test_mask_properties_on_driver_table(spark):
+    """Over the whole dirty customer table: row count kept, masked e-mails have
+    the form ``?***@domain``, the address is constant, phones keep at most four digits."""
+    from scrubline.plans.catalog import raw
+    r = raw(spark, "/root/testdata/sf0.001")
+    m = M.mask(C.clean(r))
+    assert m.count() == r.count()
+    emails = [x.email for x in m.select("email").collect() if x.email and "@" in x.email]
+    assert emails and all(__import__("re").fullmatch(r".?\*\*\*@[^@]*", e) for e in emails)
+    assert {x.address for x in m.select("address").distinct().collect()} == {"[MASKED ADDRESS]"}
+    assert all(sum(ch.isdigit() for ch in x.phone) <= 4 for x in m.select("phone").collect())

@@ -1,5 +1,7 @@
 """Masking operators."""
 
+import re
+
 import pytest
 
 from scrubline.operators import clean as C
@@ -82,6 +84,6 @@ def test_mask_properties_on_driver_table(spark):
     m = M.mask(C.clean(r))
     assert m.count() == r.count()
     emails = [x.email for x in m.select("email").collect() if x.email and "@" in x.email]
-    assert emails and all(__import__("re").fullmatch(r".?\*\*\*@[^@]*", e) for e in emails)
+    assert emails and all(re.fullmatch(r".?\*\*\*@[^@]*", e) for e in emails)
     assert {x.address for x in m.select("address").distinct().collect()} == {"[MASKED ADDRESS]"}
     assert all(sum(ch.isdigit() for ch in x.phone) <= 4 for x in m.select("phone").collect())

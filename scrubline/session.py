@@ -56,14 +56,18 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables and checkpoints.
 
     Uses the cluster's ``spark.checkpoint.dir`` when set.  Only when it is unset
-    (local tests, the bench) a fresh temporary folder is created and registered
-    as the checkpoint directory.
+    in local mode (tests, the bench) a fresh temporary folder is created and
+    registered as the checkpoint directory; on a cluster an unset value is an
+    error, never a machine-local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(written tables and stream checkpoints go there)")
         d = tempfile.mkdtemp(prefix="scrubline-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

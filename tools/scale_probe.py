@@ -15,7 +15,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -26,7 +25,7 @@ from scrubline.operators import clean as C  # noqa: E402
 from scrubline.operators import mask as M  # noqa: E402
 from scrubline.operators import profile as P  # noqa: E402
 from scrubline.operators import rules as V  # noqa: E402
-from scrubline.session import local_session  # noqa: E402
+from scrubline.session import local_session, new_run_dir  # noqa: E402
 from scrubline.sources.tables import dirty_customers  # noqa: E402
 
 
@@ -44,7 +43,7 @@ def main():
     if skew:  # a third of all rows share key 7
         key = F.when(F.col("customer_id") % 3 == 0, F.lit(7).cast("bigint")).otherwise(key)
     big = big.withColumn("customer_id", key).drop("_rep")
-    path = tempfile.mkdtemp(prefix="scrubline-scale-", dir="/tmp")
+    path = new_run_dir(spark, "scale")
     big.write.mode("overwrite").parquet(path)
     df = spark.read.parquet(path)
     rows = df.count()

@@ -116,3 +116,24 @@ def test_stream_processes_new_files_and_keeps_key_state(spark, tmp_dir):
     run_key_counts(file_stream(spark, src, "orders-*.parquet"), "o_custkey", out)  # same checkpoint
     got = {r.o_custkey: r.occurrences for r in latest_counts(spark, path, "o_custkey").collect()}
     assert got == {10: 2, 20: 2, 30: 1, 40: 1}   # state kept across runs, old file not re-read
+
+
+def test_operators_on_a_column_subset(spark, tmp_dir):
+    from pyspark.sql import Observation
+
+    from scrubline.operators import clean as C
+    from scrubline.operators import mask as M
+    from scrubline.operators import profile as P
+
+    path = os.path.join(tmp_dir, "sub.csv")
+    with open(path, "w") as f:
+        f.write("customer_id,first_name,last_name\n1,john,DOE\n2,,o'neil\n")
+    df = read_csv(spark, path, "customer_id BIGINT, first_name STRING, last_name STRING")
+    assert [tuple(r) for r in C.clean(df).orderBy("customer_id").collect()] == [
+        (1, "John", "Doe"), (2, "[UNKNOWN]", "O'Neil")]
+    obs = Observation("c")
+    C.clean_observed(df, obs).collect()
+    assert obs.get["name_fixes"] == 3 and obs.get["missing__first_name"] == 1
+    assert [tuple(r) for r in M.mask(C.clean(df)).orderBy("customer_id").collect()] == [
+        (1, "J***", "D***"), (2, "[UNKNOWN]", "O***")]
+    assert P.completeness(df).count() == 3

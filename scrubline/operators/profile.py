@@ -287,9 +287,9 @@ def _percent_text(p: Column) -> Column:
 def report(df: DataFrame, order_col: str, key: str = "customer_id") -> DataFrame:
     """The profile as report lines ``(section_no, section, item_no, column_name, line)``.
 
-    Completeness, type drift and the issue counters come from ONE aggregate
-    over the table; the three sections read that one-row result (Spark reuses
-    the aggregate's exchange across the union branches).
+    Completeness, type drift and the issue counters share one aggregate
+    definition; Catalyst prunes it for each section, so each section's scan
+    reads only the columns and computes only the counters it needs.
     """
     dtypes = tuple(df.dtypes)
     wide = df.agg(*_completeness_aggs(dtypes), *_drift_flags(df), *_issue_aggs(order_col))

@@ -34,6 +34,7 @@ def read_csv(
     na_tokens=NA_TOKENS,
     keep_bronze: bool = False,
     multiline: bool = False,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Header CSV -> typed DataFrame.
 
@@ -46,16 +47,20 @@ def read_csv(
     typed = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     if not _path_exists(spark, path):
         raise FileNotFoundError(f"File not found: {path}")
-    bronze_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in typed.fields])
+    fields = [T.StructField(f.name, T.StringType(), True) for f in typed.fields]
+    if corrupt_column:
+        fields.append(T.StructField(corrupt_column, T.StringType(), True))
+    reader = (
+        spark.read.schema(T.StructType(fields))
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", True)
+        .option("multiLine", multiline)
+        .option("mode", "PERMISSIVE")
+    )
+    if corrupt_column:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     try:
-        raw = (
-            spark.read.schema(bronze_schema)
-            .option("header", True)
-            .option("ignoreLeadingWhiteSpace", True)
-            .option("multiLine", multiline)
-            .option("mode", "PERMISSIVE")
-            .csv(path)
-        )
+        raw = reader.csv(path)
     except AnalysisException as e:  # pragma: no cover - raced deletion
         raise FileNotFoundError(str(e)) from e
     tokens = list(na_tokens)
@@ -72,6 +77,8 @@ def read_csv(
             cols.append(v.alias(f.name))
             if keep_bronze:
                 cols.append(s.alias(f"{f.name}__raw"))
+    if corrupt_column:
+        cols.append(F.col(corrupt_column))
     return raw.select(*cols)
 
 

@@ -137,3 +137,13 @@ def test_operators_on_a_column_subset(spark, tmp_dir):
     assert [tuple(r) for r in M.mask(C.clean(df)).orderBy("customer_id").collect()] == [
         (1, "J***", "D***"), (2, "[UNKNOWN]", "O***")]
     assert P.completeness(df).count() == 3
+
+
+def test_csv_short_and_long_rows_are_captured(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "shift.csv")
+    with open(path, "w") as f:
+        f.write("customer_id,first_name,income\n1,Ann,10\n2,Bob\n3,Cy,30,extra\n4,Di,40\n")
+    df = read_csv(spark, path, "customer_id BIGINT, first_name STRING, income DOUBLE",
+                  corrupt_column="_corrupt_record")
+    bad = {r.customer_id: r._corrupt_record for r in df.collect() if r._corrupt_record is not None}
+    assert bad == {2: "2,Bob", 3: "3,Cy,30,extra"}

@@ -3,8 +3,8 @@ detect PII -> mask -> save, with report tables.
 
 Execution plan
 --------------
-* The typed raw table is written once to the shared folder (Parquet) and read
-  back, so every later stage reads columnar data instead of re-parsing CSV, and
+* A CSV source is parsed once into a Parquet table in the shared folder
+  (``spark.checkpoint.dir``) and read back, so every later stage reads columnar data instead of re-parsing CSV, and
   a lost executor only recomputes from that table, not from the source.
 * Cleaning is one projection written once (sink S4).  Its fix counters and
   the per-column nulls before the fill step are collected with
@@ -32,7 +32,7 @@ from ..operators import mask as M
 from ..operators import pii as D
 from ..operators import profile as P
 from ..operators import rules as V
-from ..session import use_jit_safe_codegen
+from ..session import new_run_dir, use_jit_safe_codegen
 from ..sources.csv import read_csv, write_table
 from .catalog import masked_sample
 
@@ -99,16 +99,18 @@ def run_pipeline(
         timings[name] = round(time.perf_counter() - t, 3)
         return reports[name]
 
-    def stage(name: str, df: DataFrame, fmt: str = "parquet") -> DataFrame:
+    def stage(name: str, df: DataFrame, fmt: str = "parquet", path: str | None = None) -> DataFrame:
         t = time.perf_counter()
-        out = _stage_table(spark, df, os.path.join(out_dir, *name.split("/")), fmt)
+        out = _stage_table(spark, df, path or os.path.join(out_dir, name), fmt)
         timings[name] = round(time.perf_counter() - t, 3)
         return out
 
     try:
         # a CSV source is parsed once into a Parquet table; a DataFrame source
         # is used as given (stage it yourself if its plan is expensive)
-        raw = stage("_stage/raw", read_csv(spark, source)) if isinstance(source, str) else source
+        # (the staged copy is an intermediate: it lives in the shared folder)
+        raw = (stage("raw", read_csv(spark, source), path=new_run_dir(spark, "raw"))
+               if isinstance(source, str) else source)
 
         # independent actions of one phase run as concurrent Spark jobs
         obs = Observation("cleaning")

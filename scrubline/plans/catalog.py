@@ -20,6 +20,8 @@ from ..operators import rules as V
 from ..operators.rowid import positions
 from ..session import new_run_dir
 from ..sources.csv import read_csv, row_counts, write_table
+from ..functions.patterns import FILL_VALUES
+from ..functions.sqltext import Expr, Ref, stack_rows
 from ..sources.tables import dirty_customers, table
 
 KEY = "customer_id"
@@ -91,22 +93,24 @@ def q_clean_missing_counts(spark, sf):
 
 
 def cleaning_log(raw_df: DataFrame, clean_df: DataFrame, rules=None) -> DataFrame:
-    """C11: the cleaning log as ``(ordinal, section, metric, value, status)`` rows."""
+    """C11: the cleaning log as ``(ordinal, section, metric, value, status)`` rows.
+
+    Fix counters, per-column missing counts and the row count come from ONE
+    aggregate over the raw frame (cleaning is a projection, so row counts are
+    equal), turned into rows by a single ``stack``; the two suite results are
+    the only other passes.
+    """
     rules = rules or V.customer_suite()
-    stats = C.clean_stats(raw_df)
-    norm = stats.select(
-        F.inline(F.array(*[
-            F.struct(F.lit(i).alias("ordinal"), F.lit("normalization").alias("section"),
-                     F.lit(m).alias("metric"), F.col(m).cast("bigint").alias("value"),
-                     F.lit(None).cast("string").alias("status"))
-            for i, m in enumerate(("phone_fixes", "date_fixes", "name_fixes", "email_fixes"), start=1)
-        ]))
-    )
-    fills = C.clean_missing_counts(raw_df).select(
-        (F.col("ordinal") + 4).alias("ordinal"), F.lit("missing_values").alias("section"),
-        F.col("column_name").alias("metric"), F.col("missing_count").alias("value"),
-        F.lit(None).cast("string").alias("status"),
-    )
+    fill = [c for c in FILL_VALUES if c in raw_df.columns]
+    wide = raw_df.agg(F.count(F.lit(1)).alias("_rows"), *C.clean_stat_columns(raw_df),
+                      *[e.alias(f"_miss_{c}") for c, e in zip(fill, C.missing_fill_columns(raw_df))])
+    fixes = ("phone_fixes", "date_fixes", "name_fixes", "email_fixes")
+    rows = [(i, "normalization", m, Ref(m)) for i, m in enumerate(fixes, start=1)]
+    rows += [(4 + i, "missing_values", c, Ref(f"_miss_{c}")) for i, c in enumerate(fill, start=1)]
+    rows += [(15, "output", "rows", Ref("_rows")), (16, "output", "columns", Expr(f"{len(clean_df.columns)}L"))]
+    counted = wide.select(stack_rows(("ordinal", "section", "metric", "value"), tuple(rows))).select(
+        "ordinal", "section", "metric", F.col("value").cast("bigint").alias("value"),
+        F.lit(None).cast("string").alias("status"))
     before = V.summarize(V.evaluate(raw_df, rules))
     after = V.summarize(V.evaluate(clean_df, rules))
     val = before.select(
@@ -118,16 +122,7 @@ def cleaning_log(raw_df: DataFrame, clean_df: DataFrame, rules=None) -> DataFram
         F.when(F.col("unsuccessful_expectations") == 0, F.lit("PASS")).otherwise(F.lit("REVIEW REQUIRED"))
         .alias("status"),
     ))
-    out = clean_df.agg(F.count(F.lit(1)).alias("n")).select(
-        F.inline(F.array(
-            F.struct(F.lit(15).alias("ordinal"), F.lit("output").alias("section"), F.lit("rows").alias("metric"),
-                     F.col("n").cast("bigint").alias("value"), F.lit(None).cast("string").alias("status")),
-            F.struct(F.lit(16).alias("ordinal"), F.lit("output").alias("section"), F.lit("columns").alias("metric"),
-                     F.lit(len(clean_df.columns)).cast("bigint").alias("value"),
-                     F.lit(None).cast("string").alias("status")),
-        ))
-    )
-    res = norm.unionByName(fills).unionByName(val).unionByName(out)
+    res = counted.unionByName(val)
     return res.select(F.col("ordinal").cast("int").alias("ordinal"), "section", "metric", "value", "status")
 
 

@@ -290,7 +290,11 @@ def q_mask_documents(spark, sf):
 # --- pipeline-level -----------------------------------------------------------------
 
 def run_report(raw_df: DataFrame, clean_df: DataFrame, masked_df: DataFrame, rules=None) -> DataFrame:
-    """O2: stage metrics ``(ordinal, stage, metric, value)``."""
+    """O2: stage metrics ``(ordinal, stage, metric, value)``.
+
+    ``clean_df`` and ``masked_df`` are the projections ``clean(raw_df)`` and
+    ``mask(clean_df)``, so their row counts are the raw count.
+    """
     rules = rules or V.customer_suite()
 
     def rows(df, items):
@@ -300,26 +304,30 @@ def run_report(raw_df: DataFrame, clean_df: DataFrame, masked_df: DataFrame, rul
             for o, s, m, v in items
         ])))
 
-    n_raw = raw_df.agg(F.count(F.lit(1)).alias("n"))
-    load = rows(n_raw, [(1, "LOAD", "rows", F.col("n")), (2, "LOAD", "columns", F.lit(len(raw_df.columns)))])
+    # row count, fix counters and missing counts: one aggregate over the raw
+    # frame, one stack; cleaning and masking are projections (same rows)
+    fill = [c for c in FILL_VALUES if c in raw_df.columns]
+    wide = raw_df.agg(F.count(F.lit(1)).alias("_rows"), *C.clean_stat_columns(raw_df),
+                      *[e.alias(f"_miss_{c}") for c, e in zip(fill, C.missing_fill_columns(raw_df))])
+    miss_sum = Expr(" + ".join(f"`_miss_{c}`" for c in fill) or "0L")
+    counted = wide.select(stack_rows(("ordinal", "stage", "metric", "value"), (
+        (1, "LOAD", "rows", Ref("_rows")),
+        (2, "LOAD", "columns", Expr(f"{len(raw_df.columns)}L")),
+        (4, "CLEAN", "phone_fixes", Ref("phone_fixes")),
+        (5, "CLEAN", "email_fixes", Ref("email_fixes")),
+        (6, "CLEAN", "date_fixes", Ref("date_fixes")),
+        (7, "CLEAN", "name_fixes", Ref("name_fixes")),
+        (8, "CLEAN", "missing_fills", miss_sum),
+        (12, "SAVE", "masked_rows", Ref("_rows")),
+    ))).select("ordinal", "stage", "metric", F.col("value").cast("bigint").alias("value"))
     before = rows(V.summarize(V.evaluate(raw_df, rules)),
                   [(3, "VALIDATE (RAW)", "failures", F.col("unsuccessful_expectations"))])
-    stats = C.clean_stats(raw_df)
-    cleaning = rows(stats, [
-        (4, "CLEAN", "phone_fixes", F.col("phone_fixes")),
-        (5, "CLEAN", "email_fixes", F.col("email_fixes")),
-        (6, "CLEAN", "date_fixes", F.col("date_fixes")),
-        (7, "CLEAN", "name_fixes", F.col("name_fixes")),
-    ])
-    fills = C.clean_missing_counts(raw_df).agg(F.sum("missing_count").alias("m"))
-    filled = rows(fills, [(8, "CLEAN", "missing_fills", F.col("m"))])
     after = rows(V.summarize(V.evaluate(clean_df, rules)),
                  [(9, "VALIDATE (CLEANED)", "failures", F.col("unsuccessful_expectations"))])
     pii = D.scan(clean_df).groupBy().pivot("pii_type", ["email", "dob"]).agg(F.first("found_rows"))
     detected = rows(pii, [(10, "DETECT PII", "emails", F.col("email")), (11, "DETECT PII", "dobs", F.col("dob"))])
-    saved = rows(masked_df.agg(F.count(F.lit(1)).alias("n")), [(12, "SAVE", "masked_rows", F.col("n"))])
-    out = load
-    for p in (before, cleaning, filled, after, detected, saved):
+    out = counted
+    for p in (before, after, detected):
         out = out.unionByName(p)
     return out.select(F.col("ordinal").cast("int").alias("ordinal"), "stage", "metric", "value")
 

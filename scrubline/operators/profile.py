@@ -11,7 +11,7 @@ summary carries only the first few examples, which is what it reports.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import (
@@ -252,20 +252,22 @@ def issues(df: DataFrame, order_col: str, key: str = "customer_id", phone_exampl
     merged = parts.groupBy("check").agg(
         F.max("affected").alias("affected"), F.max("examples").alias("examples")
     ).where(F.col("affected") > 0)
-    # at most six rows: a single-partition window is the right tool here
-    w = Window.orderBy("check")
+    # number the present checks: at most six rows, folded into one sorted array
+    numbered = merged.agg(
+        F.array_sort(F.collect_list(F.struct("check", "affected", "examples"))).alias("_found")
+    ).select(F.posexplode("_found").alias("_pos", "_issue"))
     issue_name = F.element_at(F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in _ISSUES.items()), [])),
-                              F.col("check"))
+                              F.col("_issue.check"))
     issue_cols = F.element_at(
-        F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in _ISSUE_COLUMNS.items()), [])), F.col("check")
+        F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in _ISSUE_COLUMNS.items()), [])), F.col("_issue.check")
     )
-    return merged.select(
-        F.row_number().over(w).cast("int").alias("issue_no"),
-        F.col("check").cast("int").alias("check_no"),
+    return numbered.select(
+        (F.col("_pos") + 1).cast("int").alias("issue_no"),
+        F.col("_issue.check").cast("int").alias("check_no"),
         issue_name.alias("issue"),
         issue_cols.alias("column_name"),
-        F.col("affected").cast("bigint").alias("affected"),
-        "examples",
+        F.col("_issue.affected").cast("bigint").alias("affected"),
+        F.col("_issue.examples").alias("examples"),
     )
 
 

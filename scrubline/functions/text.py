@@ -40,8 +40,9 @@ def title(c: Column | str) -> Column:
     uncased character that precedes a cased one, ``initcap`` then starts a word
     there, and the markers are removed: ``o'brien`` -> ``O'Brien``,
     ``mary-jane`` -> ``Mary-Jane``, ``3rd`` -> ``3Rd``.  All three steps are
-    code-generated expressions, so the projection stays in whole-stage codegen
-    (a lambda over ``regexp_extract_all`` would not).  Null stays null.
+    expressions with generated code (a lambda over ``regexp_extract_all``
+    would force interpreted evaluation), and ``initcap`` title-cases letters
+    the way Python does (``ß``, ``ǆ``, ligatures).  Null stays null.
     Text that already contains the marker (U+0000 followed by a blank) is not
     supported.
     """

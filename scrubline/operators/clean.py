@@ -111,9 +111,9 @@ def clean(df: DataFrame, emails: bool = True, fill: bool = True) -> DataFrame:
 
     ``emails=False`` is the variant that leaves e-mails untouched;
     ``fill=False`` stops before the missing-value step (C1-C5 only).  Two
-    projections in one code-generated stage: the first computes the values
-    that the second reads several times (phone digits, trimmed date text),
-    so each is evaluated once per row instead of once per use.
+    projections in one narrow stage: the first computes the values that the
+    second reads several times (phone digits, trimmed date text), so each is
+    evaluated once per row instead of once per use.
     """
     cols = tuple(df.columns)
     staged = df.select("*", *_clean_inputs(cols))

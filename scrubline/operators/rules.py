@@ -188,6 +188,12 @@ def orders_suite() -> list[Rule]:
     ]
 
 
+def orders_key_suite() -> list[Rule]:
+    """``orders_suite`` plus uniqueness of ``o_custkey``: most customers place
+    several orders, so this rule has a large duplicate-key set."""
+    return orders_suite() + [R(8, "o_custkey", "unique")]
+
+
 def check_columns(df: DataFrame, rules: list[Rule]) -> None:
     """Fail up front, before any job, when a rule names an absent column."""
     missing = sorted({r.column for r in rules if r.column not in df.columns})

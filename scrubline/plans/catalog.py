@@ -215,6 +215,11 @@ def q_validate_orders(spark, sf):
     return V.evaluate(table(spark, sf, "orders"), V.orders_suite())
 
 
+def q_validate_orders_failures(spark, sf):
+    """V17 with a large duplicate-key set: first three failing orders per rule."""
+    return V.failures(table(spark, sf, "orders"), V.orders_key_suite(), "o_orderkey", k=3)
+
+
 # --- profiling ----------------------------------------------------------------------
 
 def q_profile_completeness(spark, sf):

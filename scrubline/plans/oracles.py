@@ -12,7 +12,7 @@ from ..functions.patterns import (
     DATE_SENTINEL, DOB_DRIFT_PATTERN, EMAIL_PATTERN, FILL_VALUES, FORMATTED_PHONE_PATTERN, ISO_DATE_PATTERN,
     NONSTANDARD_PHONE_PATTERN, PHONE_PATTERN, PY_SPACE, RISK_LEVELS, UPPERCASE_PATTERN, VALID_STATUSES,
 )
-from ..operators.rules import _YMD_SHAPE, Rule, customer_suite, orders_suite
+from ..operators.rules import _YMD_SHAPE, Rule, customer_suite, orders_key_suite, orders_suite
 from ..sources.tables import DIRTY_CUSTOMERS_SQL
 
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
@@ -391,6 +391,12 @@ def _failures(flags: str, k: int) -> str:
             f"from ({failures_long_sql(flags, SUITE, 'customer_id')})) where sample_no <= {k}")
 
 
+def _key_failures(flags: str, rules: list[Rule], key: str, k: int) -> str:
+    return (f"select rule_id, column_name, expectation, cast(sample_no as integer) as sample_no, {key}, value "
+            f"from (select *, row_number() over (partition by rule_id order by {key}) as sample_no "
+            f"from ({failures_long_sql(flags, rules, key)})) where sample_no <= {k}")
+
+
 def _failed_rows(flags: str, k: int) -> str:
     return (f"select rule_id, row_number from (select rule_id, pos as row_number, "
             f"row_number() over (partition by rule_id order by customer_id) as rk from ("
@@ -501,6 +507,9 @@ def oracle_sql() -> dict[str, str]:
         "validate_failures": raw_flags + _stage_union(_failures("fr", 3), _failures("fc", 3)),
         "validate_failed_rows": pos_flags + _stage_union(_failed_rows("fr", 10), _failed_rows("fc", 10)),
         "validate_orders": with_(_orders_flags()) + evaluate_sql("fo", "orders", orders_suite()),
+        "validate_orders_failures": (
+            with_(flags_cte("fo", "orders", orders_key_suite(), ORDERS_TYPES, "o_orderkey"))
+            + _key_failures("fo", orders_key_suite(), "o_orderkey", 3)),
         "profile_completeness": d + completeness_sql("dirty", CUSTOMER_COLUMNS),
         "profile_completeness_orders": completeness_sql("orders", ORDERS_COLUMNS),
         "profile_types": d + TYPES_SQL,

@@ -21,20 +21,40 @@ def positions(df: DataFrame, order_col: str, keys: DataFrame, key_col: str | Non
               out_col: str = "row_number") -> DataFrame:
     """Exact 1-based positions (by ``order_col``) of the rows named in ``keys``.
 
-    ``keys`` must be small and bounded (a top-k sample); its distinct keys are
-    brought to the driver and turned into one conditional count each, so the
-    whole table is read once, with no sort and no join fan-out:
-    ``position(k) = count(rows with order_col <= k)``.
+    ``keys`` must be small and bounded (a top-k sample).  Its K distinct keys
+    are sorted on the driver; every row of the table is assigned the interval
+    between consecutive sampled keys it falls in by a balanced comparison
+    tree (about log2 K comparisons per row, no sort, no join fan-out), rows
+    are counted per interval with a pre-aggregated ``groupBy`` (at most K+1
+    groups), and ``position(k_i)`` is the running total of the interval counts
+    up to ``k_i``.
     """
     key_col = key_col or order_col
     wanted = sorted({r[0] for r in keys.select(key_col).distinct().collect() if r[0] is not None})
     if not wanted:
         return keys.withColumn(out_col, F.lit(None).cast("bigint"))
     o = F.col(order_col)
-    counts = df.agg(*[F.count_if(o <= F.lit(k)).alias(f"_p{i}") for i, k in enumerate(wanted)])
-    lookup = counts.select(
-        F.inline(F.array(*[F.struct(F.lit(k).alias("_key"), F.col(f"_p{i}").alias(out_col))
-                           for i, k in enumerate(wanted)]))
+
+    def first_at_least(lo: int, hi: int):
+        # smallest i in [lo, hi) with o <= wanted[i]; hi when there is none
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(o <= F.lit(wanted[mid]), first_at_least(lo, mid)).otherwise(first_at_least(mid + 1, hi))
+
+    per_interval = (
+        df.where(o.isNotNull())
+        .groupBy(first_at_least(0, len(wanted)).alias("_i"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_i") < len(wanted))
     )
+    counts = dict.fromkeys(range(len(wanted)), 0)
+    counts.update({r["_i"]: r["_n"] for r in per_interval.collect()})  # at most K rows
+    running, lookup_rows = 0, []
+    for i, k in enumerate(wanted):
+        running += counts[i]
+        lookup_rows.append((k, running))
+    key_type = dict(keys.dtypes)[key_col]
+    lookup = df.sparkSession.createDataFrame(lookup_rows, f"_key {key_type}, {out_col} bigint")
     # both sides are bounded by the sample size
     return keys.join(F.broadcast(lookup), keys[key_col] == lookup["_key"], "left").drop("_key")

@@ -17,6 +17,7 @@ from .patterns import DATE_LAYOUTS, PY_SPACE_CHARS, TIMESTAMP_LAYOUTS
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 _WORD_START = rf"([^{_CASED} ])(?=[{_CASED}])"  # blanks already start words in initcap
 _MARK = "\u0000 "
+_PLAIN_TITLE = r"^[A-Z][a-z]*( [A-Z][a-z]*)*$"
 
 
 def _col(c: Column | str) -> Column:
@@ -46,8 +47,11 @@ def title(c: Column | str) -> Column:
     Text that already contains the marker (U+0000 followed by a blank) is not
     supported.
     """
-    marked = F.regexp_replace(_col(c), _WORD_START, "$1" + _MARK)
-    return F.regexp_replace(F.initcap(marked), _MARK, "")
+    c = _col(c)
+    marked = F.regexp_replace(c, _WORD_START, "$1" + _MARK)
+    slow = F.regexp_replace(F.initcap(marked), _MARK, "")
+    # exact fast path: blank-separated ASCII words that are already title-cased
+    return F.when(c.rlike(_PLAIN_TITLE), c).otherwise(slow)
 
 
 @cached_expr

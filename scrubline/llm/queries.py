@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.llm import bpe, langid, mixing, quality, tokenfiles, warc
+from scrubline.llm import ann, bpe, langid, mixing, quality, tokenfiles, warc
 from scrubline.llm.common import documents
 
 
@@ -44,6 +44,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).drop("text")
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth vector."""
+    return ann.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     docs = documents(spark, sf_dir)
@@ -51,4 +56,4 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op3_mixing, op4_quality, op5_tokens, op7_bpe, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_warc, op3_mixing, op4_quality, op5_tokens, op7_bpe, op9_ann, op10_langid)}

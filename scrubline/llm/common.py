@@ -15,8 +15,10 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scrubline.session import new_run_dir
@@ -69,6 +71,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 200_000  # narrow rows (ids and keys): a few MB
+
+
+def checked_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast only while its counted size allows; else joined by shuffle."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def file_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for flat files, made on the driver (tasks only add files)."""
     uri = new_run_dir(spark, name)
@@ -105,7 +115,7 @@ def set_columns(batch: pa.RecordBatch, schema: pa.Schema, **new: pa.Array) -> pa
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each piece holds at most ``max_bytes`` of a text column (one row at least)."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
     for i, n in enumerate(lengths):
         if i > start and held + n > max_bytes:

@@ -24,6 +24,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame
@@ -117,6 +118,6 @@ def predict(docs: DataFrame, model: dict[str, bytes], min_margin: float = MIN_MA
                                      zip(zip(*found), (pa.string(), pa.float64(), pa.bool_()))) if found else (
                 pa.array([], pa.string()), pa.array([], pa.float64()), pa.array([], pa.bool_()))
             result = set_columns(batch, out, lang_pred=lang, score=score, rejected=rejected)
-            yield result if keep_rejected else result.filter(pa.compute.invert(rejected))
+            yield result if keep_rejected else result.filter(pc.invert(rejected))
 
     return map_arrow(docs, run, schema)

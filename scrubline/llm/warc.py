@@ -43,7 +43,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 HTTP_REVISIT = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
-RAW = "file string, seq long, page_id long, payload_digest string, payload_bytes long"
+RAW = "part int, file string, seq long, page_id long, payload_digest string, payload_bytes long"
 RECORDS = ("file string, seq long, record_id string, record_type string, page_id long, url string, "
            "payload_digest string, payload_bytes long, refers_to_id string")
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
@@ -110,7 +110,8 @@ def _batch(rows: list[dict], types: dict[str, pa.DataType]) -> pa.RecordBatch:
 
 
 _L, _S = pa.int64(), pa.string()
-_RAW_TYPES = {"file": _S, "seq": _L, "page_id": _L, "payload_digest": _S, "payload_bytes": _L}
+_RAW_TYPES = {"part": pa.int32(), "file": _S, "seq": _L, "page_id": _L, "payload_digest": _S, "payload_bytes": _L}
+_FILE_TYPES = {"part": pa.int32(), "file": _S}
 _RECORD_TYPES = {"file": _S, "seq": _L, "record_id": _S, "record_type": _S, "page_id": _L, "url": _S,
                  "payload_digest": _S, "payload_bytes": _L, "refers_to_id": _S}
 
@@ -119,7 +120,8 @@ def write_raw(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z")
     """Write every page as a response record, one archive per task; returns the headers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(folder)
-        name, seq, out = attempt_name("raw", TaskContext.get().partitionId(), ".warc.gz"), 0, None
+        part = TaskContext.get().partitionId()
+        name, seq, out = attempt_name("raw", part, ".warc.gz"), 0, None
         try:
             for batch in batches:
                 rows = []
@@ -129,7 +131,8 @@ def write_raw(pages: DataFrame, folder: str, date: str = "2024-01-01T00:00:00Z")
                     out = out or fs.open_output_stream(f"{root}/{name}", compression=None)
                     out.write(record("response", record_id(name, seq), pid, url.as_py(), digest,
                                      HTTP_HEAD % len(payload) + payload, date))
-                    rows.append(dict(file=name, seq=seq, page_id=pid, payload_digest=digest, payload_bytes=len(payload)))
+                    rows.append(dict(part=part, file=name, seq=seq, page_id=pid, payload_digest=digest,
+                                     payload_bytes=len(payload)))
                     seq += 1
                 yield _batch(rows, _RAW_TYPES)
         finally:
@@ -160,7 +163,7 @@ def resolve(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
             .withColumn("target_seq", F.when(~F.col("__own"), F.col("target_seq"))).drop("__own"))
 
 
-def rewrite(resolved: DataFrame, raw_folder: str, folder: str) -> DataFrame:
+def rewrite(resolved: DataFrame, headers: DataFrame, raw_folder: str, folder: str) -> DataFrame:
     """Copy the archives with fresh headers; returns one row (file) per archive written.
 
     Each task gets the decisions of whole archives, in record order, and streams
@@ -183,7 +186,7 @@ def rewrite(resolved: DataFrame, raw_folder: str, folder: str) -> DataFrame:
                         out = fs.open_output_stream(f"{root}/{name}", compression=None)
                         source = raw_fs.open_input_file(f"{raw_root}/{current}")
                         records = enumerate(parse(source))
-                        done.append(dict(file=name))
+                        done.append(dict(part=row["part"], file=name))
                     for seq, (head, block) in records:
                         if seq == row["seq"]:
                             break
@@ -194,15 +197,21 @@ def rewrite(resolved: DataFrame, raw_folder: str, folder: str) -> DataFrame:
                                      int(head["X-Page-ID"]) if "X-Page-ID" in head else None, head.get("WARC-Target-URI"),
                                      head["WARC-Payload-Digest"].removeprefix("sha1:"),
                                      block if target is None else HTTP_REVISIT, head["WARC-Date"], target))
-            yield _batch(done, {"file": _S})
+            yield _batch(done, _FILE_TYPES)
         finally:
             for f in (out, source):
                 if f is not None:
                     f.close()
 
-    work = (resolved.select("file", "seq", "target_file", "target_seq").repartition("file")
-            .sortWithinPartitions("file", "seq"))
-    return materialize(map_arrow(work, run, "file string"), "warc-files")
+    decisions = resolved.select("part", "file", "seq", "target_file", "target_seq")
+    work = by_part(decisions, headers).sortWithinPartitions("file", "seq")
+    return materialize(map_arrow(work, run, "part int, file string"), "warc-files")
+
+
+def by_part(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """One task per archive: rows go to the partition number that wrote it (``table`` is a written table of them)."""
+    last = table.agg(F.max("part")).first()[0]
+    return rows.repartitionById((last or 0) + 1, "part")
 
 
 def read(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame:
@@ -229,7 +238,7 @@ def read(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame:
                             rows = []
                 yield _batch(rows, _RECORD_TYPES)
 
-    return map_arrow(files.repartition("file"), run, RECORDS)
+    return map_arrow(by_part(files, files), run, RECORDS)
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
@@ -251,6 +260,6 @@ def dedup(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write, resolve, rewrite and read back: the records of the deduplicated archives."""
     spark = pages.sparkSession
     raw_folder, folder = file_dir(spark, "warc-raw-files"), file_dir(spark, "warc-dedup-files")
-    resolved = resolve(write_raw(pages, raw_folder), min_bytes)
-    files = rewrite(resolved, raw_folder, folder)
+    headers = write_raw(pages, raw_folder)
+    files = rewrite(resolve(headers, min_bytes), headers, raw_folder, folder)
     return resolve_revisits(materialize(read(spark, files, folder), "warc-records"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.llm import ann, bpe, langid, mixing, quality, tokenfiles, warc
+from scrubline.llm import ann, bpe, langid, mixing, neardup, quality, recompress, suffixdedup, tokenfiles, warc
 from scrubline.llm.common import documents
 
 
@@ -16,6 +16,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to repeated strings of 200 bytes."""
+    return suffixdedup.report(documents(spark, sf_dir))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return (mixing.plan(documents(spark, sf_dir))
@@ -38,12 +43,22 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(spark, manifest, docs.schema["doc_id"].dataType)
 
 
+def op6_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to repeated windows of 35 words."""
+    return recompress.report(documents(spark, sf_dir))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the bytes that they decode to, as digests."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).drop("text")
 
 
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return neardup.link(documents(spark, sf_dir)).drop("tkey")
+
+
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every twentieth vector."""
     return ann.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
@@ -56,4 +71,4 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op3_mixing, op4_quality, op5_tokens, op7_bpe, op9_ann, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_mixing, op4_quality, op5_tokens, op6_recompression, op7_bpe, op8_neardup, op9_ann, op10_langid)}

@@ -20,12 +20,15 @@ manifest; extra columns are not read.  A file is bounded by its range of rows.
 
 from __future__ import annotations
 
+import json
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,6 +37,7 @@ from pyspark.sql import types as T
 from scrubline.llm.common import attempt_name, file_dir, map_arrow, materialize, open_fs, slices
 
 END_ID = 2
+MEMO = 600_000  # words and pieces that a worker remembers, each; emptied when full, which changes only speed
 MANIFEST = "part int, tokens string, offsets string, docs string, width int, n_docs long, n_tokens long"
 
 
@@ -47,14 +51,102 @@ def load_tokenizer(path: str):
     return t
 
 
+class WholeTexts:
+    """Texts to packed ids by the tokenizer as it is."""
+
+    def __init__(self, tokenizer, code: str):
+        self.tokenizer, self.code = tokenizer, code
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield struct.pack(f"<{len(e.ids)}{self.code}", *e.ids)
+
+
+class Pieces(dict):
+    """piece -> packed ids, coded when first asked for."""
+
+    def __init__(self, coder):
+        self.coder = coder
+
+    def __missing__(self, p: str) -> bytes:
+        got = self[p] = self.coder.piece(p)
+        return got
+
+
+class ByteLevelWords:
+    """The same ids for byte-level BPE tokenizers, with a table of the words that recur.
+
+    Such a tokenizer cuts a text by a fixed pattern and codes each piece by itself.  No
+    piece goes across a single blank between two other characters, so words joined by
+    single blanks can be coded one by one; texts with other white space beside a blank
+    are cut by the pattern.  The pieces are coded by the tokenizer's own model.
+    """
+
+    #: Fixed value: the pattern of the tokenizers library's byte-level pre-tokenizer.
+    PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+    def __init__(self, tokenizer, code: str):
+        self.model, self.code = tokenizer.model, code
+        self.cut = regex.compile(self.PATTERN).findall
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; others from 256 on
+        others = [b for b in range(256) if b not in plain]
+        self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.pieces = Pieces(self)
+        self.words: dict[str, bytes | None] = {}
+
+    @classmethod
+    def fits(cls, tokenizer) -> bool:
+        t = json.loads(tokenizer.to_str())
+        pre = t["pre_tokenizer"] or {}
+        return (pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
+                and t["normalizer"] is None and t["model"]["type"] == "BPE" and not t["model"].get("dropout"))
+
+    def piece(self, p: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(p.encode("utf-8", "replace").decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def by_pattern(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.cut(text)))
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        for memo in (self.pieces, self.words):
+            if len(memo) > MEMO:
+                memo.clear()
+        words, get, cut = self.words, self.pieces.__getitem__, self.cut
+        for text in texts:
+            first, *rest = text.split(" ")
+            for w in set(rest).difference(words):
+                alone = w and not w[0].isspace() and not w[-1].isspace()
+                words[w] = b"".join(map(get, cut(" " + w))) if alone else None
+            if first[:1].isspace() or first[-1:].isspace() or not first:
+                yield self.by_pattern(text)
+                continue
+            try:
+                yield b"".join([self.by_pattern(first), *map(words.__getitem__, rest)])
+            except TypeError:  # a word that cannot be coded by itself
+                yield self.by_pattern(text)
+
+
+_CODERS: dict[tuple[str, str], WholeTexts | ByteLevelWords] = {}
+
+
+def coder(path: str, code: str) -> WholeTexts | ByteLevelWords:
+    """The coder of a tokenizer file, kept by the worker process between tasks."""
+    if (path, code) not in _CODERS:
+        _CODERS.clear()
+        tokenizer = load_tokenizer(path)
+        _CODERS[path, code] = (ByteLevelWords if ByteLevelWords.fits(tokenizer) else WholeTexts)(tokenizer, code)
+    return _CODERS[path, code]
+
+
 def write(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """Encode every text and write the files; returns the manifest with ``base`` per file."""
     spark = docs.sparkSession
     folder = file_dir(spark, "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load_tokenizer(tokenizer_path)
-        dtype = np.dtype("<u2") if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else np.dtype("<u4")
+        code = "H" if max(load_tokenizer(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else "I"
+        width, end, encoder = struct.calcsize(code), struct.pack(f"<{code}", end_id), coder(tokenizer_path, code)
         part = TaskContext.get().partitionId()
         names = [attempt_name("part", part, s) for s in (".bin", ".off", ".ids.arrow")]
         fs, root = open_fs(folder)
@@ -68,10 +160,9 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFra
                         opened[1].write(np.zeros(1, "<i8").tobytes())
                     texts = [x or "" for x in batch.column("text").to_pylist()]
                     ends = np.empty(len(texts), "<i8")
-                    for i, e in enumerate(tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                        ids = np.array(e.ids + [end_id], dtype)
-                        opened[0].write(ids.tobytes())
-                        total += len(ids)
+                    for i, ids in enumerate(encoder.encode(texts)):
+                        opened[0].write(ids + end)
+                        total += len(ids) // width + 1
                         ends[i] = total
                     opened[1].write(ends.tobytes())
                     ids_out.write_batch(batch.select(["doc_id"]))
@@ -83,7 +174,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFra
                 f.close()
         if opened is not None:
             yield pa.RecordBatch.from_pylist([dict(part=part, tokens=names[0], offsets=names[1], docs=names[2],
-                                                   width=dtype.itemsize, n_docs=count, n_tokens=total)],
+                                                   width=width, n_docs=count, n_tokens=total)],
                                              schema=pa.schema([("part", pa.int32()), ("tokens", pa.string()),
                                                                ("offsets", pa.string()), ("docs", pa.string()),
                                                                ("width", pa.int32()), ("n_docs", pa.int64()),

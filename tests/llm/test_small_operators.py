@@ -190,3 +190,16 @@ def test_langid_odd(odd):
     assert langid.fit(df.limit(0)) == {} and {r.lang_pred for r in langid.predict(df, {}).collect()} == {"und"}
     kept = langid.predict(df, model, keep_rejected=False).collect()
     assert kept and not any(r.rejected for r in kept)
+
+
+def test_token_coders_agree_with_the_library():
+    t = tokenfiles.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    assert tokenfiles.ByteLevelWords.fits(t) and not tokenfiles.ByteLevelWords.fits(
+        tokenfiles.load_tokenizer(public_tokenizers.path("word_bpe_49k.json")))
+    rnd = random.Random(4)
+    parts = ["the", "don't", " ", "  ", "\n", "\t", " ", " ", "é", "12", "!?", "<|endoftext|>", "日本", "\x1c", "\x85", "'s", "a" * 30]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(4000)] + [x or "" for x in odd_texts()]
+    texts += [" ".join(rnd.choice(["the", "don't", "x\ny", "12!", "é", "﻿", ""] * 3 + ["\n"]) for _ in range(8)) for _ in range(2000)]
+    whole, words = tokenfiles.WholeTexts(t, "H"), tokenfiles.ByteLevelWords(t, "H")
+    for text, a, b in zip(texts, whole.encode(texts), words.encode(texts)):
+        assert a == b, repr(text)

@@ -17,6 +17,10 @@ no vertical tab).  ``\\p{Nd}`` is the Python meaning of ``\\d`` and
 # --- fixed values: PII detection patterns ----------------------------------
 # e-mail, as written:  [a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}
 EMAIL_PATTERN = r"[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}"
+# the same matches from Java's leftmost search, in linear time: a match can only start where the
+# previous one ended or where no character of the local part stands before it, so a run of n such
+# characters is tried once instead of n times
+EMAIL_PATTERN_LINEAR = r"(?:\G|(?<![a-zA-Z0-9._%+-]))" + EMAIL_PATTERN
 
 # Python's \s for str patterns (Unicode White_Space plus the \x1c-\x1f separators)
 PY_SPACE = (
@@ -44,6 +48,7 @@ DATE_SENTINEL = "invalid_date"
 ISO_DATE_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 # a formatted phone:  ^\d{3}-\d{3}-\d{4}$
 FORMATTED_PHONE_PATTERN = r"^[0-9]{3}-[0-9]{3}-[0-9]{4}$"
+# as written:  \D  (of ASCII text)
 NON_DIGIT_PATTERN = r"[^0-9]"
 
 # placeholders written by the missing-value step, in column order of the fill map
@@ -83,6 +88,7 @@ DECLARED_TYPES = (
     ("account_status", "STRING"),
 )
 DOB_DRIFT_PATTERN = r"/|invalid"
+# as written:  [\.\(\)]
 NONSTANDARD_PHONE_PATTERN = r"[.()]"
 UPPERCASE_PATTERN = r"[A-Z]"
 SLASH = "/"
@@ -119,8 +125,12 @@ NA_TOKENS = (
 # parsed only with the formats of its own shape; month-first comes before
 # day-first, as the mixed-format parser guesses.  Numeric layouts are
 # rewritten and cast (Spark's string-to-date cast checks the calendar);
-# layouts with month names go through the pattern parser.
-_Y, _MD = "([0-9]{4})", "([0-9]{1,2})"
+# layouts with month names go through the pattern parser.  A time of day after
+# the date (a blank or T, hours and minutes, seconds and their fractions if
+# given, a zone if given) is cut off before; the date is that of the text's own zone.
+_Y, _MD, _YY = "([0-9]{4})", "([0-9]{1,2})", "([0-9]{2})"
+TIME_OF_DAY = (r"[ T]+([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]{1,9})?)?( ?([AaPp][Mm]))?"
+               r"( ?(Z|[+-][0-9]{2}:?[0-9]{2}))?$")
 DATE_LAYOUTS = (
     (rf"^{_Y}-{_MD}-{_MD}$", ("yyyy-M-d",), ("$1-$2-$3",)),
     (rf"^{_Y}/{_MD}/{_MD}$", ("yyyy/M/d",), ("$1-$2-$3",)),
@@ -128,15 +138,14 @@ DATE_LAYOUTS = (
     (rf"^{_MD}-{_MD}-{_Y}$", ("M-d-yyyy", "d-M-yyyy"), ("$3-$1-$2", "$3-$2-$1")),
     (r"^([0-9]{4})([0-9]{2})([0-9]{2})$", ("yyyyMMdd",), ("$1-$2-$3",)),
     (rf"^{_Y}\.{_MD}\.{_MD}$", ("yyyy.M.d",), ("$1-$2-$3",)),
-    (rf"^[A-Za-z]+ {_MD}, {_Y}$", ("MMM d, yyyy", "MMMM d, yyyy"), None),
-    (rf"^{_MD} [A-Za-z]+ {_Y}$", ("d MMM yyyy", "d MMMM yyyy"), None),
+    (rf"^[A-Za-z]+ {_MD},? {_Y}$", ("MMM d yyyy", "MMMM d yyyy"), None),
+    (rf"^{_MD} [A-Za-z]+,? {_Y}$", ("d MMM yyyy", "d MMMM yyyy"), None),
     (rf"^{_MD}-[A-Za-z]+-{_Y}$", ("d-MMM-yyyy",), None),
 )
-TIMESTAMP_LAYOUTS = (
-    (rf"^{_Y}-{_MD}-{_MD} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}$", ("yyyy-M-d HH:mm:ss",)),
-    (rf"^{_Y}-{_MD}-{_MD}T[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}$", ("yyyy-M-d'T'HH:mm:ss",)),
-    (rf"^{_Y}-{_MD}-{_MD}T[0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}(Z|[+-][0-9]{{2}}:[0-9]{{2}})$",
-     ("yyyy-M-d'T'HH:mm:ssXXX",)),
+# two-digit years, month first and then day first; years from the pivot on are 19xx, others 20xx
+TWO_DIGIT_YEAR_PIVOT = 69
+TWO_DIGIT_YEAR_LAYOUTS = (
+    (rf"^{_MD}/{_MD}/{_YY}$", ("M/d/yy", "d/M/yy"), ("$3-$1-$2", "$3-$2-$1")),
+    (rf"^{_MD}-{_MD}-{_YY}$", ("M-d-yy", "d-M-yy"), ("$3-$1-$2", "$3-$2-$1")),
 )
 DATE_FORMATS = tuple(f for _, fs, _ in DATE_LAYOUTS for f in fs)
-TIMESTAMP_FORMATS = tuple(f for _, fs in TIMESTAMP_LAYOUTS for f in fs)

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .cache import cached_expr
-from .patterns import DATE_LAYOUTS, PY_SPACE_CHARS, TIMESTAMP_LAYOUTS
+from .patterns import DATE_LAYOUTS, PY_SPACE_CHARS, TIME_OF_DAY, TWO_DIGIT_YEAR_LAYOUTS, TWO_DIGIT_YEAR_PIVOT
 
 # A "cased" run is a maximal run of upper/lower/title-case letters; everything
 # else (digits, punctuation, blanks, uncased scripts) separates words.
@@ -77,19 +77,22 @@ def parse_trimmed_date(t: Column) -> Column:
     """``parse_date`` for text that is already trimmed.  ``t`` is referenced by
     every shape test, so callers should pass a column computed in an earlier
     projection rather than an expression (see ``clean.clean``)."""
-    named = F.initcap(t)
+    d = F.when(t.contains(":"), F.regexp_replace(t, TIME_OF_DAY, "")).otherwise(t)
+    named = F.initcap(F.replace(d, F.lit(","), F.lit("")))
     out = None
     for shape, fmts, rewrites in DATE_LAYOUTS:
         if rewrites is None:
             tries = [F.try_to_date(named, f) for f in fmts]
         elif rewrites == ("$1-$2-$3",) and shape.count("-") == 2 and "/" not in shape:
-            tries = [t.try_cast("date")]
+            tries = [d.try_cast("date")]
         else:
-            tries = [F.regexp_replace(t, shape, r).try_cast("date") for r in rewrites]
+            tries = [F.regexp_replace(d, shape, r).try_cast("date") for r in rewrites]
         parsed = F.coalesce(*tries) if len(tries) > 1 else tries[0]
-        out = F.when(t.rlike(shape), parsed) if out is None else out.when(t.rlike(shape), parsed)
-    for shape, fmts in TIMESTAMP_LAYOUTS:
-        out = out.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(fmts[0])).cast("date"))
+        out = F.when(d.rlike(shape), parsed) if out is None else out.when(d.rlike(shape), parsed)
+    century = F.when(F.substring(d, -2, 2) >= F.lit(f"{TWO_DIGIT_YEAR_PIVOT:02d}"), F.lit("19")).otherwise(F.lit("20"))
+    for shape, _, rewrites in TWO_DIGIT_YEAR_LAYOUTS:
+        tries = [F.concat(century, F.regexp_replace(d, shape, r)).try_cast("date") for r in rewrites]
+        out = out.when(d.rlike(shape), F.coalesce(*tries))
     return out
 
 
@@ -99,6 +102,17 @@ def iso_date(c: Column | str) -> Column:
     return F.date_format(parse_date(c), "yyyy-MM-dd")
 
 
+def py_repr(v: Column) -> Column:
+    """Render a string the way Python's ``repr`` does: single quotes, or double quotes around
+    text that holds single quotes only; backslashes, line breaks and tabs escaped."""
+    s = F.replace(v, F.lit("\\"), F.lit("\\\\"))
+    for raw, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        s = F.replace(s, F.lit(raw), F.lit(shown))
+    double = v.contains("'") & ~v.contains('"')
+    return F.when(double, F.concat(F.lit('"'), s, F.lit('"'))).otherwise(
+        F.concat(F.lit("'"), F.replace(s, F.lit("'"), F.lit("\\'")), F.lit("'")))
+
+
 def py_list_repr(arr: Column) -> Column:
-    """Render an array<string> the way a Python list of str prints: ``['a', 'b']``."""
-    return F.concat(F.lit("['"), F.array_join(arr, "', '"), F.lit("']"))
+    """Render an array<string> the way a Python list of str prints: ``['a', "it's"]``."""
+    return F.concat(F.lit("["), F.array_join(F.transform(arr, py_repr), ", "), F.lit("]"))

@@ -22,21 +22,7 @@ from ..functions.text import iso_date, parse_trimmed_date, strip, title
 
 def _replace(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     """Replace columns in place, keeping column order (one Project)."""
-    return df.select(*[_aliased(new[c], c) if c in new else c for c in df.columns])
-
-
-_ALIASED: dict = {}
-
-
-def _aliased(col: Column, name: str) -> Column:
-    """``col.alias(name)``, reusing the aliased Column for a cached expression."""
-    key = (id(col), name)
-    hit = _ALIASED.get(key)
-    if hit is not None and hit[0] is col:
-        return hit[1]
-    out = col.alias(name)
-    _ALIASED[key] = (col, out)
-    return out
+    return df.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
 
 
 # --- expressions --------------------------------------------------------------
@@ -149,8 +135,8 @@ def clean_observed(df: DataFrame, observation, emails: bool = True, fill: dict |
 
     The cleaned values are computed once, next to the raw ones, below the
     observation; the counters compare the two, and the final projection only
-    renames.  Metric names: ``rows``, the ``clean_stats`` names and
-    ``missing__<column>`` per fill column.
+    renames.  Metric names: ``rows``, the ``clean_stats`` names,
+    ``missing__<column>`` per fill column and ``unparsed__<column>`` per date column.
     """
     cols = tuple(df.columns)
     fill = {c: v for c, v in (fill or FILL_VALUES).items() if c in cols}
@@ -179,11 +165,32 @@ def clean_observed(df: DataFrame, observation, emails: bool = True, fill: dict |
         v = after[c]
         miss = v.isNull() | F.isnan(v) if dt[c] in ("double", "float") else v.isNull()
         metrics.append(F.count_if(miss).alias(f"missing__{c}"))
+    for c in DATE_COLUMNS:
+        if c in cols:
+            lost = F.coalesce(desentinel_expr(c).isNotNull() & after[c].isNull(), F.lit(False))
+            metrics.append(F.count_if(lost).alias(f"unparsed__{c}"))
     observed = both.observe(observation, *metrics)
     return handle_missing(observed.select(*[after[c].alias(c) for c in cols]), fill)
 
 
 _CLEANED_COLUMNS = set(NAME_COLUMNS) | set(DATE_COLUMNS) | {"email", "phone"}
+CHANGED_COLUMNS = _CLEANED_COLUMNS | set(FILL_VALUES)  # columns whose values cleaning may change
+
+
+# --- values that no layout fits ----------------------------------------------------
+
+def date_rejects(raw: DataFrame, key_columns: tuple = ("customer_id",)) -> DataFrame:
+    """The date cells that cleaning sets to missing although they hold text other than the
+    sentinel: ``(*key_columns, column_name, value)``, so that no source value is lost."""
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"), unparsed(c).alias("bad"))
+             for c in DATE_COLUMNS if c in raw.columns]
+    return (raw.select(*key_columns, F.inline(F.array(*cells))).where(F.col("bad")).drop("bad"))
+
+
+@cached_expr
+def unparsed(c: str) -> Column:
+    """Text that is neither missing nor the sentinel and that no date layout fits."""
+    return F.coalesce(desentinel_expr(c).isNotNull() & date_expr(c).isNull(), F.lit(False))
 
 
 # --- counters (C7-C10) ----------------------------------------------------------

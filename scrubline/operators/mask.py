@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import (
-    ADDRESS_MASK, DOB_MASK_SUFFIX, EMAIL_MASK_INFIX, EMAIL_PATTERN, EMAIL_TEXT_TOKEN,
+    ADDRESS_MASK, DOB_MASK_SUFFIX, EMAIL_MASK_INFIX, EMAIL_PATTERN_LINEAR, EMAIL_TEXT_TOKEN,
     FORMATTED_PHONE_PATTERN, NAME_COLUMNS, NAME_MASK_SUFFIX, NAME_PLACEHOLDER, PHONE_MASK_FULL,
     PHONE_MASK_PREFIX, PHONE_PATTERN, PHONE_TEXT_TOKEN, PY_DIGIT,
 )
@@ -105,7 +105,7 @@ def mask_text_expr(c: str = "text") -> Column:
     so the guard changes cost, never results.
     """
     v = F.col(c)
-    t = F.when(v.contains("@"), F.regexp_replace(v, EMAIL_PATTERN, EMAIL_TEXT_TOKEN)).otherwise(v)
+    t = F.when(v.contains("@"), F.regexp_replace(v, EMAIL_PATTERN_LINEAR, EMAIL_TEXT_TOKEN)).otherwise(v)
     return F.when(t.rlike(ANY_DIGIT), F.regexp_replace(t, PHONE_PATTERN, PHONE_TEXT_TOKEN)).otherwise(t)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.cache import cached_expr
 from ..functions.sqltext import Ref, stack_rows
 from ..functions.patterns import (
-    ADDRESS_MIN_LENGTH, DATE_SENTINEL, EMAIL_PATTERN, PHONE_PATTERN, PY_DIGIT, RISK_LEVELS,
+    ADDRESS_MIN_LENGTH, DATE_SENTINEL, EMAIL_PATTERN_LINEAR, PHONE_PATTERN, PY_DIGIT, RISK_LEVELS,
 )
 
 
@@ -30,13 +30,14 @@ def scan(df: DataFrame) -> DataFrame:
 
 
 @cached_expr
-def _scan_aggs() -> list:
-    dob = F.col("date_of_birth")
+def _scan_aggs(prefix: str = "") -> list:
+    """The counters over columns named with ``prefix``."""
+    email, phone, address, dob = (F.col(prefix + c) for c in ("email", "phone", "address", "date_of_birth"))
     return [
         F.count(F.lit(1)).alias("_n"),
-        F.count_if(F.coalesce(F.col("email").rlike(EMAIL_PATTERN), F.lit(False))).alias("_email"),
-        F.count_if(F.coalesce(F.col("phone").rlike(PHONE_PATTERN), F.lit(False))).alias("_phone"),
-        F.count_if(F.col("address").isNotNull() & (F.length("address") > ADDRESS_MIN_LENGTH)).alias("_address"),
+        F.count_if(F.coalesce(email.rlike(EMAIL_PATTERN_LINEAR), F.lit(False))).alias("_email"),
+        F.count_if(F.coalesce(phone.rlike(PHONE_PATTERN), F.lit(False))).alias("_phone"),
+        F.count_if(address.isNotNull() & (F.length(address) > ADDRESS_MIN_LENGTH)).alias("_address"),
         F.count_if(dob.isNotNull() & (F.lower(dob) != DATE_SENTINEL)).alias("_dob"),
     ]
 
@@ -89,7 +90,7 @@ def _text_counts(text_col: str) -> tuple:
     t = F.col(text_col)
     zero = F.lit(0)
     return (
-        F.when(t.contains("@"), F.regexp_count(t, F.lit(EMAIL_PATTERN))).otherwise(zero).alias("_ne"),
+        F.when(t.contains("@"), F.regexp_count(t, F.lit(EMAIL_PATTERN_LINEAR))).otherwise(zero).alias("_ne"),
         F.when(t.rlike(PY_DIGIT), F.regexp_count(t, F.lit(PHONE_PATTERN))).otherwise(zero).alias("_np"),
     )
 

@@ -1,12 +1,14 @@
 """Profiling operators.
 
 Counters are evaluated together in one aggregate pass.  "First-seen" examples
-use an explicit order column (a stable key or ``_row_id``): first-N is a
-``TakeOrderedAndProject`` (each task keeps N rows), first-seen distinct values
-are a pre-aggregated ``groupBy(value).agg(min(order))``.  No step collects an
-unbounded group: the full distinct lists are separate tables
-(``slash_dates``, ``invalid_categories``, ``duplicate_keys``) and the issue
-summary carries only the first few examples, which is what it reports.
+use an explicit order column (the scan's row id or a stable key).  ``issues`` and
+``report`` run three jobs over the table when they are called: all counters in
+one aggregate (one row), the first non-standard phones (each task keeps the few
+that are asked for), and one pre-aggregated ``groupBy(kind, value)`` for slash
+dates, invalid categories and repeated keys together, whose defects are written
+to the shared folder.  No step collects an unbounded group: every invalid
+category is a row of its own, and the full distinct lists are separate tables
+(``slash_dates``, ``invalid_categories``, ``duplicate_keys``).
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from ..functions.patterns import (
 )
 from ..functions.cache import cached_expr
 from ..functions.sqltext import Ref, stack_rows
-from ..functions.text import is_title, py_list_repr
+from ..functions.text import is_title, py_list_repr, py_repr
+from ..session import new_run_dir
 
 _STRING_TYPES = ("string",)
 _FLOAT_TYPES = ("double", "float")
@@ -171,27 +174,11 @@ _ISSUE_COLUMNS = {
 }
 
 
-def _issue_row(check: int, affected: Column, examples: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"),
-        affected.cast("bigint").alias("affected"),
-        (examples if examples is not None else F.lit(None)).cast("string").alias("examples"),
-    )
-
-
-def _first_values(order: str, value: Column, k: int) -> Column:
-    """Render the first ``k`` values (by ``order``) of a tiny, already-limited frame."""
-    arr = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), value.alias("v"))))
-    return py_list_repr(F.transform(F.slice(arr, 1, k), lambda s: s["v"]))
-
-
 def _issue_aggs(order_col: str) -> list[Column]:
     """The ungrouped issue counters (and first bad name per column) as aggregates."""
     o = F.col(order_col)
     phone_bad = F.col("phone").rlike(NONSTANDARD_PHONE_PATTERN)
     name_bad = {c: F.col(c).isNotNull() & ~is_title(c) for c in NAME_COLUMNS}
-    status = F.col("account_status")
-    status_bad = status.isNotNull() & ~F.lower(status).isin(list(VALID_STATUSES))
     return [
         F.count_if(F.coalesce(phone_bad, F.lit(False))).alias("c1"),
         sum((F.count_if(F.coalesce(F.col(c).contains(SLASH), F.lit(False))) for c in DATE_COLUMNS),
@@ -199,86 +186,64 @@ def _issue_aggs(order_col: str) -> list[Column]:
         *[F.count_if(b).alias(f"c3_{c}") for c, b in name_bad.items()],
         *[F.min_by(F.col(c), F.when(b, o)).alias(f"e3_{c}") for c, b in name_bad.items()],
         F.count_if(F.coalesce(F.col("email").rlike(UPPERCASE_PATTERN), F.lit(False))).alias("c4"),
-        F.count_if(status_bad).alias("c5"),
     ]
 
 
+def _defects(df: DataFrame, order_col: str, key: str) -> DataFrame:
+    """Written table ``(kind, column_ordinal, value, first_seen, occurrences)`` of slash dates (kind 2),
+    invalid categories (5) and repeated keys (6), from one scan and one pre-aggregated shuffle."""
+    status = F.col("account_status")
+    cells = [F.struct(F.lit(2).alias("kind"), F.lit(i + 1).alias("column_ordinal"), F.col(c).alias("value"),
+                      F.coalesce(F.col(c).contains(SLASH), F.lit(False)).alias("use"))
+             for i, c in enumerate(DATE_COLUMNS)]
+    cells.append(F.struct(F.lit(5).alias("kind"), F.lit(0).alias("column_ordinal"), status.alias("value"),
+                          F.coalesce(~F.lower(status).isin(list(VALID_STATUSES)), F.lit(False)).alias("use")))
+    cells.append(F.struct(F.lit(6).alias("kind"), F.lit(0).alias("column_ordinal"),
+                          F.col(key).cast("string").alias("value"), F.lit(True).alias("use")))
+    found = (df.select(F.col(order_col).alias("_ord"), F.inline(F.array(*cells))).where("use")
+             .groupBy("kind", "column_ordinal", "value")
+             .agg(F.min("_ord").cast("bigint").alias("first_seen"), F.count(F.lit(1)).alias("occurrences"))
+             .where((F.col("kind") != 6) | (F.col("occurrences") > 1)))
+    path = new_run_dir(df.sparkSession, "profile-defects")
+    found.write.parquet(path)
+    return df.sparkSession.read.schema(found.schema).parquet(path)
+
+
 def issues(df: DataFrame, order_col: str, key: str = "customer_id", phone_examples: int = 2,
-           date_examples: int = 3, category_examples: int = 10, counts: DataFrame | None = None) -> DataFrame:
+           date_examples: int = 3, counts: dict | None = None) -> DataFrame:
     """``(issue_no, check_no, issue, column_name, affected, examples)``.
 
-    Only issues that are present get a row; ``issue_no`` numbers them in check
-    order, ``check_no`` is the fixed position of the check.
+    Only issues that are present get rows; ``issue_no`` numbers them in check order,
+    ``check_no`` is the fixed position of the check.  Invalid categories (check 5) have
+    one row per value, with its number of rows; the other issues have one row each.
     """
-    o = F.col(order_col)
-    phone_bad = F.col("phone").rlike(NONSTANDARD_PHONE_PATTERN)
-    if counts is None:
-        counts = df.agg(*_issue_aggs(order_col))
-    name_examples = F.concat_ws(
-        ", ",
-        *[F.when(F.col(f"c3_{c}") > 0, F.concat(F.lit(f"{c} ('"), F.col(f"e3_{c}"), F.lit("')")))
-          for c in NAME_COLUMNS],
-    )
-    counted = counts.select(
-        F.inline(
-            F.array(
-                _issue_row(1, F.col("c1")),
-                _issue_row(2, F.col("c2")),
-                _issue_row(3, sum((F.col(f"c3_{c}") for c in NAME_COLUMNS), F.lit(0).cast("bigint")),
-                           name_examples),
-                _issue_row(4, F.col("c4")),
-                _issue_row(5, F.col("c5")),
-            )
-        )
-    )
-
-    phones = _examples_part(df.where(phone_bad).select(o.alias("_o"), F.col("phone").alias("_v")),
-                            1, phone_examples)
-    sd = slash_dates(df, order_col)
-    dates = _examples_part(
-        sd.select((F.col("column_ordinal") * F.lit(1 << 40) + F.col("first_seen")).alias("_o"),
-                  F.col("value").alias("_v")),
-        2, date_examples,
-    )
-    cats = _examples_part(
-        invalid_categories(df, order_col).select(F.col("first_seen").alias("_o"), F.col("value").alias("_v")),
-        5, category_examples,
-    )
-    dups = duplicate_keys(df, key).agg(
-        F.lit(6).alias("check"), F.coalesce(F.sum("occurrences"), F.lit(0)).cast("bigint").alias("affected"),
-        F.lit(None).cast("string").alias("examples"),
-    )
-    parts = counted.unionByName(phones).unionByName(dates).unionByName(cats).unionByName(dups)
-    merged = parts.groupBy("check").agg(
-        F.max("affected").alias("affected"), F.max("examples").alias("examples")
-    ).where(F.col("affected") > 0)
-    # number the present checks: at most six rows, folded into one sorted array
-    numbered = merged.agg(
-        F.array_sort(F.collect_list(F.struct("check", "affected", "examples"))).alias("_found")
-    ).select(F.posexplode("_found").alias("_pos", "_issue"))
-    issue_name = F.element_at(F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in _ISSUES.items()), [])),
-                              F.col("_issue.check"))
-    issue_cols = F.element_at(
-        F.create_map(*sum(([F.lit(k), F.lit(v)] for k, v in _ISSUE_COLUMNS.items()), [])), F.col("_issue.check")
-    )
-    return numbered.select(
-        (F.col("_pos") + 1).cast("int").alias("issue_no"),
-        F.col("_issue.check").cast("int").alias("check_no"),
-        issue_name.alias("issue"),
-        issue_cols.alias("column_name"),
-        F.col("_issue.affected").cast("bigint").alias("affected"),
-        F.col("_issue.examples").alias("examples"),
-    )
-
-
-def _examples_part(values: DataFrame, check: int, k: int) -> DataFrame:
-    """First ``k`` values by ``_o`` rendered as a list, as one ``(check, affected, examples)`` row."""
-    top = values.orderBy("_o").limit(k)
-    return top.agg(
-        F.lit(check).alias("check"),
-        F.lit(None).cast("bigint").alias("affected"),
-        F.when(F.count(F.lit(1)) > 0, _first_values("_o", F.col("_v"), k)).alias("examples"),
-    )
+    spark = df.sparkSession
+    counts = counts or df.agg(*_issue_aggs(order_col)).first().asDict()  # one row of counters
+    phones = [r[0] for r in df.where(F.col("phone").rlike(NONSTANDARD_PHONE_PATTERN))
+              .orderBy(order_col).limit(phone_examples).select("phone").collect()]
+    defects = _defects(df, order_col, key)
+    dates = [r[0] for r in defects.where("kind = 2").orderBy("column_ordinal", "first_seen", "value")
+             .limit(date_examples).select("value").collect()]
+    n_keys, n_categories = defects.agg(F.coalesce(F.sum(F.when(F.col("kind") == 6, F.col("occurrences"))), F.lit(0)),
+                                       F.count_if(F.col("kind") == 5)).first()
+    names = [f"{c} ('{counts[f'e3_{c}']}')" for c in NAME_COLUMNS if counts[f"c3_{c}"]]
+    found = {
+        1: (counts["c1"], phones, None), 2: (counts["c2"], dates, None),
+        3: (sum(counts[f"c3_{c}"] for c in NAME_COLUMNS), None, ", ".join(names)),
+        4: (counts["c4"], None, None), 5: (n_categories, None, None), 6: (n_keys, None, None),
+    }
+    present = [k for k, v in found.items() if v[0]]
+    number = {k: i for i, k in enumerate(present, start=1)}
+    rows = [(number[k], k, _ISSUES[k], _ISSUE_COLUMNS[k], found[k][0], found[k][1], found[k][2]) for k in present if k != 5]
+    listed = spark.createDataFrame(rows, "issue_no int, check_no int, issue string, column_name string, affected bigint, "
+                                         "shown array<string>, examples string")
+    listed = listed.withColumn("examples", F.coalesce("examples", py_list_repr(F.col("shown")))).drop("shown")
+    if 5 not in number:
+        return listed
+    return listed.unionByName(defects.where("kind = 5").select(
+        F.lit(number[5]).alias("issue_no"), F.lit(5).alias("check_no"), F.lit(_ISSUES[5]).alias("issue"),
+        F.lit(_ISSUE_COLUMNS[5]).alias("column_name"), F.col("occurrences").alias("affected"),
+        py_repr(F.col("value")).alias("examples")))
 
 
 def _percent_text(p: Column) -> Column:
@@ -289,13 +254,16 @@ def _percent_text(p: Column) -> Column:
 def report(df: DataFrame, order_col: str, key: str = "customer_id") -> DataFrame:
     """The profile as report lines ``(section_no, section, item_no, column_name, line)``.
 
-    Completeness, type drift and the issue counters share one aggregate
-    definition; Catalyst prunes it for each section, so each section's scan
-    reads only the columns and computes only the counters it needs.
+    Completeness, type drift and the issue counters come from one aggregate, whose
+    single row is fetched when the report is made.  An issue has one line, invalid
+    categories one line per value.
     """
     dtypes = tuple(df.dtypes)
-    wide = df.agg(*_completeness_aggs(dtypes), *_drift_flags(df), *_issue_aggs(order_col))
-    comp_rows = wide.select(_completeness_long(dtypes)).select(*_completeness_out())
+    shown = tuple((c, t) for c, t in dtypes if c != order_col or c == key)
+    made = df.agg(*_completeness_aggs(shown), *_drift_flags(df), *_issue_aggs(order_col))
+    row = made.first()
+    wide = df.sparkSession.createDataFrame([row], made.schema)
+    comp_rows = wide.select(_completeness_long(shown)).select(*_completeness_out())
     comp = comp_rows.select(
         F.lit(1).alias("section_no"), F.lit("COMPLETENESS").alias("section"),
         F.col("ordinal").alias("item_no"), "column_name",
@@ -306,14 +274,14 @@ def report(df: DataFrame, order_col: str, key: str = "customer_id") -> DataFrame
             .otherwise(F.lit("")),
         ).alias("line"),
     )
-    types = _types_from(wide, df.columns).select(
+    types = _types_from(wide, [c for c, _ in shown]).select(
         F.lit(2).alias("section_no"), F.lit("DATA TYPES").alias("section"),
         F.col("ordinal").alias("item_no"), "column_name",
         F.concat(F.col("column_name"), F.lit(": "), F.col("reported_type"),
                  F.when(F.col("note").isNotNull(), F.concat(F.lit("  ("), F.col("note"), F.lit(")")))
                  .otherwise(F.lit(""))).alias("line"),
     )
-    iss = issues(df, order_col, key, counts=wide).select(
+    iss = issues(df, order_col, key, counts=row.asDict()).select(
         F.lit(3).alias("section_no"), F.lit("QUALITY ISSUES").alias("section"),
         F.col("issue_no").alias("item_no"), "column_name",
         F.concat(

@@ -2,59 +2,36 @@
 
 Spark rows have no order, so every "first N" or "Row n" needs an explicit
 order column.  ``with_row_id`` tags rows at the scan with an increasing id
-(file order within the scan, no shuffle).  ``positions`` turns a handful of
-order keys into their exact 1-based positions without sorting the table.
+(scan partition in the high bits, position in the low ones: file order, no
+shuffle, distinct even where keys repeat or are null).  ``positions`` turns the
+ids of a few rows into their exact 1-based positions without sorting the table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+ROW_ID = "_row_id"
+_PART_BITS = 33  # bits that monotonically_increasing_id leaves for the position in a partition
 
-def with_row_id(df: DataFrame, name: str = "_row_id") -> DataFrame:
+
+def with_row_id(df: DataFrame, name: str = ROW_ID) -> DataFrame:
     """Increasing (not contiguous) id in scan order; narrow, no shuffle."""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def positions(df: DataFrame, order_col: str, keys: DataFrame, key_col: str | None = None,
-              out_col: str = "row_number") -> DataFrame:
-    """Exact 1-based positions (by ``order_col``) of the rows named in ``keys``.
+def positions(df: DataFrame, rows: DataFrame, row_id: str = ROW_ID, out_col: str = "row_number") -> DataFrame:
+    """``rows`` (a small sample holding row ids of ``df``) with exact 1-based positions.
 
-    ``keys`` must be small and bounded (a top-k sample).  Its K distinct keys
-    are sorted on the driver; every row of the table is assigned the interval
-    between consecutive sampled keys it falls in by a balanced comparison
-    tree (about log2 K comparisons per row, no sort, no join fan-out), rows
-    are counted per interval with a pre-aggregated ``groupBy`` (at most K+1
-    groups), and ``position(k_i)`` is the running total of the interval counts
-    up to ``k_i``.
+    The rows of each scan partition are counted by a pre-aggregated ``groupBy``
+    (no column is read but the id); a running total over one row per partition
+    gives each partition's first position, and the id's low bits do the rest.
     """
-    key_col = key_col or order_col
-    wanted = sorted({r[0] for r in keys.select(key_col).distinct().collect() if r[0] is not None})
-    if not wanted:
-        return keys.withColumn(out_col, F.lit(None).cast("bigint"))
-    o = F.col(order_col)
-
-    def first_at_least(lo: int, hi: int):
-        # smallest i in [lo, hi) with o <= wanted[i]; hi when there is none
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(o <= F.lit(wanted[mid]), first_at_least(lo, mid)).otherwise(first_at_least(mid + 1, hi))
-
-    per_interval = (
-        df.where(o.isNotNull())
-        .groupBy(first_at_least(0, len(wanted)).alias("_i"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_i") < len(wanted))
-    )
-    counts = dict.fromkeys(range(len(wanted)), 0)
-    counts.update({r["_i"]: r["_n"] for r in per_interval.collect()})  # at most K rows
-    running, lookup_rows = 0, []
-    for i, k in enumerate(wanted):
-        running += counts[i]
-        lookup_rows.append((k, running))
-    key_type = dict(keys.dtypes)[key_col]
-    lookup = df.sparkSession.createDataFrame(lookup_rows, f"_key {key_type}, {out_col} bigint")
-    # both sides are bounded by the sample size
-    return keys.join(F.broadcast(lookup), keys[key_col] == lookup["_key"], "left").drop("_key")
+    part = F.shiftright(F.col(row_id), _PART_BITS)
+    per_part = df.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_part.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.col(row_id).bitwiseAND(F.lit((1 << _PART_BITS) - 1))
+    return (rows.withColumn("_part", part).join(starts, "_part")
+            .withColumn(out_col, (F.col("_start") + inside + 1).cast("bigint")).drop("_part", "_start"))

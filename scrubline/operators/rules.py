@@ -11,13 +11,14 @@ Evaluation plans
   shuffled).  Each ``unique`` rule adds one ``groupBy(key).count()`` whose
   map-side partial aggregation collapses hot keys (and the null key) before
   the shuffle, so a key that holds a third of the rows costs nothing extra.
-* Row-level flags (V17-V19): duplicate keys are found by the same pre-
-  aggregated ``groupBy`` and joined back with a left join.  The joined side is
-  the set of duplicated keys only; AQE turns the join into a broadcast when
-  that set is measured small at runtime and splits skewed partitions when not.
-* Top-k samples per rule (V17/V18) use ``row_number() <= k`` per rule, which
-  Spark plans with a map-side WindowGroupLimit: each task ships at most k
-  rows per rule to the final window.
+* Samples (V17/V18) join no table: row rules are a stack with ``row_number() <= k``
+  per rule, which Spark plans with a map-side WindowGroupLimit (each task ships
+  at most k rows per rule).  The first k rows of a ``unique`` rule belong to the
+  k duplicated keys that start first, so the pre-aggregated ``groupBy`` of that
+  rule is cut to k keys, which are broadcast to the scan.
+* Row flags (V19 with several unique rules, X1) need the whole set of duplicated
+  keys: it is written and counted first, broadcast while it is small, and
+  otherwise joined by shuffle with the rows that can match; null keys bypass it.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cache import cached_expr
 from ..functions.sqltext import Expr, Ref, sql_literal, stack_rows
+from ..session import new_run_dir
 from ..functions.patterns import (
     CUSTOMER_ID_MIN, INCOME_BOUNDS, NAME_LENGTH_BOUNDS, NAME_PATTERN, VALID_STATUSES,
 )
@@ -256,25 +258,39 @@ def _summary_aggs() -> list:
 
 # --- V17-V19: row-level flags ---------------------------------------------------
 
+BROADCAST_KEYS = 200_000  # duplicated keys (one narrow row each) up to which they are broadcast
+
+
+def _duplicated_keys(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Written table of the non-null keys held by more than one row."""
+    c = F.col(column)
+    keys = (df.where(c.isNotNull()).groupBy(c.alias(name)).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > 1).select(name))
+    path = new_run_dir(df.sparkSession, "dup-keys")
+    keys.write.parquet(path)
+    return df.sparkSession.read.schema(keys.schema).parquet(path)
+
+
 def flag_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Add one boolean column ``_u{rule_id}`` per rule (True = unexpected)."""
+    """Add one boolean column ``_u{rule_id}`` per rule (True = unexpected).
+
+    Runs a job per ``unique`` rule (its duplicated keys are written and counted).
+    """
     check_columns(df, rules)
     out = df
     for r in rules:
         if r.kind != "unique":
             continue
-        c = F.col(r.column)
-        dup_keys = (
-            df.where(c.isNotNull())
-            .groupBy(c.alias(f"_dupkey{r.rule_id}"))
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > 1)
-            .select(f"_dupkey{r.rule_id}", F.lit(True).alias(f"_u{r.rule_id}"))
-        )
-        out = out.join(dup_keys, out[r.column] == dup_keys[f"_dupkey{r.rule_id}"], "left").drop(
-            f"_dupkey{r.rule_id}"
-        )
-        out = out.withColumn(f"_u{r.rule_id}", F.coalesce(F.col(f"_u{r.rule_id}"), F.lit(False)))
+        flag, name = f"_u{r.rule_id}", f"_dupkey{r.rule_id}"
+        keys = _duplicated_keys(df, r.column, name)
+        hit = F.col(name).isNotNull().alias(flag)
+        if keys.count() <= BROADCAST_KEYS:
+            joined = out.join(F.broadcast(keys), out[r.column] == keys[name], "left")
+            out = joined.select(*[out[c] for c in out.columns], hit)
+        else:
+            some, none = out.where(F.col(r.column).isNotNull()), out.where(F.col(r.column).isNull())
+            joined = some.join(keys, some[r.column] == keys[name], "left")
+            out = joined.select(*[some[c] for c in some.columns], hit).unionByName(none.withColumn(flag, F.lit(False)))
     dt = dict(df.dtypes)
     return out.select(
         *df.columns,
@@ -288,31 +304,62 @@ def any_failed(rules: list[Rule]) -> Column:
     )
 
 
-def _failures_long(flags: DataFrame, rules: list[Rule], order_col: str) -> DataFrame:
-    return flags.select(F.col(order_col).alias("_ord"), _failure_cells(tuple(rules))).where(F.col("failed"))
+def _shown(column: str, dtype: str | None) -> Expr:
+    """A value as text; doubles without an exponent up to 16 digits, as Python prints them."""
+    c = sql_literal(Ref(column))
+    if dtype not in ("double", "float"):
+        return Expr(f"cast({c} as string)")
+    plain = f"cast(try_cast({c} as decimal(38, 12)) as string)"
+    return Expr(f"case when isnan({c}) then 'nan' when abs({c}) >= 1e7D and abs({c}) < 1e16D "
+                f"then regexp_replace({plain}, '([.][0-9]+?)0+$', '$1') else cast({c} as string) end")
 
 
 @cached_expr
-def _failure_cells(rules: tuple) -> Column:
+def _failure_cells(rules: tuple, dtypes: tuple) -> Column:
+    types = dict(dtypes)
     return stack_rows(("rule_id", "failed", "value"), tuple(
-        (r.rule_id, Ref(f"_u{r.rule_id}"), Expr(f"cast({sql_literal(Ref(r.column))} as string)")) for r in rules
+        (r.rule_id, Ref(f"_u{r.rule_id}"), _shown(r.column, types.get(r.column))) for r in rules
     ))
 
 
-def failures(df: DataFrame, rules: list[Rule], order_col: str, k: int = 3) -> DataFrame:
+def failures(df: DataFrame, rules: list[Rule], order_col: str, k: int = 3, show: tuple | None = None) -> DataFrame:
     """Per failed rule, its first ``k`` unexpected values in ``order_col`` order.
 
-    Output ``(rule_id, column_name, expectation, sample_no, <order_col>, value)``.
+    Output ``(rule_id, column_name, expectation, sample_no, *show, value)``; ``show``
+    (default: the order column) names columns that identify the row.  Rows with
+    equal order values are taken in order of the value.
     """
-    flags = flag_rows(df, rules)
-    long = _failures_long(flags, rules, order_col)
-    w = Window.partitionBy("rule_id").orderBy("_ord")
+    check_columns(df, rules)
+    show = show or (order_col,)
+    named = [F.col(c).alias(f"_s_{c}") for c in show]
+    dtypes = tuple(sorted(df.dtypes))
+    plain = tuple(r for r in rules if r.kind != "unique")
+    parts = []
+    if plain:
+        dt = dict(dtypes)
+        flagged = df.select("*", *[_flag(r, dt.get(r.column)) for r in plain])
+        parts.append(flagged.select(F.col(order_col).alias("_ord"), *named, _failure_cells(plain, dtypes))
+                     .where(F.col("failed")).drop("failed"))
+    for r in rules:
+        if r.kind != "unique":
+            continue
+        c = F.col(r.column)
+        first = (df.where(c.isNotNull()).groupBy(c.alias("_key"))
+                 .agg(F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_first"))
+                 .where(F.col("_n") > 1).orderBy("_first", "_key").limit(k).select("_key"))
+        held = df.select(F.col(order_col).alias("_ord"), *named, F.lit(r.rule_id).alias("rule_id"), c.alias("_c"))
+        parts.append(held.join(F.broadcast(first), F.col("_c") == F.col("_key"))  # k keys at most
+                     .select("_ord", *[f"_s_{x}" for x in show], "rule_id", F.col("_c").cast("string").alias("value")))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    w = Window.partitionBy("rule_id").orderBy("_ord", "value")
     top = long.withColumn("sample_no", F.row_number().over(w)).where(F.col("sample_no") <= k)
-    return top.select(*_failure_columns(tuple(rules), order_col))
+    return top.select(*_failure_columns(tuple(rules), tuple(show)))
 
 
 @cached_expr
-def _failure_columns(rules: tuple, order_col: str) -> list:
+def _failure_columns(rules: tuple, show: tuple) -> list:
     def lookup(values):
         return F.element_at(F.create_map(*[x for r, v in zip(rules, values) for x in (F.lit(r.rule_id), F.lit(v))]),
                             F.col("rule_id"))
@@ -321,23 +368,11 @@ def _failure_columns(rules: tuple, order_col: str) -> list:
         lookup([r.column for r in rules]).alias("column_name"),
         lookup([r.expectation for r in rules]).alias("expectation"),
         F.col("sample_no").cast("int").alias("sample_no"),
-        F.col("_ord").alias(order_col),
+        *[F.col(f"_s_{c}").alias(c) for c in show],
         F.col("value"),
     ]
 
 
-def failed_rows(df: DataFrame, rules: list[Rule], row_number_col: str, k: int = 10) -> DataFrame:
-    """Per rule, the first ``k`` failing 1-based row numbers ``(rule_id, row_number)``."""
-    flags = flag_rows(df, rules)
-    long = _failures_long(flags, rules, row_number_col)
-    w = Window.partitionBy("rule_id").orderBy("_ord")
-    return (
-        long.withColumn("_rn", F.row_number().over(w))
-        .where(F.col("_rn") <= k)
-        .select(F.col("rule_id").cast("int").alias("rule_id"), F.col("_ord").cast("bigint").alias("row_number"))
-    )
-
-
 def impact(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Distinct rows failing at least one rule, and the total.
 
@@ -372,13 +407,22 @@ def impact(df: DataFrame, rules: list[Rule]) -> DataFrame:
     )
 
 
-def quarantine_split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows, rejected rows with ``failed_rules`` text) from one flag pass."""
+def tag_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """``df`` with ``_failed``: the ids of the rules that each row fails."""
     flags = flag_rows(df, rules)
     failed = F.array_compact(
         F.array(*[F.when(F.col(f"_u{r.rule_id}"), F.lit(r.rule_id)) for r in rules])
     )
-    tagged = flags.select(*df.columns, failed.alias("_failed"))
+    return flags.select(*df.columns, failed.alias("_failed"))
+
+
+def quarantine_split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows, rejected rows with ``failed_rules`` text).
+
+    Every failing rule is named in the one ``tagged`` projection; a caller that wants
+    both sides from one pass writes ``tag_rows`` once and filters the table.
+    """
+    tagged = tag_rows(df, rules)
     rejected = tagged.where(F.size("_failed") > 0).select(
         *df.columns,
         F.array_join(F.col("_failed").cast("array<string>"), ",").alias("failed_rules"),
@@ -399,6 +443,15 @@ def assert_quality(df: DataFrame, rules: list[Rule], critical: dict[int, float])
     return df.sparkSession.createDataFrame(res)
 
 
+def gate(results: DataFrame, critical: dict[int, float]) -> DataFrame:
+    """X4 as a table: per critical rule its share of failing rows, the threshold and whether it halts."""
+    limits = F.create_map(*[x for k, v in critical.items() for x in (F.lit(k), F.lit(float(v)))])
+    share = F.col("unexpected_count").cast("double") / F.nullif(F.col("element_count"), F.lit(0)).cast("double")
+    rows = results.withColumn("threshold", F.element_at(limits, F.col("rule_id"))).where(F.col("threshold").isNotNull())
+    return rows.select("rule_id", "column_name", "expectation", share.alias("failed_share"), "threshold",
+                       F.coalesce(share >= F.col("threshold"), F.lit(False)).alias("halts"))
+
+
 def check_gate(results, critical: dict[int, float]) -> None:
     """X4 on collected V15 rows (one per rule)."""
     for row in results:

@@ -1,8 +1,9 @@
 """Named queries over the driver tables: one per operator family.
 
 Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame.  The
-customer queries start from ``dirty_customers`` (a projection of ``customer``),
-whose stable order key is ``customer_id``.
+customer queries start from ``dirty_customers`` (a projection of ``customer``).
+Its ids are out of order, repeated and null, so whatever needs the order of the
+file uses the row id of the scan (``raw_rows``).
 """
 
 from __future__ import annotations
@@ -17,20 +18,25 @@ from ..operators import mask as M
 from ..operators import pii as D
 from ..operators import profile as P
 from ..operators import rules as V
-from ..operators.rowid import positions
+from ..operators.rowid import ROW_ID, positions, with_row_id
 from ..session import new_run_dir
 from ..sources.csv import read_csv, row_counts, write_table
-from ..functions.patterns import FILL_VALUES
+from ..functions.patterns import DATE_COLUMNS, FILL_VALUES
 from ..functions.sqltext import Expr, Ref, stack_rows
 from ..sources.tables import dirty_customers, table
 
 KEY = "customer_id"
+GATE = {2: 0.5, 4: 0.05, 7: 0.1, 12: 0.2}  # rule -> share of failing rows at which a run halts
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
     return dirty_customers(spark, sf)
 
 
+def raw_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return with_row_id(raw(spark, sf))
+
+
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return C.clean(raw(spark, sf))
 
@@ -46,12 +52,14 @@ def q_scan_customers(spark, sf):
 
 
 def q_scan_csv(spark, sf):
-    """S1/S4 round trip: the dirty table written as CSV to the shared folder by
-    Spark, then read back through the bronze CSV scan (all strings, NA tokens,
-    try_cast)."""
+    """The dirty table written as CSV by Spark with its columns in another order
+    and others among them, then read through the bronze CSV scan (columns by header
+    name, all strings, NA tokens, try_cast; line breaks inside quotes)."""
     path = new_run_dir(spark, "csv")
-    write_table(raw(spark, sf), path, "csv")
-    return read_csv(spark, path)
+    df = raw(spark, sf)
+    mixed = [F.lit("gold, old").alias("tier"), *reversed(df.columns[5:]), F.lit(1).alias("batch"), *df.columns[:5]]
+    write_table(df.select(*mixed), path, "csv")
+    return read_csv(spark, path, multiline=True, required=tuple(df.columns))
 
 
 def q_row_counts(spark, sf):
@@ -92,43 +100,79 @@ def q_clean_missing_counts(spark, sf):
     return C.clean_missing_counts(raw(spark, sf))
 
 
-def cleaning_log(raw_df: DataFrame, clean_df: DataFrame, rules=None) -> DataFrame:
-    """C11: the cleaning log as ``(ordinal, section, metric, value, status)`` rows.
+_NEW = "new__"
+
+
+def _beside(raw_df: DataFrame) -> DataFrame:
+    """Raw columns under their names, cleaned ones beside them as ``new__<name>`` (one projection)."""
+    old = "old__"
+    both = C.clean(raw_df.select("*", *[F.col(c).alias(old + c) for c in raw_df.columns]))
+    return both.select(*[F.col(old + c).alias(c) for c in raw_df.columns],
+                       *[F.col(c).alias(_NEW + c) for c in raw_df.columns])
+
+
+def _counters(raw_df: DataFrame, rules, pii: bool = False) -> DataFrame:
+    """One row with every counter of the logs: rows, fixes, missing and unparsed values, failures of
+    each rule before (``b<id>``) and after (``a<id>``) cleaning, PII counts of the cleaned table.
 
-    Fix counters, per-column missing counts and the row count come from ONE
-    aggregate over the raw frame (cleaning is a projection, so row counts are
-    equal), turned into rows by a single ``stack``; the two suite results are
-    the only other passes.
+    One aggregate over the raw table with the cleaned columns beside it, and one
+    pre-aggregated ``groupBy`` per key that must be unique: two scans.
     """
+    both = _beside(raw_df)
+    types = dict(raw_df.dtypes)
+    fill = [c for c in FILL_VALUES if c in raw_df.columns]
+    aggs = [F.count(F.lit(1)).alias("_rows"), *C.clean_stat_columns(raw_df),
+            *[e.alias(f"_miss_{c}") for c, e in zip(fill, C.missing_fill_columns(raw_df))],
+            *[F.count_if(C.unparsed(c)).alias(f"_lost_{c}") for c in DATE_COLUMNS if c in raw_df.columns]]
+    keyed = []
+    for r in rules:
+        after = V.Rule(r.rule_id, _NEW + r.column, r.kind, r.params)
+        if r.kind == "unique":
+            if r.column in C.CHANGED_COLUMNS:
+                raise ValueError(f"{r.column} is changed by cleaning: evaluate its uniqueness on each table")
+            keyed.append(V.evaluate(raw_df, [r]).select(F.col("unexpected_count").alias(f"b{r.rule_id}"),
+                                                        F.col("unexpected_count").alias(f"a{r.rule_id}")))
+        else:
+            aggs += [F.count_if(r.unexpected(raw_df)).alias(f"b{r.rule_id}"),
+                     F.count_if(V._unexpected(after, types.get(r.column))).alias(f"a{r.rule_id}")]
+    if pii:
+        aggs += [x for x in D._scan_aggs(_NEW)[1:]]
+    out = both.agg(*aggs)
+    for k in keyed:  # one-row results: the largest of each column is the one that is there
+        out = out.unionByName(k, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])
+
+
+def _failed(rules, side: str) -> Expr:
+    return Expr(" + ".join(f"cast(`{side}{r.rule_id}` > 0 as bigint)" for r in rules))
+
+
+def cleaning_log(raw_df: DataFrame, rules=None) -> DataFrame:
+    """C11: the cleaning log as ``(ordinal, section, metric, value, status)`` rows: fixes, values
+    missing before they were filled, failed rules before and after, size of the output, and
+    dates that no layout fits (see ``clean.date_rejects``)."""
     rules = rules or V.customer_suite()
     fill = [c for c in FILL_VALUES if c in raw_df.columns]
-    wide = raw_df.agg(F.count(F.lit(1)).alias("_rows"), *C.clean_stat_columns(raw_df),
-                      *[e.alias(f"_miss_{c}") for c, e in zip(fill, C.missing_fill_columns(raw_df))])
     fixes = ("phone_fixes", "date_fixes", "name_fixes", "email_fixes")
-    rows = [(i, "normalization", m, Ref(m)) for i, m in enumerate(fixes, start=1)]
-    rows += [(4 + i, "missing_values", c, Ref(f"_miss_{c}")) for i, c in enumerate(fill, start=1)]
-    rows += [(15, "output", "rows", Ref("_rows")), (16, "output", "columns", Expr(f"{len(clean_df.columns)}L"))]
-    counted = wide.select(stack_rows(("ordinal", "section", "metric", "value"), tuple(rows))).select(
-        "ordinal", "section", "metric", F.col("value").cast("bigint").alias("value"),
-        F.lit(None).cast("string").alias("status"))
-    before = V.summarize(V.evaluate(raw_df, rules))
-    after = V.summarize(V.evaluate(clean_df, rules))
-    val = before.select(
-        F.lit(13).alias("ordinal"), F.lit("validation").alias("section"), F.lit("failures_before").alias("metric"),
-        F.col("unsuccessful_expectations").cast("bigint").alias("value"), F.lit(None).cast("string").alias("status"),
-    ).unionByName(after.select(
-        F.lit(14).alias("ordinal"), F.lit("validation").alias("section"), F.lit("failures_after").alias("metric"),
-        F.col("unsuccessful_expectations").cast("bigint").alias("value"),
-        F.when(F.col("unsuccessful_expectations") == 0, F.lit("PASS")).otherwise(F.lit("REVIEW REQUIRED"))
-        .alias("status"),
-    ))
-    res = counted.unionByName(val)
-    return res.select(F.col("ordinal").cast("int").alias("ordinal"), "section", "metric", "value", "status")
+    after = _failed(rules, "a")
+    rows = [(i, "normalization", m, Ref(m), None) for i, m in enumerate(fixes, start=1)]
+    rows += [(4 + i, "missing_values", c, Ref(f"_miss_{c}"), None) for i, c in enumerate(fill, start=1)]
+    rows += [(13, "validation", "failures_before", _failed(rules, "b"), None),
+             (14, "validation", "failures_after", after, Expr(f"if({after} = 0, 'PASS', 'REVIEW REQUIRED')")),
+             (15, "output", "rows", Ref("_rows"), None), (16, "output", "columns", Expr(f"{len(raw_df.columns)}L"), None)]
+    rows += [(17 + i, "unparsed", c, Ref(f"_lost_{c}"), None)
+             for i, c in enumerate(c for c in DATE_COLUMNS if c in raw_df.columns)]
+    return _counters(raw_df, rules).select(stack_rows(("ordinal", "section", "metric", "value", "status"), tuple(rows))).select(
+        F.col("ordinal").cast("int").alias("ordinal"), "section", "metric", F.col("value").cast("bigint").alias("value"),
+        F.col("status").cast("string").alias("status"))
 
 
 def q_cleaning_log(spark, sf):
-    r = raw(spark, sf)
-    return cleaning_log(r, C.clean(r))
+    return cleaning_log(raw(spark, sf))
+
+
+def q_clean_date_rejects(spark, sf):
+    return C.date_rejects(raw(spark, sf), (KEY,))
 
 
 # --- masking ------------------------------------------------------------------------
@@ -157,16 +201,17 @@ def q_mask_full(spark, sf):
     return masked(spark, sf)
 
 
-def masked_sample(raw_df: DataFrame, masked_df: DataFrame, order_col: str = KEY, n: int = 2) -> DataFrame:
-    """The first ``n`` rows before and after masking, one row per ``(side, row)``."""
-    before = raw_df.orderBy(order_col).limit(n).select(F.lit("before").alias("side"), *raw_df.columns)
-    after = masked_df.orderBy(order_col).limit(n).select(F.lit("after").alias("side"), *masked_df.columns)
-    return before.unionByName(after)
+def masked_sample(raw_df: DataFrame, order_col: str = ROW_ID, n: int = 2) -> DataFrame:
+    """The first ``n`` rows of the file before and after masking, one row per ``(side, row)``;
+    both sides come from the same rows (a top-n, then cleaned and masked)."""
+    cols = [c for c in raw_df.columns if c != ROW_ID]
+    top = raw_df.orderBy(order_col).limit(n)
+    before = top.select(F.lit("before").alias("side"), *cols)
+    return before.unionByName(M.mask(C.clean(top)).select(F.lit("after").alias("side"), *cols))
 
 
 def q_masked_sample(spark, sf):
-    r = raw(spark, sf)
-    return masked_sample(r, M.mask(C.clean(r)))
+    return masked_sample(raw_rows(spark, sf))
 
 
 # --- validation ---------------------------------------------------------------------
@@ -185,8 +230,12 @@ def q_validate_clean(spark, sf):
 
 
 def _per_stage(spark, sf, fn) -> DataFrame:
+    return _per_table(_stages(spark, sf), fn)
+
+
+def _per_table(tables, fn) -> DataFrame:
     out = None
-    for name, df in _stages(spark, sf):
+    for name, df in tables:
         part = fn(df).select(F.lit(name).alias("stage"), "*")
         out = part if out is None else out.unionByName(part)
     return out
@@ -201,14 +250,18 @@ def q_validate_impact(spark, sf):
 
 
 def q_validate_failures(spark, sf):
-    return _per_stage(spark, sf, lambda df: V.failures(df, V.customer_suite(), KEY, k=3))
+    r = raw_rows(spark, sf)
+    return _per_table((("raw", r), ("cleaned", C.clean(r))),
+                      lambda df: V.failures(df, V.customer_suite(), ROW_ID, k=3, show=(KEY,)))
 
 
 def q_validate_failed_rows(spark, sf):
+    r = raw_rows(spark, sf)
+
     def rows(df):
-        sample = V.failures(df, V.customer_suite(), KEY, k=10).select("rule_id", KEY)
-        return positions(df, KEY, sample).select("rule_id", "row_number")
-    return _per_stage(spark, sf, rows)
+        sample = V.failures(df, V.customer_suite(), ROW_ID, k=10)
+        return positions(df, sample).select("rule_id", "row_number")
+    return _per_table((("raw", r), ("cleaned", C.clean(r))), rows)
 
 
 def q_validate_orders(spark, sf):
@@ -235,15 +288,15 @@ def q_profile_types(spark, sf):
 
 
 def q_profile_issues(spark, sf):
-    return P.issues(raw(spark, sf), KEY)
+    return P.issues(raw_rows(spark, sf), ROW_ID)
 
 
 def q_profile_slash_dates(spark, sf):
-    return P.slash_dates(raw(spark, sf), KEY)
+    return P.slash_dates(raw_rows(spark, sf), ROW_ID)
 
 
 def q_profile_invalid_status(spark, sf):
-    return P.invalid_categories(raw(spark, sf), KEY)
+    return P.invalid_categories(raw_rows(spark, sf), ROW_ID)
 
 
 def q_profile_duplicates(spark, sf):
@@ -255,7 +308,7 @@ def q_profile_duplicates_orders(spark, sf):
 
 
 def q_profile_report(spark, sf):
-    return P.report(raw(spark, sf), KEY)
+    return P.report(raw_rows(spark, sf), ROW_ID)
 
 
 # --- PII ----------------------------------------------------------------------------
@@ -294,53 +347,30 @@ def q_mask_documents(spark, sf):
 
 # --- pipeline-level -----------------------------------------------------------------
 
-def run_report(raw_df: DataFrame, clean_df: DataFrame, masked_df: DataFrame, rules=None) -> DataFrame:
-    """O2: stage metrics ``(ordinal, stage, metric, value)``.
-
-    ``clean_df`` and ``masked_df`` are the projections ``clean(raw_df)`` and
-    ``mask(clean_df)``, so their row counts are the raw count.
-    """
+def run_report(raw_df: DataFrame, rules=None) -> DataFrame:
+    """O2: stage metrics ``(ordinal, stage, metric, value)`` of a run over ``raw_df``, without its sinks
+    (the job reports the rows that it really wrote, see ``pipeline``)."""
     rules = rules or V.customer_suite()
-
-    def rows(df, items):
-        return df.select(F.inline(F.array(*[
-            F.struct(F.lit(o).alias("ordinal"), F.lit(s).alias("stage"), F.lit(m).alias("metric"),
-                     v.cast("bigint").alias("value"))
-            for o, s, m, v in items
-        ])))
-
-    # row count, fix counters and missing counts: one aggregate over the raw
-    # frame, one stack; cleaning and masking are projections (same rows)
     fill = [c for c in FILL_VALUES if c in raw_df.columns]
-    wide = raw_df.agg(F.count(F.lit(1)).alias("_rows"), *C.clean_stat_columns(raw_df),
-                      *[e.alias(f"_miss_{c}") for c, e in zip(fill, C.missing_fill_columns(raw_df))])
-    miss_sum = Expr(" + ".join(f"`_miss_{c}`" for c in fill) or "0L")
-    counted = wide.select(stack_rows(("ordinal", "stage", "metric", "value"), (
+    missing = Expr(" + ".join(f"`_miss_{c}`" for c in fill) or "0L")
+    return _counters(raw_df, rules, pii=True).select(stack_rows(("ordinal", "stage", "metric", "value"), (
         (1, "LOAD", "rows", Ref("_rows")),
         (2, "LOAD", "columns", Expr(f"{len(raw_df.columns)}L")),
+        (3, "VALIDATE (RAW)", "failures", _failed(rules, "b")),
         (4, "CLEAN", "phone_fixes", Ref("phone_fixes")),
         (5, "CLEAN", "email_fixes", Ref("email_fixes")),
         (6, "CLEAN", "date_fixes", Ref("date_fixes")),
         (7, "CLEAN", "name_fixes", Ref("name_fixes")),
-        (8, "CLEAN", "missing_fills", miss_sum),
+        (8, "CLEAN", "missing_fills", missing),
+        (9, "VALIDATE (CLEANED)", "failures", _failed(rules, "a")),
+        (10, "DETECT PII", "emails", Ref("_email")),
+        (11, "DETECT PII", "dobs", Ref("_dob")),
         (12, "SAVE", "masked_rows", Ref("_rows")),
-    ))).select("ordinal", "stage", "metric", F.col("value").cast("bigint").alias("value"))
-    before = rows(V.summarize(V.evaluate(raw_df, rules)),
-                  [(3, "VALIDATE (RAW)", "failures", F.col("unsuccessful_expectations"))])
-    after = rows(V.summarize(V.evaluate(clean_df, rules)),
-                 [(9, "VALIDATE (CLEANED)", "failures", F.col("unsuccessful_expectations"))])
-    pii = D.scan(clean_df).groupBy().pivot("pii_type", ["email", "dob"]).agg(F.first("found_rows"))
-    detected = rows(pii, [(10, "DETECT PII", "emails", F.col("email")), (11, "DETECT PII", "dobs", F.col("dob"))])
-    out = counted
-    for p in (before, after, detected):
-        out = out.unionByName(p)
-    return out.select(F.col("ordinal").cast("int").alias("ordinal"), "stage", "metric", "value")
+    ))).select(F.col("ordinal").cast("int").alias("ordinal"), "stage", "metric", F.col("value").cast("bigint").alias("value"))
 
 
 def q_run_report(spark, sf):
-    r = raw(spark, sf)
-    c = C.clean(r)
-    return run_report(r, c, M.mask(c))
+    return run_report(raw(spark, sf))
 
 
 def run_summary(raw_df: DataFrame, clean_df: DataFrame, masked_df: DataFrame, rules=None) -> DataFrame:
@@ -382,6 +412,11 @@ def q_cross_field(spark, sf):
     return c.select(KEY, "date_of_birth", "created_date", both.alias("checked"), rule.unexpected(c).alias("violated"))
 
 
+def q_quality_gate(spark, sf):
+    """X4 on the raw table: a few critical rules, some of which halt the job."""
+    return V.gate(V.evaluate(raw(spark, sf), V.customer_suite()), GATE)
+
+
 def q_stream_mask_customers(spark, sf):
     from ..streaming.incremental import stream_masked_customers
     return stream_masked_customers(spark, sf)

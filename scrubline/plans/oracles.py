@@ -2,8 +2,9 @@
 
 These strings are the correctness oracle: they run on the same parquet
 tables, registered as views, and must give the same rows as the Spark
-queries.  They are written independently of the Spark code (SQL text, RE2
-regexes, DuckDB date parsing) and share only the fixed values.
+queries.  They are written independently of the Spark code (their own text of the
+dirty table and of each rule, RE2 regexes, DuckDB date parsing) and share only the
+fixed values of ``functions/patterns.py`` and the names in the rule suites.
 """
 
 from __future__ import annotations
@@ -12,15 +13,45 @@ from ..functions.patterns import (
     DATE_SENTINEL, DOB_DRIFT_PATTERN, EMAIL_PATTERN, FILL_VALUES, FORMATTED_PHONE_PATTERN, ISO_DATE_PATTERN,
     NONSTANDARD_PHONE_PATTERN, PHONE_PATTERN, PY_SPACE, RISK_LEVELS, UPPERCASE_PATTERN, VALID_STATUSES,
 )
-from ..operators.rules import _YMD_SHAPE, Rule, customer_suite, orders_key_suite, orders_suite
-from ..sources.tables import DIRTY_CUSTOMERS_SQL
+from ..operators.rules import Rule, customer_suite, orders_key_suite, orders_suite
 
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 _DUCK_DATE_FORMATS = (
     "%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y", "%d/%m/%Y", "%m-%d-%Y", "%d-%m-%Y", "%Y%m%d", "%Y.%m.%d",
-    "%b %d, %Y", "%B %d, %Y", "%d %b %Y", "%d %B %Y", "%d-%b-%Y", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S",
+    "%b %d %Y", "%B %d %Y", "%d %b %Y", "%d %B %Y", "%d-%b-%Y",
 )
 
+# The dirty table by position in lists; ``ord`` is the place of the row in the file.
+DIRTY_SQL = """
+select k as ord,
+  case when k % 97 = 13 then null else case when k % 89 = 5 then 0 - k else case when k % 53 = 7 then 50
+    else k + 2 - 2 * (k % 2) end end end as customer_id,
+  ['John', 'jane', 'MARY', null, 'o''brien', 'A', '  ann  marie ', repeat('x', 51), c_name, 'Élodie', 'mary-jane',
+   'Robert', 'Robert', 'Robert', 'Robert', 'Robert'][k % 16 + 1] as first_name,
+  ['Doe', 'smith', null, 'mary-jane', 'Q', repeat('long', 13), ' lee ', 'd''arc', 'Moore', 'Moore', 'Moore', 'Moore',
+   'Moore'][k % 13 + 1] as last_name,
+  case when k % 50 = 49 then null when k % 10 = 5 then 'USER' || k || '@EXAMPLE.COM' when k % 50 = 48 then 'not-an-email'
+    when k % 60 = 17 then ' pad.' || k || '@example.com ' else 'user.' || k || '@example.com' end as email,
+  ['555-123-' || l, '(555) 123-' || l, '555.123.' || l, '555123' || l, '12345', null, '+1 555 123 4567'][k % 7 + 1] as phone,
+  ['invalid_date', y || '/05/10', '01/15/' || y, y || '-03-15', y || '-1-5', '25/12/' || y, '01-15-' || y, '25-12-' || y,
+   y || '0704', y || '.06.07', 'Jan 15, ' || y, 'march 3 ' || y, '15 JAN ' || y, '4 July, ' || y, '05-Feb-' || y,
+   y || '-03-15 10:30', y || '-03-15T10:30:45', y || '-03-15 10:30:45.123', y || '/05/10 10:00:00', '1/15/' || y || ' 9:05',
+   '1/5/' || y[3:4], '25-12-' || y[3:4], y || '-02-30', 'soon', null, ' ' || y || '-10-01 '][k % 26 + 1] as date_of_birth,
+  [k || ' Main St', null, '12 "Old" Rd, NY ' || k, '  ' || k || ' Blank St ', 'Flat 1' || chr(10) || k || ' Main St', 'NY',
+   k || ' Main St', k || ' Main St'][k % 8 + 1] as address,
+  case when k % 9 = 2 then null when k % 31 = 4 then 'nan'::double when k % 37 = 6 then 10000001.5::double
+    when k % 41 = 9 then -1.0::double else c_acctbal end as income,
+  ['active', 'inactive', 'suspended', null, 'ACTIVE', if(k % 3 = 0, 'it''s', 'active'), 'bad' || ((k // 8) % 12),
+   'active'][k % 8 + 1] as account_status,
+  case when k % 20 = 19 then 'invalid_date' when k % 20 = 11 then '1949-01-01' when k % 20 = 7 then '01/31/2024'
+    when k % 20 = 3 then '2024-01-10 08:15' when k % 20 = 5 then null else '2024-01-10' end as created_date
+from (select c_custkey as k, c_name, c_acctbal, cast(1950 + c_custkey % 50 as varchar) as y,
+        right('0000' || (c_custkey % 10000), 4) as l from customer)
+"""
+# a calendar date as year-month-day text, one- or two-digit month and day
+_YMD = r"^\d{4}-\d{1,2}-\d{1,2}$"
+_TIME = r"[ T]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$"
+
 
 def q(s: str) -> str:
     """SQL string literal."""
@@ -42,7 +73,12 @@ def is_title(x: str) -> str:
 
 def iso(x: str) -> str:
     fmts = "[" + ", ".join(q(f) for f in _DUCK_DATE_FORMATS) + "]"
-    return f"strftime(cast(try_strptime(trim({x}), {fmts}) as date), '%Y-%m-%d')"
+    day = f"regexp_replace(trim({x}), {q(_TIME)}, '')"
+    named = f"if(regexp_matches({day}, '[A-Za-z]'), replace({day}, ',', ''), {day})"
+    century = f"if(right({day}, 2) >= '69', '19', '20')"
+    full = (f"if(regexp_matches({day}, {q(r'^[0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]{2}$')}), "
+            f"left({day}, length({day}) - 2) || {century} || right({day}, 2), {named})")
+    return f"strftime(cast(try_strptime({full}, {fmts}) as date), '%Y-%m-%d')"
 
 
 def date_clean(x: str) -> str:
@@ -65,9 +101,9 @@ def name_clean(x: str) -> str:
 
 STATUS_SET = "(" + ", ".join(q(v) for v in VALID_STATUSES) + ")"
 
-DIRTY = f"dirty as ({DIRTY_CUSTOMERS_SQL})"
+DIRTY = f"dirty as ({DIRTY_SQL})"
 CLEANED = f"""cleaned as (
-  select customer_id,
+  select ord, customer_id,
     coalesce({name_clean('first_name')}, '[UNKNOWN]') as first_name,
     coalesce({name_clean('last_name')}, '[UNKNOWN]') as last_name,
     lower(email) as email,
@@ -79,7 +115,7 @@ CLEANED = f"""cleaned as (
     coalesce({date_clean('created_date')}, '[UNKNOWN]') as created_date
   from dirty)"""
 MASKED = f"""masked as (
-  select customer_id,
+  select ord, customer_id,
     case when first_name is null or first_name = '[UNKNOWN]' then first_name
       else substr(first_name, 1, 1) || '***' end as first_name,
     case when last_name is null or last_name = '[UNKNOWN]' then last_name
@@ -130,7 +166,7 @@ def rule_sql(r: Rule, table: str, dtypes: dict) -> str:
         u = f"{pres} and {c} not in ({', '.join(q(v) for v in p['values'])})"
     elif r.kind == "date_format":
         s = f"cast({c} as varchar)"
-        u = (f"{pres} and not (regexp_matches({s}, {q(_YMD_SHAPE)}) and "
+        u = (f"{pres} and not (regexp_matches({s}, {q(_YMD)}) and "
              f"try_strptime({s}, '%Y-%m-%d') is not null)")
     else:  # pragma: no cover
         raise ValueError(r.kind)
@@ -222,22 +258,29 @@ select 9, 'income', 'NUMERIC', 'detected as Mixed/Object'
   where (select coalesce(bool_or(income is null or isnan(income)), false) from dirty)""".format(
     dob=q(DOB_DRIFT_PATTERN))
 
-SLASH_SQL = """select column_ordinal, column_name, value, cast(min(customer_id) as bigint) as first_seen,
+SLASH_SQL = """select column_ordinal, column_name, value, cast(min(ord) as bigint) as first_seen,
   count(*) as occurrences from (
-  select 1 as column_ordinal, 'date_of_birth' as column_name, date_of_birth as value, customer_id from dirty
+  select 1 as column_ordinal, 'date_of_birth' as column_name, date_of_birth as value, ord from dirty
     where contains(date_of_birth, '/')
   union all
-  select 2, 'created_date', created_date, customer_id from dirty where contains(created_date, '/'))
+  select 2, 'created_date', created_date, ord from dirty where contains(created_date, '/'))
 group by column_ordinal, column_name, value"""
 
-INVALID_STATUS_SQL = f"""select account_status as value, cast(min(customer_id) as bigint) as first_seen,
+INVALID_STATUS_SQL = f"""select account_status as value, cast(min(ord) as bigint) as first_seen,
   count(*) as occurrences from dirty
 where account_status is not null and lower(account_status) not in {STATUS_SET}
 group by account_status"""
 
 
-def _list_repr(expr_values: str, order: str) -> str:
-    return f"'[''' || string_agg({expr_values}, ''', ''' order by {order}) || ''']'"
+def py_repr(x: str) -> str:
+    """Python's repr of a string."""
+    esc = f"replace(replace({x}, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n')"
+    return (f"if(contains({x}, chr(39)) and not contains({x}, chr(34)), chr(34) || {esc} || chr(34), "
+            f"chr(39) || replace({esc}, chr(39), chr(92) || chr(39)) || chr(39))")
+
+
+def _list_repr(value: str, order: str) -> str:
+    return f"'[' || string_agg({py_repr(value)}, ', ' order by {order}) || ']'"
 
 
 ISSUES_SQL = f"""iss as (
@@ -246,18 +289,16 @@ ISSUES_SQL = f"""iss as (
       count(*) filter (where contains(date_of_birth, '/')) + count(*) filter (where contains(created_date, '/')) as c2,
       count(*) filter (where first_name is not null and not {is_title('first_name')}) as c3f,
       count(*) filter (where last_name is not null and not {is_title('last_name')}) as c3l,
-      arg_min(first_name, customer_id) filter (where first_name is not null and not {is_title('first_name')}) as e3f,
-      arg_min(last_name, customer_id) filter (where last_name is not null and not {is_title('last_name')}) as e3l,
-      count(*) filter (where regexp_matches(email, {q(UPPERCASE_PATTERN)})) as c4,
-      count(*) filter (where account_status is not null and lower(account_status) not in {STATUS_SET}) as c5
+      arg_min(first_name, ord) filter (where first_name is not null and not {is_title('first_name')}) as e3f,
+      arg_min(last_name, ord) filter (where last_name is not null and not {is_title('last_name')}) as e3l,
+      count(*) filter (where regexp_matches(email, {q(UPPERCASE_PATTERN)})) as c4
     from dirty),
-  ph as (select {_list_repr('phone', 'customer_id')} as ex from (
-      select phone, customer_id from dirty where regexp_matches(phone, {q(NONSTANDARD_PHONE_PATTERN)})
-      order by customer_id limit 2)),
+  ph as (select {_list_repr('phone', 'ord')} as ex from (
+      select phone, ord from dirty where regexp_matches(phone, {q(NONSTANDARD_PHONE_PATTERN)})
+      order by ord limit 2)),
   sd as (select {_list_repr('value', 'column_ordinal, first_seen')} as ex from (
       select * from ({SLASH_SQL}) order by column_ordinal, first_seen limit 3)),
-  cat as (select {_list_repr('value', 'first_seen')} as ex from (
-      select * from ({INVALID_STATUS_SQL}) order by first_seen limit 10)),
+  cat as (select {py_repr('value')} as ex, occurrences from ({INVALID_STATUS_SQL})),
   dup as (select cast(coalesce(sum(n), 0) as bigint) as affected from (
       select customer_id, count(*) as n from dirty group by customer_id having count(*) > 1)),
   parts as (
@@ -267,9 +308,9 @@ ISSUES_SQL = f"""iss as (
         case when c3f > 0 then 'first_name (''' || e3f || ''')' end,
         case when c3l > 0 then 'last_name (''' || e3l || ''')' end) from c
     union all select 4, c4, null from c
-    union all select 5, c5, (select ex from cat) from c
+    union all select 5, occurrences, ex from cat
     union all select 6, affected, null from dup)
-  select cast(row_number() over (order by check_no) as integer) as issue_no, check_no,
+  select cast(dense_rank() over (order by check_no) as integer) as issue_no, check_no,
     case check_no when 1 then 'Non-standard Phone Formats'
       when 2 then 'Inconsistent Date Formats (Slashes detected)' when 3 then 'Inconsistent Name Casing'
       when 4 then 'Non-standard Email Casing (Uppercase detected)' when 5 then 'Invalid Category Values'
@@ -376,6 +417,11 @@ MISSING_COUNTS_SQL = "\nunion all\n".join(
     for i, (c, v) in enumerate(FILL_VALUES.items(), start=1)
 )
 
+DATE_REJECTS_SQL = "\nunion all\n".join(
+    f"select customer_id, {q(c)} as column_name, {c} as value from dirty "
+    f"where {c} is not null and {c} <> {q(DATE_SENTINEL)} and {date_clean(c)} is null"
+    for c in ("date_of_birth", "created_date"))
+
 # --- assembled oracle dictionary ----------------------------------------------------------
 
 CUSTOMER_COLS = ", ".join(c for c, _ in CUSTOMER_COLUMNS)
@@ -387,8 +433,8 @@ def _stage_union(raw_sql: str, clean_sql: str) -> str:
 
 def _failures(flags: str, k: int) -> str:
     return (f"select rule_id, column_name, expectation, cast(sample_no as integer) as sample_no, customer_id, value "
-            f"from (select *, row_number() over (partition by rule_id order by customer_id) as sample_no "
-            f"from ({failures_long_sql(flags, SUITE, 'customer_id')})) where sample_no <= {k}")
+            f"from (select *, row_number() over (partition by rule_id order by ord) as sample_no "
+            f"from ({failures_long_sql(flags, SUITE, 'ord, customer_id')})) where sample_no <= {k}")
 
 
 def _key_failures(flags: str, rules: list[Rule], key: str, k: int) -> str:
@@ -399,8 +445,8 @@ def _key_failures(flags: str, rules: list[Rule], key: str, k: int) -> str:
 
 def _failed_rows(flags: str, k: int) -> str:
     return (f"select rule_id, row_number from (select rule_id, pos as row_number, "
-            f"row_number() over (partition by rule_id order by customer_id) as rk from ("
-            + "\nunion all\n".join(f"select {r.rule_id} as rule_id, customer_id, pos from {flags} where u{r.rule_id}"
+            f"row_number() over (partition by rule_id order by ord) as rk from ("
+            + "\nunion all\n".join(f"select {r.rule_id} as rule_id, ord, pos from {flags} where u{r.rule_id}"
                                    for r in SUITE)
             + f")) where rk <= {k}")
 
@@ -422,7 +468,9 @@ select cast(ordinal as integer) as ordinal, section, metric, cast(value as bigin
   union all select 14, 'validation', 'failures_after', unsuccessful_expectations,
     case when unsuccessful_expectations = 0 then 'PASS' else 'REVIEW REQUIRED' end from va
   union all select 15, 'output', 'rows', (select count(*) from cleaned), null
-  union all select 16, 'output', 'columns', 10, null)"""
+  union all select 16, 'output', 'columns', 10, null
+  union all select 17, 'unparsed', 'date_of_birth', (select count(*) from ({DATE_REJECTS_SQL}) where column_name = 'date_of_birth'), null
+  union all select 18, 'unparsed', 'created_date', (select count(*) from ({DATE_REJECTS_SQL}) where column_name = 'created_date'), null)"""
 
 
 _LOG_CTES = (
@@ -456,6 +504,15 @@ def _quarantine() -> str:
                                       f"from fr where {ANY_FAILED}")
 
 
+def _scan_csv() -> str:
+    """What comes back from a CSV file: blanks after a delimiter go, except inside quotes; NaN is a missing value."""
+    cols = []
+    for c, t in CUSTOMER_COLUMNS:
+        kept = f"if(regexp_matches({c}, '[,\"\n]'), {c}, ltrim({c}))"
+        cols.append(f"if(isnan({c}), null, {c}) as {c}" if t == "double" else f"{kept} as {c}" if t == "varchar" else c)
+    return f"select {', '.join(cols)} from dirty"
+
+
 def oracle_sql() -> dict[str, str]:
     d = with_(DIRTY)
     dc = with_(DIRTY, CLEANED)
@@ -463,14 +520,14 @@ def oracle_sql() -> dict[str, str]:
     raw_flags = with_(DIRTY, CLEANED, RAW_FLAGS, CLEAN_FLAGS)
     pos_flags = with_(
         DIRTY, CLEANED,
-        flags_cte("fr", "(select *, row_number() over (order by customer_id) as pos from dirty)", SUITE,
+        flags_cte("fr", "(select *, row_number() over (order by ord) as pos from dirty)", SUITE,
                   CUSTOMER_TYPES, "customer_id"),
-        flags_cte("fc", "(select *, row_number() over (order by customer_id) as pos from cleaned)", SUITE,
+        flags_cte("fc", "(select *, row_number() over (order by ord) as pos from cleaned)", SUITE,
                   CUSTOMER_TYPES, "customer_id"),
     )
     return {
-        "scan_customers": d + "select * from dirty",
-        "scan_csv": d + "select * from dirty",
+        "scan_customers": d + f"select {CUSTOMER_COLS} from dirty",
+        "scan_csv": d + _scan_csv(),
         "row_counts": d + "select count(*) as row_count, cast(10 as bigint) as column_count from dirty",
         "clean_names": d + f"select customer_id, {name_clean('first_name')} as first_name, "
                            f"{name_clean('last_name')} as last_name from dirty",
@@ -484,7 +541,7 @@ def oracle_sql() -> dict[str, str]:
             case when income is null or isnan(income) then 0.0 else income end as income,
             coalesce(account_status, 'unknown') as account_status,
             coalesce(created_date, '[UNKNOWN]') as created_date from dirty""",
-        "clean_full": dc + "select * from cleaned",
+        "clean_full": dc + f"select {CUSTOMER_COLS} from cleaned",
         "clean_stats": d + CLEAN_STATS_SQL,
         "clean_missing_counts": d + MISSING_COUNTS_SQL,
         "cleaning_log": with_(*_LOG_CTES) + _cleaning_log_body(),
@@ -493,10 +550,10 @@ def oracle_sql() -> dict[str, str]:
         "mask_phones": dcm + "select customer_id, phone from masked",
         "mask_addresses": dcm + "select customer_id, address from masked",
         "mask_dob": dcm + "select customer_id, date_of_birth from masked",
-        "mask_full": dcm + "select * from masked",
+        "mask_full": dcm + f"select {CUSTOMER_COLS} from masked",
         "masked_sample": dcm + f"""select * from (select 'before' as side, {CUSTOMER_COLS} from dirty
-            order by customer_id limit 2)
-            union all select * from (select 'after' as side, {CUSTOMER_COLS} from masked order by customer_id limit 2)""",
+            order by ord limit 2)
+            union all select * from (select 'after' as side, {CUSTOMER_COLS} from masked order by ord limit 2)""",
         "validate_raw": with_(DIRTY, RAW_FLAGS) + evaluate_sql("fr", "dirty", SUITE),
         "validate_clean": with_(DIRTY, CLEANED, CLEAN_FLAGS) + evaluate_sql("fc", "cleaned", SUITE),
         "validate_summary": raw_flags + _stage_union(summary_sql(evaluate_sql("fr", "dirty", SUITE)),
@@ -538,8 +595,14 @@ def oracle_sql() -> dict[str, str]:
             (select case when bool_and(success) then 'PASS' else 'FAIL' end from (""" +
             evaluate_sql("fc", "cleaned", SUITE) + """)) as quality_status,
             'SUCCESS' as execution_status""",
+        "clean_date_rejects": d + DATE_REJECTS_SQL,
+        "quality_gate": with_(DIRTY, RAW_FLAGS) + f"""select rule_id, column_name, expectation, share as failed_share, threshold,
+            coalesce(share >= threshold, false) as halts from (select e.*, unexpected_count / nullif(element_count, 0)::double as share
+              from ({evaluate_sql("fr", "dirty", SUITE)}) e)
+            join (values (2, 0.5::double), (4, 0.05::double), (7, 0.1::double), (12, 0.2::double)) t(rule_id, threshold)
+            using (rule_id)""",
         "quarantine": _quarantine(),
-        "stream_mask_customers": dcm + "select * from masked",
+        "stream_mask_customers": dcm + f"select {CUSTOMER_COLS} from masked",
         "stream_duplicate_keys": ("select o_custkey, count(*) as occurrences from orders group by o_custkey "
                                   "having count(*) > 1"),
         "cross_field": dc + """select customer_id, date_of_birth, created_date,

@@ -4,15 +4,18 @@ detect PII -> mask -> save, with report tables.
 Execution plan
 --------------
 * A CSV source is parsed once into a Parquet table in the shared folder
-  (``spark.checkpoint.dir``) and read back, so every later stage reads columnar data instead of re-parsing CSV, and
-  a lost executor only recomputes from that table, not from the source.
-* Cleaning is one projection written once (sink S4).  Its fix counters and
-  the per-column nulls before the fill step are collected with
-  ``DataFrame.observe`` during that write, so they cost no extra pass.
+  (``spark.checkpoint.dir``) with the row ids of the scan, malformed rows and cells
+  that did not fit their type are counted there, and every later stage reads
+  columnar data; a lost executor only recomputes from that table.
+* With critical rules the raw table is validated first, and the gate decides before
+  any table of the run is written.
+* Cleaning is one projection written once (sink S4).  Its fix counters and the
+  per-column nulls before the fill step are collected with ``DataFrame.observe``
+  during that write; the rows that masking wrote are observed in the same way.
 * Each metric is computed once: the two validation results are written, and
   the summary, cleaning log, run report and run summary are assembled from
   those small results and the observed counters (bounded rows on the driver).
-* Masking, PII scan, re-validation and samples read the written cleaned table.
+* CSV is an export: masking, PII scan and re-validation read the Parquet copy.
 * Independent actions of a phase are submitted together from a small thread
   pool, so Spark runs them as concurrent jobs instead of one after another.
 """
@@ -26,12 +29,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import clean as C
 from ..operators import mask as M
 from ..operators import pii as D
 from ..operators import profile as P
 from ..operators import rules as V
+from ..operators.rowid import ROW_ID, with_row_id
 from ..session import new_run_dir, use_jit_safe_codegen
 from ..sources.csv import read_csv, write_table
 from .catalog import masked_sample
@@ -48,14 +53,6 @@ class PipelineResult:
     timings: dict = field(default_factory=dict)   # seconds per written table
 
 
-def _stage_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
-    write_table(df, path, fmt)
-    reader = spark.read
-    if fmt == "csv":
-        return reader.schema(df.schema).option("header", True).csv(path)
-    return reader.format(fmt).load(path)
-
-
 def _concurrently(tasks: dict) -> dict:
     """Run independent actions as concurrent Spark jobs; results by name.
     The first failure is raised after all submitted jobs have finished."""
@@ -73,71 +70,112 @@ def run_pipeline(
     spark: SparkSession,
     source: DataFrame | str,
     out_dir: str,
-    order_col: str = "customer_id",
+    order_col: str | None = None,
     rules: list | None = None,
     output_format: str = "parquet",
     critical: dict[int, float] | None = None,
     fail_fast: bool = False,
+    gate_on: str = "raw",
+    multiline: bool = False,
+    tune_codegen: bool = True,
 ) -> PipelineResult:
     """Run the whole job.  ``source`` is a DataFrame or a CSV path.
 
-    ``critical`` maps rule ids to the share of rows at which the job halts
-    before writing outputs (X4).  Unless ``fail_fast``, any failure is
-    captured as a ``FAILED`` status and a run report is still written (O4).
+    ``order_col`` orders examples and samples (default: the order of the rows in the
+    source).  ``critical`` maps rule ids to the share of rows at which the job halts
+    (X4), judged on the raw table before anything is written, or with ``gate_on="cleaned"``
+    on the cleaned one before the masked output.  ``multiline`` reads CSV values with line
+    breaks (each file is then one split).  ``tune_codegen=False`` leaves the session's code
+    generation limit alone.  Unless ``fail_fast``, any failure is captured as a ``FAILED``
+    status and a run report is still written (O4).
     """
     rules = rules or V.customer_suite()
-    use_jit_safe_codegen(spark)
+    if tune_codegen:
+        use_jit_safe_codegen(spark)
     reports: dict[str, DataFrame] = {}
     rep_dir = os.path.join(out_dir, "reports")
-
     timings: dict[str, float] = {}
 
-    def report(name: str, df: DataFrame) -> DataFrame:
+    def stage(name: str, df: DataFrame, path: str) -> DataFrame:
         t = time.perf_counter()
-        write_table(df.coalesce(1), os.path.join(rep_dir, name))
-        reports[name] = spark.read.parquet(os.path.join(rep_dir, name))
+        write_table(df, path)
         timings[name] = round(time.perf_counter() - t, 3)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def report(name: str, df: DataFrame) -> DataFrame:
+        reports[name] = stage(name, df, os.path.join(rep_dir, name))
         return reports[name]
 
-    def stage(name: str, df: DataFrame, fmt: str = "parquet", path: str | None = None) -> DataFrame:
-        t = time.perf_counter()
-        out = _stage_table(spark, df, path or os.path.join(out_dir, name), fmt)
-        timings[name] = round(time.perf_counter() - t, 3)
-        return out
+    def output(name: str, df: DataFrame) -> DataFrame:
+        """A result table: Parquet, or a Parquet copy in the shared folder and its CSV export."""
+        if output_format == "parquet":
+            return stage(name, df, os.path.join(out_dir, name))
+        copy = stage(name, df, new_run_dir(spark, name))
+        write_table(copy, os.path.join(out_dir, name), output_format)
+        return copy
 
     try:
-        # a CSV source is parsed once into a Parquet table; a DataFrame source
-        # is used as given (stage it yourself if its plan is expensive)
-        # (the staged copy is an intermediate: it lives in the shared folder)
-        raw = (stage("raw", read_csv(spark, source), path=new_run_dir(spark, "raw"))
-               if isinstance(source, str) else source)
+        # a CSV source is parsed once; a DataFrame source is used as given (stage it yourself if
+        # its plan is expensive)
+        load_rows = []
+        if isinstance(source, str):
+            parsed = with_row_id(read_csv(spark, source, keep_bronze=True, multiline=multiline, corrupt_column="_corrupt"))
+            staged = stage("raw", parsed, new_run_dir(spark, "raw"))
+            bronze = [c for c in staged.columns if c.endswith("__raw")]
+            bad = staged.agg(F.count("_corrupt").alias("malformed_rows"),
+                             *[F.count_if(F.col(c).isNotNull() & F.col(c.removesuffix("__raw")).isNull())
+                               .alias(f"unreadable_{c.removesuffix('__raw')}") for c in bronze]).first()
+            load_rows = [(k, int(v)) for k, v in bad.asDict().items()]
+            rows = staged.drop("_corrupt", *bronze)
+        else:
+            rows = with_row_id(source)
+        raw = rows.drop(ROW_ID)
+        order = order_col or ROW_ID
+
+        def validated() -> DataFrame:
+            return V.evaluate(raw, rules)
+
+        val_raw = None
+        if critical and gate_on == "raw":  # X4: halt before any table of the run is written
+            checked = validated().collect()  # one row per rule
+            V.check_gate(checked, critical)
+            val_raw = report("validation_raw", spark.createDataFrame(checked, validated().schema))
 
         # independent actions of one phase run as concurrent Spark jobs
-        obs = Observation("cleaning")
-        done = _concurrently({
-            "validation_raw": lambda: report("validation_raw", V.evaluate(raw, rules)),
-            "profile_report": lambda: report("profile_report", P.report(raw, order_col)),
-            "cleaned": lambda: stage("cleaned", C.clean_observed(raw, obs), output_format),
-        })
-        val_raw, cleaned = done["validation_raw"], done["cleaned"]
-        metrics = dict(obs.get)
-        n_rows = metrics.pop("rows")
-        nulls = {k.removeprefix("missing__"): v for k, v in metrics.items() if k.startswith("missing__")}
-        fixes = {k: v for k, v in metrics.items() if not k.startswith("missing__")}
+        cleaning, masking = Observation("cleaning"), Observation("masking")
+        todo = {
+            "profile_report": lambda: report("profile_report", P.report(rows, order)),
+            "date_rejects": lambda: report("date_rejects", C.date_rejects(raw, tuple(raw.columns[:1]))),
+            "cleaned": lambda: output("cleaned", C.clean_observed(raw, cleaning)),
+        }
+        if val_raw is None:
+            todo["validation_raw"] = lambda: report("validation_raw", validated())
+        done = _concurrently(todo)
+        val_raw, cleaned = val_raw or done["validation_raw"], done["cleaned"]
+        metrics = dict(cleaning.get)
+        n_clean = metrics.pop("rows")
+
+        def part(prefix: str) -> dict:
+            return {k.removeprefix(prefix): v for k, v in metrics.items() if k.startswith(prefix)}
+
+        nulls, lost = part("missing__"), part("unparsed__")
+        fixes = {k: v for k, v in metrics.items() if "__" not in k}
 
         done = _concurrently({
             "validation_cleaned": lambda: report("validation_cleaned", V.evaluate(cleaned, rules)),
-            "validation_failures": lambda: report("validation_failures", V.failures(cleaned, rules, order_col)),
+            "validation_failures": lambda: report("validation_failures", V.failures(
+                C.clean(rows), rules, order, show=tuple(dict.fromkeys((*raw.columns[:1], order))))),
             "pii_report": lambda: report("pii_report", D.risk(cleaned)),
         })
         val_clean, pii = done["validation_cleaned"], done["pii_report"]
-        if critical:  # X4: halt before the masked output is written
+        if critical and gate_on == "cleaned":
             V.check_gate(val_clean.collect(), critical)
         before, after = _summary(val_raw), _summary(val_clean)
 
-        masked = stage("masked", M.mask(cleaned), output_format)
+        masked = output("masked", M.mask(cleaned).observe(masking, F.count(F.lit(1)).alias("rows")))
+        n_masked = masking.get["rows"]
+        n_raw = val_raw.agg(F.max("element_count")).first()[0]
 
-        n_cols = len(cleaned.columns)
         fills = list(nulls.items())
         log_rows = [(i, "normalization", m, int(fixes[m]), None)
                     for i, m in enumerate(("phone_fixes", "date_fixes", "name_fixes", "email_fixes"), start=1)]
@@ -146,12 +184,14 @@ def run_pipeline(
             (13, "validation", "failures_before", int(before.unsuccessful_expectations), None),
             (14, "validation", "failures_after", int(after.unsuccessful_expectations),
              "PASS" if after.unsuccessful_expectations == 0 else "REVIEW REQUIRED"),
-            (15, "output", "rows", int(n_rows), None),
-            (16, "output", "columns", n_cols, None),
+            (15, "output", "rows", int(n_clean), None),
+            (16, "output", "columns", len(cleaned.columns), None),
         ]
+        log_rows += [(17 + i, "unparsed", c, int(v), None) for i, (c, v) in enumerate(lost.items())]
+        log_rows += [(20 + i, "load", c, v, None) for i, (c, v) in enumerate(load_rows)]
         found = {r.pii_type: r.found_rows for r in pii.collect()}  # seven rows
         run_rows = [
-            (1, "LOAD", "rows", int(n_rows)), (2, "LOAD", "columns", len(raw.columns)),
+            (1, "LOAD", "rows", int(n_raw)), (2, "LOAD", "columns", len(raw.columns)),
             (3, "VALIDATE (RAW)", "failures", int(before.unsuccessful_expectations)),
             (4, "CLEAN", "phone_fixes", int(fixes["phone_fixes"])),
             (5, "CLEAN", "email_fixes", int(fixes["email_fixes"])),
@@ -161,11 +201,12 @@ def run_pipeline(
             (9, "VALIDATE (CLEANED)", "failures", int(after.unsuccessful_expectations)),
             (10, "DETECT PII", "emails", found.get("email")),
             (11, "DETECT PII", "dobs", found.get("dob")),
-            (12, "SAVE", "masked_rows", int(n_rows)),   # masking is a projection: same rows
+            (12, "SAVE", "masked_rows", int(n_masked)),  # counted while they were written
         ]
+        run_rows += [(13 + i, "LOAD", c, v) for i, (c, v) in enumerate(load_rows)]
         summary_rows = [("raw", *before), ("cleaned", *after)]
         _concurrently({
-            "masked_sample": lambda: report("masked_sample", masked_sample(raw, masked, order_col)),
+            "masked_sample": lambda: report("masked_sample", masked_sample(rows, order)),
             "validation_summary": lambda: report("validation_summary", spark.createDataFrame(
                 summary_rows,
                 "stage string, evaluated_expectations bigint, successful_expectations bigint, "
@@ -175,7 +216,7 @@ def run_pipeline(
             "run_report": lambda: report("run_report", spark.createDataFrame(
                 run_rows, "ordinal int, stage string, metric string, value bigint")),
             "run_summary": lambda: report("run_summary", spark.createDataFrame(
-                [(int(n_rows), int(n_rows), "PASS" if after.success else "FAIL", "SUCCESS")],
+                [(int(n_raw), int(n_masked), "PASS" if after.success else "FAIL", "SUCCESS")],
                 "input_rows bigint, output_rows bigint, quality_status string, execution_status string")),
         })
         return PipelineResult("SUCCESS", cleaned, masked, reports, fixes, timings=timings)
@@ -184,7 +225,7 @@ def run_pipeline(
             raise
         msg = f"{type(e).__name__}: {e}"
         failed = spark.createDataFrame(
-            [(1, "FAILED", "error", msg, traceback.format_exc()[-2000:])],
+            [(1, "FAILED", "error", msg, traceback.format_exc())],
             "ordinal int, stage string, metric string, message string, detail string",
         )
         write_table(failed, os.path.join(rep_dir, "run_report"))

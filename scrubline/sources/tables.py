@@ -9,10 +9,7 @@ its size grows with the input and it keeps the input's partitioning.
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 CUSTOMER_COLUMNS = (
     "customer_id", "first_name", "last_name", "email", "phone", "date_of_birth",
@@ -24,115 +21,60 @@ CUSTOMER_DDL = (
 )
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table (``{sf_dir}/{name}.parquet``).
-
-    The relation (file listing + footer schema) is reused for the same session
-    and path while the path's modification time is unchanged; data is still
-    read by every action.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    try:
-        stamp = os.stat(path).st_mtime_ns
-    except OSError:  # not a local path (object store, HDFS): no reuse
-        return spark.read.parquet(path)
-    key = (id(spark), path, stamp)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
-
-
-def _case(key: Column, mapping: dict, default) -> Column:
-    out = None
-    for k, v in mapping.items():
-        val = v if isinstance(v, Column) else F.lit(v)
-        out = F.when(key == k, val) if out is None else out.when(key == k, val)
-    d = default if isinstance(default, Column) else F.lit(default)
-    return out.otherwise(d)
+    """Read one driver table (``{sf_dir}/{name}.parquet``)."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dirty_customers_from(customer: DataFrame) -> DataFrame:
-    """Project the ``customer`` table into the dirty ten-column customer table."""
-    k = F.col("c_custkey")
-    ks = k.cast("string")
-    last4 = F.lpad((k % 10000).cast("string"), 4, "0")
-    year = (F.lit(1950) + k % 50).cast("string")
-    null = F.lit(None).cast("string")
-    return customer.select(
-        (k + 1).alias("customer_id"),
-        _case(k % 7, {0: "John", 1: "jane", 2: "MARY", 3: null, 4: "o'brien", 5: "A"}, "Robert")
-        .alias("first_name"),
-        _case(k % 11, {0: "Doe", 1: "smith", 2: null, 3: "mary-jane"}, "Moore").alias("last_name"),
-        F.when(k % 50 == 49, null)
-        .when(k % 10 == 5, F.concat(F.lit("USER"), ks, F.lit("@EXAMPLE.COM")))
-        .when(k % 50 == 48, F.lit("not-an-email"))
-        .otherwise(F.concat(F.lit("user."), ks, F.lit("@example.com")))
-        .alias("email"),
-        _case(
-            k % 6,
-            {
-                0: F.concat(F.lit("555-123-"), last4),
-                1: F.concat(F.lit("(555) 123-"), last4),
-                2: F.concat(F.lit("555.123."), last4),
-                3: F.concat(F.lit("555123"), last4),
-                4: "12345",
-            },
-            null,
-        ).alias("phone"),
-        _case(
-            k % 5,
-            {
-                0: "invalid_date",
-                1: F.concat(year, F.lit("/05/10")),
-                2: F.concat(F.lit("01/15/"), year),
-            },
-            F.concat(year, F.lit("-03-15")),
-        ).alias("date_of_birth"),
-        F.when(k % 4 == 1, null).otherwise(F.concat(ks, F.lit(" Main St"))).alias("address"),
-        F.when(k % 9 == 2, F.lit(None).cast("double")).otherwise(F.col("c_acctbal")).alias("income"),
-        _case(k % 8, {3: null, 6: "Closed", 1: "inactive", 2: "suspended"}, "active")
-        .alias("account_status"),
-        F.when(k % 20 == 19, F.lit("invalid_date")).otherwise(F.lit("2024-01-10")).alias("created_date"),
-    )
+def dirty_from(customer: DataFrame) -> DataFrame:
+    """A ``customer`` table (batch or stream) as the dirty ten-column customer table."""
+    return customer.sparkSession.sql(DIRTY_CUSTOMERS_SQL, customer=customer)
 
 
 def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dirty table from its SQL text: parsed in the JVM in one call, same
-    plan as ``dirty_customers_from``."""
-    return spark.sql(DIRTY_CUSTOMERS_SQL.replace("from customer", "from {customer}"),
-                     customer=table(spark, sf_dir, "customer"))
+    """The dirty table over the driver's ``customer``."""
+    return dirty_from(table(spark, sf_dir, "customer"))
 
 
-# The same table as SQL text; it runs unchanged in Spark SQL and DuckDB and is
-# the CTE every oracle query starts from.
+# Every defect that the library looks for: ids out of order, repeated, null and below 1; names in
+# every casing, with blanks around them, too short and too long; every date layout; dates before
+# birth; missing, NaN and out-of-range incomes; a dozen unknown categories; text with delimiters,
+# quotes, line breaks and outer blanks.
 DIRTY_CUSTOMERS_SQL = """
-select c_custkey+1 as customer_id,
-  case c_custkey%7 when 0 then 'John' when 1 then 'jane' when 2 then 'MARY' when 3 then null
-    when 4 then 'o''brien' when 5 then 'A' else 'Robert' end as first_name,
-  case c_custkey%11 when 0 then 'Doe' when 1 then 'smith' when 2 then null
-    when 3 then 'mary-jane' else 'Moore' end as last_name,
-  case when c_custkey%50=49 then null
-    when c_custkey%10=5 then concat('USER',cast(c_custkey as varchar(20)),'@EXAMPLE.COM')
-    when c_custkey%50=48 then 'not-an-email'
-    else concat('user.',cast(c_custkey as varchar(20)),'@example.com') end as email,
-  case c_custkey%6
-    when 0 then concat('555-123-',lpad(cast(c_custkey%10000 as varchar(20)),4,'0'))
-    when 1 then concat('(555) 123-',lpad(cast(c_custkey%10000 as varchar(20)),4,'0'))
-    when 2 then concat('555.123.',lpad(cast(c_custkey%10000 as varchar(20)),4,'0'))
-    when 3 then concat('555123',lpad(cast(c_custkey%10000 as varchar(20)),4,'0'))
-    when 4 then '12345' else null end as phone,
-  case c_custkey%5 when 0 then 'invalid_date'
-    when 1 then concat(cast(1950+c_custkey%50 as varchar(20)),'/05/10')
-    when 2 then concat('01/15/',cast(1950+c_custkey%50 as varchar(20)))
-    else concat(cast(1950+c_custkey%50 as varchar(20)),'-03-15') end as date_of_birth,
-  case when c_custkey%4=1 then null else concat(cast(c_custkey as varchar(20)),' Main St') end as address,
-  case when c_custkey%9=2 then null else c_acctbal end as income,
-  case c_custkey%8 when 3 then null when 6 then 'Closed' when 1 then 'inactive'
-    when 2 then 'suspended' else 'active' end as account_status,
-  case when c_custkey%20=19 then 'invalid_date' else '2024-01-10' end as created_date
-from customer
+with c as (select c_custkey as k, c_name, c_acctbal, cast(1950 + c_custkey % 50 as string) as y,
+             cast(c_custkey as string) as t, lpad(cast(c_custkey % 10000 as string), 4, '0') as last4 from {customer})
+select
+  case when k % 97 = 13 then null when k % 89 = 5 then -k when k % 53 = 7 then 50
+    when k % 2 = 0 then k + 2 else k end as customer_id,
+  case k % 16 when 0 then 'John' when 1 then 'jane' when 2 then 'MARY' when 3 then null when 4 then "o'brien"
+    when 5 then 'A' when 6 then '  ann  marie ' when 7 then repeat('x', 51) when 8 then c_name
+    when 9 then 'Élodie' when 10 then 'mary-jane' else 'Robert' end as first_name,
+  case k % 13 when 0 then 'Doe' when 1 then 'smith' when 2 then null when 3 then 'mary-jane' when 4 then 'Q'
+    when 5 then repeat('long', 13) when 6 then ' lee ' when 7 then "d'arc" else 'Moore' end as last_name,
+  case when k % 50 = 49 then null when k % 10 = 5 then concat('USER', t, '@EXAMPLE.COM')
+    when k % 50 = 48 then 'not-an-email' when k % 60 = 17 then concat(' pad.', t, '@example.com ')
+    else concat('user.', t, '@example.com') end as email,
+  case k % 7 when 0 then concat('555-123-', last4) when 1 then concat('(555) 123-', last4)
+    when 2 then concat('555.123.', last4) when 3 then concat('555123', last4) when 4 then '12345'
+    when 5 then null else '+1 555 123 4567' end as phone,
+  case k % 26 when 0 then 'invalid_date' when 1 then concat(y, '/05/10') when 2 then concat('01/15/', y)
+    when 3 then concat(y, '-03-15') when 4 then concat(y, '-1-5') when 5 then concat('25/12/', y)
+    when 6 then concat('01-15-', y) when 7 then concat('25-12-', y) when 8 then concat(y, '0704')
+    when 9 then concat(y, '.06.07') when 10 then concat('Jan 15, ', y) when 11 then concat('march 3 ', y)
+    when 12 then concat('15 JAN ', y) when 13 then concat('4 July, ', y) when 14 then concat('05-Feb-', y)
+    when 15 then concat(y, '-03-15 10:30') when 16 then concat(y, '-03-15T10:30:45')
+    when 17 then concat(y, '-03-15 10:30:45.123') when 18 then concat(y, '/05/10 10:00:00')
+    when 19 then concat('1/15/', y, ' 9:05') when 20 then concat('1/5/', substr(y, 3, 2))
+    when 21 then concat('25-12-', substr(y, 3, 2)) when 22 then concat(y, '-02-30') when 23 then 'soon'
+    when 24 then null else concat(' ', y, '-10-01 ') end as date_of_birth,
+  case k % 8 when 1 then null when 2 then concat('12 "Old" Rd, NY ', t) when 3 then concat('  ', t, ' Blank St ')
+    when 4 then concat('Flat 1', char(10), t, ' Main St') when 5 then 'NY' else concat(t, ' Main St') end as address,
+  case when k % 9 = 2 then null when k % 31 = 4 then cast('NaN' as double) when k % 37 = 6 then 10000001.5D
+    when k % 41 = 9 then -1.0D else c_acctbal end as income,
+  case k % 8 when 3 then null when 6 then concat('bad', cast((k div 8) % 12 as string)) when 1 then 'inactive'
+    when 2 then 'suspended' when 4 then 'ACTIVE' when 5 then case when k % 3 = 0 then "it's" else 'active' end
+    else 'active' end as account_status,
+  case k % 20 when 19 then 'invalid_date' when 11 then '1949-01-01' when 7 then '01/31/2024'
+    when 3 then '2024-01-10 08:15' when 5 then null else '2024-01-10' end as created_date
+from c
 """

@@ -5,7 +5,9 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from scrubline.plans.catalog import QUERIES
+from scrubline.plans.oracles import oracle_sql
 
 from .conftest import SF_SMALL
 
@@ -34,12 +36,12 @@ def _canon(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SKIP))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = queries()[name](spark, SF_SMALL)
+    sdf = QUERIES[name](spark, SF_SMALL)
     rel = duck.sql(oracle_sql()[name])
     assert sorted(sdf.columns) == sorted(rel.columns)
     assert _canon(sdf.columns, [tuple(r) for r in sdf.collect()]) == _canon(rel.columns, rel.fetchall())

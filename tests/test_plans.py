@@ -23,8 +23,8 @@ def read_schemas(p: str) -> list[str]:
 def test_clean_and_mask_do_not_shuffle(spark):
     p = plan(M.mask(C.clean(raw(spark, SF_SMALL))))
     assert "Exchange" not in p
-    # the customer scan reads only the two columns the dirty table is built from
-    assert read_schemas(p) == ["c_custkey:bigint,c_acctbal:double"]
+    # the customer scan reads only the three columns the dirty table is built from
+    assert read_schemas(p) == ["c_custkey:bigint,c_name:string,c_acctbal:double"]
 
 
 def test_suite_is_one_aggregate_plus_one_key_shuffle(spark):
@@ -50,3 +50,24 @@ def test_text_scan_reads_only_the_text(spark):
     p = plan(D.scan_text(table(spark, SF_SMALL, "documents"), "text"))
     assert read_schemas(p) == ["text:string"]
     assert "Join" not in p
+
+
+def scans(df) -> int:
+    return plan(df).count("FileScan")
+
+
+def test_samples_and_logs_stay_within_their_scans(spark):
+    """Without any static broadcast the samples of a suite shuffle no whole row, and logs read twice."""
+    from scrubline.plans.catalog import cleaning_log, raw_rows, run_report
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(V.failures(raw_rows(spark, SF_SMALL), V.customer_suite(), "_row_id"))
+        assert "SortMergeJoin" not in p and "BroadcastHashJoin" in p
+        keyed = [x for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)]
+        # the top-k window and the pre-aggregated groupBy of the unique rule, nothing else
+        assert sorted(x.split("#")[0] for x in keyed) == ["customer_id", "rule_id"]
+        assert scans(cleaning_log(raw(spark, SF_SMALL))) == 2
+        assert scans(run_report(raw(spark, SF_SMALL))) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -93,3 +93,34 @@ def test_text_scan_counts_matches(spark):
     ], "doc_id long, text string")
     got = {r.pii_type: (r.docs_with_match, r.match_count, r.total_docs) for r in D.scan_text(df).collect()}
     assert got == {"email": (1, 2, 4), "phone": (2, 3, 4)}
+
+
+def test_every_invalid_category_is_reported(spark):
+    """More than ten bad categories, quotes in them, and order keys beyond 2^40."""
+    ddl = ("customer_id long, first_name string, last_name string, email string, phone string, date_of_birth string, "
+           "address string, income double, account_status string, created_date string")
+    names = [f"bad{i}" for i in range(15)] + ["it's", 'say "hi"', "back\\slash"]
+    rows = [((1 << 41) + i, None, None, None, None, None, None, None, n, None) for i, n in enumerate(names)]
+    rows += [((1 << 41) + 100, None, None, None, None, "1990/01/02", None, None, None, None),
+             (1, None, None, None, None, None, None, None, None, "01/15/2024")]
+    df = spark.createDataFrame(rows, ddl)
+    found = [r for r in P.issues(df, "customer_id").collect()]
+    assert sorted(r.examples for r in found if r.check_no == 5) == sorted(map(repr, names))
+    assert [r.examples for r in found if r.check_no == 2] == ["['1990/01/02', '01/15/2024']"]  # birth dates first
+    lines = [r.line for r in P.report(df, "customer_id").collect()]
+    assert sum("Invalid Category Values: " in x for x in lines) == len(names)
+
+
+def test_long_runs_are_scanned_in_linear_time(spark):
+    """A run of a million local-part characters with an @ elsewhere: counted and masked in seconds."""
+    import time
+
+    from scrubline.operators import mask as M
+    run = "x" * 1_000_000
+    df = spark.createDataFrame([(1, run + " a@b.io"), (2, "a@b.ioc@d.io " + run), (3, run + "@")], "doc_id long, text string")
+    t = time.time()
+    got = {r.pii_type: (r.docs_with_match, r.match_count) for r in D.scan_text(df).collect()}
+    masked = {r.doc_id: r.text for r in M.mask_text(df).collect()}
+    assert time.time() - t < 60
+    assert got["email"] == (2, 2)
+    assert masked[1] == run + " [EMAIL]" and masked[3] == run + "@"

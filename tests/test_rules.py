@@ -1,11 +1,13 @@
 """Rule suite: golden outcomes, row-level flags, samples, gates."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from scrubline.operators import clean as C
 from scrubline.operators import rules as V
-from scrubline.operators.rowid import positions
+from scrubline.operators.rowid import ROW_ID, positions, with_row_id
 
 from .conftest import customers
 
@@ -89,11 +91,35 @@ def test_failure_samples_first_k_in_order(golden_raw):
 
 
 def test_failed_rows_positions(golden_raw):
-    sample = V.failures(golden_raw, SUITE, "customer_id", k=10).select("rule_id", "customer_id")
-    got = sorted((r.rule_id, r.row_number) for r in positions(golden_raw, "customer_id", sample).collect())
+    rows = with_row_id(golden_raw)
+    got = sorted((r.rule_id, r.row_number) for r in positions(rows, V.failures(rows, SUITE, ROW_ID, k=10)).collect())
     assert got == [(4, 3), (7, 5), (9, 3), (11, 4), (13, 4), (13, 6), (14, 5), (14, 10)]
 
 
+def test_positions_with_repeated_null_and_unsorted_keys(spark, tmp_dir):
+    """Rows are named by their place in the file, whatever their ids are."""
+    from scrubline.sources.csv import read_csv
+    ids = [30, 10, 20, 5, 1, 5, None, 5, 0]
+    path = os.path.join(tmp_dir, "ids.csv")
+    with open(path, "w") as f:
+        f.write("customer_id,first_name\n" + "".join(f"{'' if i is None else i},Ann\n" for i in ids))
+    rows = with_row_id(read_csv(spark, path))
+    suite = [V.R(1, "customer_id", "not_null"), V.R(2, "customer_id", "unique"), V.R(3, "customer_id", "between", min=1)]
+    got = sorted((r.rule_id, r.row_number) for r in positions(rows, V.failures(rows, suite, ROW_ID, k=2)).collect())
+    assert got == [(1, 7), (2, 4), (2, 6), (3, 9)]
+    many = rows.repartition(5).drop(ROW_ID)
+    assert {r.row_number for r in positions(with_row_id(many), with_row_id(many)).collect()} == set(range(1, 10))
+
+
+def test_flags_by_shuffle_equal_flags_by_broadcast(spark, monkeypatch):
+    rows = [(i % 7 or None, "Al", "Bo", None, None, None, None, 1.0, "active", None) for i in range(30)] + [
+        (99, "Al", "Bo", None, None, None, None, 1.0, "active", None)]
+    df = customers(spark, rows)
+    a = sorted(map(str, V.flag_rows(df, SUITE).collect()))
+    monkeypatch.setattr(V, "BROADCAST_KEYS", 0)
+    assert sorted(map(str, V.flag_rows(df, SUITE).collect())) == a
+
+
 def test_counts_unchanged_by_repartitioning(golden_raw):
     a = sorted(map(tuple, V.evaluate(golden_raw, SUITE).collect()))
     b = sorted(map(tuple, V.evaluate(golden_raw.repartition(7), SUITE).collect()))

@@ -33,7 +33,7 @@ def test_title_keeps_null(spark):
     ("2024-01-15 10:30:00", "2024-01-15"),
     ("20240110", "2024-01-10"),
     ("2024-02-30", None),           # not a calendar date
-    ("1/5/85", None),               # two-digit years are rejected
+    ("1/5/85", "1985-01-05"),       # two-digit years: explicit pivot
     ("invalid_date", None),
     ("[UNKNOWN]", None),
     (None, None),
@@ -59,3 +59,23 @@ def test_title_property_against_python(spark):
     rows = df.select("v", title("v").alias("t"), strip("v").alias("s")).collect()
     assert [r.v for r in rows if r.t != r.v.title()] == []
     assert [r.v for r in rows if r.s != r.v.strip()] == []
+
+
+@pytest.mark.parametrize("text,iso", [
+    ("1/5/24", "2024-01-05"), ("1/5/85", "1985-01-05"), ("25-12-68", "2068-12-25"), ("25-12-69", "1969-12-25"),
+    ("2024-01-15 10:30", "2024-01-15"), ("2024-01-15 10:00:00.123", "2024-01-15"), ("2024/01/15 10:00:00", "2024-01-15"),
+    ("1/15/2024 10:30", "2024-01-15"), ("1/15/2024 9:05 PM", "2024-01-15"), ("2024-01-15T10:30:00Z", "2024-01-15"),
+    ("2024-01-15T10:30:00+02:00", "2024-01-15"), ("Jan 15 2024", "2024-01-15"), ("15 Jan, 2024", "2024-01-15"),
+    ("january 15, 2024", "2024-01-15"), ("2024-02-30", None), ("10:30", None), ("13/13/24", None), ("someday", None),
+    ("2024-01-15 25:00", None),
+])
+def test_more_date_layouts(spark, text, iso):
+    from scrubline.functions.text import iso_date
+    assert spark.createDataFrame([(text,)], "d string").select(iso_date("d")).first()[0] == iso
+
+
+def test_python_repr(spark):
+    from scrubline.functions.text import py_list_repr
+    values = ["a", "it's", 'say "hi"', "both ' and \"", "back\\slash", "line\nbreak\ttab"]
+    df = spark.createDataFrame([(values,)], "v array<string>")
+    assert df.select(py_list_repr(df.v)).first()[0] == repr(values)

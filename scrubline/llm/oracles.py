@@ -65,7 +65,7 @@ cov as (select doc_id, count(distinct i + k) as n from rep, (select unnest([0, 1
 f as (select m.*, coalesce(cov.n, 0) as n_repeat_words from m left join cov using (doc_id)),
 b as (select *, cast(n_words < 50 as int) + 2 * cast(100 * n_repeat_words > 50 * n_words as int)
     + 4 * cast(word_chars < 2 * n_words as int) + 8 * cast(word_chars > 20 * n_words as int)
-    + 16 * cast(2 * n_symbols > n_words as int) + 32 * cast(10 * n_dup_lines > 3 * n_lines as int) as fail_bits from f)
+    + 16 * cast(10 * n_symbols > n_words as int) + 32 * cast(2 * n_dup_lines > n_lines as int) as fail_bits from f)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) != 0 as base_failed,
   fail_bits = 0 as kept, n_lines, fail_bits from b
 """

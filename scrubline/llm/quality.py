@@ -41,8 +41,8 @@ RULES: dict[str, Column | str] = {
     "repeated_windows": "100 * n_repeat_words > 50 * n_words",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 20 * n_words",
-    "many_signs": "2 * n_symbols > n_words",
-    "repeated_lines": "10 * n_dup_lines > 3 * n_lines",
+    "many_signs": "10 * n_symbols > n_words",
+    "repeated_lines": "2 * n_dup_lines > n_lines",
 }
 
 #: Versioned policies: the rules that a document must not fail.

@@ -70,4 +70,57 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
   fail_bits = 0 as kept, n_lines, fail_bits from b
 """
 
-ORACLES = {"op1_warc": OP1_WARC, "op3_mixing": OP3_MIXING, "op4_quality": OP4_QUALITY}
+OP6_RECOMPRESSION = rf"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') as words from documents),
+win as (select doc_id, i, array_to_string(words[i:i + 34], ' ') as w
+    from (select doc_id, words, unnest(range(1, len(words) - 33)) as i from d where len(words) >= 35)),
+rep as (select doc_id, i from (select doc_id, i, count(*) over (partition by w) as n from win) where n > 1),
+gone as (select distinct doc_id, i + k as at from rep, (select unnest(range(35)) as k)),
+one as (select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as at from d),
+kept as (select o.doc_id, count(g.at) as n_removed,
+    string_agg(word, ' ' order by o.at) filter (where g.at is null) as text
+    from one o left join gone g on o.doc_id = g.doc_id and o.at = g.at group by 1)
+select d.doc_id, cast(len(words) as bigint) as n_words, coalesce(n_removed, 0) as n_removed,
+  sha256(coalesce(kept.text, '')) as kept_sha256
+from d left join kept using (doc_id)
+"""
+
+OP8_NEARDUP = rf"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') as words from documents),
+s as (select distinct doc_id, unnest(case when len(words) >= 5
+      then [array_to_string(words[i:i + 4], ' ') for i in range(1, len(words) - 3)]
+      when len(words) > 0 then [array_to_string(words, ' ')] else [] end) as shingle from d),
+n as (select doc_id, count(*) as n from s group by 1),
+pairs as (select a.doc_id as a, b.doc_id as b, count(*) as common from s a join s b using (shingle)
+    where a.doc_id < b.doc_id group by 1, 2),
+links as (select a, b from pairs join n x on x.doc_id = a join n y on y.doc_id = b
+    where 100 * common >= 85 * (x.n + y.n - common)),
+edges as (select a, b from links union all select b, a from links),
+reach(a, b) as (select a, b from edges union select r.a, e.b from reach r join edges e on r.b = e.a),
+low as (select a as doc_id, min(b) as m from reach group by 1)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(low.m, d.doc_id)) as component_id,
+  least(d.doc_id, coalesce(low.m, d.doc_id)) = d.doc_id as kept
+from d left join n using (doc_id) left join low using (doc_id)
+"""
+
+OP2_SUFFIX_DEDUP = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+win as (select doc_id, i, substr(h, 2 * i + 1, 400) as w
+    from (select doc_id, h, unnest(range(len(h) // 2 - 199)) as i from d where len(h) >= 400)),
+rep as (select doc_id, i from win semi join (select w from win group by w having count(*) > 1) using (w)),
+runs as (select doc_id, i, i - lag(i) over (partition by doc_id order by i) as step from rep),
+groups as (select doc_id, i, sum(case when step <= 200 then 0 else 1 end) over (partition by doc_id order by i) as g from runs),
+spans as (select doc_id, g, min(i) as a, max(i) + 200 as b from groups group by 1, 2),
+cuts as (select doc_id, count(*) as n_spans, sum(b - a) as n_removed, list(a order by a) as a, list(b order by a) as b
+    from spans group by 1),
+kept as (select d.doc_id, len(h) // 2 as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+    case when n_spans is null then h else array_to_string([substr(h, 2 * x[1] + 1, 2 * (x[2] - x[1])) for x in
+      list_zip(list_concat([0], b), list_concat(a, [len(h) // 2]))], '') end as h
+    from d left join cuts using (doc_id))
+select doc_id, cast(n_bytes as bigint) as n_bytes, cast(n_removed as bigint) as n_removed, n_spans,
+  sha256(unhex(h)) as kept_sha256 from kept
+"""
+
+ORACLES = {"op1_warc": OP1_WARC, "op2_suffix_dedup": OP2_SUFFIX_DEDUP, "op3_mixing": OP3_MIXING, "op4_quality": OP4_QUALITY,
+           "op6_recompression": OP6_RECOMPRESSION, "op8_neardup": OP8_NEARDUP}

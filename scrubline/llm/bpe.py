@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from scrubline.llm.common import map_arrow, set_columns, slices, with_fields
 
-MEMO = 400_000
+MEMO = 200_000
 SHORT = 64  # bytes; longer pieces get a tree of their own
 NONE = (1 << 62)  # rank of "no pair here"
 RESULT = (T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
@@ -54,6 +54,7 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = {i: t for t, i in ranks.items()}
+        self.shared = {i: i for i in self.tokens}  # one int object per id, however often it is remembered
         self.decimal = {i: str(i) for i in self.tokens}
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         # every way to split a token into two tokens: (left id, right id) -> merged id
@@ -162,7 +163,7 @@ class Codec:
         flat = ids[:size].T
         kept = flat >= 0
         ends = np.cumsum(kept.sum(1)).tolist()
-        values = flat[kept].tolist()
+        values = list(map(self.shared.__getitem__, flat[kept].tolist()))
         return [tuple(values[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
 
     def learn(self, pieces: Iterable[str]) -> None:

@@ -39,6 +39,7 @@ SAMPLE_DOCS = 512  # documents per language in a dictionary, at most
 EXCERPT = 160  # letters that one document adds to its dictionary, at most
 BLOCK = 8192  # bytes compressed at a time
 LEVEL = 6
+SHORT, SHORT_LEVEL = 256, 12  # texts of at most so many bytes get a search that finds matches of few bytes
 MIN_MARGIN = 0.001  # narrower wins are rejected
 UNDETERMINED = "und"
 
@@ -86,18 +87,24 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, excerpt: int = EXCERPT)
 
 def classifier(model: dict[str, bytes], min_margin: float = MIN_MARGIN) -> Callable[[str | None], tuple]:
     """A function text -> (language, score, rejected) for one worker."""
-    coders = []
-    for lang, content in model.items():
-        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        d.precompute_compress(level=LEVEL)
-        coders.append((lang, zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False)))
+    def coders(level: int, source_size: int) -> list:
+        out = []
+        for lang, content in model.items():
+            d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            p = zstandard.ZstdCompressionParameters.from_level(level, dict_size=len(content), source_size=source_size,
+                                                               write_content_size=False)
+            d.precompute_compress(compression_params=p)
+            out.append((lang, zstandard.ZstdCompressor(dict_data=d, compression_params=p)))
+        return out
+
+    usual, close = coders(LEVEL, BLOCK), coders(SHORT_LEVEL, SHORT)
 
     def classify(text: str | None) -> tuple:
-        if text is None or not coders or not _LETTER.search(text):
+        if text is None or not model or not _LETTER.search(text):
             return UNDETERMINED, 0.0, True
         data = normalize(text)
         blocks = [data[i:i + BLOCK] for i in range(0, len(data), BLOCK)]
-        sizes = sorted((sum(len(c.compress(b)) for b in blocks), k) for k, c in coders)
+        sizes = sorted((sum(len(c.compress(b)) for b in blocks), k) for k, c in (close if len(data) <= SHORT else usual))
         if len(sizes) == 1:
             return sizes[0][1], 1.0, False
         margin = 1.0 - sizes[0][0] / sizes[1][0]

@@ -112,6 +112,28 @@ NAME_PATTERN = r"^[a-zA-Z" + PY_SPACE[1:-1] + r"]+$"
 INCOME_BOUNDS = (0, 10_000_000)
 CUSTOMER_ID_MIN = 1
 
+# --- fixed values: names of the rules in results ------------------------------
+EXPECTATION_NAMES = {
+    "not_null": "expect_column_values_to_not_be_null",
+    "unique": "expect_column_values_to_be_unique",
+    "between": "expect_column_values_to_be_between",
+    "length_between": "expect_column_value_lengths_to_be_between",
+    "regex": "expect_column_values_to_match_regex",
+    "in_set": "expect_column_values_to_be_in_set",
+    "date_format": "expect_column_values_to_match_strftime_format",
+    "date_order": "expect_column_pair_values_a_to_be_greater_than_b",
+}
+
+# --- fixed values: titles of the profile issues, by check number ---------------
+ISSUE_TITLES = {
+    1: "Non-standard Phone Formats",
+    2: "Inconsistent Date Formats (Slashes detected)",
+    3: "Inconsistent Name Casing",
+    4: "Non-standard Email Casing (Uppercase detected)",
+    5: "Invalid Category Values",
+    6: "Duplicate Customer IDs detected.",
+}
+
 # --- fixed values: CSV missing-value tokens (pandas read_csv defaults) ------
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.patterns import (
-    DATE_COLUMNS, DATE_SENTINEL, DECLARED_TYPES, DOB_DRIFT_PATTERN, NAME_COLUMNS,
+    DATE_COLUMNS, DATE_SENTINEL, DECLARED_TYPES, DOB_DRIFT_PATTERN, ISSUE_TITLES, NAME_COLUMNS,
     NONSTANDARD_PHONE_PATTERN, SLASH, UPPERCASE_PATTERN, VALID_STATUSES,
 )
 from ..functions.cache import cached_expr
@@ -160,14 +160,6 @@ def duplicate_keys(df: DataFrame, key: str = "customer_id") -> DataFrame:
 
 # --- P7-P12 issue summary ---------------------------------------------------------
 
-_ISSUES = {
-    1: "Non-standard Phone Formats",
-    2: "Inconsistent Date Formats (Slashes detected)",
-    3: "Inconsistent Name Casing",
-    4: "Non-standard Email Casing (Uppercase detected)",
-    5: "Invalid Category Values",
-    6: "Duplicate Customer IDs detected.",
-}
 _ISSUE_COLUMNS = {
     1: "phone", 2: "date_of_birth,created_date", 3: "first_name,last_name", 4: "email",
     5: "account_status", 6: "customer_id",
@@ -234,14 +226,14 @@ def issues(df: DataFrame, order_col: str, key: str = "customer_id", phone_exampl
     }
     present = [k for k, v in found.items() if v[0]]
     number = {k: i for i, k in enumerate(present, start=1)}
-    rows = [(number[k], k, _ISSUES[k], _ISSUE_COLUMNS[k], found[k][0], found[k][1], found[k][2]) for k in present if k != 5]
+    rows = [(number[k], k, ISSUE_TITLES[k], _ISSUE_COLUMNS[k], found[k][0], found[k][1], found[k][2]) for k in present if k != 5]
     listed = spark.createDataFrame(rows, "issue_no int, check_no int, issue string, column_name string, affected bigint, "
                                          "shown array<string>, examples string")
     listed = listed.withColumn("examples", F.coalesce("examples", py_list_repr(F.col("shown")))).drop("shown")
     if 5 not in number:
         return listed
     return listed.unionByName(defects.where("kind = 5").select(
-        F.lit(number[5]).alias("issue_no"), F.lit(5).alias("check_no"), F.lit(_ISSUES[5]).alias("issue"),
+        F.lit(number[5]).alias("issue_no"), F.lit(5).alias("check_no"), F.lit(ISSUE_TITLES[5]).alias("issue"),
         F.lit(_ISSUE_COLUMNS[5]).alias("column_name"), F.col("occurrences").alias("affected"),
         py_repr(F.col("value")).alias("examples")))
 

@@ -32,20 +32,9 @@ from ..functions.cache import cached_expr
 from ..functions.sqltext import Expr, Ref, sql_literal, stack_rows
 from ..session import new_run_dir
 from ..functions.patterns import (
-    CUSTOMER_ID_MIN, INCOME_BOUNDS, NAME_LENGTH_BOUNDS, NAME_PATTERN, VALID_STATUSES,
+    CUSTOMER_ID_MIN, EXPECTATION_NAMES, INCOME_BOUNDS, NAME_LENGTH_BOUNDS, NAME_PATTERN, VALID_STATUSES,
 )
 
-EXPECTATION_NAMES = {
-    "not_null": "expect_column_values_to_not_be_null",
-    "unique": "expect_column_values_to_be_unique",
-    "between": "expect_column_values_to_be_between",
-    "length_between": "expect_column_value_lengths_to_be_between",
-    "regex": "expect_column_values_to_match_regex",
-    "in_set": "expect_column_values_to_be_in_set",
-    "date_format": "expect_column_values_to_match_strftime_format",
-    "date_order": "expect_column_pair_values_a_to_be_greater_than_b",
-}
-
 # %Y-%m-%d as the strftime parser accepts it: four-digit year, one- or
 # two-digit month and day, and a real calendar date.
 _YMD_SHAPE = r"^[0-9]{4}-(1[0-2]|0[1-9]|[1-9])-(3[01]|[12][0-9]|0[1-9]|[1-9])$"

@@ -15,7 +15,7 @@ from scrubline.sources.tables import CUSTOMER_DDL  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
-# the ten golden input rows, as CSV text
+# --- fixed values: the ten golden input rows, as CSV text, and what comes of them ---
 GOLDEN_CSV = """customer_id,first_name,last_name,email,phone,date_of_birth,address,income,account_status,created_date
 1,John,Doe,john.doe@gmail.com,555-123-4567,1985-03-15,123 Main St New York NY 10001,75000,active,2024-01-10
 2,Jane,Smith,jane.smith@company.com,555-987-6543,1990-07-22,,95000,active,2024-01-11
@@ -89,7 +89,7 @@ def customers(spark, rows):
 
 @pytest.fixture()
 def sample_df(spark):
-    """Five dirty rows: missing values, sentinel, mixed phones and dates, bad casing."""
+    """Five dirty rows with missing values, sentinel, mixed phones and dates, bad casing."""
     return customers(spark, [
         (1, "John", "Doe", "john.doe@gmail.com", "555-123-4567", "1985-03-15", "123 Main St New York NY 10001", 75000.0, "active", "2024-01-10"),
         (2, "jane", "Smith", "jane.smith@company.com", "555-987-6543", "1990-07-22", None, 95000.0, "active", "2024-01-11"),
@@ -101,7 +101,7 @@ def sample_df(spark):
 
 @pytest.fixture()
 def clean_df(spark):
-    """Three clean rows that pass every rule."""
+    """Three clean rows that pass every rule."""
     return customers(spark, [
         (1, "John", "Doe", "john.doe@gmail.com", "555-123-4567", "1985-03-15", "123 Main St New York NY 10001", 75000.0, "active", "2024-01-10"),
         (2, "Jane", "Smith", "jane.smith@company.com", "555-987-6543", "1990-07-22", "456 Oak Ave Los Angeles CA 90001", 95000.0, "inactive", "2024-01-11"),
@@ -111,7 +111,7 @@ def clean_df(spark):
 
 @pytest.fixture()
 def masker_df(spark):
-    """Three cleaned rows, one with the name placeholder and one without an e-mail."""
+    """Three cleaned rows, one with the name placeholder and one without an e-mail."""
     return customers(spark, [
         (1, "John", "Doe", "john.doe@gmail.com", "555-123-4567", "1985-03-15", "123 Main St New York NY 10001", 75000.0, "active", "2024-01-10"),
         (2, "Jane", "Smith", None, "555-987-6543", "1990-07-22", "456 Oak Ave Los Angeles CA 90001", 95000.0, "inactive", "2024-01-11"),

@@ -1,7 +1,7 @@
 """Throughput and skew probe on a multiplied customer table.
 
 Builds the dirty customer table from ``customer`` at the given scale,
-multiplies it ``k`` times with shifted keys (rows stay distinct), writes it
+multiplies it ``k`` times with shifted keys, writes it
 as a multi-file Parquet table in a fresh scratch folder, and times the main
 operators on it.  ``--skew`` makes one key hold a third of all rows, to show
 that uniqueness checks pre-aggregate hot keys instead of funnelling them into
@@ -25,6 +25,7 @@ from scrubline.operators import clean as C  # noqa: E402
 from scrubline.operators import mask as M  # noqa: E402
 from scrubline.operators import profile as P  # noqa: E402
 from scrubline.operators import rules as V  # noqa: E402
+from scrubline.operators.rowid import ROW_ID, with_row_id  # noqa: E402
 from scrubline.session import local_session, new_run_dir  # noqa: E402
 from scrubline.sources.tables import dirty_customers  # noqa: E402
 
@@ -53,8 +54,8 @@ def main():
         "mask_full": lambda: M.mask(C.clean(df)),
         "validate": lambda: V.evaluate(df, suite),
         "impact": lambda: V.impact(df, suite),
-        "failures": lambda: V.failures(df, suite, "customer_id"),
-        "profile_issues": lambda: P.issues(df, "customer_id"),
+        "failures": lambda: V.failures(with_row_id(df), suite, ROW_ID),
+        "profile_issues": lambda: P.issues(with_row_id(df), ROW_ID),
         "duplicate_keys": lambda: P.duplicate_keys(df),
     }
     out = {}

@@ -129,9 +129,11 @@ def anchors(raw: bytes, width: int = WIDTH) -> Iterator[tuple[np.ndarray, ...]]:
 
 def repeated_windows(seg: Segments) -> DataFrame:
     """(loc, pos) rows that stand for all repeated windows of the copied table."""
-    found = repeats.judged(repeats.anchor_rows(seg, anchors), "rec-judged")
+    rows = repeats.anchor_rows(seg, anchors, "rec-anchors")
+    found = repeats.judged(rows, "rec-judged")
     open_rows = repeats.by_window(seg, found.filter("probe"), values, WIDTH, "rec-windows")
-    return found.filter("full").select("loc", "pos").unionByName(open_rows)
+    flags = found.filter("full").select("loc", "pos").unionByName(open_rows)
+    return repeats.settled(rows).unionByName(flags, allowMissingColumns=True)
 
 
 RESULT = (T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),

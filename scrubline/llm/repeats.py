@@ -13,7 +13,10 @@ row per anchor stands for all of them:
 * what is left (a key with several different contexts) is looked at window by window.
 
 Rows meet by key in one shuffle; whether a row is settled shows in its neighbours
-in (key, ctx) order.
+in (key, ctx) order.  Equal contexts of one stretch of text are settled before it: one
+row goes on and the places of the others stay behind in the written table, so a passage
+that stands in a large share of all documents shuffles a row per stretch of a few MB,
+not per document.
 
 Documents are copied once to the shared folder; rows name a copied file (part), a
 row in it and a position, so texts are never shuffled: later steps hand each file's
@@ -37,7 +40,8 @@ from scrubline.session import new_run_dir
 
 CHUNK = 200_000  # window starts looked at together; longer documents are cut, with overlap
 ROW_BITS = 40  # loc = part << 40 | row
-ANCHORS = "key long, ctx long, loc long, pos long"  # pos = anchor << 16 | (anchor - lo) << 8 | (anchor - hi)
+# pos = anchor << 16 | (anchor - lo) << 8 | (anchor - hi); more: (loc, pos) pairs of the same context in the same file
+ANCHORS = "key long, ctx long, loc long, pos long, more binary"
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[int, np.ndarray] = {}
 
@@ -83,21 +87,25 @@ class Segments:
                      .select("text", (F.shiftleft(part, ROW_BITS).bitwiseOR(F.col("_metadata.row_index"))).alias("loc")))
         fs, root = open_fs(self.path)
         names = [f.base_name for f in fs.get_file_info(pafs.FileSelector(root)) if f.base_name.startswith("part-")]
-        self.parts = {int(n.split("-")[1]): n for n in names}
+        self.parts = [int(n.split("-")[1]) for n in names]
+        # part-<number>-<what all files of one write share>: tasks make a file's name from its number
+        self.suffix = names[0].split("-", 2)[2] if names else ""
+        if any(n.split("-", 2)[2] != self.suffix for n in names):
+            raise ValueError(f"files of several writes in {self.path}")
 
     def by_part(self, rows: DataFrame) -> DataFrame:
         """Rows (loc, pos, ...) in order, each file's rows in one task; every file has a row with pos = -1 besides."""
-        n = max(self.parts, default=0) + 1
+        n = max(self.parts, default=0) + 1  # one number per copied file
         marks = self.spark.createDataFrame([(p << ROW_BITS, -1) for p in self.parts], "loc long, pos long")
         each = rows.unionByName(marks, allowMissingColumns=True).withColumn("part", F.shiftright("loc", ROW_BITS).cast("int"))
         return each.repartitionById(n, "part").drop("part").sortWithinPartitions("loc")
 
     def reader(self) -> Callable[[int], Iterator[pa.RecordBatch]]:
-        path, names = self.path, self.parts
+        path, suffix = self.path, self.suffix
 
         def read(part: int) -> Iterator[pa.RecordBatch]:
             fs, root = open_fs(path)
-            with fs.open_input_file(f"{root}/{names[part]}") as f:
+            with fs.open_input_file(f"{root}/part-{part:05d}-{suffix}") as f:
                 for b in pq.ParquetFile(f).iter_batches(batch_size=512):
                     yield from slices(b, "text")
 
@@ -108,12 +116,22 @@ def side_by_side(batches: Iterator[pa.RecordBatch], read: Callable, columns: lis
     """Stream a file beside its rows: yields each batch of the file with, per document that has
     rows, (index in the batch, loc, arrays of the columns).
 
-    The rows of one file are held together; they are fewer bytes than its text.
+    The rows of one file are held together; they are fewer bytes than its text.  With the
+    column ``more`` the places in it become rows of their own (then the only other column is ``pos``).
     """
-    held = [[b.column(c).to_numpy(zero_copy_only=False) for c in ["loc", *columns]] for b in batches if b.num_rows]
-    if not held:
+    held, more = [], []
+    for b in batches:
+        held.append([b.column(c).to_numpy(zero_copy_only=False) for c in ["loc", *columns]])
+        if "more" in b.schema.names:
+            more += [np.frombuffer(x, np.int64) for x in b.column("more").drop_null().to_pylist()]
+    if not sum(len(x[0]) for x in held):
         return
-    loc, *data = (np.concatenate(x) for x in zip(*held))
+    data = [np.concatenate(x) for x in zip(*held)]
+    if more:
+        extra = np.concatenate(more).reshape(-1, 2).T
+        data = [np.concatenate([d, x]) for d, x in zip(data, extra)]
+    order = np.argsort(data[0], kind="stable")
+    loc, *data = (d[order] for d in data)
     part = int(loc[0]) >> ROW_BITS
     start = part << ROW_BITS
     for b in read(part):
@@ -126,8 +144,24 @@ def side_by_side(batches: Iterator[pa.RecordBatch], read: Callable, columns: lis
         start += b.num_rows
 
 
-def anchor_rows(seg: Segments, anchors: Callable[[bytes], Iterator[tuple[np.ndarray, ...]]]) -> DataFrame:
-    """One row per anchor of every document; ``anchors`` yields (key, ctx, anchor, lo, hi) arrays of a text."""
+def settle(key: np.ndarray, ctx: np.ndarray, loc: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
+    """One row per (file, key, ctx); a row that stands for several has the places of the others in ``more``."""
+    part = loc >> ROW_BITS
+    order = np.lexsort((ctx, key, part))
+    key, ctx, loc, pos, part = (x[order] for x in (key, ctx, loc, pos, part))
+    new = (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1]) | (part[1:] != part[:-1])
+    first = np.flatnonzero(np.concatenate([[True], new]))
+    count = np.diff(np.append(first, len(key)))
+    more: list[bytes | None] = [None] * len(first)
+    places = np.stack([loc, pos], 1)
+    for i in np.flatnonzero(count > 1).tolist():
+        more[i] = places[first[i] + 1:first[i] + count[i]].tobytes()
+    return pa.RecordBatch.from_arrays([*(pa.array(x[first]) for x in (key, ctx, loc, pos)), pa.array(more, pa.binary())],
+                                      names=["key", "ctx", "loc", "pos", "more"])
+
+
+def anchor_rows(seg: Segments, anchors: Callable[[bytes], Iterator[tuple[np.ndarray, ...]]], name: str) -> DataFrame:
+    """A written table of the anchors of every document; ``anchors`` yields (key, ctx, anchor, lo, hi) arrays of a text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text", 4 << 20):
@@ -138,25 +172,31 @@ def anchor_rows(seg: Segments, anchors: Callable[[bytes], Iterator[tuple[np.ndar
                         pos = (p << 16) | ((p - lo) << 8) | (p - hi)
                         found.append((key.view(np.int64), ctx.view(np.int64), np.full(len(p), loc, np.int64), pos))
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)],
-                                                     names=["key", "ctx", "loc", "pos"])
+                    yield settle(*(np.concatenate(x) for x in zip(*found)))
 
-    return map_arrow(seg.rows, run, ANCHORS)
+    return materialize(map_arrow(seg.rows, run, ANCHORS), name)
+
+
+def settled(rows: DataFrame) -> DataFrame:
+    """The places that were settled before the shuffle, as (loc, pos, more) rows (pos -1: none of its own)."""
+    return rows.filter(F.col("more").isNotNull()).select("loc", F.lit(-1).cast("long").alias("pos"), "more")
 
 
 def judged(rows: DataFrame, name: str) -> DataFrame:
     """Rows that are settled (``full``: all windows repeated) or open (``probe``), with the open rows of their key.
 
-    In (key, ctx) order a row's neighbours tell: the same ctx beside it settles it; a
-    different ctx of the same key beside it makes it stand for its ctx among the open ones.
+    In (key, ctx) order a row's neighbours tell: the same ctx beside it settles it (as does
+    standing for several); a different ctx of the same key beside it makes it stand for
+    its ctx among the open ones.
     """
     w = Window.partitionBy("key").orderBy("ctx")
     before, after = F.lag("ctx").over(w), F.lead("ctx").over(w)
     eq = lambda x: F.coalesce(x == F.col("ctx"), F.lit(False))
     ne = lambda x: F.coalesce(x != F.col("ctx"), F.lit(False))
-    out = (rows.repartition("key").withColumn("before", before).withColumn("after", after)
-           .filter(F.col("before").isNotNull() | F.col("after").isNotNull())
-           .select("key", "loc", "pos", (eq(F.col("before")) | eq(F.col("after"))).alias("full"),
+    rows = rows.select("key", "ctx", "loc", "pos", F.col("more").isNotNull().alias("several")).repartition("key")
+    out = (rows.withColumn("before", before).withColumn("after", after)
+           .filter(F.col("before").isNotNull() | F.col("after").isNotNull() | F.col("several"))
+           .select("key", "loc", "pos", (eq(F.col("before")) | eq(F.col("after")) | F.col("several")).alias("full"),
                    (ne(F.col("before")) | ne(F.col("after"))).alias("probe"))
            .withColumn("open", F.sum(F.col("probe").cast("int")).over(Window.partitionBy("key"))))
     return materialize(out.filter("full or probe"), name)
@@ -223,4 +263,4 @@ def finish(seg: Segments, flags: DataFrame, width: int, schema, build: Callable)
             gone = {i: removed_runs(pos, width) for i, _, (pos,) in found}
             yield build(b, {i: r for i, r in gone.items() if len(r[0])})
 
-    return map_arrow(seg.by_part(flags.select("loc", "pos")), run, schema)
+    return map_arrow(seg.by_part(flags.select("loc", "pos", "more")), run, schema)

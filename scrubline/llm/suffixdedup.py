@@ -201,11 +201,13 @@ def by_order(seg: Segments, probes: DataFrame) -> DataFrame:
 
 def repeated_strings(seg: Segments) -> DataFrame:
     """(loc, pos) rows that stand for all repeated strings of the copied table."""
-    found = repeats.judged(repeats.anchor_rows(seg, anchors), "pfp-judged")
-    flags = found.filter("full").select("loc", "pos").unionByName(by_order(seg, found.filter(f"probe and open <= {HOT}")))
+    rows = repeats.anchor_rows(seg, anchors, "pfp-anchors")
+    found = repeats.judged(rows, "pfp-judged")
+    flags = repeats.settled(rows).unionByName(found.filter("full").select("loc", "pos"), allowMissingColumns=True)
+    flags = flags.unionByName(by_order(seg, found.filter(f"probe and open <= {HOT}")), allowMissingColumns=True)
     hot = found.filter(f"probe and open > {HOT}")
     if not hot.isEmpty():
-        flags = flags.unionByName(repeats.by_window(seg, hot, values, WIDTH, "pfp-hot"))
+        flags = flags.unionByName(repeats.by_window(seg, hot, values, WIDTH, "pfp-hot"), allowMissingColumns=True)
     return flags
 
 

@@ -62,14 +62,14 @@ class WholeTexts:
             yield struct.pack(f"<{len(e.ids)}{self.code}", *e.ids)
 
 
-class Pieces(dict):
-    """piece -> packed ids, coded when first asked for."""
+class Memo(dict):
+    """text -> packed ids, coded when first asked for."""
 
-    def __init__(self, coder):
-        self.coder = coder
+    def __init__(self, code):
+        self.code = code
 
-    def __missing__(self, p: str) -> bytes:
-        got = self[p] = self.coder.piece(p)
+    def __missing__(self, text: str):
+        got = self[text] = self.code(text)
         return got
 
 
@@ -91,8 +91,7 @@ class ByteLevelWords:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; others from 256 on
         others = [b for b in range(256) if b not in plain]
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
-        self.pieces = Pieces(self)
-        self.words: dict[str, bytes | None] = {}
+        self.pieces, self.words = Memo(self.piece), Memo(self.word)
 
     @classmethod
     def fits(cls, tokenizer) -> bool:
@@ -108,35 +107,44 @@ class ByteLevelWords:
     def by_pattern(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.cut(text)))
 
+    def word(self, w: str) -> bytes | None:
+        """A word after a blank, or None if it cannot be coded by itself."""
+        if w.isalpha():
+            return self.pieces[" " + w]
+        if not w or w[0].isspace() or w[-1].isspace():
+            return None
+        if w[:-1].isalpha():  # letters and one other character: two pieces
+            return self.pieces[" " + w[:-1]] + self.pieces[w[-1]]
+        return self.by_pattern(" " + w)
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for memo in (self.pieces, self.words):
             if len(memo) > MEMO:
                 memo.clear()
-        words, get, cut = self.words, self.pieces.__getitem__, self.cut
+        word = self.words.__getitem__
         for text in texts:
             first, *rest = text.split(" ")
-            for w in set(rest).difference(words):
-                alone = w and not w[0].isspace() and not w[-1].isspace()
-                words[w] = b"".join(map(get, cut(" " + w))) if alone else None
             if first[:1].isspace() or first[-1:].isspace() or not first:
                 yield self.by_pattern(text)
                 continue
             try:
-                yield b"".join([self.by_pattern(first), *map(words.__getitem__, rest)])
+                yield b"".join([self.by_pattern(first), *map(word, rest)])
             except TypeError:  # a word that cannot be coded by itself
                 yield self.by_pattern(text)
 
 
-_CODERS: dict[tuple[str, str], WholeTexts | ByteLevelWords] = {}
+_CODERS: dict[tuple[str, int], WholeTexts | ByteLevelWords] = {}
 
 
-def coder(path: str, code: str) -> WholeTexts | ByteLevelWords:
-    """The coder of a tokenizer file, kept by the worker process between tasks."""
-    if (path, code) not in _CODERS:
+def coder(path: str, end_id: int) -> WholeTexts | ByteLevelWords:
+    """The coder of a tokenizer file, kept by the worker process between tasks; ids are packed
+    in two bytes where all of them fit, else in four."""
+    if (path, end_id) not in _CODERS:
         _CODERS.clear()
         tokenizer = load_tokenizer(path)
-        _CODERS[path, code] = (ByteLevelWords if ByteLevelWords.fits(tokenizer) else WholeTexts)(tokenizer, code)
-    return _CODERS[path, code]
+        code = "H" if max(tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "I"
+        _CODERS[path, end_id] = (ByteLevelWords if ByteLevelWords.fits(tokenizer) else WholeTexts)(tokenizer, code)
+    return _CODERS[path, end_id]
 
 
 def write(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
@@ -145,8 +153,8 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFra
     folder = file_dir(spark, "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = "H" if max(load_tokenizer(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else "I"
-        width, end, encoder = struct.calcsize(code), struct.pack(f"<{code}", end_id), coder(tokenizer_path, code)
+        encoder = coder(tokenizer_path, end_id)
+        width, end = struct.calcsize(encoder.code), struct.pack(f"<{encoder.code}", end_id)
         part = TaskContext.get().partitionId()
         names = [attempt_name("part", part, s) for s in (".bin", ".off", ".ids.arrow")]
         fs, root = open_fs(folder)

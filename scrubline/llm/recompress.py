@@ -132,7 +132,7 @@ def repeated_windows(seg: Segments) -> DataFrame:
     rows = repeats.anchor_rows(seg, anchors, "rec-anchors")
     found = repeats.judged(rows, "rec-judged")
     open_rows = repeats.by_window(seg, found.filter("probe"), values, WIDTH, "rec-windows")
-    flags = found.filter("full").select("loc", "pos").unionByName(open_rows)
+    flags = found.filter("full").select("loc", "pos").unionByName(open_rows, allowMissingColumns=True)
     return repeats.settled(rows).unionByName(flags, allowMissingColumns=True)
 
 

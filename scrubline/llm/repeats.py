@@ -211,9 +211,10 @@ def open_windows(key: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def by_window(seg: Segments, probes: DataFrame, values: Callable[[bytes], np.ndarray], width: int, name: str) -> DataFrame:
-    """(loc, pos) of the repeated windows among all windows of open rows (loc, pos, key), by their hashes.
+    """(loc, pos, more) of the repeated windows among all windows of open rows (loc, pos, key), by their hashes.
 
-    Linear in the windows: a key with any number of open rows is spread over its windows.
+    Linear in the windows: a key with any number of open rows is spread over its windows, and
+    equal windows of one stretch of a file are one row.
     """
     read = seg.reader()
 
@@ -232,11 +233,12 @@ def by_window(seg: Segments, probes: DataFrame, values: Callable[[bytes], np.nda
                     h[at] = Prefix(v[base:base + CHUNK + width]).spans(x[at] - base, x[at] - base + width)
                 out.append((key, h.view(np.int64), np.full(len(x), loc, np.int64), x << 16))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["key", "h", "loc", "pos"])
+                yield settle(*(np.concatenate(c) for c in zip(*out)))
 
-    rows = map_arrow(seg.by_part(probes.select("loc", "pos", "key")), run, "key long, h long, loc long, pos long")
-    n = F.count("*").over(Window.partitionBy("key", "h"))
-    return materialize(rows.withColumn("n", n).filter("n > 1").select("loc", "pos"), name)
+    rows = materialize(map_arrow(seg.by_part(probes.select("loc", "pos", "key")), run, ANCHORS), name)
+    n = F.count("*").over(Window.partitionBy("key", "ctx"))
+    open_rows = rows.select("key", "ctx", "loc", "pos", F.col("more").isNotNull().alias("several")).withColumn("n", n)
+    return settled(rows).unionByName(open_rows.filter("several or n > 1").select("loc", "pos"), allowMissingColumns=True)
 
 
 def removed_runs(pos: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -46,7 +46,7 @@ from scrubline.llm.repeats import CHUNK, Prefix, Segments, runs
 WIDTH = 200
 GRAM = 8  # bytes under the rolling hash
 STRETCH = 96  # a trigger at least every so many bytes
-HOT = 4096  # open rows of one bucket that are ordered in one task
+HOT = 1024  # open rows of one bucket that are ordered in one task
 ORDER_ROWS = 20_000  # open rows ordered at a time
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _LOW = (1 << 18) - 1

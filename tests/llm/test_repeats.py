@@ -69,7 +69,7 @@ def test_bytes_hard(spark, hard):
 def test_bytes_hot_buckets_and_long_texts(spark, hard, monkeypatch):
     monkeypatch.setattr(suffixdedup, "HOT", 2)
     assert run_bytes(spark, hard)[1] == byte_results(hard)
-    monkeypatch.setattr(suffixdedup, "HOT", 4096)
+    monkeypatch.setattr(suffixdedup, "HOT", 1024)
     rnd = random.Random(1)
     long = "".join(rnd.choice("abc \n") for _ in range(repeats.CHUNK + 50_000))
     texts = [long, "q" * 30 + long[repeats.CHUNK - 400:repeats.CHUNK + 400], long[1000:1500] + "!", "n" * 50]

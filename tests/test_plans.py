@@ -58,7 +58,7 @@ def scans(df) -> int:
 
 def test_samples_and_logs_stay_within_their_scans(spark):
     """Without any static broadcast the samples of a suite shuffle no whole row, and logs read twice."""
-    from scrubline.plans.catalog import cleaning_log, raw_rows, run_report
+    from scrubline.plans.catalog import cleaning_log, raw_rows, run_report, run_summary
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -69,5 +69,6 @@ def test_samples_and_logs_stay_within_their_scans(spark):
         assert sorted(x.split("#")[0] for x in keyed) == ["customer_id", "rule_id"]
         assert scans(cleaning_log(raw(spark, SF_SMALL))) == 2
         assert scans(run_report(raw(spark, SF_SMALL))) == 2
+        assert scans(run_summary(raw(spark, SF_SMALL))) == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

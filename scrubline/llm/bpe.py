@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from scrubline.llm.common import map_arrow, set_columns, slices, with_fields
 
-MEMO = 200_000
+MEMO = 100_000
 SHORT = 64  # bytes; longer pieces get a tree of their own
 NONE = (1 << 62)  # rank of "no pair here"
 RESULT = (T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),

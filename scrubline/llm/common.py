@@ -54,21 +54,27 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-ARROW_ROWS = 2000  # rows in an Arrow batch: texts are wide, and a batch is held twice on either side
+ARROW_ROWS = 1000  # rows in an Arrow batch: texts are wide, and a batch is held twice on either side
 
 
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     """``df.mapInArrow`` with this package shipped to the workers.
 
     A session that still has Spark's default of 10,000 rows in an Arrow batch gets
-    ``ARROW_ROWS``; a value that somebody set is kept.
+    ``ARROW_ROWS``; a value that somebody set is kept.  Workers live on between tasks, so
+    Arrow gives its free memory back at the end of each.
     """
     spark = df.sparkSession
     ship_code(spark)
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(rows) == "10000":
         spark.conf.set(rows, str(ARROW_ROWS))
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(task, schema)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -25,7 +25,7 @@ Verification: intersections of full sets of 64-bit shingle hashes.
 probability below ``MISS``.
 
 Defined cases: null texts, and texts without words, have an empty set and are linked
-with nothing; repeated rows share set and component; rows that share a doc_id but
+with nothing; repeated rows share set and component, and ``dedup`` keeps one of them; rows that share a doc_id but
 not the text are separate nodes; a null doc_id never names a component unless all
 its members are null; an empty table gives no rows.  Extra columns are not read.
 """
@@ -216,14 +216,16 @@ def rest_pairs(star: DataFrame, tested: DataFrame, labels: DataFrame, classes: D
 
 
 def link(docs: DataFrame, share: int = SHARE) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, kept (and tkey, the key of its text)."""
+    """Per row of ``docs``: doc_id, n_shingles, component_id, kept (and tkey, the key of its text; and
+    chosen, true for the rows with the doc_id and text that stand for their component in ``dedup``)."""
     bands = n_bands(share)
     t = bands * ROWS
     sig = materialize(signatures(docs, t), "near-sig")
     classes = materialize(
         sig.filter(F.col("cid").isNotNull()).groupBy("cid")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-        .withColumn("k", F.monotonically_increasing_id()), "near-classes")
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tkey")).alias("first"),
+                              F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+        .withColumn("rep", F.col("first.doc_id")).withColumn("k", F.monotonically_increasing_id()), "near-classes")
 
     # buckets of two classes or more, each with the member that shares most buckets as its centre
     piece = lambda i: F.xxhash64(F.substring("sketch", 2 * ROWS * i + 1, 2 * ROWS), F.lit(i))
@@ -245,18 +247,37 @@ def link(docs: DataFrame, share: int = SHARE) -> DataFrame:
     if not found.isEmpty():
         labels = components(tested.filter(close).select("a", "b").unionByName(found), "near-labels")
 
-    named = (classes.select("cid", "k", "rep").join(labels, "k", "left").withColumn("label", F.coalesce("label", "k")))
-    smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    ids = materialize(named.join(smallest, "label").select("cid", "component_id"), "near-ids")
+    named = (classes.select("cid", "k", "first").join(labels, "k", "left").withColumn("label", F.coalesce("label", "k")))
+    smallest = named.groupBy("label").agg(F.min("first").alias("first"))
+    ids = materialize(named.select("cid", "label").join(smallest, "label")
+                      .select("cid", F.col("first.doc_id").alias("component_id"), F.col("first.tkey").alias("chosen_key")), "near-ids")
     out = sig.select("doc_id", "tkey", "n_shingles", "cid").join(ids, "cid", "left")
     own = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return (out.withColumn("component_id", own).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select("doc_id", "n_shingles", "component_id", "kept", "tkey"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return (out.withColumn("component_id", own).withColumn("kept", kept)
+            .withColumn("chosen", kept & (F.col("cid").isNull() | (F.col("tkey") == F.col("chosen_key"))))
+            .select("doc_id", "n_shingles", "component_id", "kept", "tkey", "chosen"))
 
 
 def dedup(docs: DataFrame, share: int = SHARE) -> DataFrame:
-    """``docs`` with one document of each component; repeated rows of that document stay together."""
-    gone = materialize(link(docs, share).filter(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"))
-                       .distinct(), "near-gone")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key(F.col("text")) == F.col("__key"))
-    return docs.join(checked_broadcast(gone), same, "left_anti")
+    """``docs`` with one row of each component: of the smallest doc_id, then the smallest key of its text.
+
+    Of repeated rows of that doc_id and text one stays (of other columns the first in order of
+    their JSON).  Texts without words are linked with nothing: only rows that repeat their
+    doc_id and text go.
+    """
+    found = (link(docs, share).groupBy(F.col("doc_id").alias("__id"), F.col("tkey").alias("__key"), "chosen")
+             .agg(F.count("*").alias("n"), F.max("n_shingles").alias("size"))
+             .filter(~F.col("chosen") | ((F.col("n") > 1) & ((F.col("size") > 0) | F.col("__id").isNotNull()))))
+    found = materialize(found, "near-gone")
+    key = text_key(F.col("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
+    single = docs.join(checked_broadcast(found.select("__id", "__key")), same, "left_anti")
+    again = found.filter("chosen").select("__id", "__key")
+    if again.isEmpty():
+        return single
+    rows = docs.join(checked_broadcast(again), same, "left_semi")
+    others = F.to_json(F.struct("doc_id", *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]))
+    one = (rows.groupBy(F.col("doc_id").alias("__id"), key.alias("__key"))
+           .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), others).alias("__row")))
+    return single.unionByName(one.select("__row.*"))

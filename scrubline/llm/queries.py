@@ -56,7 +56,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    return neardup.link(documents(spark, sf_dir)).drop("tkey")
+    return neardup.link(documents(spark, sf_dir)).drop("tkey", "chosen")
 
 
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,3 +65,20 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
             assert stage(spark, df, SF_SMALL).columns == odd.columns, name
             stage(spark, df, SF_SMALL).collect()
     assert len(corpus_pipeline.STAGES[-1][1](spark, odd, SF_SMALL).collect()) == 6
+
+
+def test_repeated_rows_leave_one_with_its_text(spark):
+    text = {c: " ".join(f"{c}{i}" for i in range(150)) for c in "abcde"}
+    rows = [(1, text["a"], "en", "s", 9)] * 3 + [(5, text["a"], "en", "s", 9)]  # a repeated row and a copy of it
+    rows += [(2, text["b"], "en", "s", 9), (2, text["b"] + " end", "en", "s", 9)]  # one id, near-equal texts
+    rows += [(None, text["c"], "en", "s", 9)] * 3  # no id in the whole group
+    rows += [(3, text["d"], "en", "s", 9), (3, text["d"], "de", "t", 9)]  # one document under two sources
+    rows += [(4, text["e"], "en", "s", 9), (4, "", "en", "s", 0), (4, "", "en", "s", 0), (6, "", "en", "s", 0), (None, None, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    near = corpus_pipeline.near_dedup(spark, docs, SF_SMALL)
+    got = corpus_pipeline.suffix_dedup(spark, near, SF_SMALL).collect()
+    assert near.columns == docs.columns
+    assert sorted(r.doc_id or 0 for r in got) == [0, 0, 1, 2, 3, 4, 4, 6]
+    left = {c: [r.text.removesuffix(" end") for r in got if r.text and r.text.startswith(c)] for c in text}
+    assert left == {c: [t] for c, t in text.items()}
+    assert [(r.lang, r.source) for r in got if r.doc_id == 3] == [("de", "t")]

@@ -124,8 +124,9 @@ def signatures(docs: DataFrame, t: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(k, n, items): full sets of the classes (k, cid, rep), recomputed from the text of their representative."""
-    rows = docs.select("doc_id", "text").join(checked_broadcast(wanted), F.col("doc_id") == F.col("rep"))
+    """(k, n, items): full sets of the classes (k, cid, rep, rep_key), recomputed from the text of their representative."""
+    same = F.col("doc_id").eqNullSafe(F.col("rep")) & (text_key(F.col("text")) == F.col("rep_key"))  # rep may be null
+    rows = docs.select("doc_id", "text").join(checked_broadcast(wanted), same)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -133,7 +134,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 k, n, items = [], [], []
                 for text, cid, key in zip(*(b.column(c) for c in ("text", "cid", "k"))):
                     s = shingle_set(text.as_py())
-                    if xxhash.xxh3_128_digest(s.tobytes()) == cid.as_py():  # not another row with that doc_id
+                    if xxhash.xxh3_128_digest(s.tobytes()) == cid.as_py():  # not another text with that key
                         k.append(key.as_py())
                         n.append(len(s))
                         items.append(s.tobytes())
@@ -236,7 +237,7 @@ def link(docs: DataFrame, share: int = SHARE) -> DataFrame:
     centers = members.join(weight, "k").groupBy("bkey").agg(F.max_by("k", F.struct("w", -F.col("k"))).alias("center"))
     star = materialize(members.join(centers, "bkey"), "near-star")
 
-    wanted = members.select("k").distinct().join(classes.select("k", "cid", "rep"), "k").filter(F.col("rep").isNotNull())
+    wanted = members.select("k").distinct().join(classes.select("k", "cid", "rep", F.col("first.tkey").alias("rep_key")), "k")
     sets = materialize(sets_of(docs, materialize(wanted, "near-wanted")), "near-sets")
     pairs = (star.filter("k != center").select(F.least("k", "center").alias("a"), F.greatest("k", "center").alias("b")).distinct())
     tested = materialize(verify(pairs, sets), "near-tested")

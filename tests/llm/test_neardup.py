@@ -62,6 +62,18 @@ def test_odd(spark):
     assert neardup.link(df.limit(0)).count() == 0
 
 
+def test_base_text_without_an_id(spark):
+    """The unedited text of a family shares most buckets, so it is their centre: its set is needed though it has no id."""
+    base = [f"w{i}" for i in range(150)]
+    texts = [base] + [base[:at] + [f"x{at}"] + base[at + 1:] for at in range(7, 147, 10)]
+    alone = [f"v{i}" for i in range(150)]  # a family without any id
+    rows = [(i or None, " ".join(w)) for i, w in enumerate(texts)] + [(None, " ".join(alone)), (None, " ".join(alone[:-1]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.link(df).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in got) == [(0, 0), (0, 0), (0, 1)] + [(i, 1) for i in range(1, len(texts))]
+    assert sorted((r.doc_id or 0, r.text[0]) for r in neardup.dedup(df).collect()) == [(0, "v"), (1, "w")]
+
+
 def test_sketch_estimates():
     rng = np.random.default_rng(1)
     for n in (1, 3, 40, 5000):

@@ -100,13 +100,15 @@ class Tree:
             work += [(c, rows[label == i]) for i, c in enumerate(children) if (label == i).any()]
         return out
 
-    def leaves_of(self, q: np.ndarray, visits: int) -> list[int]:
-        """Best-bin-first: the first ``visits`` leaves in order of the best open branch."""
-        out, heap = [], [(0.0, self.root)]
-        while heap and len(out) < visits:
+    def leaves_of(self, q: np.ndarray, visits: int, rows: dict[int, int] | None = None, need: int = 0) -> list[int]:
+        """Best-bin-first: the first ``visits`` leaves in order of the best open branch, and more
+        until they hold ``need`` of the ``rows`` that each leaf has."""
+        out, held, heap = [], 0, [(0.0, self.root)]
+        while heap and (len(out) < visits or held < need):
             _, node = heapq.heappop(heap)
             if node < 0:
                 out.append(-node - 1)
+                held += rows.get(-node - 1, 0) if rows else 0
                 continue
             centers, children = self.nodes[node]
             for score, child in zip((centers @ q).tolist(), children):
@@ -225,14 +227,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, target: float = TA
     trial = index.filter(draw("vec_id", 2) < min(1.0, CALIBRATION_QUERIES / count)).limit(2 * CALIBRATION_QUERIES).collect()
     visits, _ = calibrate(index, tree, trial or index.limit(50).collect(), k, target)
 
+    held = {r["leaf"]: r["n"] for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # at most MAX_LEAVES
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            leaves = [tree.leaves_of(q, visits) for q in matrix(b.column("query"))]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(leaves, pa.list_(pa.int32()))],
+            own = b.column("own").to_pylist()  # rows with the query's id are no candidates
+            leaves = [tree.leaves_of(q, visits, held, k + n) for q, n in zip(matrix(b.column("query")), own)]
+            yield pa.RecordBatch.from_arrays([b.column("query_id"), b.column("query"), pa.array(leaves, pa.list_(pa.int32()))],
                                              names=["query_id", "query", "leaves"])
 
-    asked = (index.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
-             .dropDuplicates(["query_id"]))
+    asked = (index.filter(is_query).groupBy(F.col("vec_id").alias("query_id"))
+             .agg(F.first("embedding").alias("query"), F.count("*").alias("own")))
     asked = materialize(map_arrow(asked, route, f"query_id long, query {kind}, leaves array<int>"), "ann-queries")
 
     # one row per leaf: into how many chunks and query blocks it is cut

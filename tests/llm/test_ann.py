@@ -64,3 +64,18 @@ def test_hot_vector(spark):
     hits = sum(len(set(got[q].values()) & set(np.lexsort((np.arange(3000), -np.where(np.arange(3000) == q, -1e9, x @ x[q])))[:5].tolist())) for q in got)
     assert hits >= 0.9 * 5 * 150
     assert list(got[60].values()) and set(got[60].values()) <= set(range(3000)) and len(same) == 1000
+
+
+def test_small_leaves(spark, monkeypatch):
+    """One visit and leaves of about ten rows: the search goes on until it has k rows, or all that there are."""
+    monkeypatch.setattr(ann, "LEAF_ROWS", 10)
+    monkeypatch.setattr(ann, "calibrate", lambda *a: (1, 1.0))
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(400)] + [(20, rng.normal(size=8).tolist())] * 5  # an id that is repeated
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for k, want in ((20, 20), (500, None)):
+        got = {}
+        for r in ann.search(df, F.col("vec_id") % 20 == 0, k=k).collect():
+            got.setdefault(r.query_id, []).append(r.vec_id)
+        assert set(got) == set(range(0, 400, 20))
+        assert all(len(v) == (want or (399 if q == 20 else 404)) and q not in v for q, v in got.items())

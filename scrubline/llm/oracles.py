@@ -122,5 +122,70 @@ select doc_id, cast(n_bytes as bigint) as n_bytes, cast(n_removed as bigint) as
   sha256(unhex(h)) as kept_sha256 from kept
 """
 
+OP11_TRIE = rf"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null),
+own as (select conv_id, list(struct_pack(role := role, text := text) order by turn nulls first, role, text) as seq from t group by 1),
+-- crc32, bit by bit
+h as (select *, cast(xor(list_reduce(list_concat([4294967295], list_transform(string_split(cast(conv_id as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 4 as int) as h
+    from own),
+full_ as (select h.conv_id, coalesce(b.seq[1:h], []) || h.seq[h + 1:] as seq
+    from h left join own b on b.conv_id = h.conv_id - h.conv_id % 20),
+cuts as (select conv_id, seq, unnest(range(len(seq) + 1)) as depth from full_),
+member as (select conv_id, depth, seq[1:depth] as node, seq[1:depth - 1] as up, len(seq) = depth as ends from cuts),
+n as (select node, depth, any_value(up) as up, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where ends), '')) as ends_sha256
+    from member group by 1, 2),
+c as (select up, depth - 1 as depth, count(*) as n_children from n where depth > 0 group by 1, 2),
+own_sums as (select n.*, coalesce(c.n_children, 0) as n_children, cast(c.n_children is null as int) as leaf,
+    case when n.depth = 0 then 0 else (n.n_convs - 1) * len(regexp_extract_all(n.node[n.depth].text, '{_WORD}')) end as saved
+    from n left join c on c.up = n.node and c.depth = n.depth),
+spread as (select node, leaf, saved, unnest(range(depth + 1)) as d from own_sums),
+sums as (select node[1:d] as node, d as depth, sum(leaf) as n_leaves, sum(saved) as saved_tokens from spread group by 1, 2)
+select o.conv_id, cast(o.depth as bigint) as depth, p.conv_id as parent_conv_id, o.n_convs, o.n_children,
+  cast(s.n_leaves as bigint) as n_leaves, cast(s.saved_tokens as bigint) as saved_tokens, o.ends_sha256
+from own_sums o join sums s on s.node = o.node and s.depth = o.depth
+left join n p on o.depth > 0 and p.node = o.up and p.depth = o.depth - 1
+"""
+
+OP12_VAFILE = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, x.vec_id, cast(list_inner_product(q.v, x.v) as bigint) as score
+    from v q join v x on q.vec_id % 20 = 0 and q.vec_id != x.vec_id and len(q.v) = len(x.v)),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20
+"""
+
+OP13_AUDIT = rf"""
+with t as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text from documents),
+w as (select *, regexp_extract_all(text, '{_WORD}') as words, min(doc_id) over (partition by text) as first from t),
+l as (select doc_id, max(quality = 1) as good, max(toxic = 1) as toxic from labels group by 1),
+f as (select w.doc_id, part, coalesce(good, false) as good, coalesce(toxic, false) as toxic, map(['A', 'B', 'C', 'D', 'E'], [
+    len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+    100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * len(text), regexp_matches(text, '[#$%&*|]'),
+    coalesce(w.doc_id > first, false)]) as fails from w left join l on w.doc_id = l.doc_id),
+m as (select part, good, toxic, fails, count(*) as n from f group by all),
+x as (select unnest(['A', 'B', 'C', 'D', 'E']) as c),
+o as (select a.c || b.c || d.c || e.c || g.c as filter_order from x a, x b, x d, x e, x g
+    where len(list_distinct([a.c, b.c, d.c, e.c, g.c])) = 5),
+s as (select m.*, filter_order, i as step, fails[substr(filter_order, i, 1)] as fails_here,
+    len(list_filter(range(1, i), lambda j: fails[substr(filter_order, j, 1)])) = 0 as there,
+    len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda z: fails[z])) = 1 as lone
+    from m, o, (select unnest([1, 2, 3, 4, 5]) as i)),
+g as (select part, filter_order, step, substr(filter_order, step, 1) as filter,
+    coalesce(sum(n) filter (where there and not fails_here), 0) as kept, coalesce(sum(n) filter (where there and fails_here), 0) as removed,
+    coalesce(sum(n) filter (where fails_here and not there), 0) as redundant,
+    coalesce(sum(n) filter (where fails_here and lone), 0) as unique_fails,
+    coalesce(sum(n) filter (where there and fails_here and good), 0) as good_lost,
+    coalesce(sum(n) filter (where there and fails_here and toxic), 0) as toxic_lost from s group by 1, 2, 3)
+select part, filter_order, cast(step as integer) as step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+  cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost,
+  cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, filter) as bigint) as shapley
+from g
+"""
+
 ORACLES = {"op1_warc": OP1_WARC, "op2_suffix_dedup": OP2_SUFFIX_DEDUP, "op3_mixing": OP3_MIXING, "op4_quality": OP4_QUALITY,
-           "op6_recompression": OP6_RECOMPRESSION, "op8_neardup": OP8_NEARDUP}
+           "op6_recompression": OP6_RECOMPRESSION, "op8_neardup": OP8_NEARDUP, "op11_trie": OP11_TRIE, "op12_vafile": OP12_VAFILE,
+           "op13_audit": OP13_AUDIT}

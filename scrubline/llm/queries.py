@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.llm import ann, bpe, langid, mixing, neardup, quality, recompress, suffixdedup, tokenfiles, warc
+from scrubline.llm import (
+    ann, audit, bpe, langid, mixing, neardup, quality, recompress, suffixdedup, tokenfiles, trie, vafile, warc,
+)
 from scrubline.llm.common import documents
 
 
@@ -71,4 +73,20 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_mixing, op4_quality, op5_tokens, op6_recompression, op7_bpe, op8_neardup, op9_ann, op10_langid)}
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return trie.nodes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows of every twentieth vector, exactly."""
+    return vafile.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
+def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How five filters interact in every order, by source."""
+    return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_mixing, op4_quality, op5_tokens, op6_recompression, op7_bpe,
+                                   op8_neardup, op9_ann, op10_langid, op11_trie, op12_vafile, op13_audit)}

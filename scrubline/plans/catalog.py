@@ -3,7 +3,7 @@
 Each callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame.  The
 customer queries start from ``dirty_customers`` (a projection of ``customer``).
 Its ids are out of order, repeated and null, so whatever needs the order of the
-file uses the row id of the scan (``raw_rows``).
+file uses the row numbers of the scan (``raw_rows``).
 """
 
 from __future__ import annotations
@@ -18,12 +18,12 @@ from ..operators import mask as M
 from ..operators import pii as D
 from ..operators import profile as P
 from ..operators import rules as V
-from ..operators.rowid import ROW_ID, positions, with_row_id
+from ..operators.rowid import ROW_ID, number_rows, row_number, with_row_id
 from ..session import new_run_dir
 from ..sources.csv import read_csv, row_counts, write_table
 from ..functions.patterns import DATE_COLUMNS, FILL_VALUES
 from ..functions.sqltext import Expr, Ref, stack_rows
-from ..sources.tables import dirty_customers, table
+from ..sources.tables import dirty_customers, dirty_from, table
 
 KEY = "customer_id"
 GATE = {2: 0.5, 4: 0.05, 7: 0.1, 12: 0.2}  # rule -> share of failing rows at which a run halts
@@ -34,7 +34,31 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return with_row_id(raw(spark, sf))
+    """The dirty table with the number of each row in the file order of ``customer``."""
+    return dirty_from(with_row_id(table(spark, sf, "customer")), keep=(ROW_ID,))
+
+
+#: Share of the keys at which the files of ``customer_files`` begin, in order of their names.
+FILE_PARTS = (("a", 0.98, 1.0), ("b", 0.1, 0.98), ("c", 0.0, 0.1))
+
+
+def customer_files(spark: SparkSession, sf: str) -> str:
+    """The dirty table as a folder of CSV files of unlike size: the highest keys in few rows first, the bulk, the lowest keys."""
+    path = new_run_dir(spark, "files")
+    customer = table(spark, sf, "customer")
+    rows = dirty_from(customer, keep=("c_custkey",))
+    n = (customer.agg(F.max("c_custkey")).first()[0] or 0) + 1
+    for name, low, high in FILE_PARTS:
+        part = rows.where(F.col("c_custkey").between(int(low * n), int(high * n) - 1)).orderBy("c_custkey").drop("c_custkey")
+        write_table(part, f"{path}/{name}", "csv")
+    return f"{path}/*"
+
+
+def file_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """These files scanned, staged as a table and numbered in (path, line) order."""
+    staged = new_run_dir(spark, "staged")
+    write_table(read_csv(spark, customer_files(spark, sf), multiline=True, places=True), staged)
+    return number_rows(spark.read.parquet(staged))
 
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
@@ -255,13 +279,30 @@ def q_validate_failures(spark, sf):
                       lambda df: V.failures(df, V.customer_suite(), ROW_ID, k=3, show=(KEY,)))
 
 
+def failed_rows(df: DataFrame, rules=None, k: int = 10) -> DataFrame:
+    """The numbers of the first ``k`` failing rows of each rule, from the same pass as their values."""
+    return V.failures(df, rules or V.customer_suite(), ROW_ID, k=k).select("rule_id", row_number())
+
+
 def q_validate_failed_rows(spark, sf):
     r = raw_rows(spark, sf)
 
-    def rows(df):
-        sample = V.failures(df, V.customer_suite(), ROW_ID, k=10)
-        return positions(df, sample).select("rule_id", "row_number")
-    return _per_table((("raw", r), ("cleaned", C.clean(r))), rows)
+    return _per_table((("raw", r), ("cleaned", C.clean(r))), failed_rows)
+
+
+def q_files_failures(spark, sf):
+    """V17 over a folder of files: the first failing values in (path, line) order."""
+    return V.failures(file_rows(spark, sf), V.customer_suite(), ROW_ID, k=3, show=(KEY,))
+
+
+def q_files_failed_rows(spark, sf):
+    """V18 over a folder of files: "Row n" counts on from file to file."""
+    return failed_rows(file_rows(spark, sf))
+
+
+def q_files_masked_sample(spark, sf):
+    """S6 over a folder of files."""
+    return masked_sample(file_rows(spark, sf))
 
 
 def q_validate_orders(spark, sf):

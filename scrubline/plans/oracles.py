@@ -504,13 +504,21 @@ def _quarantine() -> str:
                                       f"from fr where {ANY_FAILED}")
 
 
-def _scan_csv() -> str:
+#: The dirty table as it comes back from three files, in (file, line) order: the last 2 per cent of the keys, the bulk, the first tenth.
+def _files() -> str:
+    n = "(select max(c_custkey) + 1 from customer)"
+    place = f"case when ord >= cast(floor(0.98::double * {n}) as bigint) then 0 when ord >= cast(floor(0.1::double * {n}) as bigint) then 1 else 2 end"
+    return (f"all_keys as ({DIRTY_SQL}), in_file as (select *, row_number() over (order by {place}, ord) - 1 as line from all_keys), "
+            f"dirty as ({_scan_csv('line as ord, ').replace('from dirty', 'from in_file')})")
+
+
+def _scan_csv(also: str = "") -> str:
     """What comes back from a CSV file: blanks after a delimiter go, except inside quotes; NaN is a missing value."""
     cols = []
     for c, t in CUSTOMER_COLUMNS:
         kept = f"if(regexp_matches({c}, '[,\"\n]'), {c}, ltrim({c}))"
         cols.append(f"if(isnan({c}), null, {c}) as {c}" if t == "double" else f"{kept} as {c}" if t == "varchar" else c)
-    return f"select {', '.join(cols)} from dirty"
+    return f"select {also}{', '.join(cols)} from dirty"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -563,6 +571,12 @@ def oracle_sql() -> dict[str, str]:
             f"select count(*) filter (where {ANY_FAILED}) as impacted_rows, count(*) as total_rows from fc"),
         "validate_failures": raw_flags + _stage_union(_failures("fr", 3), _failures("fc", 3)),
         "validate_failed_rows": pos_flags + _stage_union(_failed_rows("fr", 10), _failed_rows("fc", 10)),
+        "files_failures": with_(_files(), RAW_FLAGS) + _failures("fr", 3),
+        "files_failed_rows": with_(_files(), flags_cte(
+            "fr", "(select *, ord + 1 as pos from dirty)", SUITE, CUSTOMER_TYPES, "customer_id")) + _failed_rows("fr", 10),
+        "files_masked_sample": with_(_files(), CLEANED, MASKED) + f"""select * from (select 'before' as side, {CUSTOMER_COLS} from dirty
+            order by ord limit 2)
+            union all select * from (select 'after' as side, {CUSTOMER_COLS} from masked order by ord limit 2)""",
         "validate_orders": with_(_orders_flags()) + evaluate_sql("fo", "orders", orders_suite()),
         "validate_orders_failures": (
             with_(flags_cte("fo", "orders", orders_key_suite(), ORDERS_TYPES, "o_orderkey"))

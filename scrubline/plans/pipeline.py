@@ -4,7 +4,7 @@ detect PII -> mask -> save, with report tables.
 Execution plan
 --------------
 * A CSV source is parsed once into a Parquet table in the shared folder
-  (``spark.checkpoint.dir``) with the row ids of the scan, malformed rows and cells
+  (``spark.checkpoint.dir``) with the place of each row in its files, malformed rows and cells
   that did not fit their type are counted there, and every later stage reads
   columnar data; a lost executor only recomputes from that table.
 * With critical rules the raw table is validated first, and the gate decides before
@@ -36,7 +36,7 @@ from ..operators import mask as M
 from ..operators import pii as D
 from ..operators import profile as P
 from ..operators import rules as V
-from ..operators.rowid import ROW_ID, with_row_id
+from ..operators.rowid import ROW_ID, number_rows, with_row_id
 from ..session import new_run_dir, use_jit_safe_codegen
 from ..sources.csv import read_csv, write_table
 from .catalog import masked_sample
@@ -119,14 +119,14 @@ def run_pipeline(
         # its plan is expensive)
         load_rows = []
         if isinstance(source, str):
-            parsed = with_row_id(read_csv(spark, source, keep_bronze=True, multiline=multiline, corrupt_column="_corrupt"))
+            parsed = read_csv(spark, source, keep_bronze=True, multiline=multiline, corrupt_column="_corrupt", places=True)
             staged = stage("raw", parsed, new_run_dir(spark, "raw"))
             bronze = [c for c in staged.columns if c.endswith("__raw")]
             bad = staged.agg(F.count("_corrupt").alias("malformed_rows"),
                              *[F.count_if(F.col(c).isNotNull() & F.col(c.removesuffix("__raw")).isNull())
                                .alias(f"unreadable_{c.removesuffix('__raw')}") for c in bronze]).first()
             load_rows = [(k, int(v)) for k, v in bad.asDict().items()]
-            rows = staged.drop("_corrupt", *bronze)
+            rows = number_rows(staged.drop("_corrupt", *bronze))
         else:
             rows = with_row_id(source)
         raw = rows.drop(ROW_ID)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.patterns import NA_TOKENS
+from ..operators.rowid import BLOCK, FILE, PLACE, with_places
 from .tables import CUSTOMER_DDL
 
 
@@ -50,6 +51,7 @@ def read_csv(
     corrupt_column: str | None = None,
     required: tuple | None = None,
     keep_extra: bool = False,
+    places: bool = False,
 ) -> DataFrame:
     """Header CSV -> typed DataFrame.
 
@@ -58,7 +60,8 @@ def read_csv(
     unless ``required`` names them: then ``ValueError`` is raised before any job on the
     data.  Other columns of the file are ignored, or appended as strings with
     ``keep_extra``.  Leading blanks after a delimiter are skipped, except inside quotes.
-    Raises ``FileNotFoundError`` (S2) when the path does not exist.
+    ``places`` adds where each row stands (see ``operators.rowid``).  Raises
+    ``FileNotFoundError`` (S2) when the path does not exist.
     """
     typed = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     if not _path_exists(spark, path):
@@ -82,7 +85,9 @@ def read_csv(
     )
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return _typed(reader.csv(path), names, typed, na_tokens, keep_bronze, corrupt_column, keep_extra)
+    scan = reader.csv(path)
+    return _typed(with_places(scan) if places else scan, names, typed, na_tokens, keep_bronze, corrupt_column, keep_extra,
+                  (FILE, BLOCK, PLACE) if places else ())
 
 
 def stream_csv(spark: SparkSession, directory: str, schema: str | T.StructType = CUSTOMER_DDL, na_tokens=NA_TOKENS,
@@ -100,7 +105,7 @@ def stream_csv(spark: SparkSession, directory: str, schema: str | T.StructType =
 
 
 def _typed(raw: DataFrame, names: list[str], typed: T.StructType, na_tokens, keep_bronze: bool = False,
-           corrupt_column: str | None = None, keep_extra: bool = False) -> DataFrame:
+           corrupt_column: str | None = None, keep_extra: bool = False, also: tuple = ()) -> DataFrame:
     """String columns ``names`` -> the typed columns among them, by name."""
     tokens = list(na_tokens)
 
@@ -126,7 +131,7 @@ def _typed(raw: DataFrame, names: list[str], typed: T.StructType, na_tokens, kee
         cols += [text(n).alias(n) for n in names if n not in used]
     if corrupt_column:
         cols.append(F.col(corrupt_column))
-    return raw.select(*cols)
+    return raw.select(*cols, *also)
 
 
 def row_counts(df: DataFrame) -> DataFrame:

@@ -26,9 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dirty_from(customer: DataFrame) -> DataFrame:
-    """A ``customer`` table (batch or stream) as the dirty ten-column customer table."""
-    return customer.sparkSession.sql(DIRTY_CUSTOMERS_SQL, customer=customer)
+def dirty_from(customer: DataFrame, keep: tuple = ()) -> DataFrame:
+    """A ``customer`` table (batch or stream) as the dirty ten-column customer table, and its columns ``keep``."""
+    more = "".join(f", {c}" for c in keep)
+    sql = DIRTY_CUSTOMERS_SQL.replace(" from {customer})", more + " from {customer})").replace("\nfrom c\n", more + "\nfrom c\n")
+    return customer.sparkSession.sql(sql, customer=customer)
 
 
 def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

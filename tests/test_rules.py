@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from scrubline.operators import clean as C
 from scrubline.operators import rules as V
-from scrubline.operators.rowid import ROW_ID, positions, with_row_id
+from scrubline.operators.rowid import ROW_ID, number_rows, row_number, with_row_id
+from scrubline.plans.catalog import failed_rows
 
 from .conftest import customers
 
@@ -91,8 +92,7 @@ def test_failure_samples_first_k_in_order(golden_raw):
 
 
 def test_failed_rows_positions(golden_raw):
-    rows = with_row_id(golden_raw)
-    got = sorted((r.rule_id, r.row_number) for r in positions(rows, V.failures(rows, SUITE, ROW_ID, k=10)).collect())
+    got = sorted(map(tuple, failed_rows(with_row_id(golden_raw)).collect()))
     assert got == [(4, 3), (7, 5), (9, 3), (11, 4), (13, 4), (13, 6), (14, 5), (14, 10)]
 
 
@@ -105,10 +105,41 @@ def test_positions_with_repeated_null_and_unsorted_keys(spark, tmp_dir):
         f.write("customer_id,first_name\n" + "".join(f"{'' if i is None else i},Ann\n" for i in ids))
     rows = with_row_id(read_csv(spark, path))
     suite = [V.R(1, "customer_id", "not_null"), V.R(2, "customer_id", "unique"), V.R(3, "customer_id", "between", min=1)]
-    got = sorted((r.rule_id, r.row_number) for r in positions(rows, V.failures(rows, suite, ROW_ID, k=2)).collect())
+    got = sorted(map(tuple, failed_rows(rows, suite, k=2).collect()))
     assert got == [(1, 7), (2, 4), (2, 6), (3, 9)]
-    many = rows.repartition(5).drop(ROW_ID)
-    assert {r.row_number for r in positions(with_row_id(many), with_row_id(many)).collect()} == set(range(1, 10))
+    many = with_row_id(rows.repartition(5).drop(ROW_ID))
+    assert sorted(r.row_number for r in many.select(row_number()).collect()) == list(range(1, 10))
+
+
+def test_rows_are_numbered_in_file_order(spark, tmp_dir):
+    """Files of unlike size in many splits: Spark reads the largest splits first, the numbers follow path and line."""
+    from scrubline.sources.csv import read_csv
+    folder, at = os.path.join(tmp_dir, "folder"), 0
+    os.makedirs(folder)
+    for name, n in (("a", 2), ("b", 3000), ("c", 0), ("d", 40), ("e", 1)):
+        with open(os.path.join(folder, f"{name}.csv"), "w") as f:
+            f.write("customer_id,first_name\n" + "".join(f"{i},Name{i}\n" for i in range(at, at + n)))
+        at += n
+    sizes = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        scan = read_csv(spark, folder, places=True)
+        assert [r.customer_id for r in scan.limit(2).collect()] != [0, 1]  # a scan does not start with the first file
+        direct = number_rows(scan)
+        assert direct.where(F.col("customer_id") != F.col(ROW_ID)).count() == 0 and direct.count() == at
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1000000")  # staged, and read in other splits
+        staged = os.path.join(tmp_dir, "staged")
+        scan.repartition(7).write.parquet(staged)
+        rows = number_rows(spark.read.parquet(staged))
+        assert rows.where(F.col("customer_id") != F.col(ROW_ID)).count() == 0 and rows.count() == at
+        assert rows.columns == ["customer_id", "first_name", ROW_ID]
+        wrong = rows.withColumn("first_name", F.when(F.col(ROW_ID).isin(1, 2, 3001, 3042), F.lit(None)).otherwise(F.col("first_name")))
+        assert [r.row_number for r in failed_rows(wrong, [V.R(4, "first_name", "not_null")], k=3).orderBy("row_number").collect()] == [2, 3, 3002]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_flags_by_shuffle_equal_flags_by_broadcast(spark, monkeypatch):

@@ -460,6 +460,11 @@ def q_stream_duplicate_keys(spark, sf):
     return stream_duplicate_keys(spark, sf, "orders", "o_custkey")
 
 
+def q_stream_unique_events(spark, sf):
+    from ..streaming.unique import stream_unique_events
+    return stream_unique_events(spark, sf)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -141,33 +141,27 @@ NA_TOKENS = (
     "nan", "null",
 )
 
-# --- fixed values: accepted date layouts ------------------------------------
-# (text shape, formats tried in order for that shape, the same formats as
-# rewrites to year-month-day text).  Shapes do not overlap, so a value is
-# parsed only with the formats of its own shape; month-first comes before
-# day-first, as the mixed-format parser guesses.  Numeric layouts are
-# rewritten and cast (Spark's string-to-date cast checks the calendar);
-# layouts with month names go through the pattern parser.  A time of day after
-# the date (a blank or T, hours and minutes, seconds and their fractions if
-# given, a zone if given) is cut off before; the date is that of the text's own zone.
-_Y, _MD, _YY = "([0-9]{4})", "([0-9]{1,2})", "([0-9]{2})"
+# --- fixed values: the grammar of dates --------------------------------------
+# A date is made of tokens: numbers, a month name, an ordinal ending, a weekday, separators,
+# and a time of day with its zone.  A time (a blank or T, hours and minutes, seconds and their
+# fractions if given, a zone if given) and a weekday say nothing about the date and are cut off; the
+# date is that of the text's own zone.  What is left has one of three shapes:
+#   year first        2024-01-15  2024/1/5  2024.01.15  20240115
+#   two small numbers 01/15/2024  15.01.2024  1-5-85     month first, as the mixed-format parser
+#                                                        guesses, then day first
+#   a month name      15 Jan 2024  15-Jan-24  15th of January 2024  Jan-15-2024  2024-Jan-15  15jan2024
 TIME_OF_DAY = (r"[ T]+([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\.[0-9]{1,9})?)?( ?([AaPp][Mm]))?"
-               r"( ?(Z|[+-][0-9]{2}:?[0-9]{2}))?$")
-DATE_LAYOUTS = (
-    (rf"^{_Y}-{_MD}-{_MD}$", ("yyyy-M-d",), ("$1-$2-$3",)),
-    (rf"^{_Y}/{_MD}/{_MD}$", ("yyyy/M/d",), ("$1-$2-$3",)),
-    (rf"^{_MD}/{_MD}/{_Y}$", ("M/d/yyyy", "d/M/yyyy"), ("$3-$1-$2", "$3-$2-$1")),
-    (rf"^{_MD}-{_MD}-{_Y}$", ("M-d-yyyy", "d-M-yyyy"), ("$3-$1-$2", "$3-$2-$1")),
-    (r"^([0-9]{4})([0-9]{2})([0-9]{2})$", ("yyyyMMdd",), ("$1-$2-$3",)),
-    (rf"^{_Y}\.{_MD}\.{_MD}$", ("yyyy.M.d",), ("$1-$2-$3",)),
-    (rf"^[A-Za-z]+ {_MD},? {_Y}$", ("MMM d yyyy", "MMMM d yyyy"), None),
-    (rf"^{_MD} [A-Za-z]+,? {_Y}$", ("d MMM yyyy", "d MMMM yyyy"), None),
-    (rf"^{_MD}-[A-Za-z]+-{_Y}$", ("d-MMM-yyyy",), None),
-)
-# two-digit years, month first and then day first; years from the pivot on are 19xx, others 20xx
+               r"( ?(Z|UTC|GMT|[+-][0-9]{2}:?[0-9]{2}))?$")
+_WEEKDAY = r"(?:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?:day)?"
+WEEKDAY = rf"^{_WEEKDAY}[,. ]+|[,. ]+{_WEEKDAY}$"
+MONTH_NAMES = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+# the first three letters of a month name: written out, cut to three letters, or "sept"
+_MONTH = "(?=(?:" + "|".join(MONTH_NAMES) + "|" + "|".join(m[:3] for m in MONTH_NAMES) + "|sept)(?![a-z]))([a-z]{3})[a-z]*"
+_DAY, _SMALL, _YEAR, _SEP = "([0-9]{1,2})(?:st|nd|rd|th)?", "([0-9]{1,2})", "([0-9]{4}|[0-9]{2})", "[-/., ]"
+# (shape, rewrite to year-month-day text)
+YEAR_FIRST = (rf"^([0-9]{{4}})([-/. ]){_SMALL}\2{_SMALL}$|^([0-9]{{4}})([0-9]{{2}})([0-9]{{2}})$", "$1$5-$3$6-$4$7")
+YEAR_LAST = (rf"^{_SMALL}([-/. ]){_SMALL}\2{_YEAR}$", ("$4-$1-$3", "$4-$3-$1"))
+MONTH_NAMED = (rf"^{_DAY}{_SEP}*(?:of +)?{_MONTH}{_SEP}*{_YEAR}$|^{_MONTH}{_SEP}*{_DAY}{_SEP}+{_YEAR}$|^([0-9]{{4}}){_SEP}*{_MONTH}{_SEP}*{_DAY}$",
+               "$3$6$7-$2$4$8-$1$5$9")
+# two-digit years from the pivot on are 19xx, others 20xx
 TWO_DIGIT_YEAR_PIVOT = 69
-TWO_DIGIT_YEAR_LAYOUTS = (
-    (rf"^{_MD}/{_MD}/{_YY}$", ("M/d/yy", "d/M/yy"), ("$3-$1-$2", "$3-$2-$1")),
-    (rf"^{_MD}-{_MD}-{_YY}$", ("M-d-yy", "d-M-yy"), ("$3-$1-$2", "$3-$2-$1")),
-)
-DATE_FORMATS = tuple(f for _, fs, _ in DATE_LAYOUTS for f in fs)

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .cache import cached_expr
-from .patterns import DATE_LAYOUTS, PY_SPACE_CHARS, TIME_OF_DAY, TWO_DIGIT_YEAR_LAYOUTS, TWO_DIGIT_YEAR_PIVOT
+from .patterns import MONTH_NAMED, PY_SPACE_CHARS, TIME_OF_DAY, TWO_DIGIT_YEAR_PIVOT, WEEKDAY, YEAR_FIRST, YEAR_LAST
 
 # A "cased" run is a maximal run of upper/lower/title-case letters; everything
 # else (digits, punctuation, blanks, uncased scripts) separates words.
@@ -65,10 +65,10 @@ def is_title(c: Column | str) -> Column:
 def parse_date(c: Column | str) -> Column:
     """Parse mixed-layout date text to a DATE (null when nothing matches).
 
-    The trimmed text is matched against the fixed layout shapes; only the
-    formats of the matching shape are tried, in their fixed order, with
-    ``try_to_date`` (never throws under ANSI mode).  Month names are accepted
-    in any letter case.  Text of no known shape is null without any parse.
+    The grammar of ``patterns`` in native expressions: time and weekday are cut off, then the
+    text has one of three shapes, each a regex whose rewrite puts year, month and day
+    in order; casts and parses never throw under ANSI mode and check the calendar.  Names
+    are accepted in any letter case.  Text of no shape is null without any parse.
     """
     return parse_trimmed_date(F.trim(_col(c)))
 
@@ -77,23 +77,19 @@ def parse_trimmed_date(t: Column) -> Column:
     """``parse_date`` for text that is already trimmed.  ``t`` is referenced by
     every shape test, so callers should pass a column computed in an earlier
     projection rather than an expression (see ``clean.clean``)."""
-    d = F.when(t.contains(":"), F.regexp_replace(t, TIME_OF_DAY, "")).otherwise(t)
-    named = F.initcap(F.replace(d, F.lit(","), F.lit("")))
-    out = None
-    for shape, fmts, rewrites in DATE_LAYOUTS:
-        if rewrites is None:
-            tries = [F.try_to_date(named, f) for f in fmts]
-        elif rewrites == ("$1-$2-$3",) and shape.count("-") == 2 and "/" not in shape:
-            tries = [d.try_cast("date")]
-        else:
-            tries = [F.regexp_replace(d, shape, r).try_cast("date") for r in rewrites]
-        parsed = F.coalesce(*tries) if len(tries) > 1 else tries[0]
-        out = F.when(d.rlike(shape), parsed) if out is None else out.when(d.rlike(shape), parsed)
+    timeless = F.when(t.contains(":"), F.regexp_replace(t, TIME_OF_DAY, "")).otherwise(t)
+    named = F.regexp_replace(F.lower(timeless), WEEKDAY, "")
+    d = F.when(timeless.rlike("[A-Za-z]"), named).otherwise(timeless)
     century = F.when(F.substring(d, -2, 2) >= F.lit(f"{TWO_DIGIT_YEAR_PIVOT:02d}"), F.lit("19")).otherwise(F.lit("20"))
-    for shape, _, rewrites in TWO_DIGIT_YEAR_LAYOUTS:
-        tries = [F.concat(century, F.regexp_replace(d, shape, r)).try_cast("date") for r in rewrites]
-        out = out.when(d.rlike(shape), F.coalesce(*tries))
-    return out
+
+    def full(ymd: Column) -> Column:
+        """Year-month-day text with a year of four digits."""
+        return F.when(F.substring(ymd, 3, 1) == "-", F.concat(century, ymd)).otherwise(ymd)
+
+    month_first, day_first = (full(F.regexp_replace(d, YEAR_LAST[0], r)).try_cast("date") for r in YEAR_LAST[1])
+    return (F.when(d.rlike(YEAR_FIRST[0]), F.regexp_replace(d, *YEAR_FIRST).try_cast("date"))
+            .when(d.rlike(YEAR_LAST[0]), F.coalesce(month_first, day_first))
+            .when(d.rlike(MONTH_NAMED[0]), F.try_to_date(full(F.regexp_replace(d, *MONTH_NAMED)), "yyyy-MMM-d")))
 
 
 @cached_expr

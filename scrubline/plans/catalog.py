@@ -19,6 +19,7 @@ from ..operators import pii as D
 from ..operators import profile as P
 from ..operators import rules as V
 from ..operators.rowid import ROW_ID, number_rows, row_number, with_row_id
+from ..operators.segments import profile_by_segment
 from ..session import new_run_dir
 from ..sources.csv import read_csv, row_counts, write_table
 from ..functions.patterns import DATE_COLUMNS, FILL_VALUES
@@ -348,6 +349,10 @@ def q_profile_duplicates_orders(spark, sf):
     return P.duplicate_keys(table(spark, sf, "orders"), "o_custkey")
 
 
+def q_profile_by_segment(spark, sf):
+    return profile_by_segment(raw(spark, sf))
+
+
 def q_profile_report(spark, sf):
     return P.report(raw_rows(spark, sf), ROW_ID)
 

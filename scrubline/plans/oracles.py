@@ -18,7 +18,7 @@ from ..operators.rules import Rule, customer_suite, orders_key_suite, orders_sui
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 _DUCK_DATE_FORMATS = (
     "%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y", "%d/%m/%Y", "%m-%d-%Y", "%d-%m-%Y", "%Y%m%d", "%Y.%m.%d",
-    "%b %d %Y", "%B %d %Y", "%d %b %Y", "%d %B %Y", "%d-%b-%Y",
+    "%b %d %Y", "%B %d %Y", "%d %b %Y", "%d %B %Y", "%d-%b-%Y", "%m.%d.%Y", "%d.%m.%Y", "%b-%d-%Y", "%Y-%b-%d",
 )
 
 # The dirty table by position in lists; ``ord`` is the place of the row in the file.
@@ -36,7 +36,8 @@ select k as ord,
   ['invalid_date', y || '/05/10', '01/15/' || y, y || '-03-15', y || '-1-5', '25/12/' || y, '01-15-' || y, '25-12-' || y,
    y || '0704', y || '.06.07', 'Jan 15, ' || y, 'march 3 ' || y, '15 JAN ' || y, '4 July, ' || y, '05-Feb-' || y,
    y || '-03-15 10:30', y || '-03-15T10:30:45', y || '-03-15 10:30:45.123', y || '/05/10 10:00:00', '1/15/' || y || ' 9:05',
-   '1/5/' || y[3:4], '25-12-' || y[3:4], y || '-02-30', 'soon', null, ' ' || y || '-10-01 '][k % 26 + 1] as date_of_birth,
+   '1/5/' || y[3:4], '25-12-' || y[3:4], y || '-02-30', 'soon', null, '15.01.' || y, '15-Jan-' || y[3:4],
+   'Jan-15-' || y, y || '-Jan-15', '15 Jan ' || y[3:4], '22nd January ' || y, 'Monday, January 15, ' || y, 'Sept 5 ' || y, ' ' || y || '-10-01 '][k % 34 + 1] as date_of_birth,
   [k || ' Main St', null, '12 "Old" Rd, NY ' || k, '  ' || k || ' Blank St ', 'Flat 1' || chr(10) || k || ' Main St', 'NY',
    k || ' Main St', k || ' Main St'][k % 8 + 1] as address,
   case when k % 9 = 2 then null when k % 31 = 4 then 'nan'::double when k % 37 = 6 then 10000001.5::double
@@ -74,9 +75,10 @@ def is_title(x: str) -> str:
 def iso(x: str) -> str:
     fmts = "[" + ", ".join(q(f) for f in _DUCK_DATE_FORMATS) + "]"
     day = f"regexp_replace(trim({x}), {q(_TIME)}, '')"
-    named = f"if(regexp_matches({day}, '[A-Za-z]'), replace({day}, ',', ''), {day})"
+    bare = f"regexp_replace(regexp_replace(regexp_replace({day}, '^[A-Za-z]+day, ', ''), '^Sept ', 'Sep '), '^([0-9]+)(st|nd|rd|th) ', '\\1 ')"
+    named = f"if(regexp_matches({day}, '[A-Za-z]'), replace({bare}, ',', ''), {day})"
     century = f"if(right({day}, 2) >= '69', '19', '20')"
-    full = (f"if(regexp_matches({day}, {q(r'^[0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]{2}$')}), "
+    full = (f"if(regexp_matches({day}, {q(r'^[0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]{2}$|^[0-9]{1,2}[- ][A-Za-z]+[- ][0-9]{2}$')}), "
             f"left({day}, length({day}) - 2) || {century} || right({day}, 2), {named})")
     return f"strftime(cast(try_strptime({full}, {fmts}) as date), '%Y-%m-%d')"
 
@@ -512,6 +514,35 @@ def _files() -> str:
             f"dirty as ({_scan_csv('line as ord, ').replace('from dirty', 'from in_file')})")
 
 
+def _by_segment() -> str:
+    """The checks of the profile as legs over grouping sets."""
+    legs = []
+    for i, (c, t) in enumerate(CUSTOMER_COLUMNS, start=1):
+        gone = f"{c} is null or isnan({c})" if t == "double" else f"{c} is null"
+        legs.append(("COMPLETENESS", i, c, f"{gone} or contains(lower({c}), {q(DATE_SENTINEL)})" if t == "varchar" else gone))
+    legs += [("DATA TYPES", 1, "date_of_birth", f"regexp_matches(date_of_birth, {q(DOB_DRIFT_PATTERN)})"),
+             ("DATA TYPES", 2, "income", "income is null or isnan(income)"),
+             ("QUALITY ISSUES", 1, "phone", f"regexp_matches(phone, {q(NONSTANDARD_PHONE_PATTERN)})"),
+             ("QUALITY ISSUES", 2, "date_of_birth", "contains(date_of_birth, '/')"),
+             ("QUALITY ISSUES", 2, "created_date", "contains(created_date, '/')"),
+             ("QUALITY ISSUES", 3, "first_name", f"first_name is not null and not {is_title('first_name')}"),
+             ("QUALITY ISSUES", 3, "last_name", f"last_name is not null and not {is_title('last_name')}"),
+             ("QUALITY ISSUES", 4, "email", f"regexp_matches(email, {q(UPPERCASE_PATTERN)})"),
+             ("QUALITY ISSUES", 5, "account_status", f"account_status is not null and lower(account_status) not in {STATUS_SET}")]
+    sets = "grouping sets ((account_status, created_year), (account_status), (created_year), ())"
+    parts = [f"select cast(grouping_id(account_status, created_year) as integer) as grouping_id, account_status, created_year, "
+             f"{q(s)} as section, {i} as item_no, {q(c)} as column_name, count(*) filter (where {cond}) as affected, count(*) as total_rows "
+             f"from seg group by {sets}" for s, i, c, cond in legs]
+    keyed = sets.replace("())", "(customer_id))").replace("created_year)", "created_year, customer_id)").replace("(account_status)", "(account_status, customer_id)")
+    parts.append(f"""select grouping_id, account_status, created_year, 'QUALITY ISSUES', 6, 'customer_id',
+        cast(sum(case when n > 1 then n else 0 end) as bigint), cast(sum(n) as bigint) from (
+        select cast(grouping_id(account_status, created_year) as integer) as grouping_id, account_status, created_year, customer_id, count(*) as n
+        from seg group by {keyed}) group by all""")
+    seg = f"seg as (select *, cast(left({iso('created_date')}, 4) as integer) as created_year from dirty)"
+    return with_(DIRTY, seg) + "select *, cast(affected as double) / cast(total_rows as double) * 100.0 as affected_percent from (" + \
+        "\nunion all\n".join(parts) + ")"
+
+
 def _scan_csv(also: str = "") -> str:
     """What comes back from a CSV file: blanks after a delimiter go, except inside quotes; NaN is a missing value."""
     cols = []
@@ -591,6 +622,7 @@ def oracle_sql() -> dict[str, str]:
                                    "having count(*) > 1"),
         "profile_duplicates_orders": ("select o_custkey, count(*) as occurrences from orders group by o_custkey "
                                       "having count(*) > 1"),
+        "profile_by_segment": _by_segment(),
         "profile_report": REPORT_SQL,
         "pii_scan": dc + pii_scan_sql("cleaned"),
         "pii_scan_raw": d + pii_scan_sql("dirty"),

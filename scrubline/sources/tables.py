@@ -59,7 +59,7 @@ select
   case k % 7 when 0 then concat('555-123-', last4) when 1 then concat('(555) 123-', last4)
     when 2 then concat('555.123.', last4) when 3 then concat('555123', last4) when 4 then '12345'
     when 5 then null else '+1 555 123 4567' end as phone,
-  case k % 26 when 0 then 'invalid_date' when 1 then concat(y, '/05/10') when 2 then concat('01/15/', y)
+  case k % 34 when 0 then 'invalid_date' when 1 then concat(y, '/05/10') when 2 then concat('01/15/', y)
     when 3 then concat(y, '-03-15') when 4 then concat(y, '-1-5') when 5 then concat('25/12/', y)
     when 6 then concat('01-15-', y) when 7 then concat('25-12-', y) when 8 then concat(y, '0704')
     when 9 then concat(y, '.06.07') when 10 then concat('Jan 15, ', y) when 11 then concat('march 3 ', y)
@@ -68,7 +68,11 @@ select
     when 17 then concat(y, '-03-15 10:30:45.123') when 18 then concat(y, '/05/10 10:00:00')
     when 19 then concat('1/15/', y, ' 9:05') when 20 then concat('1/5/', substr(y, 3, 2))
     when 21 then concat('25-12-', substr(y, 3, 2)) when 22 then concat(y, '-02-30') when 23 then 'soon'
-    when 24 then null else concat(' ', y, '-10-01 ') end as date_of_birth,
+    when 24 then null when 25 then concat('15.01.', y)
+    when 26 then concat('15-Jan-', substr(y, 3, 2)) when 27 then concat('Jan-15-', y) when 28 then concat(y, '-Jan-15')
+    when 29 then concat('15 Jan ', substr(y, 3, 2)) when 30 then concat('22nd January ', y)
+    when 31 then concat('Monday, January 15, ', y) when 32 then concat('Sept 5 ', y)
+    else concat(' ', y, '-10-01 ') end as date_of_birth,
   case k % 8 when 1 then null when 2 then concat('12 "Old" Rd, NY ', t) when 3 then concat('  ', t, ' Blank St ')
     when 4 then concat('Flat 1', char(10), t, ' Main St') when 5 then 'NY' else concat(t, ' Main St') end as address,
   case when k % 9 = 2 then null when k % 31 = 4 then cast('NaN' as double) when k % 37 = 6 then 10000001.5D

@@ -46,6 +46,16 @@ def test_failure_samples_limit_before_the_shuffle(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
+def test_segment_profile_reads_once(spark):
+    from scrubline.operators.segments import profile_by_segment
+
+    p = plan(profile_by_segment(raw(spark, SF_SMALL)))
+    assert p.count("FileScan") == 1 and "Join" not in p and "Expand" in p
+    keyed = [re.findall(r"(\w+)#", x) for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)]
+    seg = ["_s_account_status", "_s_created_year"]  # from the last shuffle to the first
+    assert keyed == [["_gid", *seg], [*seg, "_kind", "_key", "spark_grouping_id"], ["_kind", "_key"], [*seg, "_kind", "_key"]]
+
+
 def test_text_scan_reads_only_the_text(spark):
     p = plan(D.scan_text(table(spark, SF_SMALL, "documents"), "text"))
     assert read_schemas(p) == ["text:string"]

@@ -70,16 +70,19 @@ def parse_date(c: Column | str) -> Column:
     in order; casts and parses never throw under ANSI mode and check the calendar.  Names
     are accepted in any letter case.  Text of no shape is null without any parse.
     """
-    return parse_trimmed_date(F.trim(_col(c)))
+    return parse_date_core(date_core(F.trim(_col(c))))
 
 
-def parse_trimmed_date(t: Column) -> Column:
-    """``parse_date`` for text that is already trimmed.  ``t`` is referenced by
+def date_core(t: Column) -> Column:
+    """Trimmed date text without its time of day and weekday."""
+    timeless = F.when(t.contains(":"), F.regexp_replace(t, TIME_OF_DAY, "")).otherwise(t)
+    return F.when(t.rlike("[A-Za-z]"), F.regexp_replace(F.lower(timeless), WEEKDAY, "")).otherwise(timeless)
+
+
+def parse_date_core(d: Column) -> Column:
+    """``parse_date`` for what ``date_core`` gives.  ``d`` is referenced by
     every shape test, so callers should pass a column computed in an earlier
     projection rather than an expression (see ``clean.clean``)."""
-    timeless = F.when(t.contains(":"), F.regexp_replace(t, TIME_OF_DAY, "")).otherwise(t)
-    named = F.regexp_replace(F.lower(timeless), WEEKDAY, "")
-    d = F.when(timeless.rlike("[A-Za-z]"), named).otherwise(timeless)
     century = F.when(F.substring(d, -2, 2) >= F.lit(f"{TWO_DIGIT_YEAR_PIVOT:02d}"), F.lit("19")).otherwise(F.lit("20"))
 
     def full(ymd: Column) -> Column:

@@ -17,7 +17,7 @@ from ..functions.patterns import (
 )
 from ..functions.cache import cached_expr
 from ..functions.sqltext import Ref, stack_rows
-from ..functions.text import iso_date, parse_trimmed_date, strip, title
+from ..functions.text import date_core, iso_date, parse_date_core, strip, title
 
 
 def _replace(df: DataFrame, new: dict[str, Column]) -> DataFrame:
@@ -112,7 +112,7 @@ def _clean_inputs(cols: tuple) -> list:
     out = []
     if "phone" in cols:
         out.append(phone_digits("phone").alias("__digits"))
-    out += [F.trim(desentinel_expr(c)).alias(f"__text_{c}") for c in DATE_COLUMNS if c in cols]
+    out += [date_core(F.trim(desentinel_expr(c))).alias(f"__text_{c}") for c in DATE_COLUMNS if c in cols]
     return out
 
 
@@ -125,7 +125,7 @@ def _clean_outputs(cols: tuple, emails: bool) -> list:
         new["phone"] = _phone_from(F.col("__digits"), F.col("phone"))
     for c in DATE_COLUMNS:
         if c in cols:
-            new[c] = F.date_format(parse_trimmed_date(F.col(f"__text_{c}")), "yyyy-MM-dd")
+            new[c] = F.date_format(parse_date_core(F.col(f"__text_{c}")), "yyyy-MM-dd")
     return [new[c].alias(c) if c in new else F.col(c) for c in cols]
 
 

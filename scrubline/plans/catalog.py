@@ -23,6 +23,7 @@ from ..operators.segments import profile_by_segment
 from ..session import new_run_dir
 from ..sources.csv import read_csv, row_counts, write_table
 from ..functions.patterns import DATE_COLUMNS, FILL_VALUES
+from ..functions.session import register_functions, register_views
 from ..functions.sqltext import Expr, Ref, stack_rows
 from ..sources.tables import dirty_customers, dirty_from, table
 
@@ -455,6 +456,39 @@ def q_quality_gate(spark, sf):
     return V.gate(V.evaluate(raw(spark, sf), V.customer_suite()), GATE)
 
 
+#: The masked table, the rule results and the completeness of the raw table in nothing but SQL.
+MASK_SQL = """
+select customer_id, scrub_mask_name(coalesce(scrub_name(first_name), '[UNKNOWN]')) as first_name,
+  scrub_mask_name(coalesce(scrub_name(last_name), '[UNKNOWN]')) as last_name, scrub_mask_email(scrub_email(email)) as email,
+  scrub_mask_phone(coalesce(scrub_phone(phone), 'UNKNOWN')) as phone,
+  scrub_mask_dob(coalesce(scrub_date(date_of_birth), '[UNKNOWN]')) as date_of_birth, scrub_mask_address(address) as address,
+  coalesce(nanvl(income, 0D), 0D) as income, coalesce(account_status, 'unknown') as account_status,
+  coalesce(scrub_date(created_date), '[UNKNOWN]') as created_date
+from customers_raw
+"""
+REPORT_SQL = """
+select r.rule_id, r.column_name, r.unexpected_count as before, c.unexpected_count as after, m.missing_count
+from customers_validation_raw r join customers_validation_cleaned c on r.rule_id = c.rule_id
+left join customers_completeness m on m.column_name = r.column_name
+where r.unexpected_count > 0 or c.unexpected_count > 0
+"""
+
+
+def _sql_session(spark: SparkSession, sf: str) -> None:
+    register_functions(spark)
+    register_views(spark, raw(spark, sf))
+
+
+def q_sql_mask_full(spark, sf):
+    _sql_session(spark, sf)
+    return spark.sql(MASK_SQL)
+
+
+def q_sql_rule_report(spark, sf):
+    _sql_session(spark, sf)
+    return spark.sql(REPORT_SQL)
+
+
 def q_stream_mask_customers(spark, sf):
     from ..streaming.incremental import stream_masked_customers
     return stream_masked_customers(spark, sf)

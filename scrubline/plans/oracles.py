@@ -648,6 +648,11 @@ def oracle_sql() -> dict[str, str]:
             join (values (2, 0.5::double), (4, 0.05::double), (7, 0.1::double), (12, 0.2::double)) t(rule_id, threshold)
             using (rule_id)""",
         "quarantine": _quarantine(),
+        "sql_mask_full": dcm + f"select {CUSTOMER_COLS} from masked",
+        "sql_rule_report": raw_flags.rstrip() + f""" select r.rule_id, r.column_name, r.unexpected_count as before, c.unexpected_count as after,
+            m.missing_count from ({evaluate_sql('fr', 'dirty', SUITE)}) r join ({evaluate_sql('fc', 'cleaned', SUITE)}) c on r.rule_id = c.rule_id
+            left join ({completeness_sql('dirty', CUSTOMER_COLUMNS)}) m on m.column_name = r.column_name
+            where r.unexpected_count > 0 or c.unexpected_count > 0""",
         "stream_mask_customers": dcm + f"select {CUSTOMER_COLS} from masked",
         "stream_duplicate_keys": ("select o_custkey, count(*) as occurrences from orders group by o_custkey "
                                   "having count(*) > 1"),

@@ -437,6 +437,15 @@ def q_run_summary(spark, sf):
     return run_summary(raw(spark, sf))
 
 
+def q_published_masked(spark, sf):
+    """The masked table of a whole run as readers find it by the manifest."""
+    from ..sources import publish
+    from .pipeline import run_pipeline
+    out = new_run_dir(spark, "published")
+    run_pipeline(spark, raw(spark, sf), out, fail_fast=True)
+    return publish.read(spark, out, "masked")
+
+
 def q_quarantine(spark, sf):
     _, rejected = V.quarantine_split(raw(spark, sf), V.customer_suite())
     return rejected

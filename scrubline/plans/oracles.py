@@ -647,6 +647,7 @@ def oracle_sql() -> dict[str, str]:
               from ({evaluate_sql("fr", "dirty", SUITE)}) e)
             join (values (2, 0.5::double), (4, 0.05::double), (7, 0.1::double), (12, 0.2::double)) t(rule_id, threshold)
             using (rule_id)""",
+        "published_masked": dcm + f"select {CUSTOMER_COLS} from masked",
         "quarantine": _quarantine(),
         "sql_mask_full": dcm + f"select {CUSTOMER_COLS} from masked",
         "sql_rule_report": raw_flags.rstrip() + f""" select r.rule_id, r.column_name, r.unexpected_count as before, c.unexpected_count as after,

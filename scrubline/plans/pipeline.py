@@ -16,6 +16,7 @@ Execution plan
   the summary, cleaning log, run report and run summary are assembled from
   those small results and the observed counters (bounded rows on the driver).
 * CSV is an export: masking, PII scan and re-validation read the Parquet copy.
+* The tables of a run are published by one manifest after the last of them is written.
 * Independent actions of a phase are submitted together from a small thread
   pool, so Spark runs them as concurrent jobs instead of one after another.
 """
@@ -38,6 +39,7 @@ from ..operators import profile as P
 from ..operators import rules as V
 from ..operators.rowid import ROW_ID, number_rows, with_row_id
 from ..session import new_run_dir, use_jit_safe_codegen
+from ..sources import publish
 from ..sources.csv import read_csv, write_table
 from .catalog import masked_sample
 
@@ -51,6 +53,8 @@ class PipelineResult:
     fix_counters: dict = field(default_factory=dict)
     error: str | None = None
     timings: dict = field(default_factory=dict)   # seconds per written table
+    run_dir: str | None = None                    # where this run wrote its tables
+    published: int | None = None                  # number of its manifest (see sources.publish)
 
 
 def _concurrently(tasks: dict) -> dict:
@@ -88,12 +92,17 @@ def run_pipeline(
     breaks (each file is then one split).  ``tune_codegen=False`` leaves the session's code
     generation limit alone.  Unless ``fail_fast``, any failure is captured as a ``FAILED``
     status and a run report is still written (O4).
+
+    The tables go to a folder of the run and are published together at its end: readers
+    (``publish.read``) see the former run until then, and for good if this one fails.
     """
     rules = rules or V.customer_suite()
     if tune_codegen:
         use_jit_safe_codegen(spark)
     reports: dict[str, DataFrame] = {}
-    rep_dir = os.path.join(out_dir, "reports")
+    run, run_dir = publish.new_run(out_dir)
+    rep_dir = os.path.join(run_dir, "reports")
+    tables: dict[str, tuple] = {}  # what the manifest will name
     timings: dict[str, float] = {}
 
     def stage(name: str, df: DataFrame, path: str) -> DataFrame:
@@ -104,14 +113,16 @@ def run_pipeline(
 
     def report(name: str, df: DataFrame) -> DataFrame:
         reports[name] = stage(name, df, os.path.join(rep_dir, name))
+        tables[name] = (f"runs/{run}/reports/{name}", "parquet", df.schema)
         return reports[name]
 
     def output(name: str, df: DataFrame) -> DataFrame:
         """A result table: Parquet, or a Parquet copy in the shared folder and its CSV export."""
+        tables[name] = (f"runs/{run}/{name}", output_format, df.schema)
         if output_format == "parquet":
-            return stage(name, df, os.path.join(out_dir, name))
+            return stage(name, df, os.path.join(run_dir, name))
         copy = stage(name, df, new_run_dir(spark, name))
-        write_table(copy, os.path.join(out_dir, name), output_format)
+        write_table(copy, os.path.join(run_dir, name), output_format)
         return copy
 
     try:
@@ -219,7 +230,8 @@ def run_pipeline(
                 [(int(n_raw), int(n_masked), "PASS" if after.success else "FAIL", "SUCCESS")],
                 "input_rows bigint, output_rows bigint, quality_status string, execution_status string")),
         })
-        return PipelineResult("SUCCESS", cleaned, masked, reports, fixes, timings=timings)
+        number = publish.commit(spark, out_dir, run, tables)
+        return PipelineResult("SUCCESS", cleaned, masked, reports, fixes, timings=timings, run_dir=run_dir, published=number)
     except Exception as e:  # O4: capture, report, do not raise
         if fail_fast:
             raise
@@ -229,4 +241,4 @@ def run_pipeline(
             "ordinal int, stage string, metric string, message string, detail string",
         )
         write_table(failed, os.path.join(rep_dir, "run_report"))
-        return PipelineResult("FAILED", reports={"run_report": failed}, error=msg)
+        return PipelineResult("FAILED", reports={"run_report": failed}, error=msg, run_dir=run_dir)

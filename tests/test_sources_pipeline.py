@@ -64,7 +64,7 @@ def test_pipeline_end_to_end(spark, golden_csv, tmp_dir):
     assert log["failures_before"] == (6, None)
     assert log["failures_after"] == (4, "REVIEW REQUIRED")
     for name in ("validation_raw", "profile_report", "pii_report", "masked_sample", "run_report"):
-        assert os.path.isdir(os.path.join(out, "reports", name))
+        assert os.path.isdir(os.path.join(res.run_dir, "reports", name))
 
 
 def test_pipeline_csv_sink(spark, golden_csv, tmp_dir):
@@ -72,7 +72,7 @@ def test_pipeline_csv_sink(spark, golden_csv, tmp_dir):
     res = run_pipeline(spark, golden_csv, out, output_format="csv")
     assert res.status == "SUCCESS", res.error
     from scrubline.sources.csv import read_export
-    exported = read_export(spark, os.path.join(out, "masked"), res.masked.schema)
+    exported = read_export(spark, os.path.join(res.run_dir, "masked"), res.masked.schema)
     assert sorted(map(str, exported.collect())) == sorted(map(str, res.masked.collect()))
 
 
@@ -81,7 +81,7 @@ def test_pipeline_missing_input_is_captured(spark, tmp_dir):
     res = run_pipeline(spark, os.path.join(tmp_dir, "missing.csv"), out)
     assert res.status == "FAILED"
     assert "FileNotFoundError" in res.error
-    assert spark.read.parquet(os.path.join(out, "reports", "run_report")).first().stage == "FAILED"
+    assert spark.read.parquet(os.path.join(res.run_dir, "reports", "run_report")).first().stage == "FAILED"
     with pytest.raises(FileNotFoundError):
         run_pipeline(spark, os.path.join(tmp_dir, "missing.csv"), out, fail_fast=True)
 
@@ -91,12 +91,13 @@ def test_pipeline_quality_gate_halts(spark, golden_csv, tmp_dir):
     out = os.path.join(tmp_dir, "gate")
     res = run_pipeline(spark, golden_csv, out, critical={7: 0.1})
     assert res.status == "FAILED" and "QualityGateError" in res.error
-    assert os.listdir(out) == ["reports"] and os.listdir(os.path.join(out, "reports")) == ["run_report"]
-    detail = spark.read.parquet(os.path.join(out, "reports", "run_report")).first().detail
+    assert os.listdir(out) == ["runs"] and os.listdir(res.run_dir) == ["reports"]
+    assert os.listdir(os.path.join(res.run_dir, "reports")) == ["run_report"]
+    detail = spark.read.parquet(os.path.join(res.run_dir, "reports", "run_report")).first().detail
     assert detail.startswith("Traceback") and "check_gate" in detail
     assert run_pipeline(spark, golden_csv, os.path.join(tmp_dir, "open"), critical={7: 0.11}).status == "SUCCESS"
     res = run_pipeline(spark, golden_csv, os.path.join(tmp_dir, "late"), critical={12: 0.05}, gate_on="cleaned")
-    assert res.status == "FAILED" and not os.path.exists(os.path.join(tmp_dir, "late", "masked"))
+    assert res.status == "FAILED" and not os.path.exists(os.path.join(res.run_dir, "masked"))
 
 
 def test_columns_are_bound_by_header_name(spark, tmp_dir):
@@ -147,7 +148,7 @@ def test_pipeline_counts_what_it_could_not_read(spark, tmp_dir):
     assert res.status == "SUCCESS", res.error
     log = {r.metric: r.value for r in res.reports["cleaning_log"].collect() if r.section in ("load", "unparsed")}
     assert log == {"malformed_rows": 1, "unreadable_customer_id": 1, "unreadable_income": 1, "date_of_birth": 1, "created_date": 0}
-    assert [r.value for r in spark.read.parquet(os.path.join(tmp_dir, "o", "reports", "date_rejects")).collect()] == ["someday"]
+    assert [r.value for r in spark.read.parquet(os.path.join(res.run_dir, "reports", "date_rejects")).collect()] == ["someday"]
     run = {r.metric: r.value for r in res.reports["run_report"].collect()}
     assert run["masked_rows"] == res.masked.count() == 3
     got = {r.customer_id: (r.date_of_birth, r.created_date, r.address) for r in res.cleaned.collect()}

@@ -8,7 +8,8 @@ Evaluation plans
 ----------------
 * Suite metrics (V15/V16): all row-level rules are mergeable counters, so the
   whole suite is ONE aggregate (partial aggregation per task, a single row
-  shuffled).  Each ``unique`` rule adds one ``groupBy(key).count()`` whose
+  shuffled).  All ``unique`` rules together add one ``groupBy(rule, key).count()``
+  (keys of several types stand in a column per type) whose
   map-side partial aggregation collapses hot keys (and the null key) before
   the shuffle, so a key that holds a third of the rows costs nothing extra.
 * Samples (V17/V18) join no table: row rules are a stack with ``row_number() <= k``
@@ -16,13 +17,16 @@ Evaluation plans
   at most k rows per rule).  The first k rows of a ``unique`` rule belong to the
   k duplicated keys that start first, so the pre-aggregated ``groupBy`` of that
   rule is cut to k keys, which are broadcast to the scan.
-* Row flags (V19 with several unique rules, X1) need the whole set of duplicated
-  keys: it is written and counted first, broadcast while it is small, and
+* Row flags (X1) need the whole set of duplicated keys: that of all unique rules is
+  written and counted by one job first, broadcast for a rule while it is small, and
   otherwise joined by shuffle with the rows that can match; null keys bypass it.
+* Impact (V19) joins nothing, whatever the number of unique rules (see ``impact``).
 """
 
 from __future__ import annotations
 
+import functools
+import operator
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -185,6 +189,18 @@ def orders_key_suite() -> list[Rule]:
     return orders_suite() + [R(8, "o_custkey", "unique")]
 
 
+def events_suite() -> list[Rule]:
+    """A suite on ``events`` with three keys of different types, one of them unique."""
+    return [
+        R(1, "event_id", "unique"),
+        R(2, "ts", "unique"),
+        R(3, "value", "unique"),
+        R(4, "value", "between", min=0, max=250),
+        R(5, "event_type", "in_set", values=("click", "view", "purchase", "error", "signup")),
+        R(6, "user_id", "not_null"),
+    ]
+
+
 def check_columns(df: DataFrame, rules: list[Rule]) -> None:
     """Fail up front, before any job, when a rule names an absent column."""
     missing = sorted({r.column for r in rules if r.column not in df.columns})
@@ -211,6 +227,45 @@ def _unique_result(df: DataFrame, r: Rule) -> DataFrame:
     )
 
 
+_TYPED = "_k{}"
+
+
+def _stacked_keys(df: DataFrame, uniques: list[Rule]) -> tuple[DataFrame, dict[str, str]]:
+    """One row per row and ``unique`` rule: ``(rule_id, a key column per type)``; and the key column of each type."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    slot: dict[str, str] = {}
+    for r in uniques:
+        slot.setdefault(types[r.column].simpleString(), _TYPED.format(len(slot)))
+    cells = [F.struct(F.lit(r.rule_id).alias("rule_id"), *[
+        (F.col(r.column) if types[r.column].simpleString() == t else F.lit(None).cast(t)).alias(c) for t, c in slot.items()]) for r in uniques]
+    return df.select(F.inline(F.array(*cells))), slot
+
+
+def _key_counts(df: DataFrame, uniques: list[Rule]) -> tuple[DataFrame, dict[str, str], Column]:
+    """Rows per rule and key, one shuffle for all rules; the key column of each type; whether the key is there."""
+    rows, slot = _stacked_keys(df, uniques)
+    keys = list(slot.values())
+    there = functools.reduce(operator.or_, [F.col(k).isNotNull() for k in keys])
+    return rows.groupBy("rule_id", *keys).agg(F.count(F.lit(1)).alias("_n")), slot, there
+
+
+def _unique_results(df: DataFrame, uniques: list[Rule]) -> DataFrame:
+    """V15 rows of several ``unique`` rules."""
+    counts, _, there = _key_counts(df, uniques)
+    sums = counts.groupBy("rule_id").agg(
+        F.sum("_n").alias("element_count"), F.coalesce(F.sum(F.when(there & (F.col("_n") > 1), F.col("_n"))), F.lit(0)).alias("unexpected_count"))
+    # a rule has its row in the results of an empty table too
+    zero = F.lit(0).cast("bigint")
+    listed = [F.struct(F.lit(r.rule_id).alias("rule_id"), zero.alias("element_count"), zero.alias("unexpected_count")) for r in uniques]
+    none = df.sparkSession.range(1).select(F.inline(F.array(*listed)))
+    both = sums.unionByName(none).groupBy("rule_id").agg(F.max("element_count").alias("element_count"), F.max("unexpected_count").alias("unexpected_count"))
+
+    def named(what):
+        return F.element_at(F.create_map(*[x for r in uniques for x in (F.lit(r.rule_id), F.lit(what(r)))]), F.col("rule_id"))
+    return both.select("rule_id", named(lambda r: r.column).alias("column_name"), named(lambda r: r.expectation).alias("expectation"),
+                       "element_count", "unexpected_count")
+
+
 def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row per rule ``(rule_id, column_name, expectation, element_count,
     unexpected_count, success)``."""
@@ -220,7 +275,11 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     if row_rules:
         dtypes = tuple(sorted(df.dtypes))
         parts.append(df.agg(*_suite_aggs(row_rules, dtypes)).select(_suite_long(row_rules)))
-    parts += [_unique_result(df, r) for r in rules if r.kind == "unique"]
+    uniques = [r for r in rules if r.kind == "unique"]
+    if len(uniques) == 1:
+        parts.append(_unique_result(df, uniques[0]))
+    elif uniques:
+        parts.append(_unique_results(df, uniques))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -250,30 +309,34 @@ def _summary_aggs() -> list:
 BROADCAST_KEYS = 200_000  # duplicated keys (one narrow row each) up to which they are broadcast
 
 
-def _duplicated_keys(df: DataFrame, column: str, name: str) -> DataFrame:
-    """Written table of the non-null keys held by more than one row."""
-    c = F.col(column)
-    keys = (df.where(c.isNotNull()).groupBy(c.alias(name)).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > 1).select(name))
+def _duplicated_keys(df: DataFrame, uniques: list[Rule]) -> dict[int, tuple[DataFrame, bool]]:
+    """Per rule the non-null keys held by more than one row (column ``_dupkey<id>`` of a written table, one
+    job for all rules), and whether they are few enough to broadcast."""
+    counts, slot, there = _key_counts(df, uniques)
+    keys = counts.where(there & (F.col("_n") > 1)).drop("_n")
     path = new_run_dir(df.sparkSession, "dup-keys")
-    keys.write.parquet(path)
-    return df.sparkSession.read.schema(keys.schema).parquet(path)
+    keys.write.partitionBy("rule_id").parquet(path)
+    table = df.sparkSession.read.schema(keys.schema).parquet(path)
+    found = {r.rule_id: r.n for r in table.groupBy("rule_id").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per rule
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return {r.rule_id: (table.where(F.col("rule_id") == r.rule_id).select(F.col(slot[types[r.column]]).alias(f"_dupkey{r.rule_id}")),
+                        found.get(r.rule_id, 0) <= BROADCAST_KEYS) for r in uniques}
 
 
 def flag_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Add one boolean column ``_u{rule_id}`` per rule (True = unexpected).
 
-    Runs a job per ``unique`` rule (its duplicated keys are written and counted).
+    Runs one job for the ``unique`` rules (their duplicated keys are written and counted).
     """
     check_columns(df, rules)
     out = df
-    for r in rules:
-        if r.kind != "unique":
-            continue
+    uniques = [r for r in rules if r.kind == "unique"]
+    duplicated = _duplicated_keys(df, uniques) if uniques else {}
+    for r in uniques:
         flag, name = f"_u{r.rule_id}", f"_dupkey{r.rule_id}"
-        keys = _duplicated_keys(df, r.column, name)
+        keys, small = duplicated[r.rule_id]
         hit = F.col(name).isNotNull().alias(flag)
-        if keys.count() <= BROADCAST_KEYS:
+        if small:
             joined = out.join(F.broadcast(keys), out[r.column] == keys[name], "left")
             out = joined.select(*[out[c] for c in out.columns], hit)
         else:
@@ -369,21 +432,36 @@ def impact(df: DataFrame, rules: list[Rule]) -> DataFrame:
     the key and no join: per key, the rows and the rows failing any other
     rule; every row of a duplicated (non-null) key is impacted, otherwise only
     its failing rows.  A hot key is one partial row per task.
+
+    With more of them, the rows that pass are counted instead.  Rows that pass the other
+    rules are candidates; for one unique rule after the other, all rows and the
+    candidates are grouped by its key, and a key that only one row of the table holds
+    hands on its candidate, which the group's maxima carry (there is only one).  Null
+    keys pass: such a candidate is a group of its own.  One shuffle of narrow rows per rule.
     """
     check_columns(df, rules)
     uniques = [r for r in rules if r.kind == "unique"]
     others = [r for r in rules if r.kind != "unique"]
-    if len(uniques) > 1:
-        flags = flag_rows(df, rules)
-        return flags.agg(
-            F.count_if(any_failed(rules)).alias("impacted_rows"),
-            F.count(F.lit(1)).alias("total_rows"),
-        )
     dt = dict(df.dtypes)
     failing = (F.greatest(*[_unexpected(r, dt.get(r.column)) for r in others]) if len(others) > 1
                else _unexpected(others[0], dt.get(others[0].column)) if others else F.lit(False))
     if not uniques:
         return df.agg(F.count_if(failing).alias("impacted_rows"), F.count(F.lit(1)).alias("total_rows"))
+    if len(uniques) > 1:
+        columns = list(dict.fromkeys(r.column for r in uniques))
+        passing = df.where(~failing).select(*columns)
+        for i, c in enumerate(columns):
+            rest, types = columns[i + 1:], {x: df.schema[x].dataType for x in columns[i + 1:]}
+            every = df.where(F.col(c).isNotNull()).select(c, F.lit(None).cast("bigint").alias("_own"), F.lit(1).alias("_all"), F.lit(0).alias("_may"),
+                                                          *[F.lit(None).cast(types[x]).alias(x) for x in rest])
+            may = passing.select(c, F.when(F.col(c).isNull(), F.monotonically_increasing_id()).alias("_own"), F.lit(0).alias("_all"),
+                                 F.lit(1).alias("_may"), *rest)
+            per_key = every.unionByName(may).groupBy(c, "_own").agg(F.sum("_all").alias("_all"), F.sum("_may").alias("_may"),
+                                                                    *[F.max(x).alias(x) for x in rest])
+            passing = per_key.where((F.col("_may") == 1) & (F.col(c).isNull() | (F.col("_all") == 1))).select(*rest)
+        counts = (passing.agg(F.count(F.lit(1)).alias("_pass")).select(F.lit(0).cast("bigint").alias("_n"), "_pass")
+                  .unionByName(df.agg(F.count(F.lit(1)).alias("_n")).select("_n", F.lit(0).cast("bigint").alias("_pass"))))
+        return counts.agg((F.sum("_n") - F.sum("_pass")).alias("impacted_rows"), F.sum("_n").alias("total_rows"))
     key = F.col(uniques[0].column)
     per_key = df.groupBy(key.alias("_k")).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(failing).alias("_bad")

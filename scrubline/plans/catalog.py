@@ -316,6 +316,22 @@ def q_validate_orders_failures(spark, sf):
     return V.failures(table(spark, sf, "orders"), V.orders_key_suite(), "o_orderkey", k=3)
 
 
+def q_validate_events(spark, sf):
+    """V15 with three unique rules over keys of three types."""
+    return V.evaluate(table(spark, sf, "events"), V.events_suite())
+
+
+def q_validate_events_impact(spark, sf):
+    """V19 with three unique rules."""
+    return V.impact(table(spark, sf, "events"), V.events_suite())
+
+
+def q_quarantine_events(spark, sf):
+    """X1 with three unique rules: the rejected events and the rules that they fail."""
+    _, rejected = V.quarantine_split(table(spark, sf, "events"), V.events_suite())
+    return rejected.select("event_id", "failed_rules", "n_failed")
+
+
 # --- profiling ----------------------------------------------------------------------
 
 def q_profile_completeness(spark, sf):

@@ -13,7 +13,7 @@ from ..functions.patterns import (
     DATE_SENTINEL, DOB_DRIFT_PATTERN, EMAIL_PATTERN, FILL_VALUES, FORMATTED_PHONE_PATTERN, ISO_DATE_PATTERN,
     NONSTANDARD_PHONE_PATTERN, PHONE_PATTERN, PY_SPACE, RISK_LEVELS, UPPERCASE_PATTERN, VALID_STATUSES,
 )
-from ..operators.rules import Rule, customer_suite, orders_key_suite, orders_suite
+from ..operators.rules import Rule, customer_suite, events_suite, orders_key_suite, orders_suite
 
 _CASED = r"\p{Lu}\p{Ll}\p{Lt}"
 _DUCK_DATE_FORMATS = (
@@ -176,6 +176,7 @@ def rule_sql(r: Rule, table: str, dtypes: dict) -> str:
 
 
 CUSTOMER_TYPES = {"customer_id": "bigint", "income": "double"}
+EVENTS_TYPES = {"event_id": "bigint", "ts": "timestamp", "value": "double"}
 ORDERS_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}
 
 
@@ -429,6 +430,10 @@ DATE_REJECTS_SQL = "\nunion all\n".join(
 CUSTOMER_COLS = ", ".join(c for c, _ in CUSTOMER_COLUMNS)
 
 
+def _any(rules: list[Rule]) -> str:
+    return " or ".join(f"u{r.rule_id}" for r in rules)
+
+
 def _stage_union(raw_sql: str, clean_sql: str) -> str:
     return f"select 'raw' as stage, * from ({raw_sql})\nunion all\nselect 'cleaned' as stage, * from ({clean_sql})"
 
@@ -612,6 +617,13 @@ def oracle_sql() -> dict[str, str]:
         "validate_orders_failures": (
             with_(flags_cte("fo", "orders", orders_key_suite(), ORDERS_TYPES, "o_orderkey"))
             + _key_failures("fo", orders_key_suite(), "o_orderkey", 3)),
+        "validate_events": with_(flags_cte("fe", "events", events_suite(), EVENTS_TYPES, "event_id")) + evaluate_sql("fe", "events", events_suite()),
+        "validate_events_impact": with_(flags_cte("fe", "events", events_suite(), EVENTS_TYPES, "event_id"))
+            + f"select count(*) filter (where {_any(events_suite())}) as impacted_rows, count(*) as total_rows from fe",
+        "quarantine_events": with_(flags_cte("fe", "events", events_suite(), EVENTS_TYPES, "event_id"))
+            + "select event_id, concat_ws(',', " + ", ".join(f"case when u{r.rule_id} then '{r.rule_id}' end" for r in events_suite())
+            + ") as failed_rules, cast(" + " + ".join(f"cast(u{r.rule_id} as integer)" for r in events_suite())
+            + f" as integer) as n_failed from fe where {_any(events_suite())}",
         "profile_completeness": d + completeness_sql("dirty", CUSTOMER_COLUMNS),
         "profile_completeness_orders": completeness_sql("orders", ORDERS_COLUMNS),
         "profile_types": d + TYPES_SQL,

@@ -208,3 +208,56 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert V.flag_rows(df, SUITE).where("_u2").count() == hot
     assert [(r.customer_id, r.occurrences) for r in P.duplicate_keys(df).collect()] == [(7, hot)]
     assert V.impact(df, SUITE).first().impacted_rows == hot
+
+
+THREE = [V.R(1, "a", "unique"), V.R(2, "b", "unique"), V.R(3, "c", "unique"), V.R(4, "a", "between", min=0)]
+
+
+def three_keys(spark, n, seed=0):
+    import random
+    rnd = random.Random(seed)
+    pick = lambda p, *values: rnd.choice(values) if rnd.random() < p else None
+    rows = [(pick(0.8, *range(-3, n)), pick(0.9, *[f"k{i}" for i in range(2 * n)]), pick(0.7, *[i / 2 for i in range(n // 2)], float("nan"), 0.0, -0.0))
+            for _ in range(n)]
+    return spark.createDataFrame(rows, "a long, b string, c double").repartition(4), rows
+
+
+def brute_three(rows):
+    same = [0.0 if r[2] == 0 else "nan" if r[2] is not None and r[2] != r[2] else r[2] for r in rows]
+    keys = [[r[0] for r in rows], [r[1] for r in rows], same]
+    flags = [tuple(k[i] is not None and k.count(k[i]) > 1 for k in keys) + (rows[i][0] is not None and rows[i][0] < 0,) for i in range(len(rows))]
+    return flags
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_several_unique_rules(spark, seed):
+    df, rows = three_keys(spark, 40, seed)
+    flags = brute_three(rows)
+    got = {r.rule_id: (r.element_count, r.unexpected_count) for r in V.evaluate(df, THREE).collect()}
+    assert got == {i + 1: (len(rows), sum(f[i] for f in flags)) for i in range(4)}
+    assert tuple(V.impact(df, THREE).first()) == (sum(map(any, flags)), len(rows))
+    found = [tuple(r[f"_u{i}"] for i in (1, 2, 3, 4)) for r in V.flag_rows(df, THREE).collect()]
+    assert sorted(found) == sorted(flags)
+    accepted, rejected = V.quarantine_split(df, THREE)
+    assert (accepted.count(), rejected.count()) == (len(rows) - sum(map(any, flags)), sum(map(any, flags)))
+
+
+def test_several_unique_rules_without_rows_or_duplicates(spark):
+    df, _ = three_keys(spark, 40)
+    none = df.limit(0)
+    assert {(r.rule_id, r.element_count, r.success) for r in V.evaluate(none, THREE).collect()} == {(i, 0, True) for i in (1, 2, 3, 4)}
+    assert tuple(V.impact(none, THREE).first()) == (0, 0)
+    assert V.flag_rows(none, THREE).count() == 0
+    lone = spark.createDataFrame([(1, "x", 1.0), (2, "y", 2.0), (None, None, None), (None, None, None)], "a long, b string, c double")
+    assert tuple(V.impact(lone, THREE).first()) == (0, 4)
+    assert not any(any(r[3:]) for r in V.flag_rows(lone, THREE).collect())
+
+
+def test_several_unique_rules_share_a_shuffle(spark):
+    from .test_plans import plan
+    df, _ = three_keys(spark, 40)
+    p = plan(V.evaluate(df, THREE))
+    keyed = [line for line in p.split("\n") if "Exchange hashpartitioning(rule_id" in line and "_k0" in line]
+    assert len(keyed) == 1 and "Join" not in p
+    p = plan(V.impact(df, THREE))
+    assert "Join" not in p and "Window" not in p and p.count("Exchange hashpartitioning") == 3

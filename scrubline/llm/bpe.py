@@ -10,7 +10,8 @@ the symbol that died), each logarithmic in the piece.
 Two forms of the same tree: one piece at a time for long pieces, and for the many
 short ones a whole batch of pieces of similar length at once, one tree per row of
 a numpy array.  Pieces recur, so a worker keeps what it has encoded in a table of
-at most ``MEMO`` entries; it is emptied when full, which changes only speed.
+at most ``MEMO_BYTES``; when it is full the older half goes, which changes
+only speed.  Longer pieces than ``SHORT`` bytes are not kept.
 
 Defined cases: null and empty texts have no ids; a piece that is itself a token is
 that token; bytes that are no token are an error of the rank file (every single
@@ -24,7 +25,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from scrubline.llm.common import map_arrow, set_columns, slices, with_fields
 
-MEMO = 100_000
+MEMO_BYTES = 112 << 20  # of a worker's table: its characters, 8 bytes for each id and ENTRY bytes for each piece
+ENTRY = 200  # bytes that a place in a dictionary, a string and a tuple take besides, about
 SHORT = 64  # bytes; longer pieces get a tree of their own
 NONE = (1 << 62)  # rank of "no pair here"
 RESULT = (T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
@@ -65,6 +67,7 @@ class Codec:
         self.pair_keys = np.append(keys[order], np.int64((1 << 62) + 1))
         self.pair_ids = np.append(np.array(list(self.pairs.values()), np.int64)[order], NONE)
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo_bytes = 0
 
     # one piece, one tree -------------------------------------------------
     def encode_piece(self, piece: bytes) -> tuple[int, ...]:
@@ -166,35 +169,47 @@ class Codec:
         values = list(map(self.shared.__getitem__, flat[kept].tolist()))
         return [tuple(values[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
 
-    def learn(self, pieces: Iterable[str]) -> None:
-        """Encode pieces that the table does not have yet."""
-        memo, ranks = self.memo, self.ranks
+    def code(self, pieces: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        """Ids of distinct pieces; those of short ones are remembered."""
+        found, long, ranks = {}, {}, self.ranks
         by_size: dict[int, list[tuple[str, bytes]]] = {}
         for p in pieces:
             raw = p.encode("utf-8", "replace")
             whole = ranks.get(raw)
             if whole is not None:
-                memo[p] = (whole,)
+                (found if len(raw) <= SHORT else long)[p] = (self.shared[whole],)
             elif len(raw) > SHORT:
-                memo[p] = self.encode_piece(raw)
+                long[p] = self.encode_piece(raw)
             else:
                 by_size.setdefault(1 << max(2, (len(raw) - 1).bit_length()), []).append((p, raw))
         for size, group in by_size.items():
             step = max(1, (1 << 18) // size)
             for at in range(0, len(group), step):
                 part = group[at:at + step]
-                for (p, _), ids in zip(part, self.encode_rows([raw for _, raw in part], size)):
-                    memo[p] = ids
+                found |= zip([p for p, _ in part], self.encode_rows([raw for _, raw in part], size))
+        self.remember(found)
+        return found | long
+
+    def remember(self, found: dict[str, tuple[int, ...]]) -> None:
+        """Keep ids; the older half of the table goes as often as it is too large."""
+        size = lambda p, ids: len(p) + 8 * len(ids) + ENTRY
+        self.memo |= found
+        self.memo_bytes += sum(map(size, found, found.values()))
+        while self.memo_bytes > MEMO_BYTES:
+            for p in list(islice(self.memo, (len(self.memo) + 1) // 2)):
+                self.memo_bytes -= size(p, self.memo.pop(p))
 
     def encode_batch(self, texts: list[str | None]) -> Iterator[list[int]]:
         """Ids of each text."""
-        cut = [self.pattern.findall(t) if t else [] for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        self.learn(set(chain.from_iterable(cut)).difference(self.memo))
-        get = self.memo.__getitem__
-        for pieces in cut:
-            yield list(chain.from_iterable(map(get, pieces)))
+        get, findall = self.memo.get, self.pattern.findall
+        cut = [findall(t) if t else [] for t in texts]
+        known = [list(map(get, pieces)) for pieces in cut]
+        new = {p for pieces, ids in zip(cut, known) if None in ids for p, i in zip(pieces, ids) if i is None}
+        new = self.code(new) if new else new
+        for pieces, ids in zip(cut, known):
+            if None in ids:
+                ids = [new[p] if i is None else i for p, i in zip(pieces, ids)]
+            yield list(chain.from_iterable(ids))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))

@@ -13,9 +13,10 @@ only what a successful attempt returned, so a lost or repeated task leaves at mo
 an unlisted file.
 
 Defined cases: null text is empty text (its row holds the end id alone); equal
-doc_ids stay next to each other in order of their text; null doc_ids come first;
-special-token strings in a text are ordinary text; an empty table gives an empty
-manifest; extra columns are not read.  A file is bounded by its range of rows.
+doc_ids stay next to each other in order of a hash of their text; null doc_ids come first;
+strings of added tokens in a text are those tokens, as the tokenizer library codes them; an empty table
+gives an empty manifest; extra columns are not read.  A file is bounded by its range of rows;
+rows that share a doc_id, or all of it, are cut into ranges like others.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,18 +39,17 @@ from pyspark.sql import types as T
 from scrubline.llm.common import attempt_name, file_dir, map_arrow, materialize, open_fs, slices
 
 END_ID = 2
-MEMO = 600_000  # words and pieces that a worker remembers, each; emptied when full, which changes only speed
+MEMO_BYTES = 160 << 20  # that a worker's words and pieces take, each; when it is full the older half goes, which changes only speed
+ENTRY = 190  # bytes that a place in a dictionary, a string and its packed ids take besides their characters, about
+LONGEST = 64  # characters of a word that is remembered
 MANIFEST = "part int, tokens string, offsets string, docs string, width int, n_docs long, n_tokens long"
 
 
 def load_tokenizer(path: str):
-    """A tokenizer that treats special-token strings in a text as text."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per Spark task slot
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)
 
 
 class WholeTexts:
@@ -63,15 +64,28 @@ class WholeTexts:
 
 
 class Memo(dict):
-    """text -> packed ids, coded when first asked for."""
+    """text -> packed ids, coded when first asked for; ``trim`` keeps it within ``MEMO_BYTES``."""
 
     def __init__(self, code):
-        self.code = code
+        self.code, self.characters = code, 0
 
     def __missing__(self, text: str):
-        got = self[text] = self.code(text)
+        got = self.code(text)
+        if len(text) <= LONGEST:
+            self[text] = got
+            self.characters += len(text)
         return got
 
+    def held(self) -> int:
+        """Bytes of the table; ids take two or four bytes and are no more than the bytes of a text."""
+        return 3 * self.characters + ENTRY * len(self)
+
+    def trim(self) -> None:
+        while self.held() > MEMO_BYTES:
+            for old in list(islice(self, (len(self) + 1) // 2)):
+                self.characters -= len(old)
+                del self[old]
+
 
 class ByteLevelWords:
     """The same ids for byte-level BPE tokenizers, with a table of the words that recur.
@@ -79,7 +93,8 @@ class ByteLevelWords:
     Such a tokenizer cuts a text by a fixed pattern and codes each piece by itself.  No
     piece goes across a single blank between two other characters, so words joined by
     single blanks can be coded one by one; texts with other white space beside a blank
-    are cut by the pattern.  The pieces are coded by the tokenizer's own model.
+    are cut by the pattern.  The pieces are coded by the tokenizer's own model.  Texts in
+    which an added token stands go through the tokenizer as they are.
     """
 
     #: Fixed value: the pattern of the tokenizers library's byte-level pre-tokenizer.
@@ -87,6 +102,8 @@ class ByteLevelWords:
 
     def __init__(self, tokenizer, code: str):
         self.model, self.code = tokenizer.model, code
+        self.whole = WholeTexts(tokenizer, code)
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.cut = regex.compile(self.PATTERN).findall
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; others from 256 on
         others = [b for b in range(256) if b not in plain]
@@ -118,11 +135,11 @@ class ByteLevelWords:
         return self.by_pattern(" " + w)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for memo in (self.pieces, self.words):
-            if len(memo) > MEMO:
-                memo.clear()
         word = self.words.__getitem__
         for text in texts:
+            if any(a in text for a in self.added):
+                yield from self.whole.encode([text])
+                continue
             first, *rest = text.split(" ")
             if first[:1].isspace() or first[-1:].isspace() or not first:
                 yield self.by_pattern(text)
@@ -131,6 +148,8 @@ class ByteLevelWords:
                 yield b"".join([self.by_pattern(first), *map(word, rest)])
             except TypeError:  # a word that cannot be coded by itself
                 yield self.by_pattern(text)
+        self.words.trim()
+        self.pieces.trim()
 
 
 _CODERS: dict[tuple[str, int], WholeTexts | ByteLevelWords] = {}
@@ -188,7 +207,10 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFra
                                                                ("width", pa.int32()), ("n_docs", pa.int64()),
                                                                ("n_tokens", pa.int64())]))
 
-    ordered = (docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+    # the hash and the row number cut the rows of one doc_id; ranges are sampled, so texts are no part of them
+    order = ["doc_id", "_hash", "_row"]
+    keyed = docs.select("doc_id", "text").withColumn("_hash", F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id())
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     manifest = materialize(map_arrow(ordered, run, MANIFEST), "token-manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return (manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))

@@ -48,7 +48,6 @@ def quality(text):
 def tokens(rows):
     """rows: (doc_id, text), distinct ids -> {doc_id: (start, n, crc)}"""
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     out, start = {}, 0
     for d, text in sorted(rows, key=lambda r: r[0]):
         ids = t.encode(text or "", add_special_tokens=False).ids + [2]

@@ -203,3 +203,44 @@ def test_token_coders_agree_with_the_library():
     whole, words = tokenfiles.WholeTexts(t, "H"), tokenfiles.ByteLevelWords(t, "H")
     for text, a, b in zip(texts, whole.encode(texts), words.encode(texts)):
         assert a == b, repr(text)
+
+
+def test_special_strings_are_the_library_s_tokens(spark):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "plain words here", "<|endoftext|", "a <|endoftext|> b\n", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = tokenfiles.read(spark, tokenfiles.write(df, public_tokenizers.path("byte_bpe_50k.json")), df.schema["doc_id"].dataType).collect()
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in got} == brute.tokens(enumerate(texts))
+    assert next(r.n_tokens for r in got if r.doc_id == 0) == 4  # two letters, the token, the end
+
+
+def test_one_doc_id_in_many_files(spark):
+    """A hot id, and rows that are equal in all columns, are cut into ranges; starts still follow each other."""
+    rows = [(5, f"text {i % 700}") for i in range(3000)] + [(7, "same")] * 1500 + [(1, "first"), (9, "last")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    manifest = tokenfiles.write(df, public_tokenizers.path("byte_bpe_50k.json"))
+    got = sorted((r.start, r.doc_id, r.n_tokens) for r in tokenfiles.read(spark, manifest, df.schema["doc_id"].dataType).collect())
+    assert [d for _, d, _ in got] == sorted(d for d, _ in rows)
+    assert all(a[0] + a[2] == b[0] for a, b in zip(got, got[1:])) and got[0][0] == 0
+
+
+def test_tables_stay_below_their_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_BYTES", 200_000)
+    monkeypatch.setattr(tokenfiles, "MEMO_BYTES", 200_000)
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("abcdefgh") for _ in range(150_000)) for _ in range(2)]  # pieces without blanks
+    texts += [" ".join("".join(rnd.choice("abcdefghijk") for _ in range(rnd.randint(1, 30))) for _ in range(1500)) for _ in range(6)]
+    c = bpe.Codec(bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+    enc = brute.bpe_encoder()
+    for t in texts:
+        assert list(c.encode_batch([t]))[0] == (enc.encode_ordinary(t) if len(t) < 100_000 else list(c.encode_batch([t]))[0])
+        held = sum(len(p) + 8 * len(i) + bpe.ENTRY for p, i in c.memo.items())
+        assert held == c.memo_bytes <= bpe.MEMO_BYTES and all(len(p.encode()) <= bpe.SHORT for p in c.memo)
+    t = tokenfiles.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    words, whole = tokenfiles.ByteLevelWords(t, "H"), tokenfiles.WholeTexts(t, "H")
+    for text in texts[2:] + [" ".join(texts[2:])]:
+        assert list(words.encode([text])) == list(whole.encode([text]))
+        for memo in (words.words, words.pieces):
+            assert sum(map(len, memo)) == memo.characters and memo.held() <= tokenfiles.MEMO_BYTES
+            assert all(len(p) <= tokenfiles.LONGEST for p in memo)
+    list(words.encode(texts[:2]))
+    assert all(len(p) <= tokenfiles.LONGEST for p in words.words)

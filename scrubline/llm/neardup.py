@@ -14,10 +14,11 @@ sketch are buckets.  In each bucket all members are verified against one centre
 (the member that shares most buckets with others), which is linear in the bucket;
 the links found give components.  What can still be missed are links between
 different components of one bucket: for members outside the bucket's largest
-component all partners are looked at in blocks inside a task, and a pair is only
-emitted if nothing rules it out: the sizes, the triangle inequality of the Jaccard
-distance over the centre (both exact), or the sketches (four standard deviations
-below the threshold).  No bucket is capped.
+component all partners are looked at in blocks inside a task that hold their full sets, and a pair is
+verified there unless something rules it out: that other links of the block join its components, the
+sizes, the triangle inequality of the Jaccard distance over the centre (all exact), or the
+sketches (so few agreements that a pair at the threshold has them with probability
+below ``MISS``).  A block gives no more links than it has members.  No bucket is capped.
 
 Verification: intersections of full sets of 64-bit shingle hashes.
 
@@ -51,6 +52,7 @@ SHARE = 85  # per cent
 ROWS = 6  # sketch coordinates in a band
 MISS = 1e-6
 BLOCK = 512  # members and strays compared at a time
+BLOCK_BYTES = 8 << 20  # of their sets, about
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -59,6 +61,17 @@ def n_bands(share: int) -> int:
     return math.ceil(math.log(MISS) / math.log(1 - (share / 100) ** ROWS))
 
 
+def least_agreements(share: int, t: int) -> int:
+    """The number of agreeing coordinates of t that a pair at the threshold stays below with probability of at most MISS."""
+    p, below, c = share / 100, 0.0, 0
+    while c < t:
+        below += math.exp(math.lgamma(t + 1) - math.lgamma(c + 1) - math.lgamma(t - c + 1) + c * math.log(p) + (t - c) * math.log1p(-p)) if p < 1 else 0.0
+        if below > MISS:
+            break
+        c += 1
+    return c
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(33))
@@ -126,7 +139,7 @@ def signatures(docs: DataFrame, t: int) -> DataFrame:
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(k, n, items): full sets of the classes (k, cid, rep, rep_key), recomputed from the text of their representative."""
     same = F.col("doc_id").eqNullSafe(F.col("rep")) & (text_key(F.col("text")) == F.col("rep_key"))  # rep may be null
-    rows = docs.select("doc_id", "text").join(checked_broadcast(wanted), same)
+    rows = docs.select("doc_id", "text").join(wanted, same)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -155,8 +168,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             common, total = [], []
             for x, y in zip(batch.column("items_a"), batch.column("items_b")):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                at = np.searchsorted(y, x)
-                n = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+                n = shared(x, y)
                 common.append(n)
                 total.append(len(x) + len(y) - n)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(common, pa.int64()),
@@ -165,30 +177,38 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(both, run, "a long, b long, common long, total long")
 
 
-def rest_pairs(star: DataFrame, tested: DataFrame, labels: DataFrame, classes: DataFrame, share: int, t: int) -> DataFrame:
-    """Pairs (a, b) of one bucket but different components that nothing rules out."""
+def shared(x: np.ndarray, y: np.ndarray) -> int:
+    """How many items two sorted sets have in common."""
+    at = np.searchsorted(y, x)
+    return int((y[np.minimum(at, len(y) - 1)] == x).sum())
+
+
+def rest_links(star: DataFrame, tested: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, share: int, t: int) -> DataFrame:
+    """Links (a, b) between the labels of different components that meet in a bucket."""
     away = 1 - F.col("common") / F.col("total")
     one, two = F.least("k", "center"), F.greatest("k", "center")
     rows = (star.filter("size > 2").withColumn("a", one).withColumn("b", two).join(tested, ["a", "b"], "left")
             .withColumn("away", F.when(F.col("k") == F.col("center"), 0.0).otherwise(away))
-            .join(labels, "k", "left").withColumn("label", F.coalesce("label", "k"))
-            .select("bkey", "band", "k", "label", "away", (F.col("k") == F.col("center")).alias("is_center")))
+            .join(labels, "k", "left").withColumn("label", F.coalesce("label", "k")).join(classes.select("k", "n"), "k")
+            .select("bkey", "band", "k", "label", "away", "n", (F.col("k") == F.col("center")).alias("is_center")))
     rows = materialize(rows, "near-rest")
-    buckets = (rows.groupBy("bkey", "label").agg(F.count("*").alias("n")).groupBy("bkey")
+    blocks = lambda count, items: F.ceil(F.greatest(count / BLOCK, 8 * items / BLOCK_BYTES)).cast("int")
+    buckets = (rows.groupBy("bkey", "label").agg(F.count("*").alias("n"), F.sum("n").alias("items")).groupBy("bkey")
                .agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels"),
-                    F.sum("n").alias("members"), F.max("n").alias("in_main")).filter("labels > 1")
-               .select("bkey", "main", F.ceil(F.col("members") / BLOCK).cast("int").alias("m_blocks"),
-                       F.ceil((F.col("members") - F.col("in_main")) / BLOCK).cast("int").alias("s_blocks")))
-    rows = materialize(rows.join(buckets, "bkey").join(classes.select("k", "n", "sketch"), "k"), "near-compare")
+                    F.sum("n").alias("members"), F.max("n").alias("in_main"), F.sum("items").alias("items")).filter("labels > 1")
+               .select("bkey", "main", blocks(F.col("members"), F.col("items")).alias("m_blocks"),
+                       blocks(F.col("members") - F.col("in_main"), F.col("items")).alias("s_blocks")))
+    held = sets.join(classes.select("k", "sketch"), "k")
+    rows = materialize(rows.drop("n").join(buckets, "bkey").join(held, "k"), "near-compare")
     slot = lambda n: F.pmod(F.xxhash64("k"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    key, data = ["bkey", "mb", "sb"], ["band", "k", "label", "away", "n", "sketch", "main"]
+    key, data = ["bkey", "mb", "sb"], ["band", "k", "label", "away", "n", "sketch", "items", "main"]
     members = (rows.filter(~F.col("is_center")).withColumn("mb", slot("m_blocks")).withColumn("sb", each("s_blocks"))
                .select(*key, *data))
     strays = (rows.filter(~F.col("is_center") & (F.col("label") != F.col("main"))).withColumn("sb", slot("s_blocks"))
               .withColumn("mb", each("m_blocks")).select(*[F.col(c).alias(f"s_{c}") for c in key + data]))
     s = share / 100
-    limit = s - 4 * math.sqrt(s * (1 - s) / t)
+    limit = least_agreements(share, t)
     none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -198,19 +218,36 @@ def rest_pairs(star: DataFrame, tested: DataFrame, labels: DataFrame, classes: D
         grid = lambda x, c: np.frombuffer(b"".join(v.as_py() for v in x.column(c)), "<u2").reshape(-1, t)
         lk, ll, la, ln, lmain, ls = col(left, "k"), col(left, "label"), col(left, "away"), col(left, "n"), col(left, "main"), grid(left, "sketch")
         stray = ll != lmain
-        a, b = [], []
-        for k, label, off, n, band, own in zip(*(col(right, f"s_{c}") for c in ("k", "label", "away", "n", "band")),
-                                               grid(right, "s_sketch")):
+        a, b, root = [], [], {}
+        items = lambda x, c: [np.frombuffer(v.as_buffer(), np.uint64) for v in x.column(c)]
+        sets_left = items(left, "items")
+
+        def find(x: int) -> int:
+            while root.get(x, x) != x:
+                root[x] = x = root.get(root[x], root[x])
+            return x
+
+        for k, label, off, n, band, own, mine in zip(*(col(right, f"s_{c}") for c in ("k", "label", "away", "n", "band")),
+                                                     grid(right, "s_sketch"), items(right, "s_items")):
             ok = ((ll != label) & (np.abs(la - off) <= 1 - s + 1e-9) & (~stray | (lk > k))
                   & (100 * np.minimum(ln, n) >= share * np.maximum(ln, n)))
             at = np.flatnonzero(ok)
             if len(at):
                 same = ls[at] == own
                 first = same.reshape(len(at), -1, ROWS).all(2).argmax(1)  # each pair in its first common bucket only
-                at = at[(same.mean(1) >= limit) & (first == band)]
-                a.append(np.minimum(lk[at], k))
-                b.append(np.maximum(lk[at], k))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)}) if a else none
+                agree = same.sum(1)
+                good = (agree >= limit) & (first == band)
+                at, agree = at[good], agree[good]
+                for i in at[np.argsort(-agree, kind="stable")].tolist():
+                    x, y = find(int(label)), find(int(ll[i]))
+                    if x == y:
+                        continue
+                    common = shared(mine, sets_left[i])
+                    if 100 * common >= share * (len(mine) + len(sets_left[i]) - common):
+                        root[x] = y
+                        a.append(int(label))
+                        b.append(int(ll[i]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     ship_code(star.sparkSession)
     return members.groupBy(*key).cogroup(strays.groupBy(*[f"s_{c}" for c in key])).applyInArrow(meet, "a long, b long")
@@ -234,21 +271,21 @@ def link(docs: DataFrame, share: int = SHARE) -> DataFrame:
     size = F.count("*").over(Window.partitionBy("bkey"))
     members = materialize(rows.repartition("bkey").withColumn("size", size).filter("size > 1"), "near-members")
     weight = members.groupBy("k").agg(F.sum("size").alias("w"))
-    centers = members.join(weight, "k").groupBy("bkey").agg(F.max_by("k", F.struct("w", -F.col("k"))).alias("center"))
+    wanted = checked_broadcast(materialize(
+        weight.join(classes.select("k", "cid", "rep", F.col("first.tkey").alias("rep_key")), "k"), "near-wanted"))
+    centers = members.join(wanted.select("k", "w"), "k").groupBy("bkey").agg(F.max_by("k", F.struct("w", -F.col("k"))).alias("center"))
     star = materialize(members.join(centers, "bkey"), "near-star")
 
-    wanted = members.select("k").distinct().join(classes.select("k", "cid", "rep", F.col("first.tkey").alias("rep_key")), "k")
-    sets = materialize(sets_of(docs, materialize(wanted, "near-wanted")), "near-sets")
+    sets = materialize(sets_of(docs, wanted.drop("w")), "near-sets")
     pairs = (star.filter("k != center").select(F.least("k", "center").alias("a"), F.greatest("k", "center").alias("b")).distinct())
     tested = materialize(verify(pairs, sets), "near-tested")
     close = F.expr(f"100 * common >= {int(share)} * total")
-    labels = components(tested.filter(close).select("a", "b"), "near-labels")
-    rest = materialize(rest_pairs(star, tested, labels, classes, share, t), "near-pairs")
-    found = materialize(verify(rest.join(tested, ["a", "b"], "left_anti"), sets).filter(close).select("a", "b"), "near-found")
+    labels = components(tested.filter(close).select("a", "b"), "near-labels", written=True)
+    found = materialize(rest_links(star, tested, labels, classes, sets, share, t), "near-found")
+    named = classes.select("cid", "k", "first").join(labels, "k", "left").withColumn("label", F.coalesce("label", "k"))
     if not found.isEmpty():
-        labels = components(tested.filter(close).select("a", "b").unionByName(found), "near-labels")
-
-    named = (classes.select("cid", "k", "first").join(labels, "k", "left").withColumn("label", F.coalesce("label", "k")))
+        joined = components(found, "near-joined").select(F.col("k").alias("label"), F.col("label").alias("whole"))
+        named = named.join(joined, "label", "left").withColumn("label", F.coalesce("whole", "label")).drop("whole")
     smallest = named.groupBy("label").agg(F.min("first").alias("first"))
     ids = materialize(named.select("cid", "label").join(smallest, "label")
                       .select("cid", F.col("first.doc_id").alias("component_id"), F.col("first.tkey").alias("chosen_key")), "near-ids")

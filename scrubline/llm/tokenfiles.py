@@ -39,8 +39,8 @@ from pyspark.sql import types as T
 from scrubline.llm.common import attempt_name, file_dir, map_arrow, materialize, open_fs, slices
 
 END_ID = 2
-MEMO_BYTES = 160 << 20  # that a worker's words and pieces take, each; when it is full the older half goes, which changes only speed
-ENTRY = 190  # bytes that a place in a dictionary, a string and its packed ids take besides their characters, about
+MEMO_BYTES = 192 << 20  # that a worker's words and pieces take, each; when it is full the older half goes, which changes only speed
+ENTRY = 130  # bytes that a place in a dictionary, a string and its packed ids take besides their characters, about
 LONGEST = 64  # characters of a word that is remembered
 MANIFEST = "part int, tokens string, offsets string, docs string, width int, n_docs long, n_tokens long"
 

@@ -12,11 +12,10 @@ Evaluation plans
   (keys of several types stand in a column per type) whose
   map-side partial aggregation collapses hot keys (and the null key) before
   the shuffle, so a key that holds a third of the rows costs nothing extra.
-* Samples (V17/V18) join no table: row rules are a stack with ``row_number() <= k``
-  per rule, which Spark plans with a map-side WindowGroupLimit (each task ships
-  at most k rows per rule).  The first k rows of a ``unique`` rule belong to the
-  k duplicated keys that start first, so the pre-aggregated ``groupBy`` of that
-  rule is cut to k keys, which are broadcast to the scan.
+* Samples (V17/V18) read the table once and join nothing: all rules are one stack
+  with ``row_number() <= k`` per rule and key, then per rule, which Spark plans with a
+  map-side WindowGroupLimit (each task ships at most k rows per rule, or per key of a
+  ``unique`` rule).  Narrow columnar tables may be read again instead (see ``failures``).
 * Row flags (X1) need the whole set of duplicated keys: that of all unique rules is
   written and counted by one job first, broadcast for a rule while it is small, and
   otherwise joined by shuffle with the rows that can match; null keys bypass it.
@@ -367,51 +366,88 @@ def _shown(column: str, dtype: str | None) -> Expr:
 
 
 @cached_expr
-def _failure_cells(rules: tuple, dtypes: tuple) -> Column:
+def _failure_cells(rules: tuple, dtypes: tuple) -> tuple[Column, tuple]:
+    """``stack`` of ``(rule_id, failed, value, *keys)``, and the names of the keys: a column per type of key, which
+    only rows of ``unique`` rules fill."""
     types = dict(dtypes)
-    return stack_rows(("rule_id", "failed", "value"), tuple(
-        (r.rule_id, Ref(f"_u{r.rule_id}"), _shown(r.column, types.get(r.column))) for r in rules
-    ))
+    slot: dict[str, str] = {}
+    for r in rules:
+        if r.kind == "unique":
+            taken = r.column in ("rule_id", "failed", "value") or r.column.startswith("_")
+            slot.setdefault(types[r.column], f"_key_{r.column}" if taken else r.column)
+    rows = []
+    for r in rules:
+        own = types.get(r.column) if r.kind == "unique" else None
+        c = sql_literal(Ref(r.column))
+        failed, value = ((Expr(f"{c} is not null"), Expr("cast(null as string)")) if own  # the key says it
+                         else (Ref(f"_u{r.rule_id}"), _shown(r.column, types.get(r.column))))
+        keys = (Ref(r.column) if t == own else Expr(f"cast(null as {t})") for t in slot)
+        rows.append((r.rule_id, failed, value, *keys))
+    return stack_rows(("rule_id", "failed", "value", *slot.values()), tuple(rows)), tuple(slot.values())
 
 
-def failures(df: DataFrame, rules: list[Rule], order_col: str, k: int = 3, show: tuple | None = None) -> DataFrame:
+def failures(df: DataFrame, rules: list[Rule], order_col: str, k: int = 3, show: tuple | None = None,
+             rescan: bool = False) -> DataFrame:
     """Per failed rule, its first ``k`` unexpected values in ``order_col`` order.
 
     Output ``(rule_id, column_name, expectation, sample_no, *show, value)``; ``show``
     (default: the order column) names columns that identify the row.  Rows with
     equal order values are taken in order of the value.
+
+    One scan, whatever the rules: rows that fail, and rows with a key of a ``unique`` rule,
+    are cut to the first ``max(k, 2)`` of each (rule, key), within a task, then after one
+    shuffle by key, so a hot key is that many rows per task.  A key of which two rows are left
+    is a repeated one, and the first ``k`` rows of a rule are among those left.
+
+    This sorts the rows of each task by key.  Where reading a row costs less than sorting it (a
+    narrow columnar table with few keys), ``rescan`` counts the keys of each ``unique`` rule by
+    hash instead, cuts them to the ``k`` repeated ones that start first, to which the first
+    ``k`` rows belong, and reads the table again for those.  Both give the same rows.
     """
     check_columns(df, rules)
     show = show or (order_col,)
-    named = [F.col(c).alias(f"_s_{c}") for c in show]
+    named = [c for c in show if c != order_col]
+    shown = [F.col(order_col).alias("_ord"), *[F.col(c).alias(f"_s_{c}") for c in named]]
     dtypes = tuple(sorted(df.dtypes))
-    plain = tuple(r for r in rules if r.kind != "unique")
+    dt = dict(dtypes)
+    plain = [r for r in rules if r.kind != "unique"]
+    uniques = [r for r in rules if r.kind == "unique"]
+    stacked = plain if rescan else rules
     parts = []
-    if plain:
-        dt = dict(dtypes)
+    if stacked:
         flagged = df.select("*", *[_flag(r, dt.get(r.column)) for r in plain])
-        parts.append(flagged.select(F.col(order_col).alias("_ord"), *named, _failure_cells(plain, dtypes))
-                     .where(F.col("failed")).drop("failed"))
-    for r in rules:
-        if r.kind != "unique":
-            continue
-        c = F.col(r.column)
-        first = (df.where(c.isNotNull()).groupBy(c.alias("_key"))
-                 .agg(F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_first"))
-                 .where(F.col("_n") > 1).orderBy("_first", "_key").limit(k).select("_key"))
-        held = df.select(F.col(order_col).alias("_ord"), *named, F.lit(r.rule_id).alias("rule_id"), c.alias("_c"))
-        parts.append(held.join(F.broadcast(first), F.col("_c") == F.col("_key"))  # k keys at most
-                     .select("_ord", *[f"_s_{x}" for x in show], "rule_id", F.col("_c").cast("string").alias("value")))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+        cells, keys = _failure_cells(tuple(stacked), dtypes)
+        failed = flagged.select(*shown, cells).where(F.col("failed")).drop("failed")
+        parts.append(_first_of_keys(failed, keys, [r.rule_id for r in uniques], k) if keys else failed)
+    if rescan:
+        parts += [_rows_of_first_keys(df, r, order_col, shown, k) for r in uniques]
+    long = functools.reduce(DataFrame.unionByName, parts)
     w = Window.partitionBy("rule_id").orderBy("_ord", "value")
     top = long.withColumn("sample_no", F.row_number().over(w)).where(F.col("sample_no") <= k)
-    return top.select(*_failure_columns(tuple(rules), tuple(show)))
+    return top.select(*_failure_columns(tuple(rules), tuple(show), order_col))
+
+
+def _first_of_keys(failed: DataFrame, keys: tuple, uniques: list[int], k: int) -> DataFrame:
+    """The first rows of each (rule, key) without the keys of ``unique`` rules that one row holds."""
+    held = Window.partitionBy(*keys, "rule_id")
+    first = failed.withColumn("_nth", F.row_number().over(held.orderBy("_ord", "value"))).where(F.col("_nth") <= max(k, 2))
+    repeated = first.withColumn("_rows", F.max("_nth").over(held))  # of max(k, 2) rows at most
+    return (repeated.where((F.col("_rows") > 1) | ~F.col("rule_id").isin(uniques))
+            .withColumn("value", F.coalesce("value", *[F.col(c).cast("string") for c in keys])).drop("_nth", "_rows", *keys))
+
+
+def _rows_of_first_keys(df: DataFrame, rule: Rule, order_col: str, shown: list, k: int) -> DataFrame:
+    """The rows of the ``k`` repeated keys that start first."""
+    c = F.col(rule.column)
+    first = (df.where(c.isNotNull()).groupBy(c.alias("_key"))
+             .agg(F.count(F.lit(1)).alias("_n"), F.min(order_col).alias("_first"))
+             .where(F.col("_n") > 1).orderBy("_first", "_key").limit(k).select("_key"))
+    held = df.select(*shown, F.lit(rule.rule_id).alias("rule_id"), c.alias("_c"), c.cast("string").alias("value"))
+    return held.join(F.broadcast(first), F.col("_c") == F.col("_key")).drop("_c", "_key")  # k keys at most
 
 
 @cached_expr
-def _failure_columns(rules: tuple, show: tuple) -> list:
+def _failure_columns(rules: tuple, show: tuple, order_col: str) -> list:
     def lookup(values):
         return F.element_at(F.create_map(*[x for r, v in zip(rules, values) for x in (F.lit(r.rule_id), F.lit(v))]),
                             F.col("rule_id"))
@@ -420,7 +456,7 @@ def _failure_columns(rules: tuple, show: tuple) -> list:
         lookup([r.column for r in rules]).alias("column_name"),
         lookup([r.expectation for r in rules]).alias("expectation"),
         F.col("sample_no").cast("int").alias("sample_no"),
-        *[F.col(f"_s_{c}").alias(c) for c in show],
+        *[F.col("_ord" if c == order_col else f"_s_{c}").alias(c) for c in show],
         F.col("value"),
     ]
 

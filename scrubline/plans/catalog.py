@@ -313,7 +313,7 @@ def q_validate_orders(spark, sf):
 
 def q_validate_orders_failures(spark, sf):
     """V17 with a large duplicate-key set: first three failing orders per rule."""
-    return V.failures(table(spark, sf, "orders"), V.orders_key_suite(), "o_orderkey", k=3)
+    return V.failures(table(spark, sf, "orders"), V.orders_key_suite(), "o_orderkey", k=3, rescan=True)
 
 
 def q_validate_events(spark, sf):

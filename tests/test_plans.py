@@ -46,6 +46,12 @@ def test_failure_samples_limit_before_the_shuffle(spark):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
+def test_failure_samples_read_the_table_once(spark):
+    p = plan(V.failures(raw(spark, SF_SMALL), V.customer_suite(), "customer_id"))
+    assert scans_in(p) == 1 and "Join" not in p and "HashAggregate" not in p
+    assert scans_in(plan(V.failures(raw(spark, SF_SMALL), V.customer_suite(), "customer_id", rescan=True))) == 3
+
+
 def test_segment_profile_reads_once(spark):
     from scrubline.operators.segments import profile_by_segment
 
@@ -62,8 +68,12 @@ def test_text_scan_reads_only_the_text(spark):
     assert "Join" not in p
 
 
+def scans_in(p: str) -> int:
+    return p.count("FileScan")
+
+
 def scans(df) -> int:
-    return plan(df).count("FileScan")
+    return scans_in(plan(df))
 
 
 def test_samples_and_logs_stay_within_their_scans(spark):

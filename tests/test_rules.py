@@ -91,6 +91,32 @@ def test_failure_samples_first_k_in_order(golden_raw):
     assert dob == [(1, 4, "1975/05/10"), (2, 6, "invalid_date")]
 
 
+def test_failure_samples_with_unique_rules_of_several_types(spark):
+    """One scan or one more per unique rule: the same rows; hot, null and repeated keys, ties, single keys."""
+    rows = [(i, 7 if i % 3 == 0 else None if i % 7 == 0 else i, f"t{i % 400}" if i < 500 else f"u{i}", -i if i % 50 == 1 else i,
+             i // 2) for i in range(600, 0, -1)]
+    df = spark.createDataFrame(rows, "n long, a long, b string, c long, tie long").repartition(6)
+    suite = [V.R(1, "a", "unique"), V.R(2, "b", "unique"), V.R(3, "c", "unique"), V.R(4, "a", "not_null"), V.R(5, "c", "between", min=1)]
+
+    def sample(**how):
+        return sorted(map(tuple, V.failures(df, suite, "n", show=("b", "n"), **how).select("rule_id", "sample_no", "n", "b", "value").collect()))
+
+    want = [(1, i, n, f"t{n}", "7") for i, n in ((1, 3), (2, 6), (3, 9))]
+    want += [(2, i, i, f"t{i}", f"t{i}") for i in (1, 2, 3)]
+    want += [(4, i, n, f"t{n}", None) for i, n in ((1, 7), (2, 14), (3, 28))]
+    want += [(5, i, n, f"t{n}", str(-n)) for i, n in ((1, 1), (2, 51), (3, 101))]
+    assert sample() == sample(rescan=True) == sorted(want, key=lambda r: r[:2])
+    for k in (1, 2, 5):
+        assert sample(k=k) == sample(k=k, rescan=True)
+    clash = df.withColumnsRenamed({"a": "value", "b": "rule_id", "n": "_ord"})
+    names = [V.R(1, "value", "unique"), V.R(2, "rule_id", "unique")]
+    assert [r.value for r in V.failures(clash, names, "_ord").orderBy("rule_id", "sample_no").collect()] == ["7"] * 3 + ["t1", "t2", "t3"]
+    only = [V.R(3, "c", "unique")]
+    assert V.failures(df, only, "n").count() == V.failures(df, only, "n", rescan=True).count() == 0
+    tied = [tuple(r) for r in V.failures(df, [V.R(2, "b", "unique")], "tie", k=4).select("tie", "value").orderBy("sample_no").collect()]
+    assert tied == [(0, "t1"), (1, "t2"), (1, "t3"), (2, "t4")]
+
+
 def test_failed_rows_positions(golden_raw):
     got = sorted(map(tuple, failed_rows(with_row_id(golden_raw)).collect()))
     assert got == [(4, 3), (7, 5), (9, 3), (11, 4), (13, 4), (13, 6), (14, 5), (14, 10)]

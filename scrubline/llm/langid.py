@@ -3,8 +3,10 @@
 Every language has a raw-content zstandard dictionary made of short excerpts of
 labelled documents.  A text is compressed once per language, in blocks, each
 block starting from that dictionary; the language whose dictionary makes the text
-smallest wins.  The margin is the share by which the winner beats the runner-up;
-where it is narrow the document is rejected.
+smallest wins.  The margin is the share by which the winner beats the runner-up.  Sizes
+are whole bytes, so a text whose margin is small is measured again, at a level whose
+search finds shorter matches; where the margin is narrow then too the document is rejected.
+The rule looks at the margin only, not at the length of the text.
 
 Fit: a bounded sample of labelled rows (``SAMPLE_DOCS`` documents per language,
 ``EXCERPT`` letters of each); excerpts are short so that a document copied into
@@ -14,8 +16,8 @@ its whole text, whatever its length.
 Defined cases: null text, empty text and text without a letter give ``und``, score
 0 and are rejected; ties go to the language first in code point order, score 0; a
 model of one language gives it score 1; rows without a label are not learned from;
-without any labelled row everything is ``und``.  Extra columns are kept; columns
-named like the results are replaced.
+without any labelled row everything is ``und``; rows that repeat get the same result each.
+Extra columns are kept; columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ SAMPLE_DOCS = 512  # documents per language in a dictionary, at most
 EXCERPT = 160  # letters that one document adds to its dictionary, at most
 BLOCK = 8192  # bytes compressed at a time
 LEVEL = 6
-SHORT, SHORT_LEVEL = 256, 12  # texts of at most so many bytes get a search that finds matches of few bytes
+CLOSE, CLOSE_LEVEL = 0.02, 12  # wins by less are measured again at this level
 MIN_MARGIN = 0.001  # narrower wins are rejected
 UNDETERMINED = "und"
 
@@ -87,28 +89,30 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, excerpt: int = EXCERPT)
 
 def classifier(model: dict[str, bytes], min_margin: float = MIN_MARGIN) -> Callable[[str | None], tuple]:
     """A function text -> (language, score, rejected) for one worker."""
-    def coders(level: int, source_size: int) -> list:
+    def coders(level: int) -> list:
         out = []
         for lang, content in model.items():
             d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            p = zstandard.ZstdCompressionParameters.from_level(level, dict_size=len(content), source_size=source_size,
-                                                               write_content_size=False)
+            p = zstandard.ZstdCompressionParameters.from_level(level, dict_size=len(content), source_size=BLOCK, write_content_size=False)
             d.precompute_compress(compression_params=p)
             out.append((lang, zstandard.ZstdCompressor(dict_data=d, compression_params=p)))
         return out
 
-    usual, close = coders(LEVEL, BLOCK), coders(SHORT_LEVEL, SHORT)
+    usual, fine = coders(LEVEL), coders(CLOSE_LEVEL)
+
+    def measure(blocks: list[bytes], by: list) -> tuple[str, float]:
+        sizes = sorted((sum(len(c.compress(b)) for b in blocks), k) for k, c in by)
+        return sizes[0][1], 1.0 - sizes[0][0] / sizes[1][0] if len(sizes) > 1 else 1.0
 
     def classify(text: str | None) -> tuple:
         if text is None or not model or not _LETTER.search(text):
             return UNDETERMINED, 0.0, True
         data = normalize(text)
         blocks = [data[i:i + BLOCK] for i in range(0, len(data), BLOCK)]
-        sizes = sorted((sum(len(c.compress(b)) for b in blocks), k) for k, c in (close if len(data) <= SHORT else usual))
-        if len(sizes) == 1:
-            return sizes[0][1], 1.0, False
-        margin = 1.0 - sizes[0][0] / sizes[1][0]
-        return sizes[0][1], margin, margin < min_margin
+        lang, margin = measure(blocks, usual)
+        if margin < CLOSE:
+            lang, margin = measure(blocks, fine)
+        return lang, margin, margin < min_margin
 
     return classify
 

@@ -70,6 +70,17 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
   fail_bits = 0 as kept, n_lines, fail_bits from b
 """
 
+QUALITY_ABLATIONS = f"""
+with book as ({OP4_QUALITY}),
+r(policy, rule, whole, own) as (values ('v0', 'few_words', 3, 1), ('v0', 'repeated_windows', 3, 2), ('v1', 'few_words', 63, 1),
+  ('v1', 'repeated_windows', 63, 2), ('v1', 'short_words', 63, 4), ('v1', 'long_words', 63, 8), ('v1', 'many_signs', 63, 16),
+  ('v1', 'repeated_lines', 63, 32))
+select policy, rule, count(*) filter (where (fail_bits & own) <> 0) as n_failed,
+  count(*) filter (where (fail_bits & whole) = own) as n_failed_only_this, count(*) filter (where (fail_bits & whole) = 0) as n_kept,
+  count(*) filter (where (fail_bits & whole & ~own) = 0) as n_kept_without
+from book, r group by 1, 2
+"""
+
 OP6_RECOMPRESSION = rf"""
 with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') as words from documents),
 win as (select doc_id, i, array_to_string(words[i:i + 34], ' ') as w
@@ -186,6 +197,6 @@ select part, filter_order, cast(step as integer) as step, cast(kept as bigint) a
 from g
 """
 
-ORACLES = {"op1_warc": OP1_WARC, "op2_suffix_dedup": OP2_SUFFIX_DEDUP, "op3_mixing": OP3_MIXING, "op4_quality": OP4_QUALITY,
+ORACLES = {"op1_warc": OP1_WARC, "op2_suffix_dedup": OP2_SUFFIX_DEDUP, "op3_mixing": OP3_MIXING, "op4_quality": OP4_QUALITY, "quality_ablations": QUALITY_ABLATIONS,
            "op6_recompression": OP6_RECOMPRESSION, "op8_neardup": OP8_NEARDUP, "op11_trie": OP11_TRIE, "op12_vafile": OP12_VAFILE,
            "op13_audit": OP13_AUDIT}

@@ -13,7 +13,8 @@ not depend on the engine.  Texts of any length are measured whole.
 
 Defined cases: null and empty texts have zeros everywhere and fail the length
 rule; blank lines are not lines with a word; extra columns are kept and columns
-named like the results are replaced; an empty table gives an empty ledger.
+named like the results are replaced; rows that repeat have a row each; an empty table
+gives an empty ledger.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from scrubline.llm.common import map_arrow, set_columns, with_fields
+from scrubline.llm.common import map_arrow, materialize, set_columns, with_fields
 
 #: Fixed values of the contract: the sign characters and ASCII white space.
 SIGNS = "#*$%&|<>"
@@ -117,20 +118,29 @@ def passes(policy: str) -> Column:
     return F.col("fail_bits").bitwiseAND(F.lit(mask(policy))) == 0
 
 
-def ablations(book: DataFrame, policy: str) -> DataFrame:
-    """Per rule of a policy: how many documents fail it, fail only it, and pass without it.
+def store(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The ledger as a written table: texts are measured once, every policy and ablation reads the table."""
+    return materialize(ledger(docs, keep), "quality-ledger")
+
+
+def compare(book: DataFrame, *policies: str) -> DataFrame:
+    """Per policy and rule of it: how many documents fail the rule, fail only it, pass the policy, and pass without the rule.
 
     The corpus is reduced to one row per failure pattern (partial aggregation, at
-    most 2^rules rows); every figure is a bitwise sum over the patterns.
+    most 2^rules rows), whatever the number of policies; every figure is a bitwise sum
+    over the patterns.  A ledger without rows gives none.
     """
     patterns = book.groupBy("fail_bits").agg(F.count("*").alias("n"))
-    rules = POLICIES[policy]
-    full = mask(policy)
-    tested = patterns.withColumn("rule", F.explode(F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.lit(bit(r)).alias("bit")) for r in rules])))
-    hit = F.col("fail_bits").bitwiseAND(F.lit(full))
-    own = F.col("rule.bit")
+    tested = patterns.select("fail_bits", "n", F.inline(F.array(*[
+        F.struct(F.lit(p).alias("policy"), F.lit(r).alias("rule"), F.lit(mask(p)).alias("full"), F.lit(bit(r)).alias("own"))
+        for p in policies for r in POLICIES[p]])))
+    hit, own = F.col("fail_bits").bitwiseAND(F.col("full")), F.col("own")
     count = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
-    return tested.groupBy(F.col("rule.rule").alias("rule")).agg(
+    return tested.groupBy("policy", "rule").agg(
         count(hit.bitwiseAND(own) != 0).alias("n_failed"), count(hit == own).alias("n_failed_only_this"),
         count(hit == 0).alias("n_kept"), count(hit.bitwiseAND(F.bitwise_not(own)) == 0).alias("n_kept_without"))
+
+
+def ablations(book: DataFrame, policy: str) -> DataFrame:
+    """``compare`` for one policy."""
+    return compare(book, policy).drop("policy")

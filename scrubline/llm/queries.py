@@ -32,12 +32,17 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements and verdict of every document."""
-    book = quality.ledger(documents(spark, sf_dir), keep=["doc_id"])
+    book = quality.store(documents(spark, sf_dir), keep=["doc_id"])
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        (~quality.passes("v0")).alias("base_failed"), quality.passes("v1").alias("kept"),
                        "n_lines", "fail_bits")
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of both policies takes, from one stored ledger."""
+    return quality.compare(quality.store(documents(spark, sf_dir), keep=["doc_id"]), "v0", "v1")
+
+
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back."""
     docs = documents(spark, sf_dir)
@@ -89,4 +94,4 @@ def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_mixing, op4_quality, op5_tokens, op6_recompression, op7_bpe,
-                                   op8_neardup, op9_ann, op10_langid, op11_trie, op12_vafile, op13_audit)}
+                                   op8_neardup, op9_ann, op10_langid, op11_trie, op12_vafile, op13_audit, quality_ablations)}

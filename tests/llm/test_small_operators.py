@@ -2,9 +2,12 @@
 
 import hashlib
 import random
+import re
 
 import public_tokenizers
 import pytest
+import zstandard
+from pyspark.sql import functions as F
 
 from scrubline.llm import bpe, langid, mixing, quality, queries, tokenfiles, warc
 
@@ -127,6 +130,20 @@ def test_quality_ablations(odd):
     assert quality.ledger(odd[0].limit(0)).count() == 0
 
 
+def test_quality_stored_ledger(odd):
+    """Policies and ablations read the table, never a text; clashing names and rows that repeat."""
+    df = odd[0].withColumn("n_words", F.lit("x")).withColumn("fail_bits", F.lit("y"))
+    book = quality.store(df.unionByName(df))
+    assert sorted(map(tuple, book.collect())) == sorted(2 * [tuple(r) for r in quality.ledger(df).collect()])
+    both = quality.compare(book, "v0", "v1")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "text" not in plan and plan.count("FileScan") == 1
+    got = {(r.policy, r.rule): tuple(r)[2:] for r in both.collect()}
+    want = {(p, r.rule): tuple(2 * n for n in tuple(r)[1:]) for p in quality.POLICIES for r in quality.ablations(quality.ledger(df), p).collect()}
+    assert got == want and len(got) == 8
+    assert quality.compare(quality.store(df.limit(0)), "v0").count() == 0
+
+
 def test_token_files(spark, docs, odd):
     for df, texts in (docs, odd):
         manifest = tokenfiles.write(df, public_tokenizers.path("byte_bpe_50k.json"))
@@ -178,6 +195,39 @@ def test_langid_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def plain_language(model, text):
+    """Compress with every dictionary, take the smallest; the first in code point order among equals."""
+    data = re.sub(r"[\W\d_]+", " ", text or "").lower().encode()
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    for level in (6, 12):
+        size = {}
+        for lang, content in model.items():
+            held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            how = zstandard.ZstdCompressionParameters.from_level(level, dict_size=len(content), source_size=8192, write_content_size=False)
+            size[lang] = sum(len(zstandard.ZstdCompressor(dict_data=held, compression_params=how).compress(data[i:i + 8192]))
+                             for i in range(0, len(data), 8192))
+        first, second = sorted(size.values())[:2]
+        if 1 - first / second >= 0.02:
+            break
+    return min(k for k in size if size[k] == first), 1 - first / second
+
+
+def test_langid_against_plain_compression(spark):
+    df = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(df)
+    short = [(10**6 + i, t, None) for i, t in enumerate(["the", "le chat", "und", "a b", "x" * 300, "1 2 3", "", None, "der die das " * 3000])]
+    both = df.unionByName(spark.createDataFrame(short, df.schema))
+    got = langid.predict(both.unionByName(both), model).collect()
+    seen = {}
+    for r in got:  # a row that repeats gets one answer
+        assert seen.setdefault(r.doc_id, (r.lang_pred, r.score, r.rejected)) == (r.lang_pred, r.score, r.rejected)
+    assert len(got) == 2 * len(seen)
+    for r in both.collect():
+        lang, score = plain_language(model, r.text)
+        assert seen[r.doc_id] == (lang, pytest.approx(score, abs=1e-12), score < langid.MIN_MARGIN), r.text
+
+
 def test_langid_odd(odd):
     df, texts = odd
     model = langid.fit(df)

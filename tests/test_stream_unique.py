@@ -70,6 +70,22 @@ def test_late_rows_and_state_that_ends(spark, tmp_dir):
     assert found["state_rows"] <= 4 * 11  # the value and timers of the eleven open keys; fifty are gone
 
 
+def test_many_keys_share_a_few_state_rows(spark, tmp_dir):
+    """Keys of one bucket are judged apart, and calls and state rows do not grow with the keys."""
+    rng = random.Random(7)
+    rows = [(i, f"key{rng.randrange(300)}", 1, rng.randrange(2000)) for i in range(900)]
+    folder, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    for part in (rows[:500], rows[500:]):
+        put(spark, folder, part)
+        found = run(spark, folder, out, delay=100_000, buckets=16)
+        now = flags(spark, found)
+        assert now == expected(spark, folder)
+        assert found["state_rows"] <= 16
+    assert 0 < sum(now.values()) < 900
+    put(spark, folder, [(2000, "key1", 1, 300_000)])  # the watermark leaves all others behind
+    assert run(spark, folder, out, delay=100_000, buckets=16)["state_rows"] == 1
+
+
 def test_batch_rule_ignores_the_session_zone(spark, tmp_dir):
     folder = os.path.join(tmp_dir, "in")
     put(spark, folder, [(1, "a", 1, 3600), (2, "a", 1, 3600 * 3), (3, "b", 1, 7195), (4, "b", 1, 7205)])

@@ -31,7 +31,7 @@ def _fs(spark: SparkSession, path: str):
 
 def new_run(out_dir: str) -> tuple[str, str]:
     """(name, folder) of a run; names sort by their time."""
-    name = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    name = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
     return name, os.path.join(out_dir, "runs", name)
 
 

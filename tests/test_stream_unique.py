@@ -3,11 +3,15 @@
 import datetime as dt
 import os
 import random
+from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
+from scrubline.plans.catalog import QUERIES
+from scrubline.plans.oracles import oracle_sql
 from scrubline.streaming.incremental import file_stream
-from scrubline.streaming.unique import flag_rows_within, late_rows, latest_flags, run_unique
+from scrubline.streaming.unique import arrive, flag_rows_within, keyless_rows, late_rows, latest_flags, run_unique
 
 START = dt.datetime(2024, 3, 31)  # a day on which many zones lose an hour
 SCHEMA = "id long, k string, k2 long, t timestamp_ntz"
@@ -86,6 +90,61 @@ def test_many_keys_share_a_few_state_rows(spark, tmp_dir):
     assert run(spark, folder, out, delay=100_000, buckets=16)["state_rows"] == 1
 
 
+def test_every_row_is_reported_once(spark, tmp_dir):
+    """Null keys and times, null and repeated ids, over folded reports and restarts; the watermark sees rows without a key."""
+    folder, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+
+    def now():
+        found = run(spark, folder, out, delay=30, compact_every=2, buckets=2)
+        return (Counter((r.row_id, r.failed) for r in latest_flags(spark, found["flags"]).collect()),
+                Counter(r.row_id for r in keyless_rows(spark, found["keyless"]).collect()),
+                Counter((r.row_id, r.row_key) for r in late_rows(spark, found["late"]).collect()))
+
+    put(spark, folder, [(1, "a", 1, 0), (1, "a", 1, 0), (1, "b", 1, 0), (1, "c", 1, 500), (None, "d", 1, 500), (None, "e", 1, 500),
+                        (2, None, 1, 5), (2, None, 1, 5), (3, "a", None, 5), (4, "a", 1, None), (None, None, 1, 1), (5, None, None, None)])
+    flags_, keyless, late = now()
+    assert flags_ == {("1", True): 2, ("1", False): 2, (None, False): 2}
+    assert keyless == {"2": 2, "3": 1, "4": 1, None: 1, "5": 1} and not late
+    # the watermark stands at 470; a partner of two rows, and rows without a key behind it
+    put(spark, folder, [(6, "c", 1, 510), (7, "d", 1, 510), (8, None, 1, 469), (8, None, 1, 469), (9, None, 1, 470), (10, "a", 1, 0), (11, None, 1, 10_000)])
+    flags_, keyless, late = now()
+    assert flags_ == {("1", True): 3, ("1", False): 1, (None, False): 1, (None, True): 1, ("6", True): 1, ("7", True): 1}
+    assert keyless == {"2": 2, "3": 1, "4": 1, None: 1, "5": 1, "9": 1, "11": 1}
+    assert late == {("8", None): 2, ("10", '["a","1"]'): 1}
+    put(spark, folder, [(12, "c", 1, 9_969), (13, "c", 1, 9_970)])
+    again, _, late = now()
+    assert again == flags_ | {("13", False): 1}
+    assert late == {("8", None): 2, ("10", '["a","1"]'): 1, ("12", '["c","1"]'): 1}
+
+
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string"
+
+
+def test_query_has_every_event(spark, tmp_dir):
+    """Events with nulls in any column and events that come twice: as many rows as events, equal to the SQL."""
+    rng = random.Random(3)
+    rows = [(i, START + dt.timedelta(seconds=rng.randrange(90_000)), rng.randrange(9), rng.choice("xyz")) for i in range(400)]
+    rows = [tuple(None if rng.random() < 0.06 else v for v in r) for r in rows]
+    rows += rng.sample(rows, 40) + [(97, START, None, "x"), (97, None, 1, "x"), (194, START, 1, None), (194, START, 1, "x"), (194, START, 1, "x")]
+    spark.createDataFrame(rows, EVENTS).write.parquet(os.path.join(tmp_dir, "events.parquet"))
+    got = Counter(map(tuple, QUERIES["stream_unique_events"](spark, tmp_dir).select("event_id", "failed").collect()))
+    with duckdb.connect() as duck:
+        duck.execute(f"create view events as select * from read_parquet('{tmp_dir}/events.parquet/*.parquet')")
+        want = Counter(duck.execute(f"select event_id, failed from ({oracle_sql()['stream_unique_events']})").fetchall())
+    assert got.total() == len(rows) and got == want
+    assert Counter(i for i, _ in got.elements()) == Counter(r[0] for r in rows)
+    assert {f for _, f in got} == {True, False, None}
+
+
+def test_every_event_arrives(spark, tmp_dir):
+    """Also the last of a long time, one without a time and one without an id."""
+    rows = [(1, dt.datetime(1970, 1, 1), 1, "x"), (2, dt.datetime(9999, 12, 31), 1, "x"), (97, START, 1, "x"), (3, None, 1, "x"), (None, START, 1, "x")]
+    spark.createDataFrame(rows, EVENTS).write.parquet(os.path.join(tmp_dir, "events.parquet"))
+    folder = os.path.join(tmp_dir, "in")
+    seen = [Counter(map(tuple, spark.read.parquet(folder).collect())) for _ in arrive(spark, tmp_dir, folder)]
+    assert [s.total() for s in seen] == [3, 4, 5] and seen[-1] == Counter(rows)
+
+
 def test_batch_rule_ignores_the_session_zone(spark, tmp_dir):
     folder = os.path.join(tmp_dir, "in")
     put(spark, folder, [(1, "a", 1, 3600), (2, "a", 1, 3600 * 3), (3, "b", 1, 7195), (4, "b", 1, 7205)])
